@@ -261,7 +261,9 @@ def normalize(df: DataFrame, depth: int | None = None, *, rows: str = "keep", pr
     out = df.select(*cols)
     if opts.rows == "fuse":
         from .fuse import fuse_arrays
-        return fuse_arrays(out, keys_exclude=())
+        # arrays that hold structs in the input (unwrapped ones included)
+        arrays = sorted({f.name.lower() for f in df.schema.fields if f.name not in keep and is_struct_array(f.dataType)})
+        return fuse_arrays(out, arrays=arrays)
     return distinct_rows(out)
 
 

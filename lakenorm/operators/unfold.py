@@ -64,3 +64,32 @@ def unfold(df: DataFrame, depth: int | None = None, explode: bool = True) -> Dat
         if df.schema == before:
             break
     return df
+
+
+def fold_structs(df: DataFrame, sep: str = PATH_SEP) -> DataFrame:
+    """Fold flat ``a___b___c`` columns back into nested structs.
+
+    The inverse of repeated ``unfold_structs``: columns sharing a prefix
+    become one struct, fields in order of first appearance. A name is split
+    at every separator, so original names must not contain it.
+    """
+    tree: dict = {}
+    for name in df.columns:
+        node = tree
+        parts = name.split(sep)
+        for p in parts[:-1]:
+            node = node.setdefault(p, {})
+            if not isinstance(node, dict):
+                raise ValueError(f"column {name!r} collides with a flat column of the same prefix")
+        node[parts[-1]] = name
+
+    def build(node) -> list:
+        out = []
+        for key, sub in node.items():
+            if isinstance(sub, dict):
+                out.append(F.struct(*build(sub)).alias(key))
+            else:
+                out.append(F.col(_q(sub)).alias(key))
+        return out
+
+    return df.select(*build(tree))
