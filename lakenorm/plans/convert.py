@@ -76,7 +76,6 @@ def full_import(spark: SparkSession, source_table: str, target_table: str, log_p
         drop_partition(spark, target_table, p)
     schema = _data_schema(norm.schema)
     if log_path:
-        wl.init_log(spark, log_path)
         run_id = wl.new_run_id()
         for p in stale:
             wl.remove_partition(spark, log_path, table, p)
@@ -115,7 +114,6 @@ def incremental_import(spark: SparkSession, source_table: str, target_table: str
     """
     configure(spark)
     table = table or _table_name(source_table)
-    wl.init_log(spark, log_path)
     source_parts = partition_names(spark, source_table)
     if not source_parts:
         return ImportResult(table, "none")

@@ -82,6 +82,8 @@ def mark_done(spark: SparkSession, log_path: str, table: str, partitions: list[s
               run_id: str, table_schema: T.StructType | None = None) -> None:
     schema_json = table_schema.json() if table_schema is not None else None
     rows = [(today(), table, p, max_partition, run_id, "done", now_stamp(), schema_json) for p in partitions]
+    if not fs.exists(spark, log_path):   # a new log gets its seed row in the same write
+        rows.insert(0, SEED_ROW + ("seed", "seed", now_stamp(), None))
     append_rows(spark, log_path, rows)
 
 
