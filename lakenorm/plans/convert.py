@@ -53,19 +53,21 @@ def _options(depth, rows, **kw) -> NormalizeOptions:
 
 def full_import(spark: SparkSession, source_table: str, target_table: str, log_path: str | None = None,
                 table: str | None = None, depth: int | None = None, rows: str = "keep",
-                legacy_format: bool | None = None, **norm_kw) -> ImportResult:
+                legacy_format: bool | None = None, source_schema: T.StructType | None = None,
+                **norm_kw) -> ImportResult:
     """Convert every partition of a JSON table into the Parquet table.
 
     The source is read and normalised before anything is replaced; an empty
     source changes nothing. Target partitions without a source partition are
-    removed at the end.
+    removed at the end. ``source_schema`` (the raw JSON schema, as kept in
+    the log) skips the inference pass over the whole table.
     """
     configure(spark)
     table = table or _table_name(source_table)
     parts = partition_names(spark, source_table)
     if not parts:
         return ImportResult(table, "none")
-    src = read_json_table(spark, source_table)
+    src = read_json_table(spark, source_table, schema=source_schema)
     if not [c for c in src.columns if c != PARTITION_COL]:
         return ImportResult(table, "none")
     opts = _options(depth, rows, **norm_kw)
@@ -79,7 +81,7 @@ def full_import(spark: SparkSession, source_table: str, target_table: str, log_p
         run_id = wl.new_run_id()
         for p in stale:
             wl.remove_partition(spark, log_path, table, p)
-        wl.mark_done(spark, log_path, table, parts, parts[-1], run_id, schema)
+        wl.mark_done(spark, log_path, table, parts, parts[-1], run_id, schema, _data_schema(src.schema))
     return ImportResult(table, "full", parts, schema, stale)
 
 
@@ -117,8 +119,8 @@ def incremental_import(spark: SparkSession, source_table: str, target_table: str
     source_parts = partition_names(spark, source_table)
     if not source_parts:
         return ImportResult(table, "none")
-    log = wl.read_log(spark, log_path)
-    done = sorted(r.partition for r in wl.done_partitions(log, table).collect())
+    status = wl.table_status(spark, log_path, table)
+    done = status.done
     if not done or not fs.exists(spark, target_table):
         return full_import(spark, source_table, target_table, log_path, table, depth, rows,
                            legacy_format, **norm_kw)
@@ -131,7 +133,7 @@ def incremental_import(spark: SparkSession, source_table: str, target_table: str
         return ImportResult(table, "none")
 
     dropped: list[str] = []
-    if wl.was_interrupted(spark, log_path, table):
+    if status.interrupted:
         health = validate_partitions(spark, target_table).filter(F.col("status") != "ok").collect()
         for r in health:
             name = f"{PARTITION_COL}={r[PARTITION_COL]}"
@@ -144,18 +146,21 @@ def incremental_import(spark: SparkSession, source_table: str, target_table: str
     todo = sorted(p for p in source_parts if p not in set(done) or p == newest_done)
 
     opts = _options(depth, rows, **norm_kw)
-    new = normalize(read_json_table(spark, source_table, partitions=todo), options=opts)
-    old_schema = table_schema(spark, target_table, log_path, table)
+    raw = read_json_table(spark, source_table, partitions=todo)   # inference over ``todo`` only
+    old_source = status.source_schema
+    source_schema = unify_schemas(old_source, _data_schema(raw.schema)) if old_source else None
+    new = normalize(raw, options=opts)
+    old_schema = status.table_schema or _data_schema(read_table(spark, target_table).schema)
     unified = normalized_schema(unify_schemas(old_schema, _data_schema(new.schema)), opts)
     if needs_recalc(old_schema, unified, numeric_widening=numeric_widening, strict=strict):
         res = full_import(spark, source_table, target_table, log_path, table, depth, rows,
-                          legacy_format, **norm_kw)
+                          legacy_format, source_schema=source_schema, **norm_kw)
         res.mode = "rebuild"
         return res
 
     target = T.StructType(list(unified.fields) + [T.StructField(PARTITION_COL, T.StringType())])
     write_partitions(align(new, target), target_table, legacy_format=legacy_format)
-    wl.mark_done(spark, log_path, table, todo, todo[-1], wl.new_run_id(), unified)
+    wl.mark_done(spark, log_path, table, todo, todo[-1], wl.new_run_id(), unified, source_schema)
     return ImportResult(table, "incremental", todo, unified, dropped)
 
 

@@ -303,7 +303,8 @@ def _events_log(spark, sf, where=None, run_by_day=False, max_partition_col=None)
                      (max_partition_col if max_partition_col is not None else part).alias("maxPartition"),
                      run.alias("run_id"), F.lit("done").alias("status"),
                      F.lit(wl.now_stamp()).alias("written_at"),
-                     F.lit(None).cast("string").alias("table_schema")).distinct()
+                     F.lit(None).cast("string").alias("table_schema"),
+                     F.lit(None).cast("string").alias("source_schema")).distinct()
     path = scratch_path(spark, "worklog")
     wl.init_log(spark, path)
     wl.append_frame(path, rows)

@@ -6,7 +6,9 @@ The log is a small Parquet table. The reference's four columns come first
 Nothing is ever rewritten: removing a table or a partition appends
 ``removed`` rows, so an aborted run cannot lose the log. The current state of
 a key is its newest row (``max_by`` over ``written_at``). ``table_schema``
-holds the target table's schema as JSON on ``done`` rows.
+holds the target table's schema and ``source_schema`` the union of the
+inferred JSON schemas of all converted partitions (so that a rebuild reads old
+partitions with an explicit schema instead of inferring over them again).
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from __future__ import annotations
 import datetime as _dt
 import itertools
 import json
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +34,7 @@ LOG_SCHEMA = T.StructType([
     T.StructField("status", T.StringType()),
     T.StructField("written_at", T.StringType()),
     T.StructField("table_schema", T.StringType()),
+    T.StructField("source_schema", T.StringType()),
 ])
 # Seed row of a new log (fixed values): date, table, partition, maxPartition.
 SEED_ROW = ("0001-01-01", "example", "00010101", "00010101")
@@ -56,7 +60,7 @@ def init_log(spark: SparkSession, log_path: str) -> None:
     """Create the log with its seed row if it does not exist."""
     if fs.exists(spark, log_path):
         return
-    row = SEED_ROW + ("seed", "seed", now_stamp(), None)
+    row = SEED_ROW + ("seed", "seed", now_stamp(), None, None)
     spark.createDataFrame([row], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(log_path)
 
 
@@ -79,11 +83,14 @@ def append_frame(log_path: str, df: DataFrame) -> None:
 
 
 def mark_done(spark: SparkSession, log_path: str, table: str, partitions: list[str], max_partition: str,
-              run_id: str, table_schema: T.StructType | None = None) -> None:
+              run_id: str, table_schema: T.StructType | None = None,
+              source_schema: T.StructType | None = None) -> None:
     schema_json = table_schema.json() if table_schema is not None else None
-    rows = [(today(), table, p, max_partition, run_id, "done", now_stamp(), schema_json) for p in partitions]
+    source_json = source_schema.json() if source_schema is not None else None
+    rows = [(today(), table, p, max_partition, run_id, "done", now_stamp(), schema_json, source_json)
+            for p in partitions]
     if not fs.exists(spark, log_path):   # a new log gets its seed row in the same write
-        rows.insert(0, SEED_ROW + ("seed", "seed", now_stamp(), None))
+        rows.insert(0, SEED_ROW + ("seed", "seed", now_stamp(), None, None))
     append_rows(spark, log_path, rows)
 
 
@@ -108,10 +115,11 @@ def max_done_partition(log: DataFrame, table: str) -> DataFrame:
     return done_partitions(log, table).agg(F.max("partition").alias("max_done_partition"))
 
 
-def stored_schema(log: DataFrame, table: str) -> T.StructType | None:
-    """Schema of the target table as recorded by its newest ``done`` row."""
-    rows = (log.filter((F.col("table") == table) & (F.col("status") == "done") & F.col("table_schema").isNotNull())
-            .agg(F.max_by("table_schema", "written_at").alias("s")).collect())
+def stored_schema(log: DataFrame, table: str, column: str = "table_schema") -> T.StructType | None:
+    """Schema recorded by the newest ``done`` row of a table (``table_schema``
+    or ``source_schema``)."""
+    rows = (log.filter((F.col("table") == table) & (F.col("status") == "done") & F.col(column).isNotNull())
+            .agg(F.max_by(column, "written_at").alias("s")).collect())
     if not rows or rows[0]["s"] is None:
         return None
     return T.StructType.fromJson(json.loads(rows[0]["s"]))
@@ -119,7 +127,7 @@ def stored_schema(log: DataFrame, table: str) -> T.StructType | None:
 
 def remove_partition(spark: SparkSession, log_path: str, table: str, partition: str) -> None:
     """Forget one converted partition of a table."""
-    append_rows(spark, log_path, [(today(), table, partition, None, "remove", "removed", now_stamp(), None)])
+    append_rows(spark, log_path, [(today(), table, partition, None, "remove", "removed", now_stamp(), None, None)])
 
 
 def remove_table(spark: SparkSession, log_path: str, table: str) -> None:
@@ -131,7 +139,7 @@ def remove_table(spark: SparkSession, log_path: str, table: str) -> None:
     """
     parts = [r.partition for r in done_partitions(read_log(spark, log_path), table).collect()]
     stamp = now_stamp()
-    append_rows(spark, log_path, [(today(), table, p, None, "remove", "removed", stamp, None) for p in parts])
+    append_rows(spark, log_path, [(today(), table, p, None, "remove", "removed", stamp, None, None) for p in parts])
 
 
 def latest_run(log: DataFrame) -> DataFrame:
@@ -169,3 +177,48 @@ def has_new_partitions(log: DataFrame, source_partitions: DataFrame, table: str,
         s = source_partitions.agg(F.max("partition")).collect()[0][0]
         return d != s
     return not source_partitions.join(done, "partition", "left_anti").isEmpty()
+
+
+@dataclass
+class TableStatus:
+    done: list[str]                      # partitions whose newest row is ``done``
+    interrupted: bool                    # newest run did not reach its planned last partition
+    table_schema: T.StructType | None
+    source_schema: T.StructType | None
+
+
+def _schema(text: str | None) -> T.StructType | None:
+    return T.StructType.fromJson(json.loads(text)) if text else None
+
+
+def table_status(spark: SparkSession, log_path: str, table: str) -> TableStatus:
+    """Everything a run needs from the log, in one job over the table's rows.
+
+    Level 1 (per partition): newest status, newest run that finished it and
+    that run's planned maximum, newest recorded schemas. Level 2 (whole
+    table): the done list (one name per day, so it fits the driver), the
+    newest run's last finished partition versus its plan, the newest schemas.
+    """
+    rows = read_log(spark, log_path).filter((F.col("table") == table) & (F.col("status") != "seed"))
+    is_done = F.col("status") == "done"
+    ts_of = lambda c: F.when(is_done & F.col(c).isNotNull(), F.col("written_at"))
+    per_part = rows.groupBy("partition").agg(
+        F.max_by("status", "written_at").alias("status"),
+        F.max(F.when(is_done, F.col("run_id"))).alias("run"),
+        F.max_by("maxPartition", F.when(is_done, F.struct("run_id", "written_at"))).alias("planned"),
+        F.max(ts_of("table_schema")).alias("ts_t"),
+        F.max_by("table_schema", ts_of("table_schema")).alias("table_schema"),
+        F.max(ts_of("source_schema")).alias("ts_s"),
+        F.max_by("source_schema", ts_of("source_schema")).alias("source_schema"),
+    )
+    newest_run = F.struct("run", "partition")
+    summary = per_part.agg(
+        F.sort_array(F.collect_list(F.when(F.col("status") == "done", F.col("partition")))).alias("done"),
+        F.max_by("partition", F.when(F.col("run").isNotNull(), newest_run)).alias("last_finished"),
+        F.max_by("planned", F.when(F.col("run").isNotNull(), F.struct("run", "planned"))).alias("planned"),
+        F.max_by("table_schema", "ts_t").alias("table_schema"),
+        F.max_by("source_schema", "ts_s").alias("source_schema"),
+    ).collect()[0]
+    interrupted = summary["last_finished"] is None or summary["last_finished"] != summary["planned"]
+    return TableStatus(list(summary["done"] or []), interrupted, _schema(summary["table_schema"]),
+                       _schema(summary["source_schema"]))

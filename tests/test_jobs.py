@@ -37,7 +37,7 @@ def test_work_list_w1_to_w3(spark):
 
 def _log(spark, rows):
     path = scratch_path(spark, "test-log")
-    wl.append_rows(spark, path, [(d, "t", p, m, r, "done", wl.now_stamp(), None) for d, p, m, r in rows])
+    wl.append_rows(spark, path, [(d, "t", p, m, r, "done", wl.now_stamp(), None, None) for d, p, m, r in rows])
     return path
 
 
@@ -147,7 +147,7 @@ def test_crash_between_data_and_log_then_rerun(spark, tmp_path):
     write_partitions(normalize(read_json_table(spark, src, ["dt=20240103"])), tgt)
     # an interrupted log run: planned up to day 3, finished day 2 only
     wl.append_rows(spark, log, [(wl.today(), "clicks", "dt=20240102", "dt=20240103", "zz-crashed", "done",
-                                 wl.now_stamp(), None)])
+                                 wl.now_stamp(), None, None)])
     # and a broken file in day 2
     with open(f"{tgt}/dt=20240102/part-broken.parquet", "w") as fh:
         fh.write("broken")
