@@ -144,7 +144,25 @@ def incremental_import(spark: SparkSession, source_table: str, target_table: str
 
     newest_done = max(done) if done else None
     todo = sorted(p for p in source_parts if p not in set(done) or p == newest_done)
-
+    res = import_partitions(spark, source_table, target_table, log_path, table, todo, status, depth=depth,
+                            rows=rows, numeric_widening=numeric_widening, strict=strict,
+                            legacy_format=legacy_format, **norm_kw)
+    res.dropped = dropped
+    return res
+
+
+def import_partitions(spark: SparkSession, source_table: str, target_table: str, log_path: str, table: str,
+                      todo: list[str], status: wl.TableStatus | None = None, depth: int | None = None,
+                      rows: str = "keep", numeric_widening: bool = False, strict: str = "symmetric",
+                      legacy_format: bool | None = None, **norm_kw) -> ImportResult:
+    """Convert exactly the partitions ``todo`` of an already converted table.
+
+    One job: infer and read only ``todo``, normalise, unify with the stored
+    table schema, then either align and overwrite those partitions, or - if
+    the unified schema breaks old partitions - rebuild the whole table
+    (reading old partitions with the stored source schema, no inference).
+    """
+    status = status or wl.table_status(spark, log_path, table)
     opts = _options(depth, rows, **norm_kw)
     raw = read_json_table(spark, source_table, partitions=todo)   # inference over ``todo`` only
     old_source = status.source_schema
@@ -161,7 +179,7 @@ def incremental_import(spark: SparkSession, source_table: str, target_table: str
     target = T.StructType(list(unified.fields) + [T.StructField(PARTITION_COL, T.StringType())])
     write_partitions(align(new, target), target_table, legacy_format=legacy_format)
     wl.mark_done(spark, log_path, table, todo, todo[-1], wl.new_run_id(), unified, source_schema)
-    return ImportResult(table, "incremental", todo, unified, dropped)
+    return ImportResult(table, "incremental", todo, unified)
 
 
 def convert_database(spark: SparkSession, source_root: str, target_root: str, log_path: str,

@@ -29,7 +29,7 @@ from ..sources.partitions import (drop_partition, file_inventory, latest_file_da
                                   max_partition, partition_counts, partition_from_path, partitions_to_recalc,
                                   validate_partitions)
 from . import fixtures as fx
-from .convert import full_import, incremental_import, read_converted
+from .convert import convert_database, full_import, incremental_import, read_converted
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -426,6 +426,31 @@ def q_incremental_import(spark, sf):
     return _flat_events(read_converted(spark, tgt, log, "events"))
 
 
+def q_stream_import(spark, sf):
+    from ..streaming.ingest import stream_import
+    src, tgt, log, ck = (scratch_path(spark, x) for x in ("events-stream", "pq-stream", "log-stream", "ck-stream"))
+    d, even = fx.day(), F.col("event_id") % 2 == 0
+    late = (d == "20240105") & even             # half of day 5 arrives with the second batch
+    fx.stage_messy_events(spark, sf, src, where=(d <= "20240110") & ~late)
+    stream_import(spark, src, tgt, log, ck, table="events")
+    fx.stage_messy_events(spark, sf, src, where=((d > "20240110") & (d <= "20240120")) | late)
+    stream_import(spark, src, tgt, log, ck, table="events")
+    fx.stage_messy_events(spark, sf, src, where=d > "20240120")
+    stream_import(spark, src, tgt, log, ck, table="events")
+    return _flat_events(read_converted(spark, tgt, log, "events"))
+
+
+def q_convert_database(spark, sf):
+    root, target, log = (scratch_path(spark, x) for x in ("db-json", "db-parquet", "db-log"))
+    click = F.col("event_type") == "click"
+    fx.stage_messy_events(spark, sf, f"{root}/clicks", where=click)
+    fx.stage_messy_events(spark, sf, f"{root}/rest", where=~click)
+    convert_database(spark, root, target, log)
+    frames = [read_converted(spark, f"{target}/{t}", log, t).select(F.lit(t).alias("tbl"), "event_id", "dt")
+              for t in ("clicks", "rest")]
+    return union_by_name(frames)
+
+
 def q_file_inventory(spark, sf):
     return file_inventory(spark, fx.stage_messy_events(spark, sf))
 
@@ -488,6 +513,8 @@ QUERIES: dict[str, Query] = {
     "is_flat": q_is_flat,
     "full_import": q_full_import,
     "incremental_import": q_incremental_import,
+    "stream_import": q_stream_import,
+    "convert_database": q_convert_database,
 }
 
 _EVENTS_FLAT = (f"SELECT DISTINCT event_id, user_id, event_type, value, "
@@ -578,6 +605,9 @@ ORACLE: dict[str, str] = {
                     "('root_added',false)) t(\"check\", rebuild)",
     "is_flat": "SELECT * FROM (VALUES ('events',true), ('customer_orders',false)) t(frame, is_flat)",
     "full_import": _EVENTS_FLAT,
+    "stream_import": _EVENTS_FLAT,
+    "convert_database": f"SELECT CASE WHEN event_type = 'click' THEN 'clicks' ELSE 'rest' END AS tbl, event_id, "
+                        f"{D} AS dt FROM events",
     "incremental_import": f"SELECT DISTINCT event_id, user_id, event_type, value, "
                           f"CAST(json_extract(props,'$.k') AS BIGINT) AS k, "
                           f"CASE WHEN {D} > '20240120' THEN event_id % 7 END AS extra, {D} AS dt FROM events",
