@@ -19,6 +19,10 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "labels conversations").split()
 
 
+DUCK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double",
+              "BOOLEAN": "boolean", "FLOAT": "float", "DATE": "date"}
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
@@ -65,14 +69,20 @@ def compare(spark, sf_dir: str, names: list[str] | None = None, verbose: bool =
             try:
                 rel = con.sql(oracle[name])
                 d_cols = rel.columns
+                d_types = [str(t) for t in rel.types]
                 d_rows = rel.fetchall()
             except Exception as e:  # noqa: BLE001
                 results[name] = f"DUCKDB ERROR {e}"[:300]
                 if verbose:
                     print(name, results[name], flush=True)
                 continue
+            s_types = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+            type_diff = {c: (s_types.get(c), t) for c, t in zip(d_cols, d_types)
+                         if DUCK_TYPES.get(t, t.lower()) != s_types.get(c)}
             if sorted(s_cols) != sorted(d_cols):
                 results[name] = f"COLUMNS spark={s_cols} duck={d_cols}"
+            elif type_diff:
+                results[name] = f"TYPES {type_diff}"
             elif len(s_rows) != len(d_rows):
                 results[name] = f"ROWCOUNT spark={len(s_rows)} duck={len(d_rows)}"
             elif _rows(s_cols, s_rows) != _rows(d_cols, d_rows):
