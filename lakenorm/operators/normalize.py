@@ -262,7 +262,11 @@ def normalize(df: DataFrame, depth: int | None = None, *, rows: str = "keep", pr
     if opts.rows == "fuse":
         from .fuse import fuse_arrays
         # arrays that hold structs in the input (unwrapped ones included)
-        arrays = sorted({f.name.lower() for f in df.schema.fields if f.name not in keep and is_struct_array(f.dataType)})
+        # arrays that hold structs in the input (unwrapped ones included) and
+        # are still arrays after merging (a collision with a scalar gives string)
+        from_structs = {f.name.lower() for f in df.schema.fields if f.name not in keep and is_struct_array(f.dataType)}
+        arrays = sorted(f.name for f in out.schema.fields
+                        if f.name in from_structs and isinstance(f.dataType, T.ArrayType))
         return fuse_arrays(out, arrays=arrays)
     return distinct_rows(out)
 
