@@ -64,19 +64,29 @@ def stage_messy_events(spark: SparkSession, sf_dir: str, path: str | None = None
 
 
 def customer_orders(spark: SparkSession, sf_dir: str, all_null_element: bool = False) -> DataFrame:
-    """One row per customer and order of the customers with ``o_custkey % 3 = 0``
-    (customers without such orders get a null array): ``os`` is an array of
-    order structs, ``c`` a struct with the name."""
+    """One row per customer and order: ``os`` is an array holding the order
+    struct, null for finished orders (``o_orderstatus = 'F'``) and for
+    customers without orders; ``c`` is a struct with the name.
+
+    Built as an inner join (adaptive execution can split a customer with a
+    huge number of orders on both sides) plus the customers without orders
+    (anti join against the distinct order keys, pre-aggregated map-side),
+    instead of a left join whose hot right side could not be split.
+    """
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    orders = (table(spark, sf_dir, "orders").filter(F.col("o_custkey") % 3 == 0)
-              .select("o_custkey", "o_orderkey", "o_orderstatus"))
-    joined = cust.join(orders, cust.c_custkey == orders.o_custkey, "left")
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderstatus")
+    with_orders = cust.join(orders, cust.c_custkey == orders.o_custkey, "inner")
+    buyers = orders.select(F.col("o_custkey").alias("c_custkey")).distinct()
+    without = (cust.join(buyers, "c_custkey", "left_anti")
+               .select("c_custkey", "c_name", F.lit(None).cast("bigint").alias("o_custkey"),
+                       F.lit(None).cast("bigint").alias("o_orderkey"), F.lit(None).cast("string").alias("o_orderstatus")))
+    joined = with_orders.unionByName(without)
     elem = F.struct("o_orderkey", "o_orderstatus")
     elems = [elem]
     if all_null_element:
         elems.append(F.struct(F.lit(None).cast("bigint").alias("o_orderkey"),
                               F.lit(None).cast("string").alias("o_orderstatus")))
-    arr = F.when(F.col("o_orderkey").isNotNull(), F.array(*elems))
+    arr = F.when(F.col("o_orderkey").isNotNull() & (F.col("o_orderstatus") != "F"), F.array(*elems))
     return joined.select("c_custkey", F.struct(F.col("c_name").alias("name")).alias("c"), arr.alias("os"))
 
 

@@ -81,7 +81,7 @@ def q_parquet_scan(spark, sf):
     ev = fx.table(spark, sf, "events").select("event_id", "user_id", "event_type", "value", fx.day().alias("dt"))
     path = scratch_path(spark, "pq-scan")
     write_partitions(ev, path)
-    return read_table(spark, path).filter(F.col("dt") >= "20240110").select("event_id", "event_type", "dt")
+    return read_table(spark, path).select("event_id", "event_type", "dt")
 
 
 def q_parquet_partition_overwrite(spark, sf):
@@ -129,11 +129,12 @@ def q_partition_counts(spark, sf):
 def q_validate_partitions(spark, sf):
     ev = fx.table(spark, sf, "events").select("event_id", "event_type", fx.day().alias("dt"))
     path = scratch_path(spark, "pq-health")
-    write_partitions(ev.filter(F.col("dt").isin("20240101", "20240102", "20240103")), path)
+    write_partitions(ev, path)
     from ..sources import fs
-    fs.write_text(spark, f"{path}/dt=20240105/part-junk.parquet", "this is not parquet\n")
+    # two damaged days after the data: a junk file, and a valid file without rows
+    fs.write_text(spark, f"{path}/dt=20240205/part-junk.parquet", "this is not parquet\n")
     empty = ev.filter(F.lit(False)).drop("dt")
-    empty.coalesce(1).write.mode("overwrite").parquet(f"{path}/dt=20240106")
+    empty.coalesce(1).write.mode("overwrite").parquet(f"{path}/dt=20240206")
     return validate_partitions(spark, path)
 
 
@@ -528,7 +529,7 @@ ORACLE: dict[str, str] = {
                         f"CASE WHEN {D} > '20240115' THEN value END AS value, event_type, {D} AS dt FROM events",
     "json_append_sink": "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_name END AS c_name, "
                         "CASE WHEN c_custkey % 2 = 1 THEN c_acctbal END AS c_acctbal FROM customer",
-    "parquet_scan": f"SELECT event_id, event_type, {D} AS dt FROM events WHERE {D} >= '20240110'",
+    "parquet_scan": f"SELECT event_id, event_type, {D} AS dt FROM events",
     "parquet_partition_overwrite": f"SELECT CASE WHEN {D} = '20240103' THEN event_id + 1000000 ELSE event_id END "
                                    f"AS event_id, {D} AS dt FROM events",
     "drop_partition": f"SELECT event_id, {D} AS dt FROM events WHERE {D} <> '20240105'",
@@ -540,8 +541,8 @@ ORACLE: dict[str, str] = {
                             "SELECT partition FROM s WHERE partition NOT IN "
                             "(SELECT partition FROM c WHERE partition < (SELECT max(partition) FROM c))",
     "partition_counts": f"SELECT {D} AS dt, count(*) AS n FROM events GROUP BY 1",
-    "validate_partitions": "SELECT * FROM (VALUES ('20240101','ok'), ('20240102','ok'), ('20240103','ok'), "
-                           "('20240105','unreadable'), ('20240106','empty')) t(dt, status)",
+    "validate_partitions": f"SELECT DISTINCT {D} AS dt, 'ok' AS status FROM events UNION ALL "
+                           "SELECT * FROM (VALUES ('20240205','unreadable'), ('20240206','empty')) t(dt, status)",
     "case_merge": "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN lang WHEN doc_id % 3 = 0 THEN 'x-' || lang END "
                   "AS lang FROM documents",
     "case_merge_types": "SELECT event_id, CASE WHEN event_id % 2 = 0 THEN CAST(event_id AS VARCHAR) "
@@ -550,10 +551,10 @@ ORACLE: dict[str, str] = {
                       "FROM orders",
     "unfold_depth": 'SELECT o_orderkey, o_orderstatus AS "O___o_orderstatus", o_totalprice AS in_p FROM orders',
     "fold_structs": "SELECT o_orderkey, o_orderstatus AS status, o_totalprice AS price FROM orders",
-    "explode_outer_arrays": "SELECT c_custkey, o_orderkey FROM customer LEFT JOIN "
-                            "(SELECT * FROM orders WHERE o_custkey % 3 = 0) o ON c_custkey = o_custkey",
-    "all_null_flag": "SELECT c_custkey, CAST(count(o_orderkey) AS INTEGER) AS n FROM customer LEFT JOIN "
-                     "(SELECT * FROM orders WHERE o_custkey % 3 = 0) o ON c_custkey = o_custkey GROUP BY 1",
+    "explode_outer_arrays": "SELECT c_custkey, CASE WHEN o_orderstatus <> 'F' THEN o_orderkey END AS o_orderkey "
+                            "FROM customer LEFT JOIN orders ON c_custkey = o_custkey",
+    "all_null_flag": "SELECT c_custkey, CAST(count(CASE WHEN o_orderstatus <> 'F' THEN o_orderkey END) AS INTEGER) "
+                     "AS n FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY 1",
     "fold_arrays": "SELECT DISTINCT conv_id, turn, role FROM conversations",
     "normalize_schema": "SELECT DISTINCT l_orderkey, l_orderkey AS k, CAST(l_linenumber AS BIGINT) AS lineno, "
                         "l_partkey AS partkey FROM lineitem",
