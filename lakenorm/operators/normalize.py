@@ -41,6 +41,7 @@ class NormalizeOptions:
     canonical_arrays: bool = False    # sort arrays of structs, so order does not hide duplicates
     dedup_atomic_arrays: bool = False  # array_distinct on arrays of atomics too
     rows: str = "keep"                # "keep": distinct rows; "fuse": reference fold (see fuse.py)
+    dedup_keys: tuple[str, ...] | None = None  # keep one row per key (smallest by value) instead of whole-row distinct
 
     def opened(self, level: int) -> bool:
         return self.depth is None or level <= self.depth
@@ -239,21 +240,40 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     return df.groupBy(*names).agg(F.count(F.lit(1)).alias(tmp)).select(*names)
 
 
+def keep_one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key: the smallest row in value order (deterministic).
+
+    ``min`` over a struct of the other columns is a partial aggregate, so a
+    hot key is reduced in every map task before the exchange, and only the
+    key columns are hashed. Map columns are not orderable and cannot be used.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.select(*[F.col(f"`{k}`") for k in keys]).distinct()
+    tmp = "__lakenorm_row"
+    best = F.min(F.struct(*[F.col(f"`{c}`") for c in rest])).alias(tmp)
+    out = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(best)
+    return out.select(*[F.col(f"`{c}`") if c in keys else F.col(tmp).getField(c).alias(c) for c in df.columns])
+
+
 def normalize(df: DataFrame, depth: int | None = None, *, rows: str = "keep", precedence: str = "first",
               null_struct: str = "keep", unwrap_single_field: bool = False, canonical_arrays: bool = False,
-              dedup_atomic_arrays: bool = False, partition_cols: tuple[str, ...] = ("dt",),
+              dedup_atomic_arrays: bool = False, dedup_keys: list[str] | None = None,
+              partition_cols: tuple[str, ...] = ("dt",),
               options: NormalizeOptions | None = None) -> DataFrame:
     """Normalise a (nested, mixed-case, duplicated) frame; see module doc.
 
     ``rows="keep"`` (default) keeps rows that differ anywhere, arrays included;
     ``rows="fuse"`` folds rows that are equal outside their arrays of structs
-    into one row with united arrays. ``partition_cols`` present in the frame
+    into one row with united arrays. ``dedup_keys`` keeps one row per key
+    instead of comparing whole rows. ``partition_cols`` present in the frame
     are passed through (and are part of the duplicate key).
     """
     opts = options or NormalizeOptions(depth=depth, precedence=precedence, null_struct=null_struct,
                                        unwrap_single_field=unwrap_single_field,
                                        canonical_arrays=canonical_arrays,
-                                       dedup_atomic_arrays=dedup_atomic_arrays, rows=rows)
+                                       dedup_atomic_arrays=dedup_atomic_arrays, rows=rows,
+                                       dedup_keys=tuple(dedup_keys) if dedup_keys else None)
     if not df.columns:
         return df
     keep = tuple(c for c in partition_cols if c in df.columns)
@@ -268,6 +288,9 @@ def normalize(df: DataFrame, depth: int | None = None, *, rows: str = "keep", pr
         arrays = sorted(f.name for f in out.schema.fields
                         if f.name in from_structs and isinstance(f.dataType, T.ArrayType))
         return fuse_arrays(out, arrays=arrays)
+    if opts.dedup_keys:
+        # names are matched after lowercasing; the partition column is always part of the key
+        return keep_one_per_key(out, [k.lower() for k in opts.dedup_keys] + [k for k in keep])
     return distinct_rows(out)
 
 

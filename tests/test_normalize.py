@@ -221,3 +221,12 @@ def test_fuse_two_arrays_sequential(jsonl):
                 {"k": 1, "a": [{"v": 3}], "b": [{"w": 2}]}])
     out = normalize(df, rows="fuse").select("k", F.size("a").alias("na"), F.size("b").alias("nb")).collect()
     assert sorted(out) == [Row(k=1, na=1, nb=1), Row(k=1, na=2, nb=1)]
+
+
+def test_dedup_keys_keeps_smallest_row_per_key_and_day(jsonl, spark):
+    from lakenorm.sources.json_source import read_json_table
+    path = jsonl(None, partitioned={"20240101": [{"Id": 1, "v": "b"}, {"id": 1, "v": "a"}, {"id": 2, "v": "c"}],
+                                    "20240102": [{"id": 1, "v": "z"}]})
+    out = normalize(read_json_table(spark, path), dedup_keys=["ID"])
+    assert sorted(out.collect(), key=str) == sorted([Row(id=1, v="a", dt="20240101"), Row(id=2, v="c", dt="20240101"),
+                                                     Row(id=1, v="z", dt="20240102")], key=str)
