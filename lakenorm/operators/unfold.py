@@ -6,9 +6,9 @@ struct column ``a_exploded`` with ``explode_outer`` (a null or empty array
 keeps its row). ``unfold`` repeats both up to ``depth`` times or until the
 frame is flat; each pass is one projection or one generator, no shuffle.
 
-Only one array of structs is exploded per row: exploding two siblings would
-emit every pair of their elements, so further sibling arrays stay arrays
-(``normalize`` never needs to explode at all).
+Only a lone array of structs is exploded: exploding two siblings would emit
+every pair of their elements, so sibling arrays stay arrays (``normalize``
+never needs to explode at all).
 """
 
 from __future__ import annotations
@@ -51,14 +51,18 @@ def explode_arrays(df: DataFrame, column: str | None = None) -> DataFrame:
 
 
 def unfold(df: DataFrame, depth: int | None = None, explode: bool = True) -> DataFrame:
-    """Flatten structs (and one array of structs per row) level by level."""
+    """Flatten structs, and arrays of structs, level by level.
+
+    A pass explodes the root array of structs when it is the only one (an
+    array nested in an exploded element becomes such a root array in the
+    next pass); sibling arrays are left as arrays, never crossed.
+    """
     passes = 0
-    exploded_once = False
     while not is_flat(df.schema) and (depth is None or passes < depth):
         before = df.schema
-        if explode and not exploded_once and any(is_struct_array(f.dataType) for f in df.schema.fields):
-            df = explode_arrays(df)
-            exploded_once = True
+        arrays = [f.name for f in df.schema.fields if is_struct_array(f.dataType)]
+        if explode and len(arrays) == 1:
+            df = explode_arrays(df, arrays[0])
         df = unfold_structs(df)
         passes += 1
         if df.schema == before:
