@@ -23,6 +23,7 @@ from lakenorm.plans import fixtures as fx  # noqa: E402
 from lakenorm.plans.convert import full_import, incremental_import  # noqa: E402
 from lakenorm.session import build_session, scratch_path  # noqa: E402
 from lakenorm.sources.json_source import read_json_table  # noqa: E402
+from lakenorm.sources.partitions import validate_partitions  # noqa: E402
 
 
 def _timed(fn, runs: int) -> float:
@@ -53,6 +54,13 @@ def main() -> None:
     events_src = fx.stage_messy_events(spark, sf_dir)
     li_docs = fx.stage_json(fx.lineitem_documents(spark, sf_dir), "bench-li-docs")
     conv_docs = fx.stage_json(fx.conversation_documents(spark, sf_dir), "bench-conv-docs")
+    li = fx.table(spark, sf_dir, "lineitem")
+    fuse_src = fx.stage_json(li.select("l_returnflag", "l_linestatus",
+                                       F.array(F.struct(F.col("l_linenumber").alias("N"))).alias("A"),
+                                       F.array(F.struct((F.col("l_quantity").cast("int") % 3).alias("Q"))).alias("B")),
+                             "bench-fuse")
+    health_tgt = scratch_path(spark, "bench-health")
+    full_import(spark, events_src, health_tgt)
     n_events = fx.table(spark, sf_dir, "events").count()
 
     def run_full():
@@ -76,12 +84,20 @@ def main() -> None:
     def run_fold_arrays():
         _noop(normalize(spark.read.json(conv_docs)).select("conv_id", F.inline_outer("turns")))
 
+    def run_fuse():
+        _noop(normalize(spark.read.json(fuse_src), rows="fuse"))
+
+    def run_health():
+        validate_partitions(spark, health_tgt).collect()
+
     queries = {}
     queries["full_import"] = _timed(run_full, runs)
     run_incremental()
     queries["incremental_import"] = statistics.median(run_incremental() for _ in range(runs))
     queries["normalize_schema"] = _timed(run_normalize, runs)
     queries["fold_arrays"] = _timed(run_fold_arrays, runs)
+    queries["fuse_arrays_two"] = _timed(run_fuse, runs)
+    queries["validate_partitions"] = _timed(run_health, runs)
 
     plan_df = normalize(read_json_table(spark, events_src))
     shuffles = _exchanges(normalize(spark.read.json(li_docs)))
