@@ -88,7 +88,7 @@ def full_import(spark: SparkSession, source_table: str, target_table: str, log_p
 def table_schema(spark: SparkSession, target_table: str, log_path: str | None, table: str) -> T.StructType:
     """Stored schema of a converted table (log), else the Parquet footer's."""
     if log_path:
-        s = wl.stored_schema(wl.read_log(spark, log_path), table)
+        s = wl.stored_schema(wl.read_log(spark, log_path, table), table)
         if s is not None:
             return s
     return _data_schema(read_table(spark, target_table).schema)

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.schema import is_flat, needs_recalc, schema_rows, unify_schemas
-from ..operators.align import align, null_fill, set_comment, tag_drop_rename, union_by_name, witness_row
+from ..operators.align import (align, comments, null_fill, set_comment, tag_drop_rename, union_by_name,
+                               witness_row)
 from ..operators.normalize import case_merge, distinct_rows, normalize
 from ..operators.schema_diff import nested_same, root_diff
 from ..operators.unfold import explode_arrays, fold_structs, unfold, unfold_structs
@@ -269,8 +270,14 @@ def q_witness_row(spark, sf):
 def q_column_comment(spark, sf):
     ev = fx.table(spark, sf, "events").select("event_id", "event_type")
     ev = set_comment(set_comment(ev, "event_id", "1"), "event_id", "2", append=True)
-    comment = ev.schema["event_id"].metadata.get("comment")
-    return ev.select("event_id", F.lit(comment).alias("comment"))
+    ev = set_comment(set_comment(ev, "event_type", "x"), "event_type", None)
+    # comments travel with the Parquet schema: read them back from the written table
+    path = scratch_path(spark, "pq-comment")
+    ev.write.parquet(path)
+    back = spark.read.parquet(path)
+    found = comments(back)
+    return back.select("event_id", F.lit(found.get("event_id")).cast("string").alias("comment"),
+                       F.lit(found.get("event_type")).cast("string").alias("type_comment"))
 
 
 # ------------------------------------------------------------------ filters
@@ -577,6 +584,7 @@ ORACLE: dict[str, str] = {
                  "AS value, CASE WHEN event_id % 3 = 0 THEN event_type ELSE '___NOVALUE___' END AS event_type "
                  "FROM events",
     "tag_drop_rename": "SELECT event_id, user_id, event_type AS type, 'json' AS source FROM events",
+    "column_comment": "SELECT event_id, '1,2' AS comment, CAST(NULL AS VARCHAR) AS type_comment FROM events",
     "filter_eq": "SELECT event_id, user_id FROM events WHERE event_type = 'view'",
     "filter_not": "SELECT event_id FROM events WHERE NOT (event_type = 'click')",
     "filter_contains": "SELECT p_partkey FROM part WHERE contains(p_name, 'ring')",

@@ -33,6 +33,25 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(out)
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Full paths of the data files directly below ``path`` (hidden ``_``/``.`` skipped)."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isFile() and not name.startswith(("_", ".")):
+            out.append(st.getPath().toString())
+    return sorted(out)
+
+
+def delete_file(spark: SparkSession, path: str) -> bool:
+    """Delete one file (not a directory)."""
+    fs, p = _fs_path(spark, path)
+    return bool(fs.delete(p, False))
+
+
 def delete_dir(spark: SparkSession, path: str) -> bool:
     """Delete exactly ``path`` (recursively); a sibling sharing a name prefix
     (``user`` vs ``users``) is never touched."""

@@ -9,6 +9,14 @@ a key is its newest row (``max_by`` over ``written_at``). ``table_schema``
 holds the target table's schema and ``source_schema`` the union of the
 inferred JSON schemas of all converted partitions (so that a rebuild reads old
 partitions with an explicit schema instead of inferring over them again).
+
+Layout: the log is partitioned by ``table`` (``<log>/table=<name>/``), so the
+status of one table lists and reads only that table's folder, however many
+tables a database holds. Every append adds a file; once a table's folder
+holds ``COMPACT_AT`` files it is compacted: one copy of its rows is written,
+then exactly the old files are deleted. Every reader takes the newest row per
+key or a maximum, so a crash between the two steps (rows present twice) does
+not change any answer, and the next compaction removes the copies.
 """
 
 from __future__ import annotations
@@ -16,6 +24,7 @@ from __future__ import annotations
 import datetime as _dt
 import itertools
 import json
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +47,12 @@ LOG_SCHEMA = T.StructType([
 ])
 # Seed row of a new log (fixed values): date, table, partition, maxPartition.
 SEED_ROW = ("0001-01-01", "example", "00010101", "00010101")
+LOG_PARTITION = "table"
+# A table's log folder is compacted once it holds this many files.
+COMPACT_AT = 64
+# Table names that appear unescaped in a partition folder name; other names
+# are found through a partition filter over the whole log instead.
+_PLAIN_NAME = re.compile(r"[A-Za-z0-9_][A-Za-z0-9_.\-]*")
 
 _counter = itertools.count()
 
@@ -56,30 +71,79 @@ def today() -> str:
     return _dt.date.today().strftime("%Y-%m-%d")
 
 
+def _write(df: DataFrame, log_path: str) -> None:
+    df.write.mode("append").partitionBy(LOG_PARTITION).parquet(log_path)
+
+
+def _table_dir(log_path: str, table: str) -> str | None:
+    """Folder of one table's log rows, when its name is written unescaped."""
+    if not _PLAIN_NAME.fullmatch(table):
+        return None
+    return f"{log_path.rstrip('/')}/{LOG_PARTITION}={table}"
+
+
 def init_log(spark: SparkSession, log_path: str) -> None:
     """Create the log with its seed row if it does not exist."""
     if fs.exists(spark, log_path):
         return
     row = SEED_ROW + ("seed", "seed", now_stamp(), None, None)
-    spark.createDataFrame([row], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(log_path)
+    _write(spark.createDataFrame([row], LOG_SCHEMA).coalesce(1), log_path)
+
 
+def _read(spark: SparkSession, log_path: str, paths: list[str]) -> DataFrame:
+    r = spark.read.schema(LOG_SCHEMA).option("basePath", log_path)
+    return r.parquet(*paths).select(*LOG_SCHEMA.fieldNames())
 
-def read_log(spark: SparkSession, log_path: str) -> DataFrame:
+
+def read_log(spark: SparkSession, log_path: str, table: str | None = None) -> DataFrame:
+    """The log, or the rows of one table (only that table's folder is listed)."""
     configure(spark)
+    empty = spark.createDataFrame([], LOG_SCHEMA)
     if not fs.exists(spark, log_path):
-        return spark.createDataFrame([], LOG_SCHEMA)
-    return spark.read.schema(LOG_SCHEMA).parquet(log_path)
+        return empty
+    if table is None:
+        return _read(spark, log_path, [log_path])
+    folder = _table_dir(log_path, table)
+    if folder is None:
+        return _read(spark, log_path, [log_path]).filter(F.col(LOG_PARTITION) == table)
+    return _read(spark, log_path, [folder]) if fs.exists(spark, folder) else empty
 
 
 def append_rows(spark: SparkSession, log_path: str, rows: list[tuple]) -> None:
-    """Append log rows given as tuples in ``LOG_SCHEMA`` order."""
-    if rows:
-        spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(log_path)
+    """Append log rows given as tuples in ``LOG_SCHEMA`` order (one file per
+    table), then compact the folders that have grown large."""
+    if not rows:
+        return
+    _write(spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1), log_path)
+    for table in sorted({r[1] for r in rows}):
+        compact_log(spark, log_path, table)
 
 
 def append_frame(log_path: str, df: DataFrame) -> None:
-    """Append rows computed by Spark (already in ``LOG_SCHEMA``)."""
-    df.select(*LOG_SCHEMA.fieldNames()).coalesce(1).write.mode("append").parquet(log_path)
+    """Append rows computed by Spark (already in ``LOG_SCHEMA``): one file per
+    table, without funnelling the upstream work into one task."""
+    _write(df.select(*LOG_SCHEMA.fieldNames()).repartition(LOG_PARTITION), log_path)
+
+
+def compact_log(spark: SparkSession, log_path: str, table: str, min_files: int = COMPACT_AT) -> int:
+    """Rewrite one table's log folder as a single file once it holds
+    ``min_files`` files; returns the number of files replaced (0: none).
+
+    The copy is written first and only the files read for it are deleted
+    afterwards, so rows are never lost; see the module doc for a crash in
+    between.
+    """
+    folder = _table_dir(log_path, table)
+    if folder is None or not fs.exists(spark, folder):
+        return 0
+    files = fs.list_files(spark, folder)
+    if len(files) < min_files:
+        return 0
+    rows = _read(spark, log_path, files).distinct()
+    _write(rows.coalesce(1), log_path)
+    for f in files:
+        fs.delete_file(spark, f)
+    return len(files)
 
 
 def mark_done(spark: SparkSession, log_path: str, table: str, partitions: list[str], max_partition: str,
@@ -137,7 +201,7 @@ def remove_table(spark: SparkSession, log_path: str, table: str) -> None:
     they are collected before the append so that the job never reads files it
     is writing.
     """
-    parts = [r.partition for r in done_partitions(read_log(spark, log_path), table).collect()]
+    parts = [r.partition for r in done_partitions(read_log(spark, log_path, table), table).collect()]
     stamp = now_stamp()
     append_rows(spark, log_path, [(today(), table, p, None, "remove", "removed", stamp, None, None) for p in parts])
 
@@ -146,7 +210,8 @@ def latest_run(log: DataFrame) -> DataFrame:
     """``done`` rows of the newest run of every table (J3: join with own max)."""
     done = log.filter(F.col("status") == "done")
     newest = done.groupBy("table").agg(F.max("run_id").alias("run_id"))
-    return done.join(newest, ["table", "run_id"], "inner")
+    # distinct: rows present twice after an interrupted compaction count once
+    return done.join(newest, ["table", "run_id"], "inner").distinct()
 
 
 def run_summary(log: DataFrame) -> DataFrame:
@@ -160,7 +225,7 @@ def run_summary(log: DataFrame) -> DataFrame:
 def was_interrupted(spark: SparkSession, log_path: str, table: str) -> bool:
     """True when the newest run of ``table`` did not reach its planned last
     partition; no rows at all count as interrupted (R28)."""
-    rows = run_summary(read_log(spark, log_path)).filter(F.col("table") == table).collect()
+    rows = run_summary(read_log(spark, log_path, table)).collect()
     return not rows or bool(rows[0]["interrupted"])
 
 
@@ -199,7 +264,7 @@ def table_status(spark: SparkSession, log_path: str, table: str) -> TableStatus:
     table): the done list (one name per day, so it fits the driver), the
     newest run's last finished partition versus its plan, the newest schemas.
     """
-    rows = read_log(spark, log_path).filter((F.col("table") == table) & (F.col("status") != "seed"))
+    rows = read_log(spark, log_path, table).filter(F.col("status") != "seed")
     is_done = F.col("status") == "done"
     ts_of = lambda c: F.when(is_done & F.col(c).isNotNull(), F.col("written_at"))
     per_part = rows.groupBy("partition").agg(

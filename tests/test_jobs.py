@@ -68,6 +68,39 @@ def test_remove_is_append_only(spark):
     assert wl.read_log(spark, path).count() == 4
 
 
+def test_log_is_partitioned_by_table_and_compacts(spark):
+    path = _log(spark, [("d", "dt=1", "dt=3", "r1"), ("d", "dt=2", "dt=3", "r1")])
+    wl.append_rows(spark, path, [("d", "u", "dt=9", "dt=9", "r1", "done", wl.now_stamp(), None, None)])
+    for p in ("dt=2", "dt=3"):
+        wl.mark_done(spark, path, "t", [p], "dt=3", "r2")
+    assert wl.fs.list_dirs(spark, path) == ["table=t", "table=u"]
+    # one table's rows come from its own folder only
+    assert wl.read_log(spark, path, "u").select("partition").collect()[0][0] == "dt=9"
+
+    def answers():
+        log = wl.read_log(spark, path)
+        return (sorted(tuple(r) for r in wl.done_partitions(log).collect()),
+                sorted(tuple(r) for r in wl.latest_run(log).select("table", "partition").collect()),
+                wl.was_interrupted(spark, path, "t"), wl.table_status(spark, path, "t").done)
+
+    before = answers()
+    n_rows = wl.read_log(spark, path, "t").count()
+    folder = f"{path}/table=t"
+    files = wl.fs.list_files(spark, folder)
+    assert len(files) == 3
+    assert wl.compact_log(spark, path, "t", min_files=4) == 0
+    assert wl.compact_log(spark, path, "t", min_files=3) == 3
+    assert len(wl.fs.list_files(spark, folder)) == 1
+    assert wl.read_log(spark, path, "t").count() == n_rows
+    assert answers() == before
+    # a crash between writing the copy and deleting the old files leaves every row twice
+    wl._write(wl.read_log(spark, path, "t").coalesce(1), path)
+    assert wl.read_log(spark, path, "t").count() == 2 * n_rows
+    assert answers() == before
+    assert wl.compact_log(spark, path, "t", min_files=2) == 2
+    assert wl.read_log(spark, path, "t").count() == n_rows
+
+
 def test_health_check(spark, tmp_path):
     path = str(tmp_path / "tbl")
     df = spark.range(30).select(F.col("id"), F.concat(F.lit("2024010"), (F.col("id") % 3 + 1).cast("string")).alias("dt"))
