@@ -148,7 +148,22 @@ def leaf_paths(schema: T.StructType) -> dict[tuple[str, ...], T.DataType]:
 
 
 def _widening_ok(old: T.DataType, new: T.DataType) -> bool:
-    return _is_numeric(old) and _is_numeric(new) and unify_types(old, new) == new
+    """Numeric widenings that Spark's Parquet readers (vectorized and row
+    based) apply to files written with the old type, so old partitions stay
+    readable under the new schema without a rebuild [probed on 4.1.2]:
+    byte/short/int to a wider integral type or to double, float to double,
+    and decimal to a decimal with at least as many integer and fraction
+    digits. ``bigint -> double`` is not among them (the reader refuses
+    INT64 as DOUBLE), nor is an integral type to decimal."""
+    if isinstance(old, (T.ByteType, T.ShortType, T.IntegerType)):
+        if isinstance(new, T.DoubleType):
+            return True
+        return type(new) in _INTEGRAL_RANK and _INTEGRAL_RANK[type(new)] > _INTEGRAL_RANK[type(old)]
+    if isinstance(old, T.FloatType):
+        return isinstance(new, T.DoubleType)
+    if isinstance(old, T.DecimalType) and isinstance(new, T.DecimalType):
+        return new.scale >= old.scale and new.precision - new.scale >= old.precision - old.scale
+    return False
 
 
 def schema_changes(old: T.StructType, new: T.StructType, numeric_widening: bool = False,
@@ -159,7 +174,8 @@ def schema_changes(old: T.StructType, new: T.StructType, numeric_widening: bool
     added or removed freely (readers match them by name); a changed leaf type
     anywhere, or a nested field added or removed, is a breaking change.
     ``strict="old_only"`` only reports nested fields of the old schema (added
-    nested fields pass), ``numeric_widening`` lets int -> bigint -> double pass.
+    nested fields pass), ``numeric_widening`` lets the widenings of
+    ``_widening_ok`` pass (those the Parquet reader applies to old files).
     """
     lo, ln = leaf_paths(old), leaf_paths(new)
     changes = []

@@ -168,6 +168,19 @@ def test_root_column_added_without_rebuild_nested_with_rebuild(spark, tmp_path):
     assert df.count() == 7
 
 
+def test_bigint_to_double_rebuilds_even_with_numeric_widening(spark, tmp_path):
+    """Old Parquet files hold ``id`` as INT64, which the reader cannot return
+    as DOUBLE: the table stays readable only through a rebuild."""
+    src = _source(tmp_path, ["20240101"])
+    tgt, log = str(tmp_path / "t"), str(tmp_path / "l")
+    incremental_import(spark, src, tgt, log, table="clicks", numeric_widening=True)
+    write_day(src, "20240102", [{"Id": 1.5, "user": {"Name": "x"}, "Items": [{"A": 1}]}])
+    assert incremental_import(spark, src, tgt, log, table="clicks", numeric_widening=True).mode == "rebuild"
+    df = read_converted(spark, tgt, log, "clicks")
+    assert df.schema["id"].dataType.simpleString() == "double"
+    assert sorted(r.id for r in df.collect()) == [0.0, 1.0, 1.5, 2.0]
+
+
 def test_crash_between_data_and_log_then_rerun(spark, tmp_path):
     src = _source(tmp_path, ["20240101", "20240102"])
     tgt, log = str(tmp_path / "t"), str(tmp_path / "l")

@@ -30,7 +30,12 @@ def test_s3_to_s6(spark, old, new, expected):
 
 
 def test_s6_numeric_widening_and_old_only(spark):
-    assert not needs_recalc(st("a bigint"), st("a double"), numeric_widening=True)
+    # only widenings the Parquet reader applies to old files pass; bigint -> double does not
+    assert needs_recalc(st("a bigint"), st("a double"), numeric_widening=True)
+    assert not needs_recalc(st("a int, b float, c decimal(10,2)"), st("a bigint, b double, c decimal(20,4)"),
+                            numeric_widening=True)
+    assert not needs_recalc(st("a int"), st("a double"), numeric_widening=True)
+    assert needs_recalc(st("a int"), st("a decimal(20,0)"), numeric_widening=True)
     assert needs_recalc(st("a double"), st("a bigint"), numeric_widening=True)
     assert not needs_recalc(st("st struct<p:bigint>"), st("st struct<p:bigint,q:string>"), strict="old_only")
 
@@ -71,3 +76,19 @@ def test_schema_rows_and_is_flat(spark):
                                        ("c", "struct<name:string>")]
     assert not is_flat(s)
     assert is_flat(st("a bigint, tags array<string>"))
+
+
+def test_widenings_that_pass_keep_old_files_readable(spark, tmp_path):
+    """Every pair ``numeric_widening`` lets pass can be read from old files."""
+    pairs = [("int", "bigint"), ("int", "double"), ("smallint", "int"), ("tinyint", "bigint"), ("float", "double"),
+             ("decimal(10,2)", "decimal(20,4)"), ("decimal(20,2)", "decimal(30,2)")]
+    for i, (old, new) in enumerate(pairs):
+        assert not needs_recalc(st(f"x {old}"), st(f"x {new}"), numeric_widening=True), (old, new)
+        path = str(tmp_path / f"w{i}")
+        spark.sql(f"SELECT CAST(12 AS {old}) AS x").write.parquet(path)
+        for vectorized in ("true", "false"):
+            spark.conf.set("spark.sql.parquet.enableVectorizedReader", vectorized)
+            try:
+                assert spark.read.schema(f"x {new}").parquet(path).collect()[0][0] == 12, (old, new)
+            finally:
+                spark.conf.unset("spark.sql.parquet.enableVectorizedReader")
