@@ -149,10 +149,16 @@ def compact_log(spark: SparkSession, log_path: str, table: str, min_files: int =
 def mark_done(spark: SparkSession, log_path: str, table: str, partitions: list[str], max_partition: str,
               run_id: str, table_schema: T.StructType | None = None,
               source_schema: T.StructType | None = None) -> None:
+    """One ``done`` row per partition. The schemas (JSON text that grows with
+    the column count) go into the run's last row only: readers take the
+    newest ``done`` row that has them, so a run of thousands of partitions
+    ships them once, not once per partition."""
     schema_json = table_schema.json() if table_schema is not None else None
     source_json = source_schema.json() if source_schema is not None else None
-    rows = [(today(), table, p, max_partition, run_id, "done", now_stamp(), schema_json, source_json)
-            for p in partitions]
+    last = len(partitions) - 1
+    rows = [(today(), table, p, max_partition, run_id, "done", now_stamp(),
+             schema_json if i == last else None, source_json if i == last else None)
+            for i, p in enumerate(partitions)]
     if not fs.exists(spark, log_path):   # a new log gets its seed row in the same write
         rows.insert(0, SEED_ROW + ("seed", "seed", now_stamp(), None, None))
     append_rows(spark, log_path, rows)

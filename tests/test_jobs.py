@@ -152,6 +152,9 @@ def test_incremental_equals_full(spark, tmp_path):
     full_import(spark, src, ftgt, flog, table="clicks")
     assert _table(spark, tgt, log) == _table(spark, ftgt, flog)
     assert len(_table(spark, tgt, log)) == 9
+    # the schemas are stored once per run (two runs wrote data), not once per partition
+    with_schema = wl.read_log(spark, log, "clicks").filter(F.col("table_schema").isNotNull())
+    assert with_schema.count() == 2 and with_schema.filter(F.col("source_schema").isNull()).count() == 0
 
 
 def test_root_column_added_without_rebuild_nested_with_rebuild(spark, tmp_path):
