@@ -2,11 +2,19 @@
 
 This is the reference's result for the fold step: rows equal in every other
 column become one row whose arrays are the union of theirs. Arrays are folded
-one after the other; each fold is one ``groupBy(everything else)`` with
-``collect_set`` - a partial aggregate, so duplicates are removed in every map
-task before the exchange and the shuffled volume is bounded by the distinct
-elements per group. Sibling arrays are never exploded against each other (no
-cross product); the other arrays take part in the key as whole values.
+one after the other, each grouped by everything else. Sibling arrays are
+never exploded against each other (no cross product); the other arrays take
+part in the key as whole values.
+
+Skew: one group may hold a large share of all rows. A fold is therefore two
+aggregations. The first groups by ``(everything else, hash(element) mod
+salt_buckets)`` with ``collect_set``, a partial aggregate: a hot group is
+spread over ``salt_buckets`` reducers and de-duplicated in every map task
+before the exchange. Equal elements share a bucket, so the bucket sets of a
+group are disjoint; the second aggregation only concatenates them, and the
+reducer of a hot group receives exactly its distinct elements - the output
+row itself - instead of one partial set per map task. ``salt_buckets=0``
+folds in one aggregation (one exchange less, for data without hot groups).
 """
 
 from __future__ import annotations
@@ -17,9 +25,12 @@ from pyspark.sql import functions as F
 from ..functions.schema import is_struct_array
 from .normalize import distinct_rows
 
+SALT_BUCKETS = 32
+_SALT = "__lakenorm_salt"
+
 
 def fuse_arrays(df: DataFrame, arrays: list[str] | None = None, keys_exclude: tuple[str, ...] = (),
-                sort: bool = True) -> DataFrame:
+                sort: bool = True, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
     """Fold ``arrays`` (default: every root array of structs) in the given order."""
     if arrays is None:
         arrays = [f.name for f in df.schema.fields if is_struct_array(f.dataType) and f.name not in keys_exclude]
@@ -27,11 +38,18 @@ def fuse_arrays(df: DataFrame, arrays: list[str] | None = None, keys_exclude: tu
         return distinct_rows(df)
     order = [f"`{c}`" for c in df.columns]
     for name in arrays:
+        col = F.col(f"`{name}`")
         rest = [f"`{c}`" for c in df.columns if c != name]
-        elems = F.explode_outer(F.col(f"`{name}`"))
-        exploded = df.select(*rest, elems.alias(name))
-        united = F.collect_set(F.col(f"`{name}`"))
+        exploded = df.select(*rest, F.explode_outer(col).alias(name))
+        if salt_buckets and salt_buckets > 1:
+            salt = F.pmod(F.xxhash64(col), F.lit(salt_buckets)).alias(_SALT)
+            parts = exploded.groupBy(*rest, salt).agg(F.collect_set(col).alias(name))
+            united = F.flatten(F.collect_list(col))
+            grouped = parts.groupBy(*rest)
+        else:
+            united = F.collect_set(col)
+            grouped = exploded.groupBy(*rest)
         if sort:
             united = F.sort_array(united)
-        df = exploded.groupBy(*rest).agg(united.alias(name)).select(*order)
+        df = grouped.agg(united.alias(name)).select(*order)
     return df
