@@ -8,7 +8,7 @@ by Spark (in parallel for large trees) rather than one storage page at a time.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,9 +36,22 @@ def file_inventory(spark: SparkSession, table_path: str) -> DataFrame:
             .select("path", PARTITION_COL, "length", "modificationTime"))
 
 
+def file_path() -> Column:
+    """Path of the file a row was read from, in the plain form of Hadoop paths
+    and of the ``binaryFile`` source's ``path``.
+
+    ``_metadata.file_path`` is a URI: a space is ``%20``, a ``%`` is ``%25``
+    (so an escaped partition value ``a%3Ab`` appears as ``a%253Ab``). Decoding
+    the escapes gives the plain path; ``+`` is literal in a URI, so it is
+    protected from ``url_decode``'s form decoding first.
+    """
+    return F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
+
+
 def partition_from_path(df: DataFrame, out: str = "partition") -> DataFrame:
-    """Add the name of the directory holding each row's file."""
-    return df.withColumn(out, F.regexp_extract(F.col("_metadata.file_path"), PARENT_DIR_PATTERN, 1))
+    """Add the name of the directory holding each row's file (S13), as it is
+    named in storage."""
+    return df.withColumn(out, F.regexp_extract(file_path(), PARENT_DIR_PATTERN, 1))
 
 
 def list_partitions(spark: SparkSession, table_path: str) -> DataFrame:
@@ -89,8 +102,8 @@ def validate_partitions(spark: SparkSession, table_path: str, deep: bool = False
     """Health of every partition of a Parquet table: ``dt, status`` with
     status ``ok``, ``empty`` (readable, no rows) or ``unreadable``.
 
-    Row counts per file come from Parquet footers (``_metadata.file_path``,
-    no data pages). Files that yield no rows are checked for the Parquet
+    Row counts per file come from Parquet footers (``file_path()``, no data
+    pages), joined with the file listing on the plain path. Files that yield no rows are checked for the Parquet
     magic bytes, which tells a valid empty file from junk. ``deep=True``
     also reads every value (a hash over all columns), which catches damaged
     data pages that a footer count cannot see.
@@ -100,11 +113,11 @@ def validate_partitions(spark: SparkSession, table_path: str, deep: bool = False
     reader = spark.read.option("ignoreCorruptFiles", "true")
     data = reader.parquet(table_path)
     if deep:
-        counted = data.select(F.col("_metadata.file_path").alias("path"),
+        counted = data.select(file_path().alias("path"),
                               F.xxhash64(*[F.col(f"`{c}`") for c in data.columns]).alias("h"))
         counted = counted.groupBy("path").agg(F.count(F.lit(1)).alias("rows"), F.sum("h").alias("h"))
     else:
-        counted = (data.select(F.col("_metadata.file_path").alias("path"))
+        counted = (data.select(file_path().alias("path"))
                    .groupBy("path").agg(F.count(F.lit(1)).alias("rows")))
     per_file = inv.join(counted, "path", "left")
     silent = per_file.filter(F.col("rows").isNull()).select("path")

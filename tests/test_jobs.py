@@ -116,6 +116,23 @@ def test_health_check(spark, tmp_path):
     assert deep == out
 
 
+def test_health_check_and_path_names_with_escapes(spark, tmp_path):
+    """Table folder, partition values and file names holding a space, ``%``,
+    ``:``, ``=`` and ``+``: footers and listing must still meet."""
+    import shutil
+    from lakenorm.sources.partitions import partition_from_path
+    path = str(tmp_path / "odd dir%x+y")
+    spark.createDataFrame([(1, "2024 01:x"), (2, "a%b=c+d"), (3, "20240103")], "id int, dt string") \
+        .write.partitionBy("dt").parquet(path)
+    day = os.path.join(path, "dt=20240103")
+    first = sorted(f for f in os.listdir(day) if f.endswith(".parquet"))[0]
+    shutil.copy(os.path.join(day, first), os.path.join(day, "copy %20 +x.parquet"))
+    out = {r.dt: r.status for r in validate_partitions(spark, path).collect()}
+    assert out == {"2024 01:x": "ok", "a%b=c+d": "ok", "20240103": "ok"}
+    dirs = {r.partition for r in partition_from_path(spark.read.parquet(path)).collect()}
+    assert dirs == set(os.listdir(path)) - {"_SUCCESS", "._SUCCESS.crc"}
+
+
 def test_drop_partition_exact(spark, tmp_path):
     path = str(tmp_path / "tbl")
     spark.createDataFrame([(1, "1"), (2, "11")], "id int, dt string").write.partitionBy("dt").parquet(path)
