@@ -67,7 +67,7 @@ def full_import(spark: SparkSession, source_table: str, target_table: str, log_p
     parts = partition_names(spark, source_table)
     if not parts:
         return ImportResult(table, "none")
-    src = read_json_table(spark, source_table, schema=source_schema)
+    src = read_json_table(spark, source_table, partitions=parts, schema=source_schema)
     if not [c for c in src.columns if c != PARTITION_COL]:
         return ImportResult(table, "none")
     opts = _options(depth, rows, **norm_kw)

@@ -60,9 +60,11 @@ def list_partitions(spark: SparkSession, table_path: str) -> DataFrame:
     return inv.select(F.concat(F.lit(f"{PARTITION_COL}="), F.col(PARTITION_COL)).alias("partition")).distinct()
 
 
-def partition_names(spark: SparkSession, table_path: str) -> list[str]:
-    """Partition directory names on the driver (metadata only, one per day)."""
-    return fs.list_dirs(spark, table_path)
+def partition_names(spark: SparkSession, table_path: str, partition_col: str = PARTITION_COL) -> list[str]:
+    """Partition directory names (``dt=...``) on the driver (metadata only, one
+    per day). Other folders are not partitions: they are never read, listed
+    as work or removed as stale."""
+    return [d for d in fs.list_dirs(spark, table_path) if d.startswith(f"{partition_col}=")]
 
 
 def max_partition(spark: SparkSession, table_path: str) -> DataFrame:

@@ -237,6 +237,19 @@ def test_full_import_removes_stale_and_keeps_on_empty(spark, tmp_path):
     assert spark.read.parquet(tgt).count() == 3
 
 
+def test_folders_that_are_not_partitions_are_left_alone(spark, tmp_path):
+    src = _source(tmp_path, ["20240101"])
+    write_day(os.path.join(src, "notes"), "x", [{"other": 1}])   # <src>/notes/dt=x/...: not a partition of src
+    tgt = str(tmp_path / "t")
+    os.makedirs(os.path.join(tgt, "keep_me"))
+    with open(os.path.join(tgt, "keep_me", "readme.txt"), "w") as fh:
+        fh.write("not a partition")
+    res = full_import(spark, src, tgt)
+    assert res.partitions == ["dt=20240101"] and res.dropped == []
+    assert os.path.exists(os.path.join(tgt, "keep_me", "readme.txt"))
+    assert "other" not in spark.read.parquet(os.path.join(tgt, "dt=20240101")).columns
+
+
 def test_convert_database(spark, tmp_path):
     root = tmp_path / "db"
     for t in ("a", "b"):
