@@ -27,7 +27,7 @@ from ..sources import fs
 from ..sources import worklog as wl
 from ..sources.json_source import PARTITION_COL, read_json_table
 from ..sources.parquet_sink import read_table, write_partitions
-from ..sources.partitions import drop_partition, partition_names, validate_partitions
+from ..sources.partitions import drop_partition, non_empty_partitions, partition_names, validate_partitions
 
 
 @dataclass
@@ -64,7 +64,7 @@ def full_import(spark: SparkSession, source_table: str, target_table: str, log_p
     """
     configure(spark)
     table = table or _table_name(source_table)
-    parts = partition_names(spark, source_table)
+    parts = non_empty_partitions(spark, source_table, partition_names(spark, source_table))
     if not parts:
         return ImportResult(table, "none")
     src = read_json_table(spark, source_table, partitions=parts, schema=source_schema)
@@ -128,7 +128,8 @@ def incremental_import(spark: SparkSession, source_table: str, target_table: str
     if new_rule == "max":
         has_new = max(done) != max(source_parts)
     else:
-        has_new = bool(set(source_parts) - set(done))
+        missing = [p for p in source_parts if p not in set(done)]
+        has_new = bool(non_empty_partitions(spark, source_table, missing))
     if not has_new:
         return ImportResult(table, "none")
 
@@ -143,7 +144,10 @@ def incremental_import(spark: SparkSession, source_table: str, target_table: str
         done = [p for p in done if p not in set(dropped)]
 
     newest_done = max(done) if done else None
-    todo = sorted(p for p in source_parts if p not in set(done) or p == newest_done)
+    todo = non_empty_partitions(spark, source_table,
+                                sorted(p for p in source_parts if p not in set(done) or p == newest_done))
+    if not todo:
+        return ImportResult(table, "none", dropped=dropped)
     res = import_partitions(spark, source_table, target_table, log_path, table, todo, status, depth=depth,
                             rows=rows, numeric_widening=numeric_widening, strict=strict,
                             legacy_format=legacy_format, **norm_kw)

@@ -33,6 +33,21 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(out)
 
 
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Does ``path`` hold at least one data file (at any depth)? Stops at the first."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return False
+    base = fs.makeQualified(p).toString().rstrip("/")
+    it = fs.listFiles(p, True)
+    while it.hasNext():
+        st = it.next()
+        rel = st.getPath().toString()[len(base):]
+        if not any(part.startswith(("_", ".")) for part in rel.split("/") if part):
+            return True
+    return False
+
+
 def list_files(spark: SparkSession, path: str) -> list[str]:
     """Full paths of the data files directly below ``path`` (hidden ``_``/``.`` skipped)."""
     fs, p = _fs_path(spark, path)

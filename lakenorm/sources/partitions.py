@@ -67,6 +67,27 @@ def partition_names(spark: SparkSession, table_path: str, partition_col: str = P
     return [d for d in fs.list_dirs(spark, table_path) if d.startswith(f"{partition_col}=")]
 
 
+# Up to this many candidate folders are checked one by one from the driver;
+# more are listed by one distributed ``binaryFile`` job.
+DRIVER_CHECK_LIMIT = 32
+
+
+def non_empty_partitions(spark: SparkSession, table_path: str, names: list[str],
+                         partition_col: str = PARTITION_COL) -> list[str]:
+    """The partitions among ``names`` whose folder holds at least one file.
+
+    A folder without files (created before its data was uploaded) is not a
+    partition yet: it must neither be read nor be marked as converted.
+    """
+    if len(names) <= DRIVER_CHECK_LIMIT:
+        return [n for n in names if fs.has_files(spark, f"{table_path.rstrip('/')}/{n}")]
+    dirs = [f"{table_path.rstrip('/')}/{n}" for n in names]
+    found = (spark.read.format("binaryFile").option("basePath", table_path).load(dirs)
+             .select(partition_col).distinct().collect())
+    present = {f"{partition_col}={r[0]}" for r in found}
+    return [n for n in names if n in present]
+
+
 def max_partition(spark: SparkSession, table_path: str) -> DataFrame:
     """Newest partition name of a table."""
     return list_partitions(spark, table_path).agg(F.max("partition").alias("max_partition"))

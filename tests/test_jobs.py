@@ -250,6 +250,22 @@ def test_folders_that_are_not_partitions_are_left_alone(spark, tmp_path):
     assert "other" not in spark.read.parquet(os.path.join(tgt, "dt=20240101")).columns
 
 
+def test_partition_folder_without_files_waits_for_its_data(spark, tmp_path):
+    src = _source(tmp_path, ["20240101"])
+    tgt, log = str(tmp_path / "t"), str(tmp_path / "l")
+    empty = str(tmp_path / "empty" / "clicks")
+    os.makedirs(os.path.join(empty, "dt=20240101"))
+    assert full_import(spark, empty, tgt).mode == "none"
+    assert incremental_import(spark, src, tgt, log, table="clicks").mode == "full"
+    os.makedirs(os.path.join(src, "dt=20240102"))          # folder created, files not uploaded yet
+    assert incremental_import(spark, src, tgt, log, table="clicks").mode == "none"
+    assert "dt=20240102" not in wl.table_status(spark, log, "clicks").done
+    write_day(src, "20240102", [{"Id": 7, "user": {"Name": "late"}, "Items": []}])
+    res = incremental_import(spark, src, tgt, log, table="clicks")
+    assert res.mode == "incremental" and res.partitions == ["dt=20240101", "dt=20240102"]
+    assert read_converted(spark, tgt, log, "clicks").filter(F.col("dt") == "20240102").count() == 1
+
+
 def test_convert_database(spark, tmp_path):
     root = tmp_path / "db"
     for t in ("a", "b"):
