@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .normalize import conform
+from .normalize import conform, ddl, q
 
 # Sentinel values of the witness row (fixed values, as in the reference):
 # strings, integral numbers, floating numbers, booleans.
@@ -33,14 +33,12 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
     missing = [c for c in df.columns if c not in schema.fieldNames()]
     if missing:
         raise ValueError(f"columns {missing} are not part of the target schema")
-    cols = []
+    exprs = []
     have = {f.name: f.dataType for f in df.schema.fields}
     for f in schema.fields:
-        if f.name in have:
-            cols.append(conform(F.col(f"`{f.name}`"), have[f.name], f.dataType).alias(f.name))
-        else:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+        value = conform(q(f.name), have[f.name], f.dataType) if f.name in have else f"CAST(NULL AS {ddl(f.dataType)})"
+        exprs.append(f"{value} AS {q(f.name)}")
+    return df.selectExpr(*exprs)
 
 
 def union_by_name(frames: list[DataFrame]) -> DataFrame:

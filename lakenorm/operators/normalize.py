@@ -22,6 +22,7 @@ merged by exact field name so that the result has one type.
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -47,11 +48,11 @@ class NormalizeOptions:
         return self.depth is None or level <= self.depth
 
 
-Member = tuple[Column, T.DataType, str]   # (column, type, original name for precedence)
+Member = tuple[str, T.DataType, str]   # (SQL path expression, type, original name for precedence)
 
 
-def _group(fields: list[tuple[Column, T.StructField, tuple]], fold_case: bool, precedence: str
-           ) -> list[tuple[str, list[tuple[Column, T.StructField, tuple]]]]:
+def _group(fields: list[tuple[str, T.StructField, tuple]], fold_case: bool, precedence: str
+           ) -> list[tuple[str, list[tuple[str, T.StructField, tuple]]]]:
     """Group sibling fields by (lowercased) name.
 
     Each entry carries an ordering key (path of original names); members of a
@@ -95,130 +96,180 @@ def _target(types: list[T.DataType], level: int, opts: NormalizeOptions) -> T.Da
     return reduce(unify_types, real)
 
 
-def conform(col: Column, src: T.DataType, dst: T.DataType) -> Column:
-    """Convert ``col`` from ``src`` to ``dst`` by field *name* (``cast`` on
-    structs goes by position). Missing fields become typed nulls."""
+def q(name: str) -> str:
+    """A back-quoted identifier (back quotes in the name doubled)."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _string(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def ddl(dt: T.DataType) -> str:
+    """A type as SQL DDL, with quoted field names (``simpleString`` does not quote)."""
+    if isinstance(dt, T.StructType):
+        return "struct<" + ",".join(f"{q(f.name)}:{ddl(f.dataType)}" for f in dt.fields) + ">"
+    if isinstance(dt, T.ArrayType):
+        return f"array<{ddl(dt.elementType)}>"
+    if isinstance(dt, T.MapType):
+        return f"map<{ddl(dt.keyType)},{ddl(dt.valueType)}>"
+    return dt.simpleString()
+
+
+def _field(expr: str, name: str) -> str:
+    return f"({expr}).{q(name)}"
+
+
+def _null(dt: T.DataType) -> str:
+    return f"CAST(NULL AS {ddl(dt)})"
+
+
+_lambda_ids = itertools.count()
+
+
+def _var() -> str:
+    """A fresh lambda variable name (nested lambdas never share one)."""
+    return f"_ln{next(_lambda_ids)}"
+
+
+def conform(expr: str, src: T.DataType, dst: T.DataType) -> str:
+    """SQL converting ``expr`` from ``src`` to ``dst`` by field *name* (``CAST``
+    on structs goes by position). Missing fields become typed nulls."""
     if src == dst:
-        return col
+        return expr
     if isinstance(src, T.NullType):
-        return F.lit(None).cast(dst)
+        return _null(dst)
     if isinstance(dst, T.StringType) and isinstance(src, (T.StructType, T.ArrayType, T.MapType)):
-        return F.to_json(col)
+        return f"to_json({expr})"
     if isinstance(dst, T.StructType) and isinstance(src, T.StructType):
         have = {f.name: f.dataType for f in src.fields}
         parts = [
-            (conform(col.getField(f.name), have[f.name], f.dataType) if f.name in have
-             else F.lit(None).cast(f.dataType)).alias(f.name)
+            f"{_string(f.name)}, "
+            + (conform(_field(expr, f.name), have[f.name], f.dataType) if f.name in have else _null(f.dataType))
             for f in dst.fields
         ]
-        return F.when(col.isNull(), F.lit(None).cast(dst)).otherwise(F.struct(*parts))
+        return f"CASE WHEN ({expr}) IS NULL THEN {_null(dst)} ELSE named_struct({', '.join(parts)}) END"
     if isinstance(dst, T.ArrayType) and isinstance(src, T.ArrayType):
         if src.elementType == dst.elementType:
-            return col
-        return F.transform(col, lambda x: conform(x, src.elementType, dst.elementType))
+            return expr
+        v = _var()
+        return f"transform({expr}, {v} -> {conform(v, src.elementType, dst.elementType)})"
     if isinstance(dst, T.MapType) and isinstance(src, T.MapType):
-        col = F.transform_keys(col, lambda k, v: conform(k, src.keyType, dst.keyType)) \
-            if src.keyType != dst.keyType else col
-        return F.transform_values(col, lambda k, v: conform(v, src.valueType, dst.valueType)) \
-            if src.valueType != dst.valueType else col
-    return col.cast(dst)
-
-
-def _is_empty(col: Column, dt: T.DataType) -> Column:
+        out = expr
+        if src.keyType != dst.keyType:
+            k, v = _var(), _var()
+            out = f"transform_keys({out}, ({k}, {v}) -> {conform(k, src.keyType, dst.keyType)})"
+        if src.valueType != dst.valueType:
+            k, v = _var(), _var()
+            out = f"transform_values({out}, ({k}, {v}) -> {conform(v, src.valueType, dst.valueType)})"
+        return out
+    return f"CAST({expr} AS {ddl(dst)})"
+
+
+def _is_empty(expr: str, dt: T.DataType) -> str:
     """An array element counts as empty when every leaf is null (inner arrays
     of structs: empty); such elements are dropped (they come from nulls)."""
     if isinstance(dt, T.StructType):
         if not dt.fields:
-            return F.lit(True)
-        inner = reduce(lambda a, b: a & b, [_is_empty(col.getField(f.name), f.dataType) for f in dt.fields])
-        return col.isNull() | inner
+            return "true"
+        inner = " AND ".join(f"({_is_empty(_field(expr, f.name), f.dataType)})" for f in dt.fields)
+        return f"({expr}) IS NULL OR ({inner})"
     if is_struct_array(dt):
-        return col.isNull() | (F.size(col) == 0)
-    return col.isNull()
-
+        return f"({expr}) IS NULL OR size({expr}) = 0"
+    return f"({expr}) IS NULL"
 
-def _element_builder(src: T.DataType, target: T.DataType, level: int, opts: NormalizeOptions):
-    # one-argument lambda: Spark's ``transform`` reads the arity of the function
-    return lambda x: _build([(x, src, "")], target, level, opts)
 
+def _build(members: list[Member], target: T.DataType, level: int, opts: NormalizeOptions) -> str:
+    """SQL of the output value of one group of colliding members.
 
-def _build(members: list[Member], target: T.DataType, level: int, opts: NormalizeOptions) -> Column:
-    """Expression of the output value of one group of colliding members."""
+    Member expressions are paths (a root column, field accesses, a lambda
+    variable), so repeating them inside the result stays small.
+    """
     real = [m for m in members if not isinstance(m[1], T.NullType)]
     if not real:
-        return F.lit(None).cast(target)
+        return _null(target)
 
     if isinstance(target, T.StructType) and all(isinstance(m[1], T.StructType) for m in real):
         opened = opts.opened(level)
         fields = [
-            (col.getField(f.name), f, (rank, f.name))
-            for rank, (col, dt, _) in enumerate(real)
+            (_field(expr, f.name), f, (rank, f.name))
+            for rank, (expr, dt, _) in enumerate(real)
             for f in dt.fields
         ]
         groups = dict(_group(fields, fold_case=opened, precedence=opts.precedence))
         parts = []
         for out_field in target.fields:
             grp = groups.get(out_field.name, [])
-            child = [(c, f.dataType, f.name) for c, f, _ in grp]
-            parts.append(_build(child, out_field.dataType, level + 1, opts).alias(out_field.name))
-        value = F.struct(*parts)
+            child = [(e, f.dataType, f.name) for e, f, _ in grp]
+            parts.append(f"{_string(out_field.name)}, {_build(child, out_field.dataType, level + 1, opts)}")
+        value = f"named_struct({', '.join(parts)})" if parts else "struct()"
         if opts.null_struct == "keep":
-            all_null = reduce(lambda a, b: a & b, [m[0].isNull() for m in real])
-            value = F.when(all_null, F.lit(None).cast(target)).otherwise(value)
+            all_null = " AND ".join(f"({m[0]}) IS NULL" for m in real)
+            value = f"CASE WHEN {all_null} THEN {_null(target)} ELSE {value} END"
         return value
 
     if isinstance(target, T.ArrayType) and all(is_struct_array(m[1]) for m in real):
         opened = opts.opened(level)
         elem_target = _target([m[1].elementType for m in real], level, opts)
         parts = []
-        for col, dt, _ in real:
-            src = col
-            if opened:
-                src = F.coalesce(col, F.array().cast(dt))
-            parts.append(F.transform(src, _element_builder(dt.elementType, elem_target, level, opts)))
+        for expr, dt, _ in real:
+            src = f"coalesce({expr}, CAST(array() AS {ddl(dt)}))" if opened else expr
+            v = _var()
+            parts.append(f"transform({src}, {v} -> {_build([(v, dt.elementType, '')], elem_target, level, opts)})")
         if not opened:
-            return parts[0] if len(parts) == 1 else F.coalesce(*parts)
-        arr = parts[0] if len(parts) == 1 else F.concat(*parts)
-        arr = F.filter(arr, lambda x: ~_is_empty(x, elem_target))
-        if isinstance(target.elementType, T.StructType):
-            if opts.canonical_arrays:
-                arr = F.array_sort(arr)
-            return F.array_distinct(arr)
-        # unwrap_single_field: array<struct<a>> -> array<a>
-        name = elem_target.fields[0].name
-        arr = F.transform(arr, lambda x: x.getField(name))
+            return parts[0] if len(parts) == 1 else f"coalesce({', '.join(parts)})"
+        arr = parts[0] if len(parts) == 1 else f"concat({', '.join(parts)})"
+        v = _var()
+        arr = f"filter({arr}, {v} -> NOT ({_is_empty(v, elem_target)}))"
+        if not isinstance(target.elementType, T.StructType):
+            # unwrap_single_field: array<struct<a>> -> array<a>
+            v = _var()
+            arr = f"transform({arr}, {v} -> {_field(v, elem_target.fields[0].name)})"
         if opts.canonical_arrays:
-            arr = F.array_sort(arr)
-        return F.array_distinct(arr)
+            arr = f"array_sort({arr})"
+        return f"array_distinct({arr})"
 
-    cols = [conform(col, dt, target) for col, dt, _ in real]
-    value = cols[0] if len(cols) == 1 else F.coalesce(*cols)
+    exprs = [conform(expr, dt, target) for expr, dt, _ in real]
+    value = exprs[0] if len(exprs) == 1 else f"coalesce({', '.join(exprs)})"
     if (opts.dedup_atomic_arrays and opts.opened(level - 1) and isinstance(target, T.ArrayType)
             and not isinstance(target.elementType, (T.StructType, T.MapType))):
-        value = F.array_distinct(value)
+        value = f"array_distinct({value})"
     return value
 
 
-def normalized_columns(schema: T.StructType, opts: NormalizeOptions, keep: tuple[str, ...] = ()
-                       ) -> tuple[list[Column], T.StructType]:
-    """Column expressions (and the resulting schema) of the normalised root.
+def normalized_exprs(schema: T.StructType, opts: NormalizeOptions, keep: tuple[str, ...] = ()
+                     ) -> tuple[list[str], T.StructType]:
+    """SQL select expressions (``... AS name``) of the normalised root, and the
+    resulting schema. ``keep`` names columns passed through untouched (the
+    partition column).
 
-    ``keep`` names columns passed through untouched (the partition column).
+    The whole projection is SQL text handed to ``selectExpr`` in one call:
+    building it from Column objects costs several Python-to-JVM calls per
+    field, which for a table of thousands of columns takes longer than the
+    plan it produces.
     """
-    fields = [(F.col(f"`{f.name}`"), f, (f.name,)) for f in schema.fields if f.name not in keep]
+    fields = [(q(f.name), f, (f.name,)) for f in schema.fields if f.name not in keep]
     groups = _group(fields, fold_case=True, precedence=opts.precedence)
-    cols, out_fields = [], []
+    exprs, out_fields = [], []
     for name, members in groups:
         if name in keep:
             raise ValueError(f"data column {members[0][1].name!r} collides with the partition column {name!r}")
         target = _target([m[1].dataType for m in members], 1, opts)
-        cols.append(_build([(c, f.dataType, f.name) for c, f, _ in members], target, 1, opts).alias(name))
+        sql = _build([(e, f.dataType, f.name) for e, f, _ in members], target, 1, opts)
+        exprs.append(f"{sql} AS {q(name)}")
         out_fields.append(T.StructField(name, target, True))
     for k in keep:
         if k in schema.fieldNames():
-            cols.append(F.col(f"`{k}`"))
+            exprs.append(q(k))
             out_fields.append(schema[k])
-    return cols, T.StructType(out_fields)
+    return exprs, T.StructType(out_fields)
+
+
+def normalized_columns(schema: T.StructType, opts: NormalizeOptions, keep: tuple[str, ...] = ()
+                       ) -> tuple[list[Column], T.StructType]:
+    """As :func:`normalized_exprs`, as Column objects."""
+    exprs, out = normalized_exprs(schema, opts, keep)
+    return [F.expr(e) for e in exprs], out
 
 
 def normalized_schema(schema: T.StructType, opts: NormalizeOptions | None = None,
@@ -277,8 +328,8 @@ def normalize(df: DataFrame, depth: int | None = None, *, rows: str = "keep", pr
     if not df.columns:
         return df
     keep = tuple(c for c in partition_cols if c in df.columns)
-    cols, _ = normalized_columns(df.schema, opts, keep)
-    out = df.select(*cols)
+    exprs, _ = normalized_exprs(df.schema, opts, keep)
+    out = df.selectExpr(*exprs)
     if opts.rows == "fuse":
         from .fuse import fuse_arrays
         # arrays that hold structs in the input (unwrapped ones included)
@@ -297,8 +348,8 @@ def normalize(df: DataFrame, depth: int | None = None, *, rows: str = "keep", pr
 def case_merge(df: DataFrame, precedence: str = "first") -> DataFrame:
     """Lowercase root names and merge colliding columns; nothing else."""
     opts = NormalizeOptions(depth=0, precedence=precedence)
-    cols, _ = normalized_columns(df.schema, opts)
-    return df.select(*cols)
+    exprs, _ = normalized_exprs(df.schema, opts)
+    return df.selectExpr(*exprs)
 
 
 def with_options(opts: NormalizeOptions, **changes) -> NormalizeOptions:

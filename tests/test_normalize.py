@@ -247,3 +247,22 @@ def test_fuse_salts_hot_groups(spark):
     plan = fuse_arrays(base, salt_buckets=16)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("partial_collect_set") == 1 and plan.count("partial_collect_list") == 1
     assert "pmod(xxhash64(" in plan
+
+
+def test_awkward_names_at_every_level(jsonl):
+    """Names with a back quote, a quote, a backslash, a dot and a space, at the
+    root, in a struct and in array elements, colliding in case."""
+    odd = ["a`b", "it's", "back\\slash", "x.y", "sp ace"]
+    rec = {n: 1 for n in odd}
+    rec["St"] = {n.upper(): "v" for n in odd} | {n: None for n in odd}
+    rec["Arr"] = [{n: i for n in odd} for i in range(2)] * 2
+    rec["A`B"] = 2
+    df = jsonl([rec, rec])
+    out = normalize(df)
+    assert [f.name for f in out.schema.fields] == sorted(["a`b", "it's", "back\\slash", "x.y", "sp ace", "st", "arr"])
+    r = out.collect()
+    assert len(r) == 1
+    row = r[0].asDict(recursive=True)
+    assert row["a`b"] == 2 and row["it's"] == 1       # "A`B" precedes "a`b" in code-point order
+    assert row["st"] == {n: "v" for n in sorted(odd)}
+    assert row["arr"] == [{n: i for n in sorted(odd)} for i in range(2)]
