@@ -34,17 +34,23 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
 
 
 def has_files(spark: SparkSession, path: str) -> bool:
-    """Does ``path`` hold at least one data file (at any depth)? Stops at the first."""
+    """Does ``path`` hold at least one data file (at any depth, hidden ``_``/``.``
+    entries skipped)? Lists lazily and stops at the first file."""
     fs, p = _fs_path(spark, path)
-    if not fs.exists(p):
-        return False
-    base = fs.makeQualified(p).toString().rstrip("/")
-    it = fs.listFiles(p, True)
-    while it.hasNext():
-        st = it.next()
-        rel = st.getPath().toString()[len(base):]
-        if not any(part.startswith(("_", ".")) for part in rel.split("/") if part):
-            return True
+    pending = [p]
+    while pending:
+        folder = pending.pop()
+        try:
+            entries = fs.listStatusIterator(folder)
+        except Exception:  # the folder does not exist (any more)
+            continue
+        while entries.hasNext():
+            st = entries.next()
+            if st.getPath().getName().startswith(("_", ".")):
+                continue
+            if st.isFile():
+                return True
+            pending.append(st.getPath())
     return False
 
 
