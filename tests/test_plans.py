@@ -33,3 +33,26 @@ def test_import_write_plan_has_dedup_then_rebalance(spark, tmp_path):
     df = normalize(read_json_table(spark, _source(tmp_path, ["20240101"]))).hint("rebalance", "dt")
     lines = [ln for ln in _plan(df).splitlines() if "Exchange " in ln]
     assert len(lines) == 2 and "REBALANCE" in lines[0] and "hashpartitioning(dt" in lines[0]
+
+
+def test_hot_day_is_written_by_several_tasks(spark, tmp_path):
+    """A day holding a third of the rows is split by adaptive execution at the
+    rebalance before the write (along map outputs), instead of one task
+    writing the whole day."""
+    import os
+    from lakenorm.sources.parquet_sink import write_partitions
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "64k")
+    try:
+        day = F.concat(F.lit("202401"), F.lpad((F.col("id") % 9 + 2).cast("string"), 2, "0"))
+        df = spark.range(0, 300000, 1, 8).select(
+            "id", (F.col("id") * 7919 % 100003).alias("v"),
+            F.when(F.col("id") % 3 == 0, F.lit("20240101")).otherwise(day).alias("dt"))
+        path = str(tmp_path / "hot")
+        write_partitions(df, path)
+    finally:
+        spark.conf.set(key, old)
+    files = len([f for f in os.listdir(os.path.join(path, "dt=20240101")) if f.endswith(".parquet")])
+    assert files > 1
+    assert spark.read.parquet(path).count() == 300000
