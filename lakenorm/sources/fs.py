@@ -54,6 +54,15 @@ def has_files(spark: SparkSession, path: str) -> bool:
     return False
 
 
+def count_files(spark: SparkSession, path: str) -> int:
+    """Number of files below ``path``, hidden ones included (an upper bound
+    for :func:`list_files`), from one metadata call."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return 0
+    return int(fs.getContentSummary(p).getFileCount())
+
+
 def list_files(spark: SparkSession, path: str) -> list[str]:
     """Full paths of the data files directly below ``path`` (hidden ``_``/``.`` skipped)."""
     fs, p = _fs_path(spark, path)
