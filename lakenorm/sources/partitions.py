@@ -36,7 +36,7 @@ def file_inventory(spark: SparkSession, table_path: str) -> DataFrame:
             .select("path", PARTITION_COL, "length", "modificationTime"))
 
 
-def file_path() -> Column:
+def file_path(uri: Column | None = None) -> Column:
     """Path of the file a row was read from, in the plain form of Hadoop paths
     and of the ``binaryFile`` source's ``path``.
 
@@ -45,7 +45,8 @@ def file_path() -> Column:
     the escapes gives the plain path; ``+`` is literal in a URI, so it is
     protected from ``url_decode``'s form decoding first.
     """
-    return F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
+    uri = F.col("_metadata.file_path") if uri is None else uri
+    return F.url_decode(F.regexp_replace(uri, r"\+", "%2B"))
 
 
 def partition_from_path(df: DataFrame, out: str = "partition") -> DataFrame:
@@ -125,23 +126,29 @@ def validate_partitions(spark: SparkSession, table_path: str, deep: bool = False
     """Health of every partition of a Parquet table: ``dt, status`` with
     status ``ok``, ``empty`` (readable, no rows) or ``unreadable``.
 
-    Row counts per file come from Parquet footers (``file_path()``, no data
-    pages), joined with the file listing on the plain path. Files that yield no rows are checked for the Parquet
-    magic bytes, which tells a valid empty file from junk. ``deep=True``
-    also reads every value (a hash over all columns), which catches damaged
-    data pages that a footer count cannot see.
+    Row counts per file come from Parquet footers (no data pages), joined
+    with the file listing on the plain path. Files that yield no rows are
+    checked for the Parquet magic bytes, which tells a valid empty file from
+    junk. ``deep=True`` also reads every value: a file whose pages cannot all
+    be read is skipped by ``ignoreCorruptFiles`` and so yields fewer rows
+    than its footer promises, which marks it unreadable; the hash over all
+    columns is returned as ``checksum`` (XOR per partition), so the full read
+    is not pruned away.
     """
     configure(spark)
     inv = file_inventory(spark, table_path).select("path", PARTITION_COL)
     reader = spark.read.option("ignoreCorruptFiles", "true")
     data = reader.parquet(table_path)
+    uri = F.col("_metadata.file_path").alias("uri")
+    counted = data.select(uri).groupBy("uri").agg(F.count(F.lit(1)).alias("rows"))
+    extra = []
     if deep:
-        counted = data.select(file_path().alias("path"),
-                              F.xxhash64(*[F.col(f"`{c}`") for c in data.columns]).alias("h"))
-        counted = counted.groupBy("path").agg(F.count(F.lit(1)).alias("rows"), F.sum("h").alias("h"))
-    else:
-        counted = (data.select(file_path().alias("path"))
-                   .groupBy("path").agg(F.count(F.lit(1)).alias("rows")))
+        values = (data.select(uri, F.xxhash64(*[F.col(f"`{c}`") for c in data.columns]).alias("h"))
+                  .groupBy("uri").agg(F.count(F.lit(1)).alias("rows_read"), F.bit_xor("h").alias("h")))
+        counted = counted.join(values, "uri", "left")
+        extra = ["rows_read", "h"]
+    # one decode per file, after the per-file aggregate
+    counted = counted.select(file_path(F.col("uri")).alias("path"), "rows", *extra)
     per_file = inv.join(counted, "path", "left")
     silent = per_file.filter(F.col("rows").isNull()).select("path")
     # Files without rows are few (empty or broken ones); only they are opened.
@@ -157,10 +164,14 @@ def validate_partitions(spark: SparkSession, table_path: str, deep: bool = False
         per_file = per_file.join(heads, "path", "left")
     else:
         per_file = per_file.withColumn("valid", F.lit(None).cast(T.BooleanType()))
-    per_file = per_file.withColumn(
-        "broken", F.when(F.col("rows").isNull() & ~F.coalesce(F.col("valid"), F.lit(False)), 1).otherwise(0))
-    return (per_file.groupBy(PARTITION_COL)
-            .agg(F.sum("broken").alias("broken"), F.sum(F.coalesce(F.col("rows"), F.lit(0))).alias("rows"))
-            .select(PARTITION_COL,
-                    F.when(F.col("broken") > 0, "unreadable").when(F.col("rows") == 0, "empty")
-                    .otherwise("ok").alias("status")))
+    broken = F.col("rows").isNull() & ~F.coalesce(F.col("valid"), F.lit(False))
+    if deep:
+        broken = broken | (F.col("rows").isNotNull() & (F.coalesce(F.col("rows_read"), F.lit(0)) != F.col("rows")))
+    per_file = per_file.withColumn("broken", F.when(broken, 1).otherwise(0))
+    aggs = [F.sum("broken").alias("broken"), F.sum(F.coalesce(F.col("rows"), F.lit(0))).alias("rows")]
+    if deep:
+        aggs.append(F.bit_xor("h").alias("checksum"))
+    status = (F.when(F.col("broken") > 0, "unreadable").when(F.col("rows") == 0, "empty")
+              .otherwise("ok").alias("status"))
+    return (per_file.groupBy(PARTITION_COL).agg(*aggs)
+            .select(PARTITION_COL, status, *(["checksum"] if deep else [])))

@@ -114,6 +114,19 @@ def test_health_check(spark, tmp_path):
                    "20240106": "empty"}
     deep = {r.dt: r.status for r in validate_partitions(spark, path, deep=True).collect()}
     assert deep == out
+    # damaged data pages behind an intact footer: only the deep check reads them (the local
+    # file system's checksum sidecar is removed, as object stores keep none)
+    day = os.path.join(path, "dt=20240102")
+    name = sorted(f for f in os.listdir(day) if f.endswith(".parquet"))[0]
+    damaged = os.path.join(day, name)
+    with open(damaged, "r+b") as fh:
+        fh.seek(4)
+        fh.write(b"\xff" * 40)
+    os.remove(os.path.join(day, f".{name}.crc"))
+    assert {r.dt: r.status for r in validate_partitions(spark, path).collect()}["20240102"] == "ok"
+    deep = validate_partitions(spark, path, deep=True)
+    assert {r.dt: r.status for r in deep.collect()}["20240102"] == "unreadable"
+    assert "checksum" in deep.columns and "xxhash64" in deep._jdf.queryExecution().executedPlan().toString()
 
 
 def test_health_check_and_path_names_with_escapes(spark, tmp_path):
