@@ -68,6 +68,9 @@ def partition_names(spark: SparkSession, table_path: str, partition_col: str = P
     return [d for d in fs.list_dirs(spark, table_path) if d.startswith(f"{partition_col}=")]
 
 
+# A file without rows larger than this is not a valid empty Parquet file
+# (which holds only its schema); it is reported broken without being read.
+EMPTY_FILE_MAX_BYTES = 64 * 1024 * 1024
 # Up to this many candidate folders are checked one by one from the driver;
 # more are listed by one distributed ``binaryFile`` job.
 DRIVER_CHECK_LIMIT = 32
@@ -136,7 +139,7 @@ def validate_partitions(spark: SparkSession, table_path: str, deep: bool = False
     is not pruned away.
     """
     configure(spark)
-    inv = file_inventory(spark, table_path).select("path", PARTITION_COL)
+    inv = file_inventory(spark, table_path).select("path", PARTITION_COL, "length")
     reader = spark.read.option("ignoreCorruptFiles", "true")
     data = reader.parquet(table_path)
     uri = F.col("_metadata.file_path").alias("uri")
@@ -150,8 +153,10 @@ def validate_partitions(spark: SparkSession, table_path: str, deep: bool = False
     # one decode per file, after the per-file aggregate
     counted = counted.select(file_path(F.col("uri")).alias("path"), "rows", *extra)
     per_file = inv.join(counted, "path", "left")
-    silent = per_file.filter(F.col("rows").isNull()).select("path")
-    # Files without rows are few (empty or broken ones); only they are opened.
+    # Files without rows are few (empty or broken ones); only they are opened,
+    # and only when small: a valid Parquet file without rows holds just its
+    # schema, so a large file without rows is broken whatever it contains.
+    silent = per_file.filter(F.col("rows").isNull() & (F.col("length") <= EMPTY_FILE_MAX_BYTES)).select("path")
     silent_paths = [r.path for r in silent.collect()]
     if silent_paths:
         heads = (spark.read.format("binaryFile").load(silent_paths)

@@ -101,6 +101,18 @@ def test_log_is_partitioned_by_table_and_compacts(spark):
     assert wl.read_log(spark, path, "t").count() == n_rows
 
 
+def test_health_check_does_not_read_large_files_without_rows(spark, tmp_path, monkeypatch):
+    import lakenorm.sources.partitions as parts
+    path = str(tmp_path / "tbl")
+    spark.range(3).select("id", F.lit("20240101").alias("dt")).write.partitionBy("dt").parquet(path)
+    spark.range(0).write.parquet(f"{path}/dt=20240106")
+    assert {r.dt: r.status for r in validate_partitions(spark, path).collect()}["20240106"] == "empty"
+    # with a bound below the size of the valid empty file, that file counts as broken unread
+    monkeypatch.setattr(parts, "EMPTY_FILE_MAX_BYTES", 8)
+    assert {r.dt: r.status for r in validate_partitions(spark, path).collect()} == {"20240101": "ok",
+                                                                                   "20240106": "unreadable"}
+
+
 def test_health_check(spark, tmp_path):
     path = str(tmp_path / "tbl")
     df = spark.range(30).select(F.col("id"), F.concat(F.lit("2024010"), (F.col("id") % 3 + 1).cast("string")).alias("dt"))
