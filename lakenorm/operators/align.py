@@ -81,7 +81,12 @@ def _fill_deep(col: Column, dt: T.DataType) -> Column:
 
 def witness_row(df: DataFrame) -> DataFrame:
     """One row of ``df`` with every null (also nested, also null or empty
-    arrays) replaced by a type sentinel, so the row shows every column."""
+    arrays) replaced by a type sentinel, so the row shows every column.
+
+    ``limit(1)`` reads little only above a plan without a shuffle; for a
+    normalised table pass ``normalized_projection(df)`` rather than
+    ``normalize(df)``, whose whole-row dedup would run over all the data to
+    give one row."""
     picked = df.limit(1)
     return picked.select(*[_fill_deep(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields])
 

@@ -272,6 +272,14 @@ def normalized_columns(schema: T.StructType, opts: NormalizeOptions, keep: tuple
     return [F.expr(e) for e in exprs], out
 
 
+def normalized_projection(df: DataFrame, opts: NormalizeOptions | None = None,
+                          partition_cols: tuple[str, ...] = ("dt",)) -> DataFrame:
+    """The normaliser's projection alone (names, merges, arrays), without the
+    row de-duplication: no shuffle, so a ``limit`` reaches the scan."""
+    keep = tuple(c for c in partition_cols if c in df.columns)
+    return df.selectExpr(*normalized_exprs(df.schema, opts or NormalizeOptions(), keep)[0])
+
+
 def normalized_schema(schema: T.StructType, opts: NormalizeOptions | None = None,
                       keep: tuple[str, ...] = ()) -> T.StructType:
     return normalized_columns(schema, opts or NormalizeOptions(), keep)[1]
