@@ -454,7 +454,7 @@ def q_convert_database(spark, sf):
     click = F.col("event_type") == "click"
     fx.stage_messy_events(spark, sf, f"{root}/clicks", where=click)
     fx.stage_messy_events(spark, sf, f"{root}/rest", where=~click)
-    convert_database(spark, root, target, log)
+    convert_database(spark, root, target, log, parallel=2)
     frames = [read_converted(spark, f"{target}/{t}", log, t).select(F.lit(t).alias("tbl"), "event_id", "dt")
               for t in ("clicks", "rest")]
     return union_by_name(frames)

@@ -85,6 +85,17 @@ def _write(df: DataFrame, log_path: str) -> None:
     df.write.mode("append").partitionBy(LOG_PARTITION).parquet(log_path)
 
 
+def _write_table(df: DataFrame, log_path: str, table: str) -> None:
+    """Append one table's rows. A plain name is written straight into its
+    folder (the folder name supplies ``table``), so imports of different
+    tables running at the same time never share a job's staging folder."""
+    folder = _table_dir(log_path, table)
+    if folder is None:
+        _write(df, log_path)
+    else:
+        df.drop(LOG_PARTITION).write.mode("append").parquet(folder)
+
+
 def _table_dir(log_path: str, table: str) -> str | None:
     """Folder of one table's log rows, when its name is written unescaped."""
     if not _PLAIN_NAME.fullmatch(table):
@@ -97,7 +108,7 @@ def init_log(spark: SparkSession, log_path: str) -> None:
     if fs.exists(spark, log_path):
         return
     row = SEED_ROW + ("seed", "seed", now_stamp(), None, None)
-    _write(_frame(spark, [row]).coalesce(1), log_path)
+    _write_table(_frame(spark, [row]).coalesce(1), log_path, SEED_ROW[1])
 
 
 def _read(spark: SparkSession, log_path: str, paths: list[str]) -> DataFrame:
@@ -124,8 +135,8 @@ def append_rows(spark: SparkSession, log_path: str, rows: list[tuple]) -> None:
     table), then compact the folders that have grown large."""
     if not rows:
         return
-    _write(_frame(spark, rows).coalesce(1), log_path)
     for table in sorted({r[1] for r in rows}):
+        _write_table(_frame(spark, [r for r in rows if r[1] == table]).coalesce(1), log_path, table)
         compact_log(spark, log_path, table)
 
 
@@ -150,7 +161,7 @@ def compact_log(spark: SparkSession, log_path: str, table: str, min_files: int =
     if len(files) < min_files:
         return 0
     rows = _read(spark, log_path, files).distinct()
-    _write(rows.coalesce(1), log_path)
+    _write_table(rows.coalesce(1), log_path, table)
     for f in files:
         fs.delete_file(spark, f)
     return len(files)

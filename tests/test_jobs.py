@@ -298,3 +298,23 @@ def test_convert_database(spark, tmp_path):
     res = convert_database(spark, str(root), str(tmp_path / "pq"), str(tmp_path / "log"))
     assert [r.mode for r in res] == ["full", "full"]
     assert spark.read.parquet(str(tmp_path / "pq" / "a")).columns == ["x", "y", "dt"]
+
+
+def test_convert_database_in_parallel_equals_sequential(spark, tmp_path):
+    root = tmp_path / "db"
+    for i, t in enumerate(("a", "b", "c", "d")):
+        for d in ("20240101", "20240102"):
+            write_day(str(root / t), d, [{"X": i, "Nested": {"V": d}, "Items": [{"K": i}, {"K": i}]}] * 2)
+    runs = {}
+    for parallel in (1, 3):
+        out, log = tmp_path / f"pq{parallel}", tmp_path / f"log{parallel}"
+        res = convert_database(spark, str(root), str(out), str(log), parallel=parallel)
+        assert [r.mode for r in res] == ["full"] * 4 and [r.table for r in res] == ["a", "b", "c", "d"]
+        assert wl.fs.list_dirs(spark, str(log)) == ["table=a", "table=b", "table=c", "table=d", "table=example"]
+        runs[parallel] = {t: _rows(read_converted(spark, str(out / t), str(log), t)) for t in "abcd"}
+        assert all(wl.table_status(spark, str(log), t).done == ["dt=20240101", "dt=20240102"] for t in "abcd")
+    assert runs[1] == runs[3]
+
+
+def _rows(df):
+    return sorted(str(r) for r in df.select(*sorted(df.columns)).collect())
