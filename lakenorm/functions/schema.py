@@ -17,6 +17,11 @@ EXPLODED_SUFFIX = "_exploded"
 _INTEGRAL_RANK = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 3, T.LongType: 4}
 
 
+def quote(name: str) -> str:
+    """A back-quoted identifier for column references (back quotes in the name doubled)."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def is_struct_array(dt: T.DataType) -> bool:
     return isinstance(dt, T.ArrayType) and isinstance(dt.elementType, T.StructType)
 

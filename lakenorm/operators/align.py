@@ -88,7 +88,7 @@ def witness_row(df: DataFrame) -> DataFrame:
     ``normalize(df)``, whose whole-row dedup would run over all the data to
     give one row."""
     picked = df.limit(1)
-    return picked.select(*[_fill_deep(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields])
+    return picked.select(*[_fill_deep(F.col(q(f.name)), f.dataType).alias(f.name) for f in df.schema.fields])
 
 
 def tag_drop_rename(df: DataFrame, tags: dict[str, object] | None = None, drop: list[str] | None = None,

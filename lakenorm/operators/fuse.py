@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.schema import is_struct_array
+from ..functions.schema import is_struct_array, quote
 from .normalize import distinct_rows
 
 SALT_BUCKETS = 32
@@ -36,10 +36,10 @@ def fuse_arrays(df: DataFrame, arrays: list[str] | None = None, keys_exclude: tu
         arrays = [f.name for f in df.schema.fields if is_struct_array(f.dataType) and f.name not in keys_exclude]
     if not arrays:
         return distinct_rows(df)
-    order = [f"`{c}`" for c in df.columns]
+    order = [quote(c) for c in df.columns]
     for name in arrays:
-        col = F.col(f"`{name}`")
-        rest = [f"`{c}`" for c in df.columns if c != name]
+        col = F.col(quote(name))
+        rest = [quote(c) for c in df.columns if c != name]
         exploded = df.select(*rest, F.explode_outer(col).alias(name))
         if salt_buckets and salt_buckets > 1:
             salt = F.pmod(F.xxhash64(col), F.lit(salt_buckets)).alias(_SALT)

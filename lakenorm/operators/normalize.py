@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.schema import has_map, is_struct_array, unify_types
+from ..functions.schema import quote as q
 
 
 @dataclass(frozen=True)
@@ -96,11 +97,6 @@ def _target(types: list[T.DataType], level: int, opts: NormalizeOptions) -> T.Da
     return reduce(unify_types, real)
 
 
-def q(name: str) -> str:
-    """A back-quoted identifier (back quotes in the name doubled)."""
-    return "`" + name.replace("`", "``") + "`"
-
-
 def _string(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -294,7 +290,7 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     """
     if not has_map(df.schema):
         return df.distinct()
-    names = [f"`{n}`" for n in df.columns]
+    names = [q(n) for n in df.columns]
     tmp = "__lakenorm_n"
     return df.groupBy(*names).agg(F.count(F.lit(1)).alias(tmp)).select(*names)
 
@@ -308,11 +304,11 @@ def keep_one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
     """
     rest = [c for c in df.columns if c not in keys]
     if not rest:
-        return df.select(*[F.col(f"`{k}`") for k in keys]).distinct()
+        return df.select(*[F.col(q(k)) for k in keys]).distinct()
     tmp = "__lakenorm_row"
-    best = F.min(F.struct(*[F.col(f"`{c}`") for c in rest])).alias(tmp)
-    out = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(best)
-    return out.select(*[F.col(f"`{c}`") if c in keys else F.col(tmp).getField(c).alias(c) for c in df.columns])
+    best = F.min(F.struct(*[F.col(q(c)) for c in rest])).alias(tmp)
+    out = df.groupBy(*[F.col(q(k)) for k in keys]).agg(best)
+    return out.select(*[F.col(q(c)) if c in keys else F.col(tmp).getField(c).alias(c) for c in df.columns])
 
 
 def normalize(df: DataFrame, depth: int | None = None, *, rows: str = "keep", precedence: str = "first",

@@ -17,11 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.schema import EXPLODED_SUFFIX, PATH_SEP, is_flat, is_struct_array
-
-
-def _q(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+from ..functions.schema import EXPLODED_SUFFIX, PATH_SEP, is_flat, is_struct_array, quote
 
 
 def unfold_structs(df: DataFrame) -> DataFrame:
@@ -30,9 +26,9 @@ def unfold_structs(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         if isinstance(f.dataType, T.StructType):
             for c in f.dataType.fields:
-                cols.append(F.col(_q(f.name)).getField(c.name).alias(f"{f.name}{PATH_SEP}{c.name}"))
+                cols.append(F.col(quote(f.name)).getField(c.name).alias(f"{f.name}{PATH_SEP}{c.name}"))
         else:
-            cols.append(F.col(_q(f.name)))
+            cols.append(F.col(quote(f.name)))
     return df.select(*cols)
 
 
@@ -44,7 +40,7 @@ def explode_arrays(df: DataFrame, column: str | None = None) -> DataFrame:
             return df
         column = arrays[0]
     cols = [
-        F.explode_outer(F.col(_q(n))).alias(f"{n}{EXPLODED_SUFFIX}") if n == column else F.col(_q(n))
+        F.explode_outer(F.col(quote(n))).alias(f"{n}{EXPLODED_SUFFIX}") if n == column else F.col(quote(n))
         for n in df.columns
     ]
     return df.select(*cols)
@@ -93,7 +89,7 @@ def fold_structs(df: DataFrame, sep: str = PATH_SEP) -> DataFrame:
             if isinstance(sub, dict):
                 out.append(F.struct(*build(sub)).alias(key))
             else:
-                out.append(F.col(_q(sub)).alias(key))
+                out.append(F.col(quote(sub)).alias(key))
         return out
 
     return df.select(*build(tree))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.schema import quote
 from ..session import configure
 from . import fs
 
@@ -146,7 +147,7 @@ def validate_partitions(spark: SparkSession, table_path: str, deep: bool = False
     counted = data.select(uri).groupBy("uri").agg(F.count(F.lit(1)).alias("rows"))
     extra = []
     if deep:
-        values = (data.select(uri, F.xxhash64(*[F.col(f"`{c}`") for c in data.columns]).alias("h"))
+        values = (data.select(uri, F.xxhash64(*[F.col(quote(c)) for c in data.columns]).alias("h"))
                   .groupBy("uri").agg(F.count(F.lit(1)).alias("rows_read"), F.bit_xor("h").alias("h")))
         counted = counted.join(values, "uri", "left")
         extra = ["rows_read", "h"]

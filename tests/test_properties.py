@@ -33,7 +33,7 @@ def _read(spark, tmp_path_factory, docs):
 
 
 def _as_json(df):
-    return sorted(r[0] for r in df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))).collect())
+    return sorted(r[0] for r in df.select(F.to_json(F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns]))).collect())
 
 
 def _check_names(dt):
@@ -66,3 +66,30 @@ def test_normalize_properties(spark, tmp_path_factory, docs):
 def test_fuse_never_has_more_rows_than_keep(spark, tmp_path_factory, docs):
     df = _read(spark, tmp_path_factory, docs)
     assert normalize(df, rows="fuse").count() <= normalize(df).count()
+
+
+ODD_KEYS = st.sampled_from(["a`b", "A`B", "it's", "IT'S", "x.y", "X.Y", "sp ace", "SP ACE", "b\\c", "B\\C"])
+
+
+def odd_values(depth):
+    if depth == 0:
+        return SCALARS
+    inner = odd_values(depth - 1)
+    objs = st.dictionaries(ODD_KEYS, inner, max_size=3)
+    return st.one_of(SCALARS, objs, st.lists(objs, max_size=3))
+
+
+ODD_DOCS = st.lists(st.dictionaries(ODD_KEYS, odd_values(2), min_size=1, max_size=4), min_size=1, max_size=4)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(docs=ODD_DOCS)
+def test_normalize_properties_with_awkward_names(spark, tmp_path_factory, docs):
+    """Back quotes, quotes, dots, spaces and backslashes in colliding names at
+    any depth: the projection text quotes every name correctly."""
+    test_normalize_properties.hypothesis.inner_test(spark, tmp_path_factory, docs)
+    from lakenorm.operators.align import witness_row
+    from lakenorm.operators.normalize import normalized_projection
+    df = _read(spark, tmp_path_factory, docs)
+    assert normalize(df, rows="fuse").count() <= normalize(df).count()
+    assert witness_row(normalized_projection(df)).count() == 1
