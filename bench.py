@@ -17,6 +17,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
 
 from lakenorm.operators.normalize import normalize  # noqa: E402
 from lakenorm.plans import fixtures as fx  # noqa: E402
@@ -99,6 +100,21 @@ def main() -> None:
     queries["fuse_arrays_two"] = _timed(run_fuse, runs)
     queries["validate_partitions"] = _timed(run_health, runs)
 
+    # driver cost of planning the normaliser for a wide schema (no data: an
+    # empty frame isolates the plan building)
+    wide = T.StructType(
+        [T.StructField(f"Col{c}" if c % 10 == 0 else f"col{c}", T.LongType() if c % 3 else T.StringType())
+         for c in range(1200)]
+        + [T.StructField(f"COL{c}", T.LongType()) for c in range(0, 1200, 10)]
+        + [T.StructField("St", T.StructType([T.StructField(f"F{j}", T.LongType()) for j in range(400)])),
+           T.StructField("Arr", T.ArrayType(T.StructType([T.StructField(f"g{j}", T.LongType())
+                                                          for j in range(150)])))])
+    wide_df = spark.createDataFrame([], wide)
+    normalize(wide_df)   # warm-up
+    t0 = time.perf_counter()
+    normalize(wide_df).schema
+    wide_plan_sec = time.perf_counter() - t0
+
     plan_df = normalize(read_json_table(spark, events_src))
     shuffles = _exchanges(normalize(spark.read.json(li_docs)))
     out = {
@@ -110,6 +126,7 @@ def main() -> None:
         "rows_per_sec_full_import": round(2 * n_events / queries["full_import"], 1),
         "shuffles_normalize_schema": shuffles,
         "shuffles_full_import_normalize": _exchanges(plan_df),
+        "driver_plan_sec_wide_schema": round(wide_plan_sec, 3),
         "cpus": cpus,
         "cores_machine": os.cpu_count(),
         "mem_gb_machine": round(os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES") / 2**30, 1),
