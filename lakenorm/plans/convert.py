@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,6 +48,11 @@ def _table_name(path: str) -> str:
     return path.rstrip("/").rsplit("/", 1)[-1]
 
 
+def _condition(e: Exception) -> str | None:
+    get = getattr(e, "getCondition", None) or getattr(e, "getErrorClass", None)
+    return get() if get else None
+
+
 def _options(depth, rows, **kw) -> NormalizeOptions:
     return NormalizeOptions(depth=depth, rows=rows, **kw)
 
@@ -64,16 +70,29 @@ def full_import(spark: SparkSession, source_table: str, target_table: str, log_p
     """
     configure(spark)
     table = table or _table_name(source_table)
-    parts = non_empty_partitions(spark, source_table, partition_names(spark, source_table))
-    if not parts:
+    folders = partition_names(spark, source_table)
+    if not folders:
         return ImportResult(table, "none")
-    src = read_json_table(spark, source_table, partitions=parts, schema=source_schema)
+    try:
+        src = read_json_table(spark, source_table, partitions=folders, schema=source_schema)
+    except AnalysisException as e:
+        if _condition(e) == "UNABLE_TO_INFER_SCHEMA":   # no file in any partition folder
+            return ImportResult(table, "none")
+        raise
     if not [c for c in src.columns if c != PARTITION_COL]:
         return ImportResult(table, "none")
     opts = _options(depth, rows, **norm_kw)
     norm = normalize(src, options=opts)
     write_partitions(norm, target_table, legacy_format=legacy_format)
-    stale = [p for p in partition_names(spark, target_table) if p not in set(parts)]
+    # The source was listed once, by the read. Folders that left no target
+    # partition are checked for files: one without files (its data is not
+    # uploaded yet) is not converted and must not be marked done.
+    target_parts = set(partition_names(spark, target_table))
+    unwritten = [p for p in folders if p not in target_parts]
+    parts = sorted([p for p in folders if p in target_parts] + non_empty_partitions(spark, source_table, unwritten))
+    if not parts:
+        return ImportResult(table, "none")
+    stale = sorted(p for p in target_parts if p not in set(folders))
     for p in stale:
         drop_partition(spark, target_table, p)
     schema = _data_schema(norm.schema)
