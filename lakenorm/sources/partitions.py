@@ -131,7 +131,8 @@ def validate_partitions(spark: SparkSession, table_path: str, deep: bool = False
     status ``ok``, ``empty`` (readable, no rows) or ``unreadable``.
 
     Row counts per file come from Parquet footers (no data pages), joined
-    with the file listing on the plain path. Files that yield no rows are
+    with the file listing on ``_metadata.file_path``, which both scans give
+    in the same URI form. Files that yield no rows are
     checked for the Parquet magic bytes, which tells a valid empty file from
     junk. ``deep=True`` also reads every value: a file whose pages cannot all
     be read is skipped by ``ignoreCorruptFiles`` and so yields fewer rows
@@ -140,10 +141,10 @@ def validate_partitions(spark: SparkSession, table_path: str, deep: bool = False
     is not pruned away.
     """
     configure(spark)
-    inv = file_inventory(spark, table_path).select("path", PARTITION_COL, "length")
+    uri = F.col("_metadata.file_path").alias("uri")
+    inv = spark.read.format("binaryFile").load(table_path).select(uri, PARTITION_COL, "length")
     reader = spark.read.option("ignoreCorruptFiles", "true")
     data = reader.parquet(table_path)
-    uri = F.col("_metadata.file_path").alias("uri")
     counted = data.select(uri).groupBy("uri").agg(F.count(F.lit(1)).alias("rows"))
     extra = []
     if deep:
@@ -151,23 +152,22 @@ def validate_partitions(spark: SparkSession, table_path: str, deep: bool = False
                   .groupBy("uri").agg(F.count(F.lit(1)).alias("rows_read"), F.bit_xor("h").alias("h")))
         counted = counted.join(values, "uri", "left")
         extra = ["rows_read", "h"]
-    # one decode per file, after the per-file aggregate
-    counted = counted.select(file_path(F.col("uri")).alias("path"), "rows", *extra)
-    per_file = inv.join(counted, "path", "left")
+    per_file = inv.join(counted, "uri", "left")
     # Files without rows are few (empty or broken ones); only they are opened,
     # and only when small: a valid Parquet file without rows holds just its
     # schema, so a large file without rows is broken whatever it contains.
-    silent = per_file.filter(F.col("rows").isNull() & (F.col("length") <= EMPTY_FILE_MAX_BYTES)).select("path")
+    silent = (per_file.filter(F.col("rows").isNull() & (F.col("length") <= EMPTY_FILE_MAX_BYTES))
+              .select(file_path(F.col("uri")).alias("path")))           # decoded to open them again
     silent_paths = [r.path for r in silent.collect()]
     if silent_paths:
         heads = (spark.read.format("binaryFile").load(silent_paths)
-                 .select("path", F.length("content").alias("size"),
+                 .select(uri, F.length("content").alias("size"),
                          F.substring("content", 1, 4).alias("head"),
                          F.substring("content", -4, 4).alias("tail")))
         magic = F.lit(bytearray(b"PAR1"))
-        heads = heads.select("path", ((F.col("size") >= 12) & (F.col("head") == magic) &
-                                      (F.col("tail") == magic)).alias("valid"))
-        per_file = per_file.join(heads, "path", "left")
+        heads = heads.select("uri", ((F.col("size") >= 12) & (F.col("head") == magic) &
+                                     (F.col("tail") == magic)).alias("valid"))
+        per_file = per_file.join(heads, "uri", "left")
     else:
         per_file = per_file.withColumn("valid", F.lit(None).cast(T.BooleanType()))
     broken = F.col("rows").isNull() & ~F.coalesce(F.col("valid"), F.lit(False))
