@@ -61,12 +61,16 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is the distributed location every executor can reach.
-    Only when the session has none (a bare local test) is one created and set.
+    Only when the session has none and runs in local mode (a bare test) is
+    one created and set; a cluster session without it is an error, since a
+    folder on the driver's disk is out of the executors' reach.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="lakenorm-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)

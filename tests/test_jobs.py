@@ -318,3 +318,19 @@ def test_convert_database_in_parallel_equals_sequential(spark, tmp_path):
 
 def _rows(df):
     return sorted(str(r) for r in df.select(*sorted(df.columns)).collect())
+
+
+def test_scratch_needs_shared_dir_on_a_cluster():
+    import pytest
+    from types import SimpleNamespace
+    from lakenorm.session import shared_dir
+
+    def session(master, ckpt=None):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: ckpt, set=lambda k, v: None),
+                               sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None,
+                                                            setCheckpointDir=lambda d: None))
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session("spark://head:7077"))
+    assert shared_dir(session("yarn", "hdfs://nn/ckpt/")) == "hdfs://nn/ckpt"
+    assert os.path.isdir(shared_dir(session("local[8]")))
