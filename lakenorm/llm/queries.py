@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import secret_scan
+from . import decontaminate, pii, secret_scan
 
-_MODULES = (secret_scan,)
+_MODULES = (pii, decontaminate, secret_scan)
 
 QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
 ORACLE = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}
