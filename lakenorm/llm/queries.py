@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontaminate, pii, secret_scan
+from . import decontaminate, ngram_join, pii, secret_scan
 
-_MODULES = (pii, decontaminate, secret_scan)
+_MODULES = (pii, decontaminate, secret_scan, ngram_join)
 
 QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
 ORACLE = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}
