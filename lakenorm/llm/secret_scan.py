@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import named, scratch, table
+from .common import named, scratch, stage, table
 
 
 @dataclass(frozen=True)
@@ -137,7 +137,7 @@ EMPTY_SHA256 = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     v, found = scan_secrets(docs, scratch(spark, "secret-ledger"), path="doc_id")
-    d = digest(found)
+    d = stage(digest(found), "secret-digest")    # a join of its own, so a blob of many paths can be split
     zero = [F.coalesce(f"n_{r.name}", F.lit(0)).cast("long").alias(f"n_{r.name}") for r in RULES if r.base]
     return v.join(d, "blob", "left").select(
         F.col("path").alias("doc_id"), *zero, F.coalesce("base_sha256", F.lit(EMPTY_SHA256)).alias("base_sha256"),
