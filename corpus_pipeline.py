@@ -1,8 +1,82 @@
-"""Corpus pipeline: filled in once its stages exist."""
+"""Corpus pipeline over ``documents``: each stage takes what its predecessor
+kept, decides with one of the operators of ``lakenorm.llm``, and its result is
+written as Parquet and read again before the next.
 
-STAGES = []
+1. language ID: documents without an accepted language go;
+2. n-gram Jaccard join: of every group of linked documents the one with the
+   smallest id stays (a repeated row counts once);
+3. benchmark decontamination: documents with a twentieth of their words inside
+   benchmark windows go;
+4. secret scans: documents with a finding of a base rule go;
+5. packing: what is left becomes pieces of full windows.
+
+The filters only subtract: a row whose id is null, and every column, passes
+through as it is. Decisions are by doc_id, so rows that share an id share the
+decision. Ids to drop are written first: Spark broadcasts them while they are
+small and joins by a shuffle beyond that. Empty tables stay empty.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lakenorm.llm.common import scratch, stage, table
+from lakenorm.llm.decontaminate import contaminated, find_contamination
+from lakenorm.llm.language_id import identify_documents
+from lakenorm.llm.ngram_join import jaccard_components
+from lakenorm.llm.packing import pack_documents
+from lakenorm.llm.secret_scan import scan_secrets
+
+
+def _without(docs: DataFrame, ids: DataFrame, label: str) -> DataFrame:
+    """All rows of ``docs`` but those with an id of ``ids(id)``."""
+    drop = stage(ids.where("id is not null").distinct(), label).select(F.col("id").alias("__drop"))
+    return docs.join(drop, docs["doc_id"] == drop["__drop"], "left_anti")
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return _without(docs, identify_documents(docs).where("not accepted").select("id"), "no-language")
+
+
+def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    linked = jaccard_components(docs)
+    kept = _without(docs, linked.where("id <> component_id").select("id"), "near-copies")
+    return kept.dropDuplicates(["doc_id", "text"])
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    return _without(docs, found.where(contaminated(F.col("n_hit"), F.col("n_words"))).select("id"), "contaminated")
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    versions, found = scan_secrets(docs, scratch(spark, "pipeline-ledger"), path="doc_id")
+    leaks = stage(found.where(F.col("rule").isin("assign", "access", "hex")).select("blob").distinct(), "leaks")
+    return _without(docs, versions.join(leaks, "blob", "left_semi").select(F.col("path").alias("id")), "with-secrets")
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack_documents(docs)
+
+
+STAGES = [
+    ("language ID", language_id),
+    ("n-gram Jaccard join", ngram_jaccard),
+    ("benchmark decontamination", decontamination),
+    ("secret scans", secret_scan),
+    ("packing", packing),
+]
+
+#: The tokens and the retrieval of the last stage are not expressible in SQL;
+#: tests/llm compares run() with a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, step in STAGES:
+        out = scratch(spark, f"pipeline-{name.replace(' ', '-')}")
+        step(spark, docs, sf_dir).write.parquet(out)
+        docs = spark.read.parquet(out)
+    return docs
