@@ -236,15 +236,16 @@ def features(src: DataFrame) -> DataFrame:
                                    "keys array<long>, point binary")
 
 
-def blocks(df: DataFrame, group: str, weight: str, limit: int, node: str) -> DataFrame:
+def blocks(df: DataFrame, group: str, weight: str, limit: int, node: str, own: str = "_own") -> DataFrame:
     """Adds the task ``(g, i, j)`` of each row: a group whose weight exceeds the
-    limit is dealt into blocks by node, and every pair of blocks is a task."""
+    limit is dealt into blocks by node (column ``own``), and every pair of
+    blocks is a task."""
     parts = F.greatest(F.lit(1), F.ceil(F.col(weight) / F.lit(limit))).cast("int")
     mine = F.pmod(F.xxhash64(node), F.col("_parts")).cast("int")
-    return (df.withColumn("_parts", parts).withColumn("_mine", mine)
+    return (df.withColumn("_parts", parts).withColumn(own, mine)
             .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
-            .withColumn("g", F.col(group)).withColumn("i", F.least("_mine", "_other"))
-            .withColumn("j", F.greatest("_mine", "_other")).drop("_parts", "_mine", "_other"))
+            .withColumn("g", F.col(group)).withColumn("i", F.least(own, "_other"))
+            .withColumn("j", F.greatest(own, "_other")).drop("_parts", "_other"))
 
 
 def by_task(it, keys=("g", "i", "j")):

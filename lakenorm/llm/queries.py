@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language_id, ngram_join, packing, pii, secret_scan, url_filter
+from . import decontaminate, embedding_dedup, language_id, ngram_join, packing, pii, secret_scan, url_filter
 
-_MODULES = (pii, language_id, decontaminate, secret_scan, ngram_join, packing, url_filter)
+_MODULES = (pii, language_id, decontaminate, secret_scan, ngram_join, packing, embedding_dedup, url_filter)
 
 QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
 ORACLE = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}
