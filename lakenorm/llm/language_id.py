@@ -37,6 +37,7 @@ TRAIN_ROWS = 4000
 EFFECTIVE = 120
 KAPPA = 20.0
 ALPHA = 0.05
+PART = 1 << 20
 #: Log-probability of a trigram outside all languages: uniform over 26 letters and the space.
 BACKGROUND = -math.log(27.0 ** 3)
 ACCEPT = 0.3
@@ -45,14 +46,21 @@ _FOLD = bytes(c if c >= 128 or 97 <= c <= 122 else c + 32 if 65 <= c <= 90 else
 
 
 def trigrams(texts: list):
-    """Per run of texts: (bucket of every trigram, 0 = none, text of each)."""
-    for first, part in pieces([(t or "").encode("utf-8", "surrogatepass").translate(_FOLD) for t in texts]):
-        a = np.frombuffer(b"  ".join(part) + b"   ", np.uint8).astype(np.uint32)
+    """Runs of bounded size: (bucket of every trigram, 0 = none; number of the
+    text, start and length of each of its parts). Long texts are cut into parts
+    that overlap by two bytes, so no trigram is lost."""
+    parts: list[tuple[int, bytes]] = []
+    for i, t in enumerate(texts):
+        b = (t or "").encode("utf-8", "surrogatepass").translate(_FOLD)
+        parts += [(i, b[x:x + PART + 2]) for x in range(0, max(1, len(b) - 2), PART)]
+    for first, run in pieces([b for _, b in parts]):
+        a = np.frombuffer(b"  ".join(run) + b"   ", np.uint8).astype(np.uint32)
         code = a[:-2] << 16 | a[1:-1] << 8 | a[2:]
         bucket = (code * np.uint32(2654435761) >> np.uint32(16)) & np.uint32(BUCKETS - 1)
         space = a == 32
         bucket[(space[1:-1]) | (space[:-2] & space[2:])] = 0
-        yield first, part, bucket, np.cumsum([0] + [len(t) + 2 for t in part])[:-1]
+        size = np.array([len(t) for t in run])
+        yield bucket, [i for i, _ in parts[first:first + len(run)]], np.cumsum(size + 2) - size - 2, size
 
 
 def fit(sample: DataFrame, text: str, label: str) -> tuple[list[str], np.ndarray]:
@@ -61,11 +69,11 @@ def fit(sample: DataFrame, text: str, label: str) -> tuple[list[str], np.ndarray
         for b in it:
             labels = b.column("label").to_pylist()
             sums: dict = {}
-            for first, part, bucket, start in trigrams(b.column("text").to_pylist()):
-                for i, (x, t) in enumerate(zip(start, part)):
-                    if labels[first + i]:
-                        c = np.bincount(bucket[x:x + len(t)], minlength=BUCKETS)
-                        sums[labels[first + i]] = sums.get(labels[first + i], 0) + c
+            for bucket, owner, start, size in trigrams(b.column("text").to_pylist()):
+                for i, x, n in zip(owner, start, size):
+                    if labels[i]:
+                        sums.setdefault(labels[i], np.zeros(BUCKETS, np.int64))
+                        np.add.at(sums[labels[i]], bucket[x:x + n], 1)
             for k, c in sums.items():
                 at = np.flatnonzero(c)
                 yield pa.RecordBatch.from_arrays(
@@ -84,15 +92,11 @@ def fit(sample: DataFrame, text: str, label: str) -> tuple[list[str], np.ndarray
 
 def likelihoods(texts: list, logp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(tempered log-likelihoods [text, class], trigrams per text)."""
-    out, n = [], []
-    for _, part, bucket, start in trigrams(texts):
-        real = np.add.reduceat((bucket > 0).astype(np.int64), start)
-        ll = np.add.reduceat(logp[bucket].astype(np.float64), start, axis=0)
-        n.append(real)
-        out.append(ll * (np.minimum(real, EFFECTIVE) / np.maximum(real, 1))[:, None])
-    if not out:
-        return np.zeros((0, logp.shape[1])), np.zeros(0, np.int64)
-    return np.concatenate(out), np.concatenate(n)
+    ll, n = np.zeros((len(texts), logp.shape[1])), np.zeros(len(texts), np.int64)
+    for bucket, owner, start, _ in trigrams(texts):
+        np.add.at(n, owner, np.add.reduceat((bucket > 0).astype(np.int64), start))
+        np.add.at(ll, owner, np.add.reduceat(logp[bucket], start, axis=0, dtype=np.float64))
+    return ll * (np.minimum(n, EFFECTIVE) / np.maximum(n, 1))[:, None], n
 
 
 def identify(rows: DataFrame, languages: list[str], logp: np.ndarray, accept: float = ACCEPT) -> DataFrame:
