@@ -46,6 +46,7 @@ def named(df: DataFrame, **columns: str) -> DataFrame:
 
 # ------------------------------------------------------------- word hashing
 
+STEP = 1 << 19
 _MULT = 0x9E3779B97F4A7C13          # odd, = 3 (mod 8)
 _BYTE_CODE = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -57,6 +58,26 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_POWERS: dict[str, np.ndarray] = {}
+
+
+def word_sums(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums of a polynomial modulo 2**64 over the bytes, and the factors
+    that shift a difference of them back: ``(s[j] - s[i]) * f[i]`` depends on the
+    bytes i to j alone. The tables of powers grow to the longest array seen."""
+    n = len(a)
+    with np.errstate(over="ignore"):
+        if len(_POWERS.get("up", ())) < n:
+            step = np.full(max(n, 2 * STEP + 4096), _MULT, np.uint64)
+            step[0] = 1
+            _POWERS["up"] = np.cumprod(step)
+            step[1:] = pow(_MULT, -1, 2**64)
+            _POWERS["down"] = np.cumprod(step)
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(_BYTE_CODE[a] * _POWERS["up"][:n], out=sums[1:])
+    return sums, _POWERS["down"]
+
+
 class WordHasher:
     """64-bit hashes of all words of a byte buffer, without a Python loop.
 
@@ -66,26 +87,26 @@ class WordHasher:
 
     def __init__(self, separators: np.ndarray):
         self.sep = separators
-        self.pow = self.inv = np.zeros(0, np.uint64)
-
-    def _powers(self, n: int) -> None:
-        if len(self.pow) >= n:
-            return
-        n = max(n, 1 << 20)
-        with np.errstate(over="ignore"):
-            step = np.full(n, _MULT, np.uint64)
-            step[0] = 1
-            self.pow = np.cumprod(step)
-            step[1:] = pow(_MULT, -1, 2**64)
-            self.inv = np.cumprod(step)
 
     def __call__(self, buf: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """(word hashes, byte position of each word's start) in text order."""
+        """(word hashes, byte position of each word's start) in text order.
+        Worked off in steps of about ``STEP`` bytes, cut between words."""
         a = np.frombuffer(buf, np.uint8)
+        hashes, starts, at = [], [], 0
+        while at < len(a):
+            to = min(at + STEP, len(a))
+            while to < len(a) and not self.sep[a[to]]:      # on to the end of the word
+                gap = np.flatnonzero(self.sep[a[to:to + 4096]])
+                to = to + int(gap[0]) if len(gap) else min(to + 4096, len(a))
+            h, start = self._words(a[at:to])
+            hashes.append(h)
+            starts.append(start + at)
+            at = to
+        return (np.concatenate(hashes) if hashes else np.zeros(0, np.uint64),
+                np.concatenate(starts) if starts else np.zeros(0, np.int64))
+
+    def _words(self, a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n = len(a)
-        if not n:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self._powers(n)
         sep = self.sep[a]
         edge = np.flatnonzero(sep[1:] != sep[:-1]) + 1
         if not sep[0]:
@@ -93,14 +114,13 @@ class WordHasher:
         if not sep[-1]:
             edge = np.concatenate((edge, [n]))
         start, end = edge[0::2], edge[1::2]
+        sums, shift = word_sums(a)
         with np.errstate(over="ignore"):
-            sums = np.zeros(n + 1, np.uint64)
-            np.cumsum(_BYTE_CODE[a] * self.pow[:n], out=sums[1:])
-            h = (sums[end] - sums[start]) * self.inv[start]
+            h = (sums[end] - sums[start]) * shift[start]
             return mix64(h + (end - start).astype(np.uint64)), start
 
 
-def pieces(texts: list, limit: int = 4 << 20):
+def pieces(texts: list, limit: int = 1 << 20):
     """Consecutive runs of rows of about ``limit`` bytes (a longer row is a
     run of its own): (first row, rows)."""
     first, size = 0, 0
