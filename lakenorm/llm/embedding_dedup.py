@@ -178,7 +178,7 @@ def _tile_edges(least: float):
             key = hashlib.blake2b(ids.tobytes(), digest_size=12).digest()
             if key in seen:         # near copies share most of their cells
                 continue
-            if len(seen) < 1_000_000:
+            if len(seen) < 200_000:
                 seen.add(key)
             raw = t.column("small").take(pa.array(at)).to_pylist()
             if len({len(r) for r in raw}) > 1:      # a hash of cells of two dimensions: rare, compared exactly later
