@@ -35,13 +35,14 @@ def stage(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
 
 
 def named(df: DataFrame, **columns: str) -> DataFrame:
-    """Only the named input columns, under internal names: other columns of the
-    input, whatever they are called, cannot clash with those made here."""
-    spare = {f.name for f in df.schema.fields}
-    missing = [c for c in columns.values() if c not in spare]
+    """Only the named input columns, under internal names. Columns are taken by
+    position of the exact name, so other columns of the input, also those whose
+    names differ by case alone, cannot clash with them or with those made here."""
+    missing = [c for c in columns.values() if c not in df.columns]
     if missing:
         raise ValueError(f"missing columns: {missing}")
-    return df.select(*[F.col(f"`{c}`").alias(k) for k, c in columns.items()])
+    flat = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
+    return flat.select(*[F.col(f"_{df.columns.index(c)}").alias(k) for k, c in columns.items()])
 
 
 # ------------------------------------------------------------- word hashing
