@@ -48,19 +48,21 @@ _FOLD = bytes(c if c >= 128 or 97 <= c <= 122 else c + 32 if 65 <= c <= 90 else
 def trigrams(texts: list):
     """Runs of bounded size: (bucket of every trigram, 0 = none; number of the
     text, start and length of each of its parts). Long texts are cut into parts
-    that overlap by two bytes, so no trigram is lost."""
+    that overlap by two bytes, so every trigram is in exactly one."""
     parts: list[tuple[int, bytes]] = []
     for i, t in enumerate(texts):
-        b = (t or "").encode("utf-8", "surrogatepass").translate(_FOLD)
-        parts += [(i, b[x:x + PART + 2]) for x in range(0, max(1, len(b) - 2), PART)]
+        b = b" " + (t or "").encode("utf-8", "surrogatepass").translate(_FOLD) + b" "
+        parts += [(i, b[x:x + PART + 2]) for x in range(0, len(b) - 1, PART)]
     for first, run in pieces([b for _, b in parts]):
-        a = np.frombuffer(b"  ".join(run) + b"   ", np.uint8).astype(np.uint32)
+        a = np.frombuffer(b"".join(run) + b"  ", np.uint8).astype(np.uint32)
         code = a[:-2] << 16 | a[1:-1] << 8 | a[2:]
         bucket = (code * np.uint32(2654435761) >> np.uint32(16)) & np.uint32(BUCKETS - 1)
         space = a == 32
         bucket[(space[1:-1]) | (space[:-2] & space[2:])] = 0
         size = np.array([len(t) for t in run])
-        yield bucket, [i for i, _ in parts[first:first + len(run)]], np.cumsum(size + 2) - size - 2, size
+        end = np.cumsum(size)
+        bucket[end - 2] = bucket[end - 1] = 0       # these reach into the next part
+        yield bucket, [i for i, _ in parts[first:first + len(run)]], end - size, size
 
 
 def fit(sample: DataFrame, text: str, label: str) -> tuple[list[str], np.ndarray]:
