@@ -5,12 +5,12 @@ List entries are events: on a date a value is added to or removed from a list.
 Per (list, action, kind, value) consecutive events become validity intervals
 ``[from, to)``; several events of one date count as one, where a removal wins.
 A capture yields the keys by which a list can name it (its exact address, its
-path prefixes, its host, its parent domains); an equality join on the key with
+path prefixes, its host, its domains including itself); an equality join on the key with
 the range condition ``from <= fetched < to`` finds the entries that were active
 when it was fetched. The most specific kind decides (url, prefix, host,
 domain), and within a kind an allow entry loses to a block entry.
 
-Path prefixes and parent domains are made only as deep as any list entry goes,
+Path prefixes and domains are made only as deep as any list entry goes,
 so an address with thousands of segments costs no more than others. The lists
 are written before the join, whose two sides are then plain shuffles: a host
 that holds a third of all captures is split by adaptive execution, and only
@@ -71,7 +71,7 @@ def evaluate(captures: DataFrame, entries: DataFrame, id_column: str, url: str,
     segment = F.split("path", "/")
     dirs = F.greatest(F.lit(0), F.least(F.size(segment) - 2, F.lit(depth.path or 0)))
     label = F.split("host", r"\.")
-    up = F.greatest(F.lit(0), F.least(F.size(label) - 1, F.lit(depth.labels or 0)))
+    up = F.greatest(F.lit(0), F.least(F.size(label), F.lit(depth.labels or 0)))
     each = lambda n, f: F.when(n > 0, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), f)).otherwise(F.array())
     pair = lambda kind, value: F.struct(F.lit(kind).alias("kind"), value.alias("value"))
     keys = F.concat(
@@ -158,7 +158,7 @@ active AS (SELECT kind, value, date AS since, until, CASE p % 4 WHEN 0 THEN 'ads
 asked AS (SELECT page_id, fetched, 'url' AS kind, address AS value, 3 AS r FROM c WHERE host <> ''
   UNION ALL SELECT page_id, fetched, 'host', host, 1 FROM c WHERE host <> ''
   UNION ALL SELECT page_id, fetched, 'prefix', host || array_to_string(seg[1:i + 1], '/') || '/', 2 FROM (SELECT *, unnest(range(1, len(seg) - 1)) AS i FROM c WHERE host <> '')
-  UNION ALL SELECT page_id, fetched, 'domain', array_to_string(label[len(label) - i + 1:], '.'), 0 FROM (SELECT *, unnest(range(1, len(label))) AS i FROM c WHERE host <> '')),
+  UNION ALL SELECT page_id, fetched, 'domain', array_to_string(label[len(label) - i + 1:], '.'), 0 FROM (SELECT *, unnest(range(1, len(label) + 1)) AS i FROM c WHERE host <> '')),
 hit AS (SELECT page_id, r, action, a.kind, list FROM asked a JOIN active b ON a.kind = b.kind AND a.value = b.value AND since <= fetched AND (until IS NULL OR fetched < until)),
 best AS (SELECT page_id, arg_max(action, r * 2 + CASE WHEN action = 'block' THEN 1 ELSE 0 END) AS action, arg_max(kind, r * 2 + CASE WHEN action = 'block' THEN 1 ELSE 0 END) AS kind, count(*) AS n,
   array_to_string(list_sort(list(DISTINCT list)), ',') AS lists FROM hit GROUP BY page_id)
