@@ -130,6 +130,16 @@ def test_tree_finds_what_the_bound_allows():
         assert true <= set(tree.query(i).tolist())
 
 
+def test_counts_over_255_stay_a_bound():
+    rng = np.random.default_rng(3)
+    s = np.unique(rng.integers(0, 2**63, 120_000, dtype=np.uint64))
+    t = np.concatenate([s[:111_000], np.unique(rng.integers(0, 2**63, 9000, dtype=np.uint64))])
+    t.sort()
+    points = np.array([ngram_join.count_vector(s), ngram_join.count_vector(t)])
+    sizes = np.array([len(s), len(t)])
+    assert points.max() == 255 and ngram_join.forest(points, sizes, [s, t]) == [(0, 1)]
+
+
 def test_one_word_hash_per_word():
     long = "x" * 1_200_000
     (a,), (b,) = ngram_join.Shingler()(["a b c " + long]), ngram_join.Shingler()(["A\nb  c\t" + long + " "])

@@ -1,0 +1,201 @@
+"""Language ID, URL filters and license scans."""
+
+import datetime as dt
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lakenorm.llm import language_id, license_scan, url_filter
+
+from .helpers import docs
+
+SF, SF_FIT = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
+
+
+# ------------------------------------------------------------- language ID
+
+@pytest.fixture(scope="module")
+def model(spark):
+    rows = spark.read.parquet(f"{SF_FIT}/documents.parquet").where("doc_id % 2 = 0")
+    return language_id.fit(rows.select("text", "lang"), "text", "lang")
+
+
+def evidence(spark, rows):
+    return spark.createDataFrame(rows, "id long, text string, declared string, host string, domain string, suffix string")
+
+
+def test_held_out_accuracy(spark, model):
+    rows = spark.read.parquet(f"{SF_FIT}/documents.parquet").where("doc_id % 2 = 1")
+    out = language_id.identify(language_id.document_evidence(rows), *model).join(rows.select(F.col("doc_id").alias("id"), "lang"), "id")
+    right, n = out.agg(F.sum((F.col("text_language") == F.col("lang")).cast("int")), F.count("*")).first()
+    assert right >= 0.98 * n
+    assert out.where("not accepted").count() == 0
+
+
+def test_evidence_decides_where_the_text_does_not(spark):
+    """A model whose texts say little: x is English, y German, the rest either."""
+    logp = np.zeros((language_id.BUCKETS, 3), np.float32)
+    logp[1:, 2] = -3
+    code = lambda t: next(b.tolist()[0] for b, *_ in language_id.trigrams([t]))
+    logp[code("xxx"), 0] = logp[code("yyy"), 1] = -6
+    rows = [(100 + i, "yyy", "de", "a.example.de", "example.de", "de") for i in range(40)]
+    rows += [(200 + i, "xxx", "en", "a.example.com", "example.com", "com") for i in range(40)]
+    rows += [(1, "zzz", "de", None, None, None), (2, "zzz", "en", None, None, None), (3, "zzz", None, "a.example.de", "example.de", "de"),
+             (4, "zzz", None, "new.example.com", "example.com", "com"), (5, "zzz", None, "new.other.de", "other.de", "de"),
+             (6, "xxx", "de", "a.example.com", "example.com", "com")]
+    out = {r.id: r for r in language_id.identify(evidence(spark, rows), ["de", "en"], logp).collect()}
+    assert [out[i].language for i in range(1, 7)] == ["de", "en", "de", "en", "de", "en"]
+    assert out[3].posterior > out[5].posterior          # the host itself says more than its suffix
+
+
+def test_language_edge_rows(spark, model):
+    rows = [(1, None, "en", "h", None, None), (2, "", None, None, None, None), (3, "12 !? 34", "en", "h", None, None),
+            (None, "the thing and that of the", "EN-us", "h", None, None), (5, "the thing and that of the", "xx", None, None, None),
+            (5, "the thing and that of the", "xx", None, None, None), (6, "the thing " * 200_000, None, None, None, None)]
+    out = language_id.identify(evidence(spark, rows), *model).collect()
+    assert len(out) == 7
+    assert all(r.language == "und" and not r.accepted for r in out if r.id in (1, 2, 3))
+    assert all(r.language == "en" and r.accepted for r in out if r.id not in (1, 2, 3))
+    assert language_id.identify(evidence(spark, []), *model).count() == 0
+    nothing = language_id.fit(docs(spark, []).select("text", "lang"), "text", "lang")
+    assert {r.language for r in language_id.identify(evidence(spark, rows[:5]), *nothing).collect()} == {"und"}
+
+
+def test_parts_of_a_long_text_lose_no_trigram(monkeypatch):
+    rng = random.Random(0)
+    text = "".join(rng.choice("abc é") for _ in range(5000))
+    whole = Counter(x for b, *_ in language_id.trigrams([text]) for x in b.tolist() if x)
+    monkeypatch.setattr(language_id, "PART", 97)
+    parts = Counter(x for b, *_ in language_id.trigrams([text]) for x in b.tolist() if x)
+    assert whole == parts
+
+
+def test_pages_use_markup_and_host(spark):
+    pages = spark.createDataFrame([
+        (1, "https://user@WWW.Example.co.uk:8080/a?b", "<html lang='de-AT'><script>the the</script><p>Das &amp; der</p><!-- x -->"),
+        (2, None, None), (3, "nonsense", "plain text")], "page_id long, url string, html string")
+    out = {r.id: r for r in language_id.page_evidence(pages).collect()}
+    assert (out[1].declared, out[1].host, out[1].domain, out[1].suffix) == ("de", "www.example.co.uk", "co.uk", "uk")
+    assert out[1].text.split() == ["Das", "der"]
+    assert (out[2].host, out[3].host, out[3].declared) == (None, None, None)
+    r = language_id.op3_language_id_pages(spark, SF)
+    declared = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", F.regexp_extract("html", 'lang="(..)"', 1).alias("want"))
+    n = declared.count()        # some markup is wrong
+    assert r.count() == n and r.join(declared, "page_id").where("language = want").count() >= 0.95 * n
+
+
+# ------------------------------------------------------------- URL filters
+
+D = dt.date
+
+
+def entries(spark, rows):
+    return spark.createDataFrame(rows, "list string, action string, kind string, value string, date date, event string")
+
+
+LIST = [
+    ("ads", "block", "domain", "bad.com", D(2024, 1, 10), "add"), ("ads", "block", "domain", "bad.com", D(2024, 2, 1), "remove"),
+    ("ads", "block", "domain", "bad.com", D(2024, 3, 1), "add"), ("ads", "block", "domain", "bad.com", D(2024, 3, 1), "add"),
+    ("ads", "block", "host", "x.org", D(2024, 1, 1), "add"), ("ads", "block", "host", "x.org", D(2024, 1, 1), "remove"),
+    ("ok", "allow", "prefix", "a.bad.com/fine/deep/", D(2024, 1, 1), "add"), ("ads", "block", "url", "a.bad.com/fine/deep/x?q=1", D(2024, 1, 1), "add"),
+    ("both", "block", "host", "y.org", D(2024, 1, 1), "add"), ("both2", "allow", "host", "y.org", D(2024, 1, 1), "add"),
+    (None, "block", "host", "z.org", D(2024, 1, 1), "add"), ("ads", "block", "host", "z.org", None, "add"),
+]
+
+
+def test_url_filter_as_of(spark):
+    cases = [
+        ("http://www.a.bad.com/x", D(2024, 1, 9), False, ""), ("http://a.bad.com/x", D(2024, 1, 10), True, "ads"),
+        ("http://A.BAD.com:80/x", D(2024, 1, 31), True, "ads"), ("http://bad.com", D(2024, 2, 1), False, ""),
+        ("http://u@bad.com/#f", D(2030, 1, 1), True, "ads"), ("http://notbad.com/", D(2030, 1, 1), False, ""),
+        ("http://x.org/", D(2024, 6, 1), False, ""), ("http://a.bad.com/fine/deep/y", D(2024, 1, 15), False, "ads,ok"),
+        ("http://a.bad.com/fine/deep/x?q=1#z", D(2024, 1, 15), True, "ads,ok"), ("http://y.org/", D(2024, 1, 15), True, "both,both2"),
+        ("http://z.org/", D(2024, 1, 15), False, ""), (None, D(2024, 1, 15), False, ""), ("http://bad.com/", None, False, ""),
+        ("no address", D(2024, 1, 15), False, ""), ("http://b.bad.com/" + "a/" * 20_000, D(2024, 1, 15), True, "ads"),
+        ("", D(2024, 1, 15), False, ""),
+    ]
+    rows = [(i, u, f, "noise") for i, (u, f, *_) in enumerate(cases)] + [(1, cases[1][0], cases[1][1], "again"), (None, *cases[1][:2], "x")]
+    captures = spark.createDataFrame(rows, "pid long, link string, at date, host string")
+    out = url_filter.evaluate(captures, entries(spark, LIST), "pid", "link", "at").collect()
+    assert len(out) == len(rows)
+    for r in out:
+        want = cases[1 if r.id is None else r.id]
+        assert (r.blocked, r.lists) == want[2:], want
+    empty = url_filter.evaluate(captures, entries(spark, []), "pid", "link", "at")
+    assert empty.where("blocked or n_entries > 0").count() == 0 and empty.count() == len(rows)
+    assert url_filter.evaluate(captures.limit(0), entries(spark, LIST), "pid", "link", "at").count() == 0
+
+
+def test_url_filter_plan_is_native(spark):
+    plan = url_filter.op9_url_filter(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|Cartesian|NestedLoop", plan)
+    pages = [line for line in plan.splitlines() if "pages.parquet" in line]
+    assert pages and not any("html" in line.split("ReadSchema")[-1] for line in pages)
+
+
+# ----------------------------------------------------------- license scans
+
+def cosine_brute(texts, wanted):
+    """Best template of each passage by the same weights, in plain Python."""
+    term = lambda t: re.findall(r"[a-z0-9]+(?:\.[0-9]+)*", t.lower())
+    distinct = {" ".join(term(t)) for t in texts}
+    templates = [(n, term(x)) for n, xs in license_scan.TEMPLATES.items() for x in xs]
+    df = Counter(w for t in distinct for w in set(t.split(" ")) if w) + Counter(w for _, x in templates for w in set(x))
+    n = len(distinct) + len(templates)
+    vec = lambda words: {w: c * math.log(1 + n / df[w]) for w, c in Counter(words).items()}
+    norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    out = []
+    for t in wanted:
+        v = vec(term(t))
+        best = max((sum(x * v.get(w, 0) for w, x in u.items()) / (norm(u) * norm(v) or 1), name)
+                   for name, u in ((name, vec(x)) for name, x in templates))
+        out.append(best)
+    return out
+
+
+def test_license_scores_equal_plain_tfidf(spark):
+    lines = ["Released under the MIT License.", "licensed under the apache license, version 2.0!", "This licence is mine alone, hands off",
+             "Copyright 2020 somebody", "This work is licensed under the GNU General Public License, version 3."]
+    texts = ["some prose\n" + x + "\nmore prose" for x in lines] + ["no cue here", None, ""]
+    out = {r.id: r for r in license_scan.scan_licences(docs(spark, texts, extra=True)).collect()}
+    passages = [p for x, t in zip(lines, texts) for p in (x, x + " more prose", t)]
+    for i, (line, (s, name)) in enumerate(zip(lines, cosine_brute(passages, lines))):
+        if s >= license_scan.THRESHOLD:
+            assert out[i].licence == name and abs(out[i].cosine - s) < 1e-9 and out[i].kind == "header"
+    assert {0, 1, 4} <= set(out) and not {5, 6, 7} & set(out)
+    assert (out[0].licence, out[1].licence, out[4].licence) == ("MIT", "Apache-2.0", "GPL-3.0")
+    assert license_scan.scan_licences(docs(spark, [])).count() == 0
+
+
+def test_wrapped_notice_is_one_block(spark):
+    notice = license_scan.TEMPLATES["MIT"][3]
+    wrapped = "\n".join(re.findall(r".{1,70}(?:\s|$)", notice))
+    (r,) = license_scan.scan_licences(docs(spark, ["int main;\n" + wrapped])).collect()
+    assert r.licence == "MIT" and r.cosine > 0.9
+
+
+def test_nearest_ancestor_gives_the_licence(spark):
+    files = [(1, "LICENSE", "MIT", 0.9, True), (2, "a/b/LICENSE", "GPL-3.0", 0.8, True), (3, "a/x.c", None, None, False),
+             (4, "a/b/c/d/y.c", None, None, False), (5, "a/b/z.c", "Apache-2.0", 0.7, False), (6, "ab/b/q", None, None, False),
+             (7, None, None, None, False), (8, "p/LICENSE", "BSD-3-Clause", 0.7, True), (9, "p/COPYING", "MIT", 0.9, True),
+             (10, "p/q.c", None, None, False), (10, "p/q.c", None, None, False), (11, "top.c", None, None, False)]
+    f = spark.createDataFrame(files, "id long, path string, licence string, cosine double, is_licence_file boolean")
+    out = [(r.id, r.effective, r.inherited_from) for r in license_scan.inherit(f).orderBy("id").collect()]
+    assert out == [(1, "MIT", None), (2, "GPL-3.0", None), (3, "MIT", ""), (4, "GPL-3.0", "a/b"), (5, "Apache-2.0", None), (6, "MIT", ""),
+                   (7, None, None), (8, "BSD-3-Clause", None), (9, "MIT", None), (10, "MIT", "p"), (10, "MIT", "p"), (11, "MIT", "")]
+    assert license_scan.inherit(f.limit(0)).count() == 0
+
+
+def test_op10_finds_every_license_line(spark):
+    rows = spark.read.parquet(f"{SF_FIT}/documents.parquet").select("doc_id", "text").collect()
+    names = {"Released under the MIT License.": "MIT", "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+             "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+             "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0"}
+    want = {r.doc_id: names[line] for r in rows for line in r.text.split("\n") if line in names}
+    got = {r.doc_id: r.own_licence for r in license_scan.op10_license_scan(spark, SF_FIT).collect()}
+    assert len(got) == len(rows) and {d: x for d, x in got.items() if x} == want
