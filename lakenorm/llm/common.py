@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +46,24 @@ def named(df: DataFrame, **columns: str) -> DataFrame:
     return flat.select(*[F.col(f"_{df.columns.index(c)}").alias(k) for k, c in columns.items()])
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Batches of at most 16 MB to Python workers, unless the session asks for less."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key, "67108864").rstrip("b")) > 16 << 20:
+        spark.conf.set(key, str(16 << 20))
+
+
+def slices(it, column: str, limit: int = 2 << 20):
+    """The rows of Arrow batches in runs of about ``limit`` bytes of one column."""
+    for b in it:
+        size = pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False)
+        run = np.cumsum(size, dtype=np.int64) // limit
+        edges = [0, *(np.flatnonzero(run[1:] != run[:-1]) + 1).tolist(), b.num_rows]
+        for x, y in zip(edges[:-1], edges[1:]):
+            if y > x:
+                yield b.slice(x, y - x)
+
+
 # ------------------------------------------------------------- word hashing
 
 STEP = 1 << 19

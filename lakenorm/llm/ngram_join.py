@@ -39,13 +39,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WordHasher, connected_components, mix64, named, pieces, stage, table
+from .common import WordHasher, bounded_batches, connected_components, mix64, named, pieces, slices, stage, table
 
-GROUPS = 64
+GROUPS = 256
 PAGE = 32
 #: Points of a tile, and set members of a component, that one task holds at once.
-BLOCK, BLOCK_MEMBERS = 8192, 4 << 20
+BLOCK, BLOCK_MEMBERS = 8192, 1 << 20
 SAMPLE_DOCS, SAMPLE_LEAST, HOT_MOST = 4000, 4, 1 << 18
+FILTER = 1 << 18
 
 _SEP = np.zeros(256, bool)
 _SEP[[9, 10, 11, 12, 13, 32]] = True
@@ -90,13 +91,21 @@ def needed(a, b):
 
 
 def count_vector(members: np.ndarray, groups: int = GROUPS) -> np.ndarray:
+    """Members per group; a count over 255 is cut, and the rest is what the set's
+    size exceeds the sum by (``bound`` adds it)."""
     c = np.bincount((members >> np.uint64(20)).astype(np.int64) & (groups - 1), minlength=groups)
-    return np.minimum(c, 65535).astype(np.uint16)
+    return np.minimum(c, 255).astype(np.uint8)
 
 
-def bound(q: np.ndarray, q_size: int, points: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Which points may reach the threshold with q: summed coordinate minima."""
-    return np.minimum(points, q).sum(axis=1, dtype=np.int64) >= needed(q_size, sizes)
+def cut_off(points: np.ndarray, sizes):
+    return sizes - points.sum(axis=-1, dtype=np.int64)
+
+
+def bound(q: np.ndarray, q_size: int, points: np.ndarray, sizes: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """Which points may reach the threshold with q: summed coordinate minima,
+    and half of what was cut off on either side."""
+    most = 2 * np.minimum(points, q).sum(axis=1, dtype=np.int64) + rest + cut_off(q, q_size)
+    return most >= 2 * needed(q_size, sizes)
 
 
 class CountRTree:
@@ -127,6 +136,8 @@ class CountRTree:
         self.top = np.array([points[x].max(axis=0) for x in leaves])
         self.low = np.array([sizes[x].min() for x in leaves])
         self.high = np.array([sizes[x].max() for x in leaves])
+        self.rest = cut_off(points, sizes)
+        self.top_rest = np.array([self.rest[x].max() for x in leaves])
 
     def take(self, ids) -> None:
         self.alive[ids] = False
@@ -137,14 +148,14 @@ class CountRTree:
         n, q = int(self.sizes[i]), self.points[i]
         near = np.flatnonzero((self.left > 0) & (100 * self.high >= 85 * n) & (100 * n >= 85 * self.low))
         if len(near):
-            near = near[bound(q, n, self.top[near], np.maximum(self.low[near], -(-85 * n // 100)))]
+            near = near[bound(q, n, self.top[near], np.maximum(self.low[near], -(-85 * n // 100)), self.top_rest[near])]
         if not len(near):
             return np.zeros(0, np.int64)
         ids = np.concatenate([self.leaves[x] for x in near])
         ids = ids[self.alive[ids]]
         s = self.sizes[ids]
         ids = ids[(100 * s >= 85 * n) & (100 * n >= 85 * s)]
-        return ids[bound(q, n, self.points[ids], self.sizes[ids])]
+        return ids[bound(q, n, self.points[ids], self.sizes[ids], self.rest[ids])]
 
 
 def forest(points: np.ndarray, sizes: np.ndarray, sets: list | None = None) -> list[tuple[int, int]]:
@@ -191,7 +202,7 @@ def _hot_order(src: DataFrame) -> np.ndarray:
 
     def counts(it):
         shingle = Shingler()
-        for b in it:
+        for b in slices(it, "text"):
             sets = shingle(b.column("text").to_pylist())
             u, c = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.uint64),) * 2
             yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(c.astype(np.int64))], ["m", "c"])
@@ -222,7 +233,7 @@ def features(src: DataFrame) -> DataFrame:
         shingle = Shingler()
         order = np.argsort(shared.value)
         hot, rank = shared.value[order], (len(order) - order).astype(np.int64)   # the most frequent has the highest
-        for b in it:
+        for b in slices(it, "text"):
             sets = shingle(b.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), pa.array([len(s) for s in sets], pa.int64()),
@@ -291,7 +302,9 @@ def _tile_edges(it):
             at += m
         small.clear()
         a, b = np.array(a), np.array(b)
-        ok = np.minimum(pts[a], pts[b]).sum(axis=1, dtype=np.int64) >= needed(n[a], n[b])
+        rest = cut_off(pts, n)
+        most = 2 * np.minimum(pts[a], pts[b]).sum(axis=1, dtype=np.int64) + rest[a] + rest[b]
+        ok = most >= 2 * needed(n[a], n[b])
         e = np.unique(np.stack([np.maximum(ids[a], ids[b])[ok], np.minimum(ids[a], ids[b])[ok]]), axis=1)
         return pa.RecordBatch.from_arrays([pa.array(e[0]), pa.array(e[1])], ["a", "b"])
 
@@ -304,9 +317,9 @@ def _tile_edges(it):
         key = hashlib.blake2b(ids[order].tobytes(), digest_size=12).digest()
         if key in seen:           # families share most of their tiles
             continue
-        if len(seen) < 1_000_000:
+        if len(seen) < 200_000:
             seen.add(key)
-        pts = np.frombuffer(b"".join(t.column("point").to_pylist()), np.uint16).reshape(len(ids), -1)[order]
+        pts = np.frombuffer(b"".join(t.column("point").to_pylist()), np.uint8).reshape(len(ids), -1)[order]
         n = t.column("n").to_numpy()[order]
         ids = ids[order]
         if len(ids) <= 4:
@@ -329,24 +342,34 @@ def _true_edges(it):
         ids = t.column("rep").to_numpy()
         if len(ids) < 2:
             continue
-        sets = shingle(t.column("text").to_pylist())
-        points = np.array([count_vector(s, 256) for s in sets])
+        sets = [s for b in slices(t.to_batches(), "text") for s in shingle(b.column("text").to_pylist())]
+        del t
+        points = np.array([count_vector(s) for s in sets])
         e = forest(points, np.array([len(s) for s in sets], np.int64), sets)
         if e:
             yield pa.RecordBatch.from_arrays([pa.array(ids[[x for x, _ in e]]), pa.array(ids[[y for _, y in e]])],
                                              ["a", "b"])
 
 
+def _may_be_in(src: DataFrame, members: DataFrame) -> DataFrame:
+    """Rows whose id may be a member's, by a filter of fixed size: at most
+    ``FILTER`` hash values are broadcast. It only spares texts a shuffle; the
+    join that follows decides."""
+    of = lambda c: F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(FILTER))
+    some = members.select(of("rep").cast("int").alias("_f")).distinct()
+    return src.join(F.broadcast(some), of("id").cast("int") == F.col("_f"), "left_semi")
+
+
 def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """``(id, n_shingles, class_id, component_id)`` per input row. ``class_id`` is
     the smallest id with the same set, ``component_id`` the smallest reachable."""
+    bounded_batches(docs.sparkSession)
     src = named(docs, id=id_column, text=text)
     feats = stage(features(src), "jaccard-features", "snappy")
-    classes = (feats.where("n > 0 and id is not null").groupBy("n", "digest")
-               .agg(F.min("id").alias("rep"), F.first("keys").alias("keys"), F.first("point").alias("point")))
-    classes = stage(classes, "jaccard-classes", "snappy")
+    sets = feats.where("n > 0 and id is not null").groupBy("n", "digest")
+    classes = stage(sets.agg(F.min("id").alias("rep"), F.first("point").alias("point")), "jaccard-classes")
 
-    keyed = classes.select(F.explode("keys").alias("key"), "rep")
+    keyed = sets.agg(F.min("id").alias("rep"), F.first("keys").alias("keys")).select(F.explode("keys").alias("key"), "rep")
     keyed = keyed.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("c > 1")
     tiles = blocks(keyed.join(classes.select("rep", "n", "point"), "rep"), "key", "c", BLOCK, "rep")
     maybe = (tiles.select("g", "i", "j", "rep", "n", "point").repartition("g", "i", "j")
@@ -356,7 +379,8 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text: str = "
     sizes = classes.select(F.col("rep").alias("node"), "n")
     weights = near.join(sizes, "node").groupBy("component").agg(F.sum("n").alias("w"))
     members = near.join(weights, "component").select("component", "w", F.col("node").alias("rep"))
-    texts = src.where("text is not null").join(members, F.col("id") == F.col("rep")).select("component", "w", "rep", "text")
+    texts = (_may_be_in(src.where("text is not null"), members).join(members, F.col("id") == F.col("rep"))
+             .select("component", "w", "rep", "text"))
     tasks = blocks(texts, "component", "w", BLOCK_MEMBERS, "rep").select("g", "i", "j", "rep", "text")
     linked = (tasks.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "rep")
               .mapInArrow(_true_edges, "a long, b long"))
