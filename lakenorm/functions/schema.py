@@ -6,7 +6,6 @@ The data work (joins of schema rows, counts) lives in ``operators.schema_diff``.
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import types as T
 
@@ -98,10 +97,6 @@ def unify_schemas(a: T.StructType, b: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in out.items()])
 
 
-def unify_all(schemas: list[T.StructType]) -> T.StructType:
-    return reduce(unify_schemas, schemas, T.StructType([]))
-
-
 def type_string(dt: T.DataType) -> str:
     return dt.simpleString()
 

@@ -23,7 +23,7 @@ merged by exact field name so that the result has one type.
 from __future__ import annotations
 
 import itertools
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -221,6 +221,8 @@ def _build(members: list[Member], target: T.DataType, level: int, opts: Normaliz
             # unwrap_single_field: array<struct<a>> -> array<a>
             v = _var()
             arr = f"transform({arr}, {v} -> {_field(v, elem_target.fields[0].name)})"
+        if has_map(target.elementType):
+            return arr      # maps cannot be compared: such elements are all kept
         if opts.canonical_arrays:
             arr = f"array_sort({arr})"
         return f"array_distinct({arr})"
@@ -336,7 +338,6 @@ def normalize(df: DataFrame, depth: int | None = None, *, rows: str = "keep", pr
     out = df.selectExpr(*exprs)
     if opts.rows == "fuse":
         from .fuse import fuse_arrays
-        # arrays that hold structs in the input (unwrapped ones included)
         # arrays that hold structs in the input (unwrapped ones included) and
         # are still arrays after merging (a collision with a scalar gives string)
         from_structs = {f.name.lower() for f in df.schema.fields if f.name not in keep and is_struct_array(f.dataType)}
@@ -355,6 +356,3 @@ def case_merge(df: DataFrame, precedence: str = "first") -> DataFrame:
     exprs, _ = normalized_exprs(df.schema, opts)
     return df.selectExpr(*exprs)
 
-
-def with_options(opts: NormalizeOptions, **changes) -> NormalizeOptions:
-    return replace(opts, **changes)

@@ -29,7 +29,11 @@ def unfold_structs(df: DataFrame) -> DataFrame:
                 cols.append(F.col(quote(f.name)).getField(c.name).alias(f"{f.name}{PATH_SEP}{c.name}"))
         else:
             cols.append(F.col(quote(f.name)))
-    return df.select(*cols)
+    out = df.select(*cols)
+    twice = sorted({c for c in out.columns if out.columns.count(c) > 1})
+    if twice:
+        raise ValueError(f"unfolding gives two columns of the name {twice[0]!r}")
+    return out
 
 
 def explode_arrays(df: DataFrame, column: str | None = None) -> DataFrame:

@@ -5,10 +5,13 @@ read JSON (inference over exactly those files) -> normalise (one select and
 one distinct) -> align to the table schema -> ``rebalance(dt)`` -> dynamic
 partition overwrite. Partitions are never processed in a driver loop.
 
-Crash safety: data is written before its log rows; a rerun overwrites the
-same partitions (idempotent) and a run that stopped early is noticed through
-the log (``was_interrupted``), after which broken target partitions are
-dropped and redone.
+Crash safety: a run logs the partitions it is going to write as ``started``,
+writes them, and logs them as ``done`` with a summary of the source files it
+read. A partition left ``started`` is redone by the next run, whether or not
+there is new data (a rewrite gives the same rows); the health check then also
+finds broken partitions, which are redone from their source and never deleted
+for being broken. A source partition whose files have changed since its
+conversion (late, replaced or removed files) is work like a new one.
 """
 
 from __future__ import annotations
@@ -28,7 +31,12 @@ from ..sources import fs
 from ..sources import worklog as wl
 from ..sources.json_source import PARTITION_COL, read_json_table
 from ..sources.parquet_sink import read_table, write_partitions
-from ..sources.partitions import drop_partition, non_empty_partitions, partition_names, validate_partitions
+from ..sources.partitions import (drop_partition, non_empty_partitions, partition_files, partition_names, partitions_to_recalc,
+                                  validate_partitions, value_of)
+
+
+# Listing of a partition whose files hold no byte.
+NO_BYTES = "0:0:0"
 
 
 @dataclass
@@ -37,7 +45,9 @@ class ImportResult:
     mode: str                      # "full", "incremental", "rebuild", "none"
     partitions: list[str] = field(default_factory=list)
     schema: T.StructType | None = None
-    dropped: list[str] = field(default_factory=list)
+    dropped: list[str] = field(default_factory=list)     # stale days removed, broken days replaced
+    emptied: list[str] = field(default_factory=list)     # days whose source holds no row any more
+    broken: list[str] = field(default_factory=list)      # broken days without a source, left as they are
 
 
 def _data_schema(schema: T.StructType, partition_col: str = PARTITION_COL) -> T.StructType:
@@ -48,60 +58,81 @@ def _table_name(path: str) -> str:
     return path.rstrip("/").rsplit("/", 1)[-1]
 
 
-def _condition(e: Exception) -> str | None:
-    get = getattr(e, "getCondition", None) or getattr(e, "getErrorClass", None)
-    return get() if get else None
-
-
 def _options(depth, rows, **kw) -> NormalizeOptions:
     return NormalizeOptions(depth=depth, rows=rows, **kw)
 
 
+def _with_day(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(PARTITION_COL, T.StringType())])
+
+
+def _listings(spark: SparkSession, table_path: str, names: list[str] | None = None) -> dict[str, str]:
+    """One entry per partition that holds files. Spark's listing leaves files
+    of no bytes out: a folder that holds nothing else counts as emptied."""
+    if not (fs.exists(spark, table_path) if names is None else names):
+        return {}
+    found = {r.partition: r.listing for r in partition_files(spark, table_path, names).collect()}
+    others = [p for p in (partition_names(spark, table_path) if names is None else names) if p not in found]
+    return found | dict.fromkeys(non_empty_partitions(spark, table_path, others), NO_BYTES)
+
+
+def _read_source(spark: SparkSession, table_path: str, parts: list[str], schema: T.StructType | None = None) -> DataFrame:
+    """The given partitions; files without a byte have no schema and no row."""
+    try:
+        return read_json_table(spark, table_path, partitions=parts, schema=schema)
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return read_json_table(spark, table_path, partitions=[])
+
+
+def _drop_emptied(spark: SparkSession, target_table: str, parts: list[str], written: set) -> list[str]:
+    """Remove the target days among ``parts`` that the run has left without rows."""
+    return [p for p in parts if value_of(p) not in written and drop_partition(spark, target_table, p)]
+
+
 def full_import(spark: SparkSession, source_table: str, target_table: str, log_path: str | None = None,
                 table: str | None = None, depth: int | None = None, rows: str = "keep",
                 legacy_format: bool | None = None, source_schema: T.StructType | None = None,
-                **norm_kw) -> ImportResult:
+                remove_stale: bool = True, carry_schema: T.StructType | None = None, **norm_kw) -> ImportResult:
     """Convert every partition of a JSON table into the Parquet table.
 
     The source is read and normalised before anything is replaced; an empty
-    source changes nothing. Target partitions without a source partition are
-    removed at the end. ``source_schema`` (the raw JSON schema, as kept in
-    the log) skips the inference pass over the whole table.
+    source changes nothing. A day whose files hold no row any more loses its
+    target rows. Target partitions without a source partition are removed at
+    the end (``remove_stale``), or, in a rebuild, rewritten from their own rows
+    in the new schema (``carry_schema``, the schema they have). ``source_schema``
+    (the raw JSON schema, as kept in the log) skips the inference pass.
     """
     configure(spark)
     table = table or _table_name(source_table)
-    folders = partition_names(spark, source_table)
-    if not folders:
+    listings = _listings(spark, source_table)
+    parts = sorted(listings)
+    if not parts:
         return ImportResult(table, "none")
-    try:
-        src = read_json_table(spark, source_table, partitions=folders, schema=source_schema)
-    except AnalysisException as e:
-        if _condition(e) == "UNABLE_TO_INFER_SCHEMA":   # no file in any partition folder
-            return ImportResult(table, "none")
-        raise
+    src = _read_source(spark, source_table, parts, source_schema)
     if not [c for c in src.columns if c != PARTITION_COL]:
         return ImportResult(table, "none")
     opts = _options(depth, rows, **norm_kw)
     norm = normalize(src, options=opts)
-    write_partitions(norm, target_table, legacy_format=legacy_format)
-    # The source was listed once, by the read. Folders that left no target
-    # partition are checked for files: one without files (its data is not
-    # uploaded yet) is not converted and must not be marked done.
-    target_parts = set(partition_names(spark, target_table))
-    unwritten = [p for p in folders if p not in target_parts]
-    parts = sorted([p for p in folders if p in target_parts] + non_empty_partitions(spark, source_table, unwritten))
-    if not parts:
-        return ImportResult(table, "none")
-    stale = sorted(p for p in target_parts if p not in set(folders))
-    for p in stale:
-        drop_partition(spark, target_table, p)
+    stale = [p for p in partition_names(spark, target_table) if p not in listings]
+    if carry_schema is not None and stale:
+        kept = read_table(spark, target_table, schema=_with_day(carry_schema)).filter(
+            F.col(PARTITION_COL).isin([value_of(p) for p in stale]))
+        both = _with_day(normalized_schema(unify_schemas(carry_schema, _data_schema(norm.schema)), opts))
+        norm = align(norm, both).unionByName(align(kept, both))
+    run_id = wl.new_run_id()
+    if log_path:
+        wl.mark_started(spark, log_path, table, parts, run_id)
+    written = write_partitions(norm, target_table, legacy_format=legacy_format)
+    emptied = _drop_emptied(spark, target_table, parts, written)
+    dropped = [p for p in stale if remove_stale and drop_partition(spark, target_table, p)]
     schema = _data_schema(norm.schema)
     if log_path:
-        run_id = wl.new_run_id()
-        for p in stale:
+        for p in dropped:
             wl.remove_partition(spark, log_path, table, p)
-        wl.mark_done(spark, log_path, table, parts, parts[-1], run_id, schema, _data_schema(src.schema))
-    return ImportResult(table, "full", parts, schema, stale)
+        wl.mark_done(spark, log_path, table, parts, parts[-1], run_id, schema, _data_schema(src.schema), listings)
+    return ImportResult(table, "full", parts, schema, dropped, emptied)
 
 
 def table_schema(spark: SparkSession, target_table: str, log_path: str | None, table: str) -> T.StructType:
@@ -127,7 +158,8 @@ def incremental_import(spark: SparkSession, source_table: str, target_table: str
                        table: str | None = None, depth: int | None = None, rows: str = "keep",
                        new_rule: str = "set", numeric_widening: bool = False, strict: str = "symmetric",
                        legacy_format: bool | None = None, **norm_kw) -> ImportResult:
-    """Convert only new partitions (plus the newest converted one).
+    """Convert the partitions that are new, left open by a run that broke off,
+    or changed in their files since (plus the newest converted one).
 
     Falls back to :func:`full_import` when nothing was converted yet, or when
     the new data changes the table schema in a way old partitions cannot be
@@ -135,74 +167,74 @@ def incremental_import(spark: SparkSession, source_table: str, target_table: str
     """
     configure(spark)
     table = table or _table_name(source_table)
-    source_parts = partition_names(spark, source_table)
-    if not source_parts:
+    listings = _listings(spark, source_table)
+    if not listings:
         return ImportResult(table, "none")
     status = wl.table_status(spark, log_path, table)
-    done = status.done
-    if not done or not fs.exists(spark, target_table):
+    if not status.done or not fs.exists(spark, target_table):
         return full_import(spark, source_table, target_table, log_path, table, depth, rows,
                            legacy_format, **norm_kw)
 
-    if new_rule == "max":
-        has_new = max(done) != max(source_parts)
-    else:
-        missing = [p for p in source_parts if p not in set(done)]
-        has_new = bool(non_empty_partitions(spark, source_table, missing))
-    if not has_new:
-        return ImportResult(table, "none")
-
-    dropped: list[str] = []
+    broken: list[str] = []
     if status.interrupted:
+        names = {value_of(p): p for p in partition_names(spark, target_table)}
         health = validate_partitions(spark, target_table).filter(F.col("status") != "ok").collect()
-        for r in health:
-            name = f"{PARTITION_COL}={r[PARTITION_COL]}"
-            drop_partition(spark, target_table, name)
-            wl.remove_partition(spark, log_path, table, name)
-            dropped.append(name)
-        done = [p for p in done if p not in set(dropped)]
-
-    newest_done = max(done) if done else None
-    todo = non_empty_partitions(spark, source_table,
-                                sorted(p for p in source_parts if p not in set(done) or p == newest_done))
-    if not todo:
-        return ImportResult(table, "none", dropped=dropped)
+        broken = sorted(names[r[PARTITION_COL]] for r in health if names[r[PARTITION_COL]] in status.done)
+    lost = [p for p in broken if p not in listings]
+    # one row per partition on either side
+    source = spark.createDataFrame(sorted(listings.items()), "partition string, listing string")
+    done = spark.createDataFrame([(p, status.listings.get(p)) for p in status.done if p not in broken],
+                                 "partition string, listing string")
+    redo = [p for p in broken + status.open if p in listings]
+    if not redo and wl.unsettled(source, done, new_rule).isEmpty():
+        return ImportResult(table, "none", broken=lost)
+    todo = sorted({r.partition for r in partitions_to_recalc(source, done).collect()} | set(redo))
     res = import_partitions(spark, source_table, target_table, log_path, table, todo, status, depth=depth,
                             rows=rows, numeric_widening=numeric_widening, strict=strict,
-                            legacy_format=legacy_format, **norm_kw)
-    res.dropped = dropped
+                            legacy_format=legacy_format, listings=listings, **norm_kw)
+    res.dropped = sorted({*res.dropped, *(p for p in broken if p in listings)})
+    res.broken = lost
     return res
 
 
 def import_partitions(spark: SparkSession, source_table: str, target_table: str, log_path: str, table: str,
                       todo: list[str], status: wl.TableStatus | None = None, depth: int | None = None,
                       rows: str = "keep", numeric_widening: bool = False, strict: str = "symmetric",
-                      legacy_format: bool | None = None, **norm_kw) -> ImportResult:
-    """Convert exactly the partitions ``todo`` of an already converted table.
-
-    One job: infer and read only ``todo``, normalise, unify with the stored
-    table schema, then either align and overwrite those partitions, or - if
-    the unified schema breaks old partitions - rebuild the whole table
-    (reading old partitions with the stored source schema, no inference).
+                      legacy_format: bool | None = None, listings: dict[str, str] | None = None,
+                      **norm_kw) -> ImportResult:
+    """Convert exactly the partitions ``todo``.
+
+    Infer over ``todo`` only and unify with the stored source schema; read
+    ``todo`` with that, so that a value gets the text and type a full import
+    would give it. Then either align and overwrite those partitions, or - if
+    the unified schema breaks old partitions - rebuild the whole table with the
+    unified source schema, which covers every file converted or to be converted.
     """
     status = status or wl.table_status(spark, log_path, table)
+    listings = listings if listings is not None else _listings(spark, source_table, todo)
     opts = _options(depth, rows, **norm_kw)
-    raw = read_json_table(spark, source_table, partitions=todo)   # inference over ``todo`` only
-    old_source = status.source_schema
-    source_schema = unify_schemas(old_source, _data_schema(raw.schema)) if old_source else None
+    raw = _read_source(spark, source_table, todo)   # inference over ``todo`` only
+    source_schema = _data_schema(raw.schema)
+    if status.source_schema is not None:
+        source_schema = unify_schemas(status.source_schema, source_schema)
+        raw = read_json_table(spark, source_table, partitions=todo, schema=source_schema)
     new = normalize(raw, options=opts)
-    old_schema = status.table_schema or _data_schema(read_table(spark, target_table).schema)
-    unified = normalized_schema(unify_schemas(old_schema, _data_schema(new.schema)), opts)
-    if needs_recalc(old_schema, unified, numeric_widening=numeric_widening, strict=strict):
-        res = full_import(spark, source_table, target_table, log_path, table, depth, rows,
-                          legacy_format, source_schema=source_schema, **norm_kw)
-        res.mode = "rebuild"
-        return res
-
-    target = T.StructType(list(unified.fields) + [T.StructField(PARTITION_COL, T.StringType())])
-    write_partitions(align(new, target), target_table, legacy_format=legacy_format)
-    wl.mark_done(spark, log_path, table, todo, todo[-1], wl.new_run_id(), unified, source_schema)
-    return ImportResult(table, "incremental", todo, unified)
+    unified = _data_schema(new.schema)
+    if fs.exists(spark, target_table):
+        old_schema = status.table_schema or _data_schema(read_table(spark, target_table).schema)
+        unified = normalized_schema(unify_schemas(old_schema, unified), opts)
+        if needs_recalc(old_schema, unified, numeric_widening=numeric_widening, strict=strict):
+            res = full_import(spark, source_table, target_table, log_path, table, depth, rows, legacy_format,
+                              source_schema=source_schema, remove_stale=False, carry_schema=old_schema, **norm_kw)
+            res.mode = "rebuild"
+            return res
+
+    run_id = wl.new_run_id()
+    wl.mark_started(spark, log_path, table, todo, run_id)
+    written = write_partitions(align(new, _with_day(unified)), target_table, legacy_format=legacy_format)
+    emptied = _drop_emptied(spark, target_table, todo, written)
+    wl.mark_done(spark, log_path, table, todo, todo[-1], run_id, unified, source_schema, listings)
+    return ImportResult(table, "incremental", todo, unified, emptied=emptied)
 
 
 def convert_database(spark: SparkSession, source_root: str, target_root: str, log_path: str,
@@ -216,6 +248,8 @@ def convert_database(spark: SparkSession, source_root: str, target_root: str, lo
     Results are in table order; the first failure is raised.
     """
     configure(spark)
+    if parallel > 1 and kw.get("legacy_format") is not None:
+        raise ValueError("legacy_format is a session setting: not with parallel > 1")
     names = tables if tables is not None else fs.list_dirs(spark, source_root)
     wl.init_log(spark, log_path)   # before any thread: the seed row is written once
 

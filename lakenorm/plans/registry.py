@@ -4,8 +4,8 @@ Each query takes ``(spark, sf_dir)``, derives its input from the driver's
 tables (``fixtures``), runs the operator on Spark and returns a frame of flat
 scalar columns. ``ORACLE`` holds the same result as DuckDB SQL over the
 tables; ``D`` below is ``strftime(ts,'%Y%m%d')``, ``P`` is ``'dt='||D``.
-Queries whose result depends on the environment (file times, any-row
-picks) have no oracle entry.
+Queries about the environment (file times, any-row picks) return what must
+hold for it whatever it is.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from ..session import configure, scratch_path
 from ..sources import worklog as wl
 from ..sources.json_source import read_json_partition, read_json_table, write_json
 from ..sources.parquet_sink import read_table, write_partitions
-from ..sources.partitions import (drop_partition, file_inventory, latest_file_date, list_partitions,
+from ..sources.partitions import (drop_partition, file_inventory, file_path, latest_file_date, list_partitions,
                                   max_partition, partition_counts, partition_from_path, partitions_to_recalc,
                                   validate_partitions)
 from . import fixtures as fx
@@ -132,8 +132,9 @@ def q_validate_partitions(spark, sf):
     path = scratch_path(spark, "pq-health")
     write_partitions(ev, path)
     from ..sources import fs
-    # two damaged days after the data: a junk file, and a valid file without rows
-    fs.write_text(spark, f"{path}/dt=20240205/part-junk.parquet", "this is not parquet\n")
+    # damaged days: a junk file before all data, beside data, and after it; a valid file without rows
+    for day in ("19990101", "20240110", "20240205"):
+        fs.write_text(spark, f"{path}/dt={day}/part-00000-junk.parquet", "this is not parquet\n")
     empty = ev.filter(F.lit(False)).drop("dt")
     empty.coalesce(1).write.mode("overwrite").parquet(f"{path}/dt=20240206")
     return validate_partitions(spark, path)
@@ -204,8 +205,9 @@ def q_sort_columns(spark, sf):
     staged = cu.select("c_name", F.struct(F.col("c_acctbal").alias("Zeta"), F.col("c_nationkey").alias("alpha"),
                                           F.col("c_mktsegment").alias("Mid")).alias("Info"), "c_custkey")
     norm = normalize(spark.read.json(fx.stage_json(staged, "sort-cols")))
-    rows = [(i, name) for i, (name, _) in enumerate(schema_rows(norm.schema))]
-    return spark.createDataFrame(rows, "pos int, col_name string")
+    # the names in schema order as one text beside the values under them
+    names = ",".join(name for name, _ in schema_rows(norm.schema))
+    return norm.select(F.lit(names).alias("names"), F.to_json(F.struct("*")).alias("row"))
 
 
 def q_fuse_arrays(spark, sf):
@@ -213,7 +215,8 @@ def q_fuse_arrays(spark, sf):
     staged = o.select("o_custkey", "o_orderstatus", F.array(F.struct(F.col("o_orderpriority").alias("Prio")))
                       .alias("Items"))
     norm = normalize(spark.read.json(fx.stage_json(staged, "fuse")), rows="fuse")
-    return norm.select("o_custkey", "o_orderstatus", F.size("items").alias("n_items"))
+    # the elements themselves, each with the number of rows and elements it was folded with
+    return norm.select("o_custkey", "o_orderstatus", F.size("items").alias("n_items"), F.inline_outer("items"))
 
 
 def q_fuse_arrays_single(spark, sf):
@@ -221,7 +224,8 @@ def q_fuse_arrays_single(spark, sf):
     staged = o.select("o_custkey", "o_orderstatus", F.array(F.struct(F.col("o_orderpriority").alias("Prio")))
                       .alias("Items"))
     norm = normalize(spark.read.json(fx.stage_json(staged, "fuse1")), rows="fuse", unwrap_single_field=True)
-    return norm.select("o_custkey", "o_orderstatus", F.size("items").alias("n_items"))
+    return norm.select("o_custkey", "o_orderstatus", F.lit(norm.schema["items"].dataType.simpleString()).alias("items_type"),
+                       F.explode_outer("items").alias("prio"))
 
 
 def q_fuse_arrays_two(spark, sf):
@@ -230,7 +234,8 @@ def q_fuse_arrays_two(spark, sf):
                        F.array(F.struct(F.col("l_linenumber").alias("N"))).alias("A"),
                        F.array(F.struct((F.col("l_quantity").cast("int") % 3).alias("Q"))).alias("B"))
     norm = normalize(spark.read.json(fx.stage_json(staged, "fuse2")), rows="fuse")
-    return norm.select("l_returnflag", "l_linestatus", F.size("a").alias("n_a"), F.size("b").alias("n_b"))
+    of = lambda c, f: F.array_join(F.sort_array(F.transform(c, lambda x: x[f].cast("string"))), ",")
+    return norm.select("l_returnflag", "l_linestatus", of("a", "n").alias("a"), of("b", "q").alias("b"))
 
 
 def q_rows_distinct(spark, sf):
@@ -265,7 +270,11 @@ def q_witness_row(spark, sf):
     df = spark.read.json(fx.stage_json(fx.customer_orders(spark, sf), "witness"))
     # any row will do, so the witness comes from the projection: no dedup shuffle for one row
     w = witness_row(normalized_projection(df))
-    return w.select("c_custkey", F.col("c.name").alias("name"), F.size("os").alias("n_os"))
+    # whichever row it is: every column and field is filled, and an empty array has one element of sentinels
+    no_element = F.size("os") == 1
+    shown = [F.col("c_custkey"), F.col("c.name"), F.col("os")[0]["o_orderkey"], F.col("os")[0]["o_orderstatus"]]
+    n = fx.table(spark, sf, "customer").agg(F.count(F.lit(1)).alias("n_customers"))
+    return w.crossJoin(n).select("n_customers", no_element.alias("one_element"), *[c.isNotNull().alias(f"shown_{i}") for i, c in enumerate(shown)])
 
 
 def q_column_comment(spark, sf):
@@ -322,6 +331,11 @@ def _events_log(spark, sf, where=None, run_by_day=False, max_partition_col=None)
 
 def q_worklog_append(spark, sf):
     path = _events_log(spark, sf)
+    # the jobs' own way to append: a further run per type, started and done
+    for t in sorted(r[0] for r in fx.table(spark, sf, "events").select("event_type").distinct().collect()):
+        run = wl.new_run_id()
+        wl.mark_started(spark, path, t, ["dt=open", "dt=extra"], run)
+        wl.mark_done(spark, path, t, ["dt=extra"], "dt=open", run)
     return wl.done_partitions(wl.read_log(spark, path))
 
 
@@ -344,9 +358,9 @@ def q_worklog_latest_run(spark, sf):
 
 
 def q_max_done_partition(spark, sf):
-    path = _events_log(spark, sf)
-    done = wl.done_partitions(wl.read_log(spark, path))
-    return done.groupBy("table").agg(F.max("partition").alias("max_done_partition"))
+    log = wl.read_log(spark, _events_log(spark, sf))
+    types = sorted(r[0] for r in fx.table(spark, sf, "events").select("event_type").distinct().collect())
+    return union_by_name([wl.max_done_partition(log, t).withColumn("table", F.lit(t)) for t in types])
 
 
 def q_was_interrupted(spark, sf):
@@ -362,9 +376,9 @@ def q_has_new_partitions(spark, sf):
     keep = (fx.day() < "20240120") | (F.col("event_type") == "click")
     log = wl.read_log(spark, _events_log(spark, sf, where=keep))
     source = list_partitions(spark, fx.stage_messy_events(spark, sf))
-    newest_source = source.agg(F.max("partition")).scalar()
-    done = wl.done_partitions(log)
-    return done.groupBy("table").agg((F.max("partition") != newest_source).alias("has_new"))
+    types = sorted(r[0] for r in fx.table(spark, sf, "events").select("event_type").distinct().collect())
+    rows = [(t, wl.has_new_partitions(log, source, t), wl.has_new_partitions(log, source, t, rule="max")) for t in types]
+    return spark.createDataFrame(rows, "table string, has_new boolean, has_new_max boolean")
 
 
 # ------------------------------------------------------------ schema algebra
@@ -461,11 +475,105 @@ def q_convert_database(spark, sf):
 
 
 def q_file_inventory(spark, sf):
-    return file_inventory(spark, fx.stage_messy_events(spark, sf))
+    """Rows of the files that the inventory lists, per day: each file is found
+    under its path, has a length and a time."""
+    path = fx.stage_messy_events(spark, sf)
+    rows = (read_json_table(spark, path).select(file_path().alias("_path")).groupBy("_path").agg(F.count(F.lit(1)).alias("n")))
+    inv = file_inventory(spark, path).where("length > 0 and modificationTime is not null")
+    # both name a file by its plain path; one has the scheme's slashes
+    plain = lambda c: F.regexp_replace(c, "^file:/*", "/")
+    return (inv.join(rows, plain(F.col("path")) == plain(F.col("_path"))).groupBy("dt")
+            .agg(F.sum("n").alias("n_rows"), F.count_distinct("path").alias("n_files")).select("dt", "n_rows", (F.col("n_files") > 0).alias("listed")))
 
 
 def q_latest_file_date(spark, sf):
-    return latest_file_date(spark, fx.stage_messy_events(spark, sf))
+    before = spark.sql("select date_format(current_timestamp(), 'yyyy-MM-dd') as d").first().d
+    path = fx.stage_messy_events(spark, sf)
+    newest = file_inventory(spark, path).agg(F.date_format(F.max("modificationTime"), "yyyy-MM-dd").alias("d")).first().d
+    events = fx.table(spark, sf, "events").agg(F.count(F.lit(1)).alias("n_events"))
+    return latest_file_date(spark, path).crossJoin(events).select(
+        "n_events", (F.col("latest_file_date") >= before).alias("is_new"), (F.col("latest_file_date") == newest).alias("is_newest"))
+
+
+# ------------------------------------------------- jobs over changing sources
+
+def _events_rows(spark, tgt, log):
+    return read_converted(spark, tgt, log, "events")
+
+
+def q_incremental_many_partitions(spark, sf):
+    """``events`` by day and hour: hundreds of folders with escaped names."""
+    src, tgt, log = (scratch_path(spark, x) for x in ("events-hours", "pq-hours", "log-hours"))
+    ev = fx.table(spark, sf, "events").select("event_id", "event_type", F.date_format("ts", "yyyyMMdd:HH").alias("dt"))
+    fx.stage_json(ev.where("dt < '20240105'"), "", src)
+    incremental_import(spark, src, tgt, log, table="events")
+    fx.stage_json(ev.where("dt >= '20240105'"), "", src)
+    incremental_import(spark, src, tgt, log, table="events")
+    return _events_rows(spark, tgt, log).select("event_id", "event_type", "dt")
+
+
+def q_incremental_late_files(spark, sf):
+    """Half of three days arrives late, with a new column; then a type change in
+    a later day forces a rebuild."""
+    src, tgt, log = (scratch_path(spark, x) for x in ("events-late", "pq-late", "log-late"))
+    d, even = fx.day(), F.col("event_id") % 2 == 0
+    ev = fx.table(spark, sf, "events")
+    late = d.isin("20240102", "20240105", "20240109") & even
+    base = [F.col("event_id"), F.col("user_id").alias("User"), d.alias("dt")]
+    fx.stage_json(ev.where(~late & (d <= "20240120")).select(*base), "", src)
+    incremental_import(spark, src, tgt, log, table="events")
+    fx.stage_json(ev.where(late).select(*base, F.col("event_type").alias("Late")), "", src)
+    incremental_import(spark, src, tgt, log, table="events")
+    text = F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("User")
+    fx.stage_json(ev.where(d > "20240120").select("event_id", text, d.alias("dt")), "", src)
+    assert incremental_import(spark, src, tgt, log, table="events").mode == "rebuild"
+    return _events_rows(spark, tgt, log).select("event_id", "user", "late", "dt")
+
+
+def q_incremental_type_change(spark, sf):
+    """A column that is text first and a number, a flag or an object in later days."""
+    src, tgt, log = (scratch_path(spark, x) for x in ("events-types", "pq-types", "log-types"))
+    d = fx.day()
+    ev = fx.table(spark, sf, "events")
+    steps = [(d <= "20240110", F.col("event_type")), ((d > "20240110") & (d <= "20240115"), F.col("event_id")),
+             ((d > "20240115") & (d <= "20240120"), F.col("event_id") % 2 == 0),
+             (d > "20240120", F.struct(F.col("event_id").alias("B"), F.col("event_type").alias("a")))]
+    for where, value in steps:
+        fx.stage_json(ev.where(where).select("event_id", value.alias("v"), d.alias("dt")), "", src)
+        incremental_import(spark, src, tgt, log, table="events")
+    return _events_rows(spark, tgt, log).select("event_id", "v", "dt")
+
+
+def q_import_after_crash(spark, sf):
+    """The first run breaks off after its data was written, before its log was;
+    the next one repairs it without new data."""
+    src, tgt, log = (scratch_path(spark, x) for x in ("events-crash", "pq-crash", "log-crash"))
+    fx.stage_messy_events(spark, sf, src, where=fx.day() <= "20240115")
+    incremental_import(spark, src, tgt, log, table="events")
+    fx.stage_messy_events(spark, sf, src, where=fx.day() > "20240115", extra=True)
+    parts = sorted(r.partition for r in list_partitions(spark, src).collect())
+    # what such a run leaves: its started rows and a part of its data
+    wl.mark_started(spark, log, "events", parts[-10:], wl.new_run_id())
+    write_partitions(normalize(read_json_table(spark, src, parts[-10:-5])).drop("extra").limit(100), tgt)
+    interrupted = wl.was_interrupted(spark, log, "events")
+    again = incremental_import(spark, src, tgt, log, table="events")
+    settled = incremental_import(spark, src, tgt, log, table="events")
+    return _flat_events(_events_rows(spark, tgt, log)).withColumn("repaired", F.lit(
+        interrupted and set(parts[-10:]) <= set(again.partitions) and settled.mode == "none"
+        and not wl.was_interrupted(spark, log, "events")))
+
+
+def q_incremental_emptied_day(spark, sf):
+    """A converted day whose source files are replaced by files without rows."""
+    src, tgt, log = (scratch_path(spark, x) for x in ("events-emptied", "pq-emptied", "log-emptied"))
+    from ..sources import fs
+    fx.stage_messy_events(spark, sf, src)
+    incremental_import(spark, src, tgt, log, table="events")
+    for day in ("dt=20240103", "dt=20240117"):
+        fs.delete_dir(spark, f"{src}/{day}")
+        fs.write_text(spark, f"{src}/{day}/part-0.json", "\n" if day.endswith("3") else "")
+    incremental_import(spark, src, tgt, log, table="events")
+    return _flat_events(_events_rows(spark, tgt, log))
 
 
 QUERIES: dict[str, Query] = {
@@ -524,6 +632,11 @@ QUERIES: dict[str, Query] = {
     "incremental_import": q_incremental_import,
     "stream_import": q_stream_import,
     "convert_database": q_convert_database,
+    "incremental_many_partitions": q_incremental_many_partitions,
+    "incremental_late_files": q_incremental_late_files,
+    "incremental_type_change": q_incremental_type_change,
+    "incremental_emptied_day": q_incremental_emptied_day,
+    "import_after_crash": q_import_after_crash,
 }
 
 _EVENTS_FLAT = (f"SELECT DISTINCT event_id, user_id, event_type, value, "
@@ -549,8 +662,13 @@ ORACLE: dict[str, str] = {
                             "SELECT partition FROM s WHERE partition NOT IN "
                             "(SELECT partition FROM c WHERE partition < (SELECT max(partition) FROM c))",
     "partition_counts": f"SELECT {D} AS dt, count(*) AS n FROM events GROUP BY 1",
-    "validate_partitions": f"SELECT DISTINCT {D} AS dt, 'ok' AS status FROM events UNION ALL "
-                           "SELECT * FROM (VALUES ('20240205','unreadable'), ('20240206','empty')) t(dt, status)",
+    "validate_partitions": f"SELECT DISTINCT {D} AS dt, 'ok' AS status FROM events WHERE {D} <> '20240110' UNION ALL "
+                           "SELECT * FROM (VALUES ('19990101','unreadable'), ('20240110','unreadable'), ('20240205','unreadable'), "
+                           "('20240206','empty')) t(dt, status)",
+    "file_inventory": f"SELECT {D} AS dt, 2 * count(*) AS n_rows, true AS listed FROM events GROUP BY 1",
+    "latest_file_date": "SELECT count(*) AS n_events, true AS is_new, true AS is_newest FROM events",
+    "witness_row": "SELECT count(*) AS n_customers, true AS one_element, true AS shown_0, true AS shown_1, true AS shown_2, "
+                   "true AS shown_3 FROM customer",
     "case_merge": "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN lang WHEN doc_id % 3 = 0 THEN 'x-' || lang END "
                   "AS lang FROM documents",
     "case_merge_types": "SELECT event_id, CASE WHEN event_id % 2 = 0 THEN CAST(event_id AS VARCHAR) "
@@ -566,16 +684,17 @@ ORACLE: dict[str, str] = {
     "fold_arrays": "SELECT DISTINCT conv_id, turn, role FROM conversations",
     "normalize_schema": "SELECT DISTINCT l_orderkey, l_orderkey AS k, CAST(l_linenumber AS BIGINT) AS lineno, "
                         "l_partkey AS partkey FROM lineitem",
-    "sort_columns": "SELECT * FROM (VALUES (0,'c_custkey'), (1,'c_name'), (2,'info___alpha'), (3,'info___mid'), "
-                    "(4,'info___zeta')) t(pos, col_name)",
-    "fuse_arrays": "SELECT o_custkey, o_orderstatus, CAST(count(DISTINCT o_orderpriority) AS INTEGER) AS n_items "
-                   "FROM orders GROUP BY 1, 2",
-    "fuse_arrays_single": "SELECT o_custkey, o_orderstatus, CAST(count(DISTINCT o_orderpriority) AS INTEGER) "
-                          "AS n_items FROM orders GROUP BY 1, 2",
+    "sort_columns": "SELECT 'c_custkey,c_name,info___alpha,info___mid,info___zeta' AS names, '{\"c_custkey\":' || c_custkey || "
+                    "',\"c_name\":\"' || c_name || '\",\"info\":{\"alpha\":' || c_nationkey || ',\"mid\":\"' || c_mktsegment || "
+                    "'\",\"zeta\":' || CAST(c_acctbal AS DOUBLE) || '}}' AS row FROM customer",
+    "fuse_arrays": "SELECT DISTINCT o_custkey, o_orderstatus, CAST(count(DISTINCT o_orderpriority) OVER (PARTITION BY o_custkey, "
+                   "o_orderstatus) AS INTEGER) AS n_items, o_orderpriority AS prio FROM orders",
+    "fuse_arrays_single": "SELECT DISTINCT o_custkey, o_orderstatus, 'array<string>' AS items_type, o_orderpriority AS prio FROM orders",
     "fuse_arrays_two": "WITH a AS (SELECT l_returnflag, l_linestatus, CAST(l_quantity AS INTEGER) % 3 AS q, "
                        "list_sort(list(DISTINCT l_linenumber)) AS ns FROM lineitem GROUP BY 1, 2, 3) "
-                       "SELECT l_returnflag, l_linestatus, CAST(len(ns) AS INTEGER) AS n_a, "
-                       "CAST(count(DISTINCT q) AS INTEGER) AS n_b FROM a GROUP BY l_returnflag, l_linestatus, ns",
+                       "SELECT l_returnflag, l_linestatus, array_to_string(ns, ',') AS a, "
+                       "string_agg(DISTINCT CAST(q AS VARCHAR), ',' ORDER BY CAST(q AS VARCHAR)) AS b FROM a "
+                       "GROUP BY l_returnflag, l_linestatus, ns",
     "rows_distinct": "SELECT DISTINCT user_id, event_type FROM events",
     "union_by_name": "SELECT c_custkey AS k, c_mktsegment AS segment, CAST(NULL AS DOUBLE) AS bal FROM customer "
                      "UNION ALL SELECT s_suppkey, NULL, s_acctbal FROM supplier",
@@ -589,7 +708,7 @@ ORACLE: dict[str, str] = {
     "filter_eq": "SELECT event_id, user_id FROM events WHERE event_type = 'view'",
     "filter_not": "SELECT event_id FROM events WHERE NOT (event_type = 'click')",
     "filter_contains": "SELECT p_partkey FROM part WHERE contains(p_name, 'ring')",
-    "worklog_append": f'SELECT DISTINCT event_type AS "table", {P} AS partition FROM events',
+    "worklog_append": f'SELECT DISTINCT event_type AS "table", unnest([{P}, \'dt=extra\']) AS partition FROM events',
     "worklog_remove_partition": f'SELECT DISTINCT event_type AS "table", {P} AS partition FROM events '
                                 f"WHERE event_type <> 'click' OR {D} <> '20240102'",
     "worklog_remove_table": f'SELECT DISTINCT event_type AS "table", {P} AS partition FROM events '
@@ -601,7 +720,8 @@ ORACLE: dict[str, str] = {
     "max_done_partition": f'SELECT event_type AS "table", max({P}) AS max_done_partition FROM events GROUP BY 1',
     "was_interrupted": f'SELECT event_type AS "table", max({P}) <> (SELECT max({P}) FROM events) AS interrupted '
                        f"FROM events WHERE event_type <> 'click' OR {D} <= '20240125' GROUP BY 1",
-    "has_new_partitions": f'SELECT event_type AS "table", max({P}) <> (SELECT max({P}) FROM events) AS has_new '
+    "has_new_partitions": f'SELECT event_type AS "table", count(DISTINCT {D}) < (SELECT count(DISTINCT {D}) FROM events) AS has_new, '
+                          f"max({P}) <> (SELECT max({P}) FROM events) AS has_new_max "
                           f"FROM events WHERE {D} < '20240120' OR event_type = 'click' GROUP BY 1",
     "schema_rows": "SELECT * FROM (VALUES ('c___name','string'), ('c_custkey','bigint'), "
                    "('os_exploded___o_orderkey','bigint'), ('os_exploded___o_orderstatus','string')) "
@@ -615,6 +735,17 @@ ORACLE: dict[str, str] = {
                     "('root_added',false)) t(\"check\", rebuild)",
     "is_flat": "SELECT * FROM (VALUES ('events',true), ('customer_orders',false)) t(frame, is_flat)",
     "full_import": _EVENTS_FLAT,
+    "incremental_many_partitions": "SELECT event_id, event_type, strftime(ts,'%Y%m%d:%H') AS dt FROM events",
+    "incremental_late_files": f"SELECT DISTINCT event_id, CASE WHEN {D} > '20240120' THEN 'u' ELSE '' END || user_id AS \"user\", "
+                              f"CASE WHEN {D} IN ('20240102','20240105','20240109') AND event_id % 2 = 0 THEN event_type END AS late, "
+                              f"{D} AS dt FROM events",
+    "incremental_type_change": f"SELECT event_id, CASE WHEN {D} <= '20240110' THEN event_type WHEN {D} <= '20240115' THEN "
+                               f"CAST(event_id AS VARCHAR) WHEN {D} <= '20240120' THEN CAST(event_id % 2 = 0 AS VARCHAR) ELSE "
+                               f"'{{\"B\":' || event_id || ',\"a\":\"' || event_type || '\"}}' END AS v, {D} AS dt FROM events",
+    "incremental_emptied_day": _EVENTS_FLAT + f" WHERE {D} NOT IN ('20240103', '20240117')",
+    "import_after_crash": f"SELECT *, true AS repaired FROM (SELECT DISTINCT event_id, user_id, event_type, value, "
+                          f"CAST(json_extract(props,'$.k') AS BIGINT) AS k, "
+                          f"CASE WHEN {D} > '20240115' THEN event_id % 7 END AS extra, {D} AS dt FROM events)",
     "stream_import": _EVENTS_FLAT,
     "convert_database": f"SELECT CASE WHEN event_type = 'click' THEN 'clicks' ELSE 'rest' END AS tbl, event_id, "
                         f"{D} AS dt FROM events",

@@ -30,13 +30,11 @@ SESSION_SETTINGS = {
 }
 
 
-def configure(spark: SparkSession, legacy_parquet: bool | None = None) -> SparkSession:
+def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings above to a running session (idempotent)."""
     for key, value in SESSION_SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
-    if legacy_parquet is not None:
-        spark.conf.set("spark.sql.parquet.writeLegacyFormat", str(bool(legacy_parquet)).lower())
     return spark
 
 

@@ -6,6 +6,7 @@ delete exactly one directory). File contents are always read by Spark.
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -42,7 +43,9 @@ def has_files(spark: SparkSession, path: str) -> bool:
         folder = pending.pop()
         try:
             entries = fs.listStatusIterator(folder)
-        except Exception:  # the folder does not exist (any more)
+        except Py4JJavaError as e:
+            if e.java_exception.getClass().getName() != "java.io.FileNotFoundException":
+                raise               # a listing that fails says nothing about the folder
             continue
         while entries.hasNext():
             st = entries.next()
@@ -76,6 +79,32 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(out)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` as Spark's file sources report it (scheme and authority included)."""
+    fs, p = _fs_path(spark, path)
+    return fs.makeQualified(p).toString()
+
+
+def parquet_rows(spark: SparkSession, path: str) -> int | None:
+    """Rows that a Parquet file's footer promises; None if it is not a readable
+    Parquet file. Any other failure (the storage is out of reach, access is
+    denied) is raised: it says nothing about the file."""
+    jvm = spark.sparkContext._jvm
+    fs, p = _fs_path(spark, path)
+    fs.open(p).close()                               # reaches the storage, or raises
+    try:
+        footer = jvm.org.apache.parquet.hadoop.ParquetFileReader.readFooter(spark.sparkContext._jsc.hadoopConfiguration(), p)
+    except Py4JJavaError as e:
+        names, cause = [], e.java_exception
+        while cause is not None:
+            names.append(cause.getClass().getName())
+            cause = cause.getCause()
+        if any("parquet" in n or n.startswith("java.lang.") for n in names) or "is not a Parquet file" in str(e.java_exception):
+            return None
+        raise
+    return sum(b.getRowCount() for b in footer.getBlocks())
+
+
 def delete_file(spark: SparkSession, path: str) -> bool:
     """Delete one file (not a directory)."""
     fs, p = _fs_path(spark, path)

@@ -9,21 +9,22 @@ an incremental run infers over the new partitions only.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import configure
+from . import fs
 
 PARTITION_COL = "dt"
 
 
-def _reader(spark: SparkSession, schema: T.StructType | str | None, corrupt: str):
-    r = spark.read.option("mode", "PERMISSIVE")
-    if corrupt == "drop":
-        r = r.option("mode", "DROPMALFORMED")
-    if schema is not None:
-        r = r.schema(schema)
-    return r
+def _reader(spark: SparkSession, corrupt: str):
+    return spark.read.option("mode", "DROPMALFORMED" if corrupt == "drop" else "PERMISSIVE")
+
+
+def infer_json_schema(spark: SparkSession, paths: list[str], corrupt: str = "keep") -> T.StructType:
+    """Schema of the data itself, without partition columns: one distributed
+    pass over exactly these folders."""
+    return _reader(spark, corrupt).option("recursiveFileLookup", "true").json(paths).schema
 
 
 def read_json_table(spark: SparkSession, table_path: str, partitions: list[str] | None = None,
@@ -34,21 +35,27 @@ def read_json_table(spark: SparkSession, table_path: str, partitions: list[str]
     ``partitions`` holds partition values (``"20240101"``) or directory names
     (``"dt=20240101"``). Only those directories are listed and inferred; the
     ``dt`` column is still present (``basePath``). ``corrupt="keep"`` keeps
-    malformed lines in ``_corrupt_record``, ``"drop"`` drops them.
+    malformed lines in ``_corrupt_record``, ``"drop"`` drops them. Data that
+    holds a key named like the partition column, in any case, is an error: its
+    values would be lost behind the folder's.
     """
     configure(spark)
-    r = _reader(spark, schema, corrupt)
-    if partitions is None:
-        df = r.json(table_path)
-    else:
-        if not partitions:
-            return spark.createDataFrame([], T.StructType([T.StructField(partition_col, T.StringType())]))
-        dirs = [p if "=" in p else f"{partition_col}={p}" for p in partitions]
-        df = r.option("basePath", table_path).json([f"{table_path.rstrip('/')}/{d}" for d in dirs])
-    data_names = [c for c in df.columns if c != partition_col]
-    if any(c.lower() == partition_col for c in data_names):
-        raise ValueError(f"the data holds a column named like the partition column {partition_col!r}")
-    return df
+    dirs = partitions
+    if dirs is None:
+        dirs = [d for d in fs.list_dirs(spark, table_path) if d.startswith(f"{partition_col}=")]
+        if not dirs:
+            return _reader(spark, corrupt).json(table_path) if schema is None else _reader(spark, corrupt).schema(schema).json(table_path)
+    elif not dirs:
+        return spark.createDataFrame([], T.StructType([T.StructField(partition_col, T.StringType())]))
+    paths = [f"{table_path.rstrip('/')}/{p if '=' in p else f'{partition_col}={p}'}" for p in dirs]
+    if schema is None:
+        data = infer_json_schema(spark, paths, corrupt)
+        if any(f.name.lower() == partition_col for f in data.fields):
+            raise ValueError(f"the data holds a column named like the partition column {partition_col!r}")
+        schema = data
+    if not isinstance(schema, str) and partition_col not in schema.fieldNames():
+        schema = T.StructType([*schema.fields, T.StructField(partition_col, T.StringType())])
+    return _reader(spark, corrupt).schema(schema).option("basePath", table_path).json(paths)
 
 
 def read_json_partition(spark: SparkSession, table_path: str, partition: str,
@@ -61,11 +68,6 @@ def read_json_partition(spark: SparkSession, table_path: str, partition: str,
     return read_json_table(spark, table_path, [partition], schema=schema)
 
 
-def json_props(df: DataFrame, column: str, schema: T.StructType | str) -> DataFrame:
-    """Parse a string column holding JSON into a struct (``from_json``)."""
-    return df.withColumn(column, F.from_json(F.col(column), schema))
-
-
 def write_json(df: DataFrame, path: str, mode: str = "append", partition_col: str | None = PARTITION_COL,
                compression: str | None = None) -> None:
     """JSON lines sink; appends by default (S6), partitioned by ``dt`` if present."""

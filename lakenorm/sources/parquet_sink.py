@@ -11,27 +11,57 @@ data volume instead of ``tasks x days``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import configure
-from . import fs
 
 PARTITION_COL = "dt"
 
 
+LEGACY = "spark.sql.parquet.writeLegacyFormat"
+
+
+@contextmanager
+def _legacy(spark: SparkSession, value: bool | None):
+    """The session's legacy switch, for one write only."""
+    if value is None:
+        yield
+        return
+    before = spark.conf.get(LEGACY)
+    spark.conf.set(LEGACY, str(bool(value)).lower())
+    try:
+        yield
+    finally:
+        spark.conf.set(LEGACY, before)
+
+
 def write_partitions(df: DataFrame, table_path: str, partition_col: str = PARTITION_COL,
-                     rebalance: bool = True, legacy_format: bool | None = None) -> None:
-    """Replace exactly the ``dt`` partitions present in ``df``."""
+                     rebalance: bool = True, legacy_format: bool | None = None) -> set[str | None]:
+    """Replace exactly the ``dt`` partitions present in ``df``; returns their
+    values (one per day, observed during the write)."""
     spark = df.sparkSession
-    configure(spark, legacy_parquet=legacy_format)
-    out = df
+    configure(spark)
+    out, seen = df, None
+    if partition_col in df.columns:
+        seen = Observation(f"days-{uuid.uuid4().hex}")
+        day = F.col(partition_col)
+        out = out.observe(seen, F.collect_set(day).alias("days"), F.count(F.when(day.isNull(), 1)).alias("nulls"))
     if rebalance and partition_col in df.columns:
         out = out.hint("rebalance", partition_col)
     w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if partition_col in df.columns:
         w = w.partitionBy(partition_col)
-    w.parquet(table_path)
+    with _legacy(spark, legacy_format):
+        w.parquet(table_path)
+    if seen is None:
+        return set()
+    got = seen.get
+    return set(got["days"] or []) | ({None} if got["nulls"] else set())
 
 
 def read_table(spark: SparkSession, table_path: str, schema: T.StructType | None = None,
@@ -43,7 +73,3 @@ def read_table(spark: SparkSession, table_path: str, schema: T.StructType | None
     if schema is not None:
         r = r.schema(schema)
     return r.parquet(table_path)
-
-
-def table_exists(spark: SparkSession, table_path: str) -> bool:
-    return fs.exists(spark, table_path) and bool(fs.list_dirs(spark, table_path))

@@ -8,6 +8,10 @@ by Spark (in parallel for large trees) rather than one storage page at a time.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,16 +24,14 @@ PARTITION_COL = "dt"
 # Regex for the directory that holds a file (fixed pattern): the last
 # directory name before the file name.
 PARENT_DIR_PATTERN = r".*/([^/]+)/[^/]+$"
+# Folder value of null (fixed by the file format).
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def partition_name(value: str, partition_col: str = PARTITION_COL) -> str:
     return value if "=" in value else f"{partition_col}={value}"
 
 
-def partition_value(name: str) -> str:
-    return name.split("=", 1)[1] if "=" in name else name
-
-
 def file_inventory(spark: SparkSession, table_path: str) -> DataFrame:
     """One row per data file: ``path, dt, length, modificationTime``."""
     configure(spark)
@@ -57,9 +59,26 @@ def partition_from_path(df: DataFrame, out: str = "partition") -> DataFrame:
 
 
 def list_partitions(spark: SparkSession, table_path: str) -> DataFrame:
-    """Distinct partition directory names (``dt=YYYYMMDD``) holding files."""
-    inv = file_inventory(spark, table_path)
-    return inv.select(F.concat(F.lit(f"{PARTITION_COL}="), F.col(PARTITION_COL)).alias("partition")).distinct()
+    """Partition directory names (``dt=YYYYMMDD``) holding files, as they are
+    named in storage (S8): one directory level, and per directory a listing
+    that stops at its first file. No file index is built."""
+    names = non_empty_partitions(spark, table_path, partition_names(spark, table_path))
+    return spark.createDataFrame([(n,) for n in names], "partition string")
+
+
+def partition_files(spark: SparkSession, table_path: str, names: list[str] | None = None) -> DataFrame:
+    """``partition, listing`` of every partition (or of ``names``) that holds files: ``listing``
+    sums up its files (number, bytes, newest modification time), so a late or
+    replaced file shows as a different value. Listed by Spark; folder names are
+    taken from the path, never decoded. A table without files gives no rows."""
+    configure(spark)
+    root = fs.qualified(spark, table_path).rstrip("/")
+    paths = table_path if names is None else [f"{table_path.rstrip('/')}/{n}" for n in names]
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+             .select(F.split(F.col("path").substr(len(root) + 2, 1 << 30), "/")[0].alias("partition"), "length", "modificationTime"))
+    newest = F.unix_micros(F.max("modificationTime"))
+    return (files.where(F.col("partition").startswith(f"{PARTITION_COL}=")).groupBy("partition")
+            .agg(F.concat_ws(":", F.count(F.lit(1)), F.sum("length"), newest).alias("listing")))
 
 
 def partition_names(spark: SparkSession, table_path: str, partition_col: str = PARTITION_COL) -> list[str]:
@@ -69,33 +88,31 @@ def partition_names(spark: SparkSession, table_path: str, partition_col: str = P
     return [d for d in fs.list_dirs(spark, table_path) if d.startswith(f"{partition_col}=")]
 
 
-# A file without rows larger than this is not a valid empty Parquet file
-# (which holds only its schema); it is reported broken without being read.
-EMPTY_FILE_MAX_BYTES = 64 * 1024 * 1024
-# Up to this many candidate folders are checked one by one from the driver;
-# more are listed by one distributed ``binaryFile`` job.
-DRIVER_CHECK_LIMIT = 32
-
-
-def non_empty_partitions(spark: SparkSession, table_path: str, names: list[str],
-                         partition_col: str = PARTITION_COL) -> list[str]:
+def non_empty_partitions(spark: SparkSession, table_path: str, names: list[str]) -> list[str]:
     """The partitions among ``names`` whose folder holds at least one file.
 
     A folder without files (created before its data was uploaded) is not a
-    partition yet: it must neither be read nor be marked as converted.
+    partition yet: it must neither be read nor be marked as converted. One
+    lazy listing per folder, for any number of folders.
     """
-    if len(names) <= DRIVER_CHECK_LIMIT:
-        return [n for n in names if fs.has_files(spark, f"{table_path.rstrip('/')}/{n}")]
-    dirs = [f"{table_path.rstrip('/')}/{n}" for n in names]
-    found = (spark.read.format("binaryFile").option("basePath", table_path).load(dirs)
-             .select(partition_col).distinct().collect())
-    present = {f"{partition_col}={r[0]}" for r in found}
-    return [n for n in names if n in present]
+    return [n for n in names if fs.has_files(spark, f"{table_path.rstrip('/')}/{n}")]
 
 
 def max_partition(spark: SparkSession, table_path: str) -> DataFrame:
-    """Newest partition name of a table."""
-    return list_partitions(spark, table_path).agg(F.max("partition").alias("max_partition"))
+    """Newest partition name of a table (A8): folders are looked into from the
+    newest on, until one holds a file."""
+    names = reversed(partition_names(spark, table_path))
+    newest = next((n for n in names if fs.has_files(spark, f"{table_path.rstrip('/')}/{n}")), None)
+    return spark.createDataFrame([(newest,)], "max_partition string")
+
+
+def value_of(name: str) -> str | None:
+    """The value of a partition folder name: ``%XX`` escapes decoded, null for
+    the folder of null values."""
+    raw = name.split("=", 1)[1]
+    if raw == NULL_PARTITION:
+        return None
+    return re.sub("%([0-9A-Fa-f]{2})", lambda m: chr(int(m[1], 16)), raw)
 
 
 def latest_file_date(spark: SparkSession, table_path: str) -> DataFrame:
@@ -112,13 +129,18 @@ def partition_counts(df: DataFrame, partition_col: str = PARTITION_COL) -> DataF
 def partitions_to_recalc(source: DataFrame, done: DataFrame) -> DataFrame:
     """Source partitions still to convert.
 
-    ``source`` and ``done`` hold one column ``partition``. A partition is to do
-    when it was never converted; the newest converted one is always redone
-    (it may have received files after its conversion).
+    Both frames hold a column ``partition``, and ``listing`` where files are to
+    be compared. A partition is to do when it was never converted or its files
+    have changed since (a log without listings settles by name alone); the
+    newest converted one is always redone.
     """
-    newest = done.agg(F.max("partition")).scalar()
-    settled = done.filter(F.col("partition") < newest).select("partition")
-    return source.join(settled, "partition", "left_anti")
+    newest = done.agg(F.max("partition").alias("_newest"))
+    settled = done.join(F.broadcast(newest), F.col("partition") < F.col("_newest")).drop("_newest")    # one row
+    if "listing" not in source.columns or "listing" not in done.columns:
+        return source.join(settled.select("partition"), "partition", "left_anti")
+    s = settled.select(F.col("partition").alias("_p"), F.col("listing").alias("_l"))
+    same = F.col("_l").isNull() | (F.col("_l") == F.col("listing"))
+    return source.join(s, (F.col("partition") == F.col("_p")) & same, "left_anti")
 
 
 def drop_partition(spark: SparkSession, table_path: str, partition: str) -> bool:
@@ -126,58 +148,61 @@ def drop_partition(spark: SparkSession, table_path: str, partition: str) -> bool
     return fs.delete_dir(spark, f"{table_path.rstrip('/')}/{partition_name(partition)}")
 
 
-def validate_partitions(spark: SparkSession, table_path: str, deep: bool = False) -> DataFrame:
+def validate_partitions(spark: SparkSession, table_path: str, deep: bool = False,
+                        schema: T.StructType | None = None) -> DataFrame:
     """Health of every partition of a Parquet table: ``dt, status`` with
     status ``ok``, ``empty`` (readable, no rows) or ``unreadable``.
 
-    Row counts per file come from Parquet footers (no data pages), joined
-    with the file listing on ``_metadata.file_path``, which both scans give
-    in the same URI form. Files that yield no rows are
-    checked for the Parquet magic bytes, which tells a valid empty file from
-    junk. ``deep=True`` also reads every value: a file whose pages cannot all
-    be read is skipped by ``ignoreCorruptFiles`` and so yields fewer rows
-    than its footer promises, which marks it unreadable; the hash over all
-    columns is returned as ``checksum`` (XOR per partition), so the full read
-    is not pruned away.
+    Row counts per file come from Parquet footers: the scan has no data column,
+    so it needs no schema and no file is special (also not the first). Files
+    that yield no rows are told apart one by one by their footers: a valid file
+    without rows, a broken one, or a storage that fails - which is raised, since
+    it says nothing about the file. They are few; their paths come to the
+    driver one at a time, the result is a number per partition.
+
+    ``deep=True`` also reads every value (with ``schema``, or the schema merged
+    from all readable footers): a file whose pages cannot all be read yields
+    fewer rows than its footer promises, which marks it unreadable; the hash
+    over all columns is returned as ``checksum`` (XOR per partition), so the
+    full read is not pruned away.
     """
     configure(spark)
     uri = F.col("_metadata.file_path").alias("uri")
     inv = spark.read.format("binaryFile").load(table_path).select(uri, PARTITION_COL, "length")
-    reader = spark.read.option("ignoreCorruptFiles", "true")
-    data = reader.parquet(table_path)
-    counted = data.select(uri).groupBy("uri").agg(F.count(F.lit(1)).alias("rows"))
+    reader = lambda: spark.read.option("ignoreCorruptFiles", "true")
+    counted = (reader().schema(T.StructType([T.StructField(PARTITION_COL, T.StringType())])).parquet(table_path)
+               .select(uri).groupBy("uri").agg(F.count(F.lit(1)).alias("rows")))
     extra = []
     if deep:
-        values = (data.select(uri, F.xxhash64(*[F.col(quote(c)) for c in data.columns]).alias("h"))
+        if schema is None:
+            try:
+                schema = reader().option("mergeSchema", "true").parquet(table_path).schema
+            except AnalysisException as e:
+                if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                    raise
+                schema = T.StructType([])           # not one readable footer
+        names = [f.name for f in schema.fields if f.name != PARTITION_COL]
+        data = reader().schema(T.StructType([*[schema[n] for n in names], T.StructField(PARTITION_COL, T.StringType())])).parquet(table_path)
+        values = (data.select(uri, F.xxhash64(F.lit(0), *[F.col(quote(c)) for c in data.columns]).alias("h"))
                   .groupBy("uri").agg(F.count(F.lit(1)).alias("rows_read"), F.bit_xor("h").alias("h")))
         counted = counted.join(values, "uri", "left")
         extra = ["rows_read", "h"]
-    per_file = inv.join(counted, "uri", "left")
-    # Files without rows are few (empty or broken ones); only they are opened,
-    # and only when small: a valid Parquet file without rows holds just its
-    # schema, so a large file without rows is broken whatever it contains.
-    silent = (per_file.filter(F.col("rows").isNull() & (F.col("length") <= EMPTY_FILE_MAX_BYTES))
-              .select(file_path(F.col("uri")).alias("path")))           # decoded to open them again
-    silent_paths = [r.path for r in silent.collect()]
-    if silent_paths:
-        heads = (spark.read.format("binaryFile").load(silent_paths)
-                 .select(uri, F.length("content").alias("size"),
-                         F.substring("content", 1, 4).alias("head"),
-                         F.substring("content", -4, 4).alias("tail")))
-        magic = F.lit(bytearray(b"PAR1"))
-        heads = heads.select("uri", ((F.col("size") >= 12) & (F.col("head") == magic) &
-                                     (F.col("tail") == magic)).alias("valid"))
-        per_file = per_file.join(heads, "uri", "left")
-    else:
-        per_file = per_file.withColumn("valid", F.lit(None).cast(T.BooleanType()))
-    broken = F.col("rows").isNull() & ~F.coalesce(F.col("valid"), F.lit(False))
+    per_file = inv.join(counted, "uri", "left").select("uri", PARTITION_COL, "rows", *extra)
+    silent = (per_file.filter(F.col("rows").isNull())
+              .select(file_path(F.col("uri")).alias("path"), PARTITION_COL))
+    broken_files: Counter = Counter()
+    for r in silent.toLocalIterator():
+        if fs.parquet_rows(spark, r.path) is None:
+            broken_files[r[PARTITION_COL]] += 1
+    aggs = [F.sum(F.coalesce(F.col("rows"), F.lit(0))).alias("rows")]
     if deep:
-        broken = broken | (F.col("rows").isNotNull() & (F.coalesce(F.col("rows_read"), F.lit(0)) != F.col("rows")))
-    per_file = per_file.withColumn("broken", F.when(broken, 1).otherwise(0))
-    aggs = [F.sum("broken").alias("broken"), F.sum(F.coalesce(F.col("rows"), F.lit(0))).alias("rows")]
+        short = F.col("rows").isNotNull() & (F.coalesce(F.col("rows_read"), F.lit(0)) != F.col("rows"))
+        aggs += [F.count(F.when(short, 1)).alias("short"), F.bit_xor("h").alias("checksum")]
+    days = per_file.groupBy(PARTITION_COL).agg(*aggs)
+    bad = spark.createDataFrame(sorted(broken_files.items(), key=str), "_day string, broken long")
+    days = days.join(bad, F.col(PARTITION_COL).eqNullSafe(F.col("_day")), "left")
+    unreadable = F.coalesce(F.col("broken"), F.lit(0)) > 0
     if deep:
-        aggs.append(F.bit_xor("h").alias("checksum"))
-    status = (F.when(F.col("broken") > 0, "unreadable").when(F.col("rows") == 0, "empty")
-              .otherwise("ok").alias("status"))
-    return (per_file.groupBy(PARTITION_COL).agg(*aggs)
-            .select(PARTITION_COL, status, *(["checksum"] if deep else [])))
+        unreadable = unreadable | (F.col("short") > 0)
+    status = F.when(unreadable, "unreadable").when(F.col("rows") == 0, "empty").otherwise("ok").alias("status")
+    return days.select(PARTITION_COL, status, *(["checksum"] if deep else []))

@@ -2,7 +2,12 @@
 
 The log is a small Parquet table. The reference's four columns come first
 (``date, table, partition, maxPartition``); ``run_id`` names the run,
-``status`` is ``done`` / ``removed`` / ``seed`` and ``written_at`` orders rows.
+``status`` is ``started`` / ``done`` / ``removed`` / ``seed`` and ``written_at``
+orders rows. A run appends a ``started`` row per planned partition before it
+writes any data and a ``done`` row after; a partition whose newest row is
+``started`` belongs to a run that broke off, and is redone first. ``listing`` of
+a ``done`` row sums up the source files that were converted, so late and
+replaced files are noticed.
 Nothing is ever rewritten: removing a table or a partition appends
 ``removed`` rows, so an aborted run cannot lose the log. The current state of
 a key is its newest row (``max_by`` over ``written_at``). ``table_schema``
@@ -12,9 +17,9 @@ partitions with an explicit schema instead of inferring over them again).
 
 Layout: the log is partitioned by ``table`` (``<log>/table=<name>/``), so the
 status of one table lists and reads only that table's folder, however many
-tables a database holds. Every append adds a file; once a table's folder
-holds ``COMPACT_AT`` files it is compacted: one copy of its rows is written,
-then exactly the old files are deleted. Every reader takes the newest row per
+tables a database holds. Every append adds a file; :func:`compact_log`, an
+explicit call for when no reader is at work, writes one copy of a table's rows
+and then deletes exactly the old files. Every reader takes the newest row per
 key or a maximum, so a crash between the two steps (rows present twice) does
 not change any answer, and the next compaction removes the copies.
 """
@@ -25,7 +30,7 @@ import datetime as _dt
 import itertools
 import json
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,12 +49,11 @@ LOG_SCHEMA = T.StructType([
     T.StructField("written_at", T.StringType()),
     T.StructField("table_schema", T.StringType()),
     T.StructField("source_schema", T.StringType()),
+    T.StructField("listing", T.StringType()),
 ])
 # Seed row of a new log (fixed values): date, table, partition, maxPartition.
 SEED_ROW = ("0001-01-01", "example", "00010101", "00010101")
 LOG_PARTITION = "table"
-# A table's log folder is compacted once it holds this many files.
-COMPACT_AT = 64
 # Table names that appear unescaped in a partition folder name; other names
 # are found through a partition filter over the whole log instead.
 _PLAIN_NAME = re.compile(r"[A-Za-z0-9_][A-Za-z0-9_.\-]*")
@@ -77,7 +81,7 @@ def _frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     cost of a log append."""
     import pyarrow as pa
     names = LOG_SCHEMA.fieldNames()
-    columns = list(zip(*rows))
+    columns = list(zip(*[r + (None,) * (len(names) - len(r)) for r in rows]))
     return spark.createDataFrame(pa.table({n: pa.array(c, pa.string()) for n, c in zip(names, columns)}), LOG_SCHEMA)
 
 
@@ -107,7 +111,7 @@ def init_log(spark: SparkSession, log_path: str) -> None:
     """Create the log with its seed row if it does not exist."""
     if fs.exists(spark, log_path):
         return
-    row = SEED_ROW + ("seed", "seed", now_stamp(), None, None)
+    row = SEED_ROW + ("seed", "seed", now_stamp())
     _write_table(_frame(spark, [row]).coalesce(1), log_path, SEED_ROW[1])
 
 
@@ -131,22 +135,22 @@ def read_log(spark: SparkSession, log_path: str, table: str | None = None) -> Da
 
 
 def append_rows(spark: SparkSession, log_path: str, rows: list[tuple]) -> None:
-    """Append log rows given as tuples in ``LOG_SCHEMA`` order (one file per
-    table), then compact the folders that have grown large."""
+    """Append log rows given as tuples in ``LOG_SCHEMA`` order (missing ends are
+    null), one file per table."""
     if not rows:
         return
     for table in sorted({r[1] for r in rows}):
         _write_table(_frame(spark, [r for r in rows if r[1] == table]).coalesce(1), log_path, table)
-        compact_log(spark, log_path, table)
 
 
 def append_frame(log_path: str, df: DataFrame) -> None:
-    """Append rows computed by Spark (already in ``LOG_SCHEMA``): one file per
+    """Append rows computed by Spark (columns of ``LOG_SCHEMA``, missing ones are null): one file per
     table, without funnelling the upstream work into one task."""
-    _write(df.select(*LOG_SCHEMA.fieldNames()).repartition(LOG_PARTITION), log_path)
+    columns = [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in LOG_SCHEMA.fieldNames()]
+    _write(df.select(*columns).repartition(LOG_PARTITION), log_path)
 
 
-def compact_log(spark: SparkSession, log_path: str, table: str, min_files: int = COMPACT_AT) -> int:
+def compact_log(spark: SparkSession, log_path: str, table: str, min_files: int = 64) -> int:
     """Rewrite one table's log folder as a single file once it holds
     ``min_files`` files; returns the number of files replaced (0: none).
 
@@ -167,9 +171,17 @@ def compact_log(spark: SparkSession, log_path: str, table: str, min_files: int =
     return len(files)
 
 
+def mark_started(spark: SparkSession, log_path: str, table: str, partitions: list[str], run_id: str) -> None:
+    """One ``started`` row per partition that a run is going to write."""
+    rows = [(today(), table, p, max(partitions), run_id, "started", now_stamp()) for p in partitions]
+    if not fs.exists(spark, log_path):   # a new log gets its seed row in the same write
+        rows.insert(0, SEED_ROW + ("seed", "seed", now_stamp()))
+    append_rows(spark, log_path, rows)
+
+
 def mark_done(spark: SparkSession, log_path: str, table: str, partitions: list[str], max_partition: str,
               run_id: str, table_schema: T.StructType | None = None,
-              source_schema: T.StructType | None = None) -> None:
+              source_schema: T.StructType | None = None, listings: dict[str, str] | None = None) -> None:
     """One ``done`` row per partition. The schemas (JSON text that grows with
     the column count) go into the run's last row only: readers take the
     newest ``done`` row that has them, so a run of thousands of partitions
@@ -178,10 +190,10 @@ def mark_done(spark: SparkSession, log_path: str, table: str, partitions: list[s
     source_json = source_schema.json() if source_schema is not None else None
     last = len(partitions) - 1
     rows = [(today(), table, p, max_partition, run_id, "done", now_stamp(),
-             schema_json if i == last else None, source_json if i == last else None)
+             schema_json if i == last else None, source_json if i == last else None, (listings or {}).get(p))
             for i, p in enumerate(partitions)]
     if not fs.exists(spark, log_path):   # a new log gets its seed row in the same write
-        rows.insert(0, SEED_ROW + ("seed", "seed", now_stamp(), None, None))
+        rows.insert(0, SEED_ROW + ("seed", "seed", now_stamp()))
     append_rows(spark, log_path, rows)
 
 
@@ -195,10 +207,15 @@ def current_state(log: DataFrame) -> DataFrame:
 
 def done_partitions(log: DataFrame, table: str | None = None) -> DataFrame:
     """``table, partition`` pairs whose newest row is ``done``."""
+    return done_listings(log, table).select("table", "partition")
+
+
+def done_listings(log: DataFrame, table: str | None = None) -> DataFrame:
+    """As :func:`done_partitions`, with the ``listing`` of the converted files."""
     st = current_state(log).filter(F.col("status") == "done")
     if table is not None:
         st = st.filter(F.col("table") == table)
-    return st.select("table", "partition")
+    return st.select("table", "partition", "listing")
 
 
 def max_done_partition(log: DataFrame, table: str) -> DataFrame:
@@ -243,10 +260,17 @@ def latest_run(log: DataFrame) -> DataFrame:
 
 def run_summary(log: DataFrame) -> DataFrame:
     """Per table: newest run, last finished partition, its planned maximum,
-    and whether the run was interrupted (A5, O4)."""
-    return (latest_run(log).groupBy("table", "run_id")
-            .agg(F.max("partition").alias("last_finished"), F.max("maxPartition").alias("max_partition"))
-            .withColumn("interrupted", F.col("last_finished") != F.col("max_partition")))
+    and whether the run was interrupted (A5, O4): its last partition is not the
+    planned one, or one that it started has no end."""
+    runs = log.filter(F.col("status").isin("started", "done"))
+    newest = runs.groupBy("table").agg(F.max("run_id").alias("run_id"))
+    finished = F.when(F.col("status") == "done", F.col("partition"))
+    planned = F.when(F.col("status") == "started", F.col("partition"))
+    return (runs.join(newest, ["table", "run_id"]).groupBy("table", "run_id")
+            .agg(F.max(finished).alias("last_finished"), F.max("maxPartition").alias("max_partition"),
+                 F.count_distinct(finished).alias("_done"), F.count_distinct(planned).alias("_planned"))
+            .withColumn("interrupted", ~F.col("last_finished").eqNullSafe(F.col("max_partition")) | (F.col("_planned") > F.col("_done")))
+            .drop("_done", "_planned"))
 
 
 def was_interrupted(spark: SparkSession, log_path: str, table: str) -> bool:
@@ -261,22 +285,39 @@ def has_new_partitions(log: DataFrame, source_partitions: DataFrame, table: str,
 
     ``rule="max"``: the reference test, newest done != newest in the source.
     ``rule="set"`` (default): some source partition is not done, so a
-    back-filled older day is noticed as well (R14).
+    back-filled older day is noticed as well (R14); where the source carries
+    ``listing``, also one whose files differ from those converted.
     """
-    done = done_partitions(log, table).select("partition")
+    return not unsettled(source_partitions, done_listings(log, table), rule).isEmpty()
+
+
+def unsettled(source: DataFrame, done: DataFrame, rule: str = "set", keys: tuple[str, ...] = ()) -> DataFrame:
+    """The source partitions that make a run necessary, per key of ``done``
+    (``keys``, which ``source`` then has too)."""
     if rule == "max":
-        d = done.agg(F.max("partition")).collect()[0][0]
-        s = source_partitions.agg(F.max("partition")).collect()[0][0]
-        return d != s
-    return not source_partitions.join(done, "partition", "left_anti").isEmpty()
+        s = source.groupBy(*keys).agg(F.max("partition").alias("partition"))
+        d = done.groupBy(*keys).agg(F.max("partition").alias("_p"))
+        same = F.col("partition") == F.col("_p")
+    else:
+        s, d = source, done.withColumnRenamed("partition", "_p")
+        same = F.col("partition") == F.col("_p")
+        if "listing" in source.columns:
+            d = d.withColumnRenamed("listing", "_l")
+            same = same & (F.col("_l").isNull() | (F.col("_l") == F.col("listing")))
+    for k in keys:
+        d = d.withColumnRenamed(k, f"_{k}")
+        same = same & (F.col(k) == F.col(f"_{k}"))
+    return s.join(d, same, "left_anti")
 
 
 @dataclass
 class TableStatus:
     done: list[str]                      # partitions whose newest row is ``done``
-    interrupted: bool                    # newest run did not reach its planned last partition
+    interrupted: bool                    # a run broke off: see ``open``, or it missed its planned last partition
     table_schema: T.StructType | None
     source_schema: T.StructType | None
+    open: list[str] = field(default_factory=list)        # started, never finished
+    listings: dict[str, str] = field(default_factory=dict)
 
 
 def _schema(text: str | None) -> T.StructType | None:
@@ -302,15 +343,20 @@ def table_status(spark: SparkSession, log_path: str, table: str) -> TableStatus:
         F.max_by("table_schema", ts_of("table_schema")).alias("table_schema"),
         F.max(ts_of("source_schema")).alias("ts_s"),
         F.max_by("source_schema", ts_of("source_schema")).alias("source_schema"),
+        F.max_by("listing", F.when(is_done, F.col("written_at"))).alias("listing"),
     )
     newest_run = F.struct("run", "partition")
     summary = per_part.agg(
-        F.sort_array(F.collect_list(F.when(F.col("status") == "done", F.col("partition")))).alias("done"),
+        F.sort_array(F.collect_list(F.when(F.col("status") == "done", F.struct("partition", "listing")))).alias("done"),
+        F.sort_array(F.collect_list(F.when(F.col("status") == "started", F.col("partition")))).alias("open"),
         F.max_by("partition", F.when(F.col("run").isNotNull(), newest_run)).alias("last_finished"),
         F.max_by("planned", F.when(F.col("run").isNotNull(), F.struct("run", "planned"))).alias("planned"),
         F.max_by("table_schema", "ts_t").alias("table_schema"),
         F.max_by("source_schema", "ts_s").alias("source_schema"),
     ).collect()[0]
-    interrupted = summary["last_finished"] is None or summary["last_finished"] != summary["planned"]
-    return TableStatus(list(summary["done"] or []), interrupted, _schema(summary["table_schema"]),
-                       _schema(summary["source_schema"]))
+    interrupted = (summary["last_finished"] is None or summary["last_finished"] != summary["planned"]
+                   or bool(summary["open"]))
+    done = list(summary["done"] or [])
+    return TableStatus([r.partition for r in done], interrupted, _schema(summary["table_schema"]),
+                       _schema(summary["source_schema"]), list(summary["open"] or []),
+                       {r.partition: r.listing for r in done if r.listing is not None})

@@ -18,14 +18,17 @@ matches a daily job; any other trigger keeps the conversion running.
 
 from __future__ import annotations
 
+from collections import deque
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.convert import ImportResult, full_import, import_partitions
+from ..plans.convert import ImportResult, import_partitions
 from ..session import configure
 from ..sources import fs
 from ..sources import worklog as wl
 from ..sources.json_source import PARTITION_COL
+from ..sources.partitions import partition_files
 
 _FILE_SCHEMA = ("path string not null, modificationTime timestamp not null, length bigint not null, "
                 f"content binary, {PARTITION_COL} string")
@@ -41,27 +44,35 @@ def changed_partitions(spark: SparkSession, source_table: str, max_files_per_tri
     return r.load(source_table).select("path", PARTITION_COL)
 
 
+KEEP_RESULTS = 1000
+
+
 def stream_import(spark: SparkSession, source_table: str, target_table: str, log_path: str, checkpoint: str,
                   table: str | None = None, trigger: dict | None = None, max_files_per_trigger: int | None = None,
                   **import_kw) -> list[ImportResult]:
     """Run the streaming conversion until the available files are converted
-    (or forever with a processing-time ``trigger``); returns one result per
-    micro-batch that touched data."""
+    (or forever with a processing-time ``trigger``); returns the results of the
+    micro-batches that converted data, the last ``KEEP_RESULTS`` at most.
+
+    A batch converts the days it touches, the first batch like any other. A day
+    is converted whole, so the files of it that later batches name are already
+    in: a day whose files are those logged is skipped.
+    """
     configure(spark)
     table = table or source_table.rstrip("/").rsplit("/", 1)[-1]
-    results: list[ImportResult] = []
+    results: deque[ImportResult] = deque(maxlen=KEEP_RESULTS)
 
     def convert_batch(batch: DataFrame, batch_id: int) -> None:
+        root = fs.qualified(spark, source_table).rstrip("/")
+        folder = F.split(F.col("path").substr(len(root) + 2, 1 << 30), "/")[0]
         # one name per touched day: small enough for the driver
-        touched = sorted(f"{PARTITION_COL}={r[0]}" for r in batch.select(PARTITION_COL).distinct().collect())
-        if not touched:
-            return
-        status = wl.table_status(spark, log_path, table) if fs.exists(spark, log_path) else None
-        if status is None or not status.done or not fs.exists(spark, target_table):
-            results.append(full_import(spark, source_table, target_table, log_path, table, **import_kw))
-        else:
-            results.append(import_partitions(spark, source_table, target_table, log_path, table, touched,
-                                             status, **import_kw))
+        touched = sorted(r[0] for r in batch.select(folder).distinct().collect() if r[0].startswith(f"{PARTITION_COL}="))
+        status = wl.table_status(spark, log_path, table)
+        listings = {r.partition: r.listing for r in partition_files(spark, source_table, touched).collect()} if touched else {}
+        todo = [p for p in touched if p in listings and status.listings.get(p) != listings[p]]
+        if todo:
+            results.append(import_partitions(spark, source_table, target_table, log_path, table, todo,
+                                             status, listings=listings, **import_kw))
 
     stream = changed_partitions(spark, source_table, max_files_per_trigger)
     writer = (stream.writeStream.foreachBatch(convert_batch)
@@ -70,9 +81,4 @@ def stream_import(spark: SparkSession, source_table: str, target_table: str, log
     writer = writer.trigger(**(trigger or {"availableNow": True}))
     query = writer.start()
     query.awaitTermination()
-    return results
-
-
-def touched_counts(batch: DataFrame) -> DataFrame:
-    """Files per touched partition of a micro-batch (for logging)."""
-    return batch.groupBy(PARTITION_COL).agg(F.count(F.lit(1)).alias("files"))
+    return list(results)

@@ -37,7 +37,7 @@ def test_work_list_w1_to_w3(spark):
 
 def _log(spark, rows):
     path = scratch_path(spark, "test-log")
-    wl.append_rows(spark, path, [(d, "t", p, m, r, "done", wl.now_stamp(), None, None) for d, p, m, r in rows])
+    wl.append_rows(spark, path, [(d, "t", p, m, r, "done", wl.now_stamp()) for d, p, m, r in rows])
     return path
 
 
@@ -101,16 +101,24 @@ def test_log_is_partitioned_by_table_and_compacts(spark):
     assert wl.read_log(spark, path, "t").count() == n_rows
 
 
-def test_health_check_does_not_read_large_files_without_rows(spark, tmp_path, monkeypatch):
-    import lakenorm.sources.partitions as parts
+def test_health_check_judges_no_file_by_its_size(spark, tmp_path):
+    """A table whose first, only, or every file is junk; large files without rows."""
     path = str(tmp_path / "tbl")
-    spark.range(3).select("id", F.lit("20240101").alias("dt")).write.partitionBy("dt").parquet(path)
+    spark.range(3).select("id", F.lit("20240103").alias("dt")).write.partitionBy("dt").parquet(path)
+    for day, size in (("20240101", 7), ("20240105", 70 << 20)):       # the first day, and a large one
+        os.makedirs(f"{path}/dt={day}")
+        with open(f"{path}/dt={day}/part-junk.parquet", "wb") as fh:
+            fh.truncate(size)
     spark.range(0).write.parquet(f"{path}/dt=20240106")
-    assert {r.dt: r.status for r in validate_partitions(spark, path).collect()}["20240106"] == "empty"
-    # with a bound below the size of the valid empty file, that file counts as broken unread
-    monkeypatch.setattr(parts, "EMPTY_FILE_MAX_BYTES", 8)
-    assert {r.dt: r.status for r in validate_partitions(spark, path).collect()} == {"20240101": "ok",
-                                                                                   "20240106": "unreadable"}
+    want = {"20240101": "unreadable", "20240103": "ok", "20240105": "unreadable", "20240106": "empty"}
+    for deep in (False, True):
+        assert {r.dt: r.status for r in validate_partitions(spark, path, deep=deep).collect()} == want
+    only = str(tmp_path / "only")
+    os.makedirs(f"{only}/dt=20240101")
+    with open(f"{only}/dt=20240101/part-junk.parquet", "w") as fh:
+        fh.write("junk")
+    for deep in (False, True):
+        assert [(r.dt, r.status) for r in validate_partitions(spark, only, deep=deep).collect()] == [("20240101", "unreadable")]
 
 
 def test_health_check(spark, tmp_path):
@@ -250,6 +258,168 @@ def test_crash_between_data_and_log_then_rerun(spark, tmp_path):
     assert _table(spark, tgt, log) == _table(spark, ftgt, flog)
 
 
+def _same_as_full(spark, src, tgt, log, tmp_path, name="again"):
+    ftgt, flog = str(tmp_path / f"{name}_t"), str(tmp_path / f"{name}_l")
+    full_import(spark, src, ftgt, flog, table="clicks")
+    a, b = read_converted(spark, tgt, log, "clicks"), read_converted(spark, ftgt, flog, "clicks")
+    assert {f.name: f.dataType.simpleString() for f in a.schema} == {f.name: f.dataType.simpleString() for f in b.schema}
+    assert _rows(a) == _rows(b)
+
+
+def test_late_and_changed_files_of_old_days_are_imported(spark, tmp_path):
+    src = _source(tmp_path, ["20240101", "20240102", "20240103"])
+    tgt, log = str(tmp_path / "t"), str(tmp_path / "l")
+    incremental_import(spark, src, tgt, log, table="clicks")
+    write_day(src, "20240101", [{"Id": 8, "user": {"Name": "late"}, "Items": [], "Late": 1}])
+    res = incremental_import(spark, src, tgt, log, table="clicks")
+    assert res.mode == "incremental" and res.partitions == ["dt=20240101", "dt=20240103"]
+    _same_as_full(spark, src, tgt, log, tmp_path, "one")
+    write_day(src, "20240103", [{"Id": 9, "user": {"Name": "newest"}, "Items": []}])
+    assert incremental_import(spark, src, tgt, log, table="clicks").partitions == ["dt=20240103"]
+    # a malformed line and a type change in a late file: the rebuild keeps both
+    with open(os.path.join(src, "dt=20240102", "late.json"), "w") as fh:
+        fh.write('not json\n{"Id": "text", "user": {"Name": 1.50}, "Items": []}')
+    assert incremental_import(spark, src, tgt, log, table="clicks").mode == "rebuild"
+    df = read_converted(spark, tgt, log, "clicks")
+    assert df.filter("_corrupt_record = 'not json'").count() == 1 and df.filter("late = 1").count() == 1
+    _same_as_full(spark, src, tgt, log, tmp_path, "two")
+    assert incremental_import(spark, src, tgt, log, table="clicks").mode == "none"
+
+
+def test_values_keep_the_text_a_full_import_gives(spark, tmp_path):
+    src = str(tmp_path / "src" / "clicks")
+    write_day(src, "20240101", [{"v": "text"}])
+    tgt, log = str(tmp_path / "t"), str(tmp_path / "l")
+    incremental_import(spark, src, tgt, log, table="clicks")
+    os.makedirs(os.path.join(src, "dt=20240102"))
+    with open(os.path.join(src, "dt=20240102", "p.json"), "w") as fh:
+        fh.write('{"v": 1.50}\n{"v": 1e2}\n{"v": {"B":1,"a":null}}')
+    incremental_import(spark, src, tgt, log, table="clicks")
+    got = {r.v for r in read_converted(spark, tgt, log, "clicks").filter("dt = '20240102'").collect()}
+    assert got == {"1.50", "1e2", '{"B":1,"a":null}'}
+    _same_as_full(spark, src, tgt, log, tmp_path)
+
+
+def test_crash_before_the_log_is_repaired_without_new_data(spark, tmp_path, monkeypatch):
+    src = _source(tmp_path, ["20240101", "20240102"])
+    tgt, log = str(tmp_path / "t"), str(tmp_path / "l")
+    incremental_import(spark, src, tgt, log, table="clicks")
+    write_day(src, "20240102", [{"Id": "a string now", "user": {"Name": "x"}, "Items": []}])
+
+    def fails(*a, **k):
+        raise RuntimeError("the log is out of reach")
+
+    with monkeypatch.context() as m:
+        m.setattr(wl, "mark_done", fails)
+        try:
+            full_import(spark, src, tgt, log, table="clicks")
+            raise AssertionError("not reached")
+        except RuntimeError:
+            pass
+    assert wl.was_interrupted(spark, log, "clicks")
+    assert wl.table_status(spark, log, "clicks").open == ["dt=20240101", "dt=20240102"]
+    assert incremental_import(spark, src, tgt, log, table="clicks").mode == "full"
+    assert not wl.was_interrupted(spark, log, "clicks")
+    _same_as_full(spark, src, tgt, log, tmp_path)
+    assert incremental_import(spark, src, tgt, log, table="clicks").mode == "none"
+
+
+def test_crash_in_an_increment_redoes_its_days(spark, tmp_path, monkeypatch):
+    src = _source(tmp_path, ["20240101", "20240102"])
+    tgt, log = str(tmp_path / "t"), str(tmp_path / "l")
+    incremental_import(spark, src, tgt, log, table="clicks")
+    _source(tmp_path, ["20240103"])
+    import lakenorm.plans.convert as convert
+    with monkeypatch.context() as m:
+        m.setattr(convert, "write_partitions", lambda *a, **k: 1 / 0)
+        try:
+            incremental_import(spark, src, tgt, log, table="clicks")
+        except ZeroDivisionError:
+            pass
+    assert wl.table_status(spark, log, "clicks").open == ["dt=20240102", "dt=20240103"]
+    res = incremental_import(spark, src, tgt, log, table="clicks")
+    assert res.mode == "incremental" and {"dt=20240102", "dt=20240103"} <= set(res.partitions)
+    _same_as_full(spark, src, tgt, log, tmp_path)
+
+
+def test_an_emptied_day_loses_its_rows(spark, tmp_path):
+    src = _source(tmp_path, ["20240101", "20240102", "20240103"])
+    tgt, log = str(tmp_path / "t"), str(tmp_path / "l")
+    incremental_import(spark, src, tgt, log, table="clicks")
+    for f in os.listdir(os.path.join(src, "dt=20240102")):
+        open(os.path.join(src, "dt=20240102", f), "w").close()
+    res = incremental_import(spark, src, tgt, log, table="clicks")
+    assert res.emptied == ["dt=20240102"]
+    assert {r.dt for r in read_converted(spark, tgt, log, "clicks").collect()} == {"20240101", "20240103"}
+    assert incremental_import(spark, src, tgt, log, table="clicks").mode == "none"
+    assert full_import(spark, src, tgt, log, table="clicks").emptied == []
+
+
+def test_a_rebuild_keeps_days_whose_source_has_expired(spark, tmp_path):
+    import shutil
+    src = _source(tmp_path, ["20240101", "20240102"])
+    tgt, log = str(tmp_path / "t"), str(tmp_path / "l")
+    incremental_import(spark, src, tgt, log, table="clicks")
+    shutil.rmtree(os.path.join(src, "dt=20240101"))
+    write_day(src, "20240103", [{"Id": "text", "user": {"Name": "x"}, "Items": []}])
+    res = incremental_import(spark, src, tgt, log, table="clicks")
+    assert res.mode == "rebuild" and res.dropped == []
+    df = read_converted(spark, tgt, log, "clicks")
+    assert df.filter("dt = '20240101'").count() == 3 and {r.id for r in df.collect()} == {"0", "1", "2", "text"}
+
+
+def test_many_folders_one_code_path(spark, tmp_path):
+    """1, 33 and 100 new folders: without files none is imported, with files all are, escaped names too."""
+    for n in (1, 33, 100):
+        src = _source(tmp_path / str(n), ["20230101"])
+        tgt, log = str(tmp_path / f"t{n}"), str(tmp_path / f"l{n}")
+        incremental_import(spark, src, tgt, log, table="clicks")
+        days = [f"2024%3A{i:03d}" for i in range(n - 1)] + ["__HIVE_DEFAULT_PARTITION__"]
+        for d in days:
+            os.makedirs(os.path.join(src, f"dt={d}"))
+        assert incremental_import(spark, src, tgt, log, table="clicks").mode == "none"
+        for d in days:
+            write_day(src, d, [{"Id": 1, "user": {"Name": "x"}, "Items": []}])
+        res = incremental_import(spark, src, tgt, log, table="clicks")
+        assert res.mode == "incremental" and len(res.partitions) == n + 1 and res.emptied == []
+        df = read_converted(spark, tgt, log, "clicks")
+        assert df.count() == 3 + n and df.filter("dt is null").count() == 1
+        assert incremental_import(spark, src, tgt, log, table="clicks").mode == "none"
+
+
+def test_data_keys_named_like_the_partition_are_an_error(spark, tmp_path):
+    import pytest
+    from lakenorm.sources.json_source import read_json_table
+    for key in ("dt", "DT"):
+        src = str(tmp_path / key)
+        write_day(src, "20240101", [{"a": 1, key: 5}])
+        with pytest.raises(ValueError, match="partition column"):
+            read_json_table(spark, src)
+
+
+def test_legacy_format_is_reset_and_not_for_parallel_runs(spark, tmp_path):
+    import pytest
+    src = _source(tmp_path, ["20240101"])
+    before = spark.conf.get("spark.sql.parquet.writeLegacyFormat")
+    full_import(spark, src, str(tmp_path / "t"), legacy_format=True)
+    assert spark.conf.get("spark.sql.parquet.writeLegacyFormat") == before
+    with pytest.raises(ValueError, match="parallel"):
+        convert_database(spark, str(tmp_path / "src"), str(tmp_path / "o"), str(tmp_path / "l"), parallel=2, legacy_format=True)
+
+
+def test_storage_errors_are_raised_not_taken_for_missing_files(spark, tmp_path, monkeypatch):
+    import pytest
+    from lakenorm.sources import fs
+    assert fs.has_files(spark, str(tmp_path / "nothing")) is False
+    with pytest.raises(Exception, match="No FileSystem|nowhere|UnsupportedFileSystem"):
+        fs.has_files(spark, "nowhere://x/y")
+    with pytest.raises(Exception):
+        fs.parquet_rows(spark, str(tmp_path / "nothing"))
+    junk = tmp_path / "junk"
+    junk.write_bytes(b"PAR1" + b"x" * 100 + b"PAR1")
+    assert fs.parquet_rows(spark, str(junk)) is None
+
+
 def test_full_import_removes_stale_and_keeps_on_empty(spark, tmp_path):
     src = _source(tmp_path, ["20240101"])
     tgt = str(tmp_path / "t")
