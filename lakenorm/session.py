@@ -14,7 +14,6 @@ Spark user would put into ``spark-defaults.conf`` for this kind of job:
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -58,23 +57,18 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is the distributed location every executor can reach.
-    Only when the session has none and runs in local mode (a bare test) is
-    one created and set; a cluster session without it is an error, since a
-    folder on the driver's disk is out of the executors' reach.
+    On a cluster this is the distributed location every executor can reach. A
+    session without it is an error: a folder made here would be on the driver's
+    disk, out of the executors' reach (tests and the bench set one of their own).
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="lakenorm-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     return base.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, unique folder below the shared folder (never machine-local)."""
+    """A fresh, unique folder below the shared folder."""
     return f"{shared_dir(spark)}/lakenorm/{label}-{uuid.uuid4().hex[:12]}"

@@ -1,6 +1,7 @@
 import json
 import os
 import sys
+import tempfile
 import uuid
 
 import pytest
@@ -15,6 +16,7 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     from lakenorm.session import build_session
     s = build_session("local[4]", shuffle_partitions=8, app="lakenorm-tests")
+    s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="lakenorm-tests-"))
     yield s
     s.stop()
 

@@ -500,7 +500,7 @@ def test_scratch_needs_shared_dir_on_a_cluster():
                                sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None,
                                                             setCheckpointDir=lambda d: None))
 
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_dir(session("spark://head:7077"))
+    for master in ("spark://head:7077", "local[8]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(session(master))
     assert shared_dir(session("yarn", "hdfs://nn/ckpt/")) == "hdfs://nn/ckpt"
-    assert os.path.isdir(shared_dir(session("local[8]")))
