@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import named, table
+from .common import bounded_batches, named, slices, table
 
 WINDOW = 13
 BLOCK_BYTES = 8 << 20
@@ -119,6 +119,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "
     """``(id, n_words, n_hit, items array<string>, spans array<struct>)`` per document."""
     src = named(docs, id=id_column, text=text)
     spark = docs.sparkSession
+    bounded_batches(spark)
     many = _blocks(named(benchmark, id=item_id, text=item_text), block_bytes) or [[]]
     schema = T.StructType([T.StructField("id", src.schema["id"].dataType), T.StructField("n_words", T.LongType()),
                            T.StructField("n_hit", T.LongType()),
@@ -132,7 +133,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "
 
         def batches(it):
             automaton = build_automaton(shared.value, window)
-            for b in it:
+            for b in slices(it, "text"):
                 n, hits, keys, where = [], [], [], []
                 for t in b.column("text").to_pylist():
                     count, spans, found = scan(automaton, t)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import named, pieces, stage, table
+from .common import bounded_batches, named, pieces, slices, stage, table
 
 BUCKETS = 1 << 16
 TRAIN_ROWS = 4000
@@ -68,7 +68,7 @@ def trigrams(texts: list):
 def fit(sample: DataFrame, text: str, label: str) -> tuple[list[str], np.ndarray]:
     """(languages, log-probabilities [bucket, language]) from labelled rows."""
     def counts(it):
-        for b in it:
+        for b in slices(it, "text"):
             labels = b.column("label").to_pylist()
             sums: dict = {}
             for bucket, owner, start, size in trigrams(b.column("text").to_pylist()):
@@ -105,13 +105,14 @@ def identify(rows: DataFrame, languages: list[str], logp: np.ndarray, accept: fl
     """``rows(id, text, declared, host, domain, suffix)`` ->
     ``(id, language, posterior, text_language, declared, accepted)``."""
     spark = rows.sparkSession
+    bounded_batches(spark)
     model = spark.sparkContext.broadcast(logp)      # 65,536 x (languages + 1) floats
     classes = [*languages, "und"]
     k = len(classes)
     places = [c for c in ("host", "domain", "suffix")]
 
     def batches(it):
-        for b in it:
+        for b in slices(it, "text"):
             ll, n = likelihoods(b.column("text").to_pylist(), model.value)
             p = np.exp(ll - ll.max(axis=1, keepdims=True)) if len(ll) else ll
             p = p / p.sum(axis=1, keepdims=True) if len(ll) else p

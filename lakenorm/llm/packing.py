@@ -36,12 +36,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import mix64, named, stage, table
+from .common import bounded_batches, mix64, named, slices, stage, table
 
 WINDOW, END_ID = 2048, 1
 SHARD_TOKENS, PARTITION_TOKENS = 1 << 19, 1 << 21
 K1, B = 1.2, 0.75
-CACHE = 600_000
+CACHE = 400_000
 
 
 class Encoder:
@@ -144,7 +144,7 @@ def tokenise(docs: DataFrame, vocabulary: str, ranks: str | None = None, pattern
     def batches(it):
         encode = _encoder(vocabulary, ranks, pattern)
         end = np.array([end_id], encode.dtype).tobytes()
-        for b in it:
+        for b in slices(it, "text"):
             raw = [x + end for x in encode(b.column("text").to_pylist())]
             arrays = [np.frombuffer(x, encode.dtype) for x in raw]
             yield pa.RecordBatch.from_arrays(
@@ -275,7 +275,7 @@ def pack(tokens: DataFrame, window: int = WINDOW, shard_tokens: int = SHARD_TOKE
 
     def shards(it):
         ids, docs, n = [], [], 0
-        for b in it:
+        for b in slices(it, "ids"):
             for key, count, raw in zip(b.column("id").to_pylist(), b.column("n").to_pylist(),
                                        b.column("ids").to_pylist()):
                 kind = "<u2" if len(raw) == 2 * count else "<u4"
@@ -317,6 +317,7 @@ def pack_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     """The contract's tokens and windows over all rows of ``docs``."""
     import public_tokenizers
 
+    bounded_batches(docs.sparkSession)
     tokens = tokenise(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
                       public_tokenizers.PATTERN, id_column, text)
     return pack(stage(tokens, "packing-tokens"))
