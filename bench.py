@@ -53,7 +53,7 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus * 2, app="lakenorm-bench")
     if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="lakenorm-bench-"))
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lakenorm-bench-"))
 
     events_src = fx.stage_messy_events(spark, sf_dir)
     li_docs = fx.stage_json(fx.lineitem_documents(spark, sf_dir), "bench-li-docs")

@@ -1,4 +1,5 @@
-"""Fold rows that are equal outside their arrays of structs (``rows="fuse"``).
+"""Fold rows that are equal outside their arrays of structs (``rows="fuse"``),
+at every level.
 
 This is the reference's result for the fold step: rows equal in every other
 column become one row whose arrays are the union of theirs. Arrays are folded
@@ -6,6 +7,15 @@ one after the other, each grouped by everything else. Sibling arrays are
 never exploded against each other (no cross product); the other arrays take
 part in the key as whole values.
 
+Below the root: an array inside root structs is lifted to the root, folded like
+any other and put back. Within an array, elements equal outside their own
+nested arrays become one element with these united, deepest level included, by
+an expression over the row alone (nested arrays too are folded one after the
+other). Elements that hold maps cannot be compared and stay as they are.
+
+A group's united array is one output value, so it must fit a task: that is the
+documented limit of this mode (``rows="keep"`` has none).
+
 Skew: one group may hold a large share of all rows. A fold is therefore two
 aggregations. The first groups by ``(everything else, hash(element) mod
 salt_buckets)`` with ``collect_set``, a partial aggregate: a hot group is
@@ -19,10 +29,12 @@ folds in one aggregation (one exchange less, for data without hot groups).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.schema import is_struct_array, quote
+from pyspark.sql import types as T
+
+from ..functions.schema import has_map, is_struct_array, quote
 from .normalize import distinct_rows
 
 SALT_BUCKETS = 32
@@ -37,8 +49,9 @@ def fuse_arrays(df: DataFrame, arrays: list[str] | None = None, keys_exclude: tu
     if not arrays:
         return distinct_rows(df)
     order = [quote(c) for c in df.columns]
+    df = df.select(*[unite(F.col(quote(c)), df.schema[c].dataType).alias(c) if c in arrays else F.col(quote(c)) for c in df.columns])
     for name in arrays:
-        col = F.col(quote(name))
+        col, kind = F.col(quote(name)), df.schema[name].dataType
         rest = [quote(c) for c in df.columns if c != name]
         exploded = df.select(*rest, F.explode_outer(col).alias(name))
         if salt_buckets and salt_buckets > 1:
@@ -49,7 +62,86 @@ def fuse_arrays(df: DataFrame, arrays: list[str] | None = None, keys_exclude: tu
         else:
             united = F.collect_set(col)
             grouped = exploded.groupBy(*rest)
-        if sort:
-            united = F.sort_array(united)
-        df = grouped.agg(united.alias(name)).select(*order)
+        df = grouped.agg(united.alias(name))
+        done = unite(col, kind)         # elements of different rows meet here
+        done = F.sort_array(done) if sort else done
+        df = df.withColumn(name, done).select(*order)
     return df
+
+
+def _nested_arrays(element: T.DataType) -> list[T.StructField]:
+    return [f for f in element.fields if is_struct_array(f.dataType)] if isinstance(element, T.StructType) else []
+
+
+def unite(col: Column, kind: T.ArrayType) -> Column:
+    """An array whose elements, where equal outside a nested array of structs,
+    are one element with the union of it; at every level below."""
+    element = kind.elementType
+    nested = _nested_arrays(element)
+    if not nested or has_map(element):
+        return col
+    for f in nested:
+        rest = [g.name for g in element.fields if g.name != f.name]
+        key = lambda e: F.struct(F.lit(True).alias("_"), *[e.getField(n).alias(n) for n in rest])
+        col = _unite_one(col, element, f, key)
+    return col
+
+
+def _unite_one(col: Column, element: T.StructType, f: T.StructField, key) -> Column:
+    empty = F.array().cast(f.dataType)
+    of = lambda k: F.sort_array(F.array_distinct(unite(F.flatten(F.transform(
+        F.filter(col, lambda e: key(e).eqNullSafe(k)), lambda e: F.coalesce(e.getField(f.name), empty))), f.dataType)))
+    whole = lambda k: F.struct(*[(of(k) if g.name == f.name else k.getField(g.name)).alias(g.name) for g in element.fields])
+    return F.transform(F.array_distinct(F.transform(col, key)), whole)
+
+
+# ------------------------------------------------- arrays inside root structs
+
+def struct_arrays(schema: T.StructType, keep: tuple[str, ...] = ()) -> list[tuple[str, ...]]:
+    """Paths of the arrays of structs that lie inside root structs."""
+    def below(kind: T.DataType, path: tuple[str, ...]):
+        if isinstance(kind, T.StructType):
+            for f in kind.fields:
+                yield from below(f.dataType, (*path, f.name))
+        elif len(path) > 1 and is_struct_array(kind):
+            yield path
+    return [p for f in schema.fields if f.name not in keep for p in below(f.dataType, (f.name,))]
+
+
+_HERE = "__lakenorm_here"
+
+
+def _without(col: Column, kind: T.DataType, path: tuple[str, ...], gone: set[tuple[str, ...]]) -> Column:
+    if not isinstance(kind, T.StructType) or not any(g[:len(path)] == path for g in gone):
+        return col
+    fields = [_without(col.getField(f.name), f.dataType, (*path, f.name), gone).alias(f.name)
+              for f in kind.fields if (*path, f.name) not in gone]
+    return F.when(col.isNotNull(), F.struct(F.lit(True).alias(_HERE), *fields))
+
+
+def _with(col: Column, kind: T.DataType, path: tuple[str, ...], at: dict[tuple[str, ...], Column]) -> Column:
+    if not isinstance(kind, T.StructType) or not any(g[:len(path)] == path for g in at):
+        return col
+    fields = [(at[(*path, f.name)] if (*path, f.name) in at else _with(col.getField(f.name), f.dataType, (*path, f.name), at)).alias(f.name)
+              for f in kind.fields]
+    return F.when(col.isNotNull(), F.struct(*fields))
+
+
+def fuse_rows(df: DataFrame, arrays: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
+    """Fold the root arrays and the arrays inside root structs."""
+    paths = [] if has_map(df.schema) else struct_arrays(df.schema, keep)
+    if not paths:
+        return fuse_arrays(df, arrays=arrays)
+    schema, lifted = df.schema, {p: f"__lakenorm_lift_{i}" for i, p in enumerate(paths)}
+
+    def at(path):
+        col = F.col(quote(path[0]))
+        for name in path[1:]:
+            col = col.getField(name)
+        return col
+    gone = set(paths)
+    flat = df.select(*[_without(F.col(quote(f.name)), f.dataType, (f.name,), gone).alias(f.name) for f in schema.fields],
+                     *[at(p).alias(n) for p, n in lifted.items()])
+    folded = fuse_arrays(flat, arrays=sorted([*lifted.values(), *arrays]))
+    back = {p: F.col(n) for p, n in lifted.items()}
+    return folded.select(*[_with(F.col(quote(f.name)), f.dataType, (f.name,), back).alias(f.name) for f in schema.fields])

@@ -337,13 +337,13 @@ def normalize(df: DataFrame, depth: int | None = None, *, rows: str = "keep", pr
     exprs, _ = normalized_exprs(df.schema, opts, keep)
     out = df.selectExpr(*exprs)
     if opts.rows == "fuse":
-        from .fuse import fuse_arrays
+        from .fuse import fuse_rows
         # arrays that hold structs in the input (unwrapped ones included) and
         # are still arrays after merging (a collision with a scalar gives string)
         from_structs = {f.name.lower() for f in df.schema.fields if f.name not in keep and is_struct_array(f.dataType)}
         arrays = sorted(f.name for f in out.schema.fields
                         if f.name in from_structs and isinstance(f.dataType, T.ArrayType))
-        return fuse_arrays(out, arrays=arrays)
+        return fuse_rows(out, arrays, keep)
     if opts.dedup_keys:
         # names are matched after lowercasing; the partition column is always part of the key
         return keep_one_per_key(out, [k.lower() for k in opts.dedup_keys] + [k for k in keep])

@@ -238,6 +238,18 @@ def q_fuse_arrays_two(spark, sf):
     return norm.select("l_returnflag", "l_linestatus", of("a", "n").alias("a"), of("b", "q").alias("b"))
 
 
+def q_fuse_nested(spark, sf):
+    """An array inside a root struct whose elements hold arrays: rows equal
+    outside are folded, and elements equal outside their nested arrays."""
+    li = fx.table(spark, sf, "lineitem")
+    subs = F.array(F.struct(F.col("l_linenumber").alias("N")))
+    items = F.array(F.struct(F.col("l_linestatus").alias("K"), subs.alias("Subs")))
+    staged = li.select("l_suppkey", F.struct(F.col("l_returnflag").alias("R"), items.alias("Items")).alias("G"))
+    norm = normalize(spark.read.json(fx.stage_json(staged, "fuse-nested")), rows="fuse")
+    each = norm.select("l_suppkey", F.col("g.r").alias("r"), F.size("g.items").alias("n_items"), F.inline_outer("g.items"))
+    return each.select("l_suppkey", "r", "n_items", "k", F.size("subs").alias("n_subs"), F.inline_outer("subs"))
+
+
 def q_rows_distinct(spark, sf):
     ev = fx.table(spark, sf, "events").select("user_id", "event_type")
     return distinct_rows(ev.unionAll(ev))
@@ -605,6 +617,7 @@ QUERIES: dict[str, Query] = {
     "fuse_arrays": q_fuse_arrays,
     "fuse_arrays_single": q_fuse_arrays_single,
     "fuse_arrays_two": q_fuse_arrays_two,
+    "fuse_nested": q_fuse_nested,
     "rows_distinct": q_rows_distinct,
     "union_by_name": q_union_by_name,
     "align_schema": q_align_schema,
@@ -695,6 +708,10 @@ ORACLE: dict[str, str] = {
                        "SELECT l_returnflag, l_linestatus, array_to_string(ns, ',') AS a, "
                        "string_agg(DISTINCT CAST(q AS VARCHAR), ',' ORDER BY CAST(q AS VARCHAR)) AS b FROM a "
                        "GROUP BY l_returnflag, l_linestatus, ns",
+    "fuse_nested": "WITH d AS (SELECT DISTINCT l_suppkey, l_returnflag AS r, l_linestatus AS k, CAST(l_linenumber AS BIGINT) AS n "
+                   "FROM lineitem) SELECT l_suppkey, r, CAST(i.c AS INTEGER) AS n_items, k, "
+                   "CAST(count(*) OVER (PARTITION BY l_suppkey, r, k) AS INTEGER) AS n_subs, n "
+                   "FROM d JOIN (SELECT l_suppkey, r, count(DISTINCT k) AS c FROM d GROUP BY 1, 2) i USING (l_suppkey, r)",
     "rows_distinct": "SELECT DISTINCT user_id, event_type FROM events",
     "union_by_name": "SELECT c_custkey AS k, c_mktsegment AS segment, CAST(NULL AS DOUBLE) AS bal FROM customer "
                      "UNION ALL SELECT s_suppkey, NULL, s_acctbal FROM supplier",

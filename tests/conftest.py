@@ -16,7 +16,8 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     from lakenorm.session import build_session
     s = build_session("local[4]", shuffle_partitions=8, app="lakenorm-tests")
-    s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="lakenorm-tests-"))
+    if not s.conf.get("spark.checkpoint.dir", None):
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lakenorm-tests-"))
     yield s
     s.stop()
 

@@ -101,7 +101,8 @@ if __name__ == "__main__":
     from lakenorm.session import build_session
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]")
-    spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="lakenorm-oracle-"))
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lakenorm-oracle-"))
     res = compare(spark, sf, sys.argv[2:] or None)
     bad = {k: v for k, v in res.items() if not (v.startswith("ok") or v.startswith("rows-only"))}
     print(f"\n{len(res) - len(bad)}/{len(res)} fine; failing: {sorted(bad)}")

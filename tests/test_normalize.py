@@ -266,3 +266,36 @@ def test_awkward_names_at_every_level(jsonl):
     assert row["a`b"] == 2 and row["it's"] == 1       # "A`B" precedes "a`b" in code-point order
     assert row["st"] == {n: "v" for n in sorted(odd)}
     assert row["arr"] == [{n: i for n in sorted(odd)} for i in range(2)]
+
+
+def test_fuse_unites_nested_arrays_of_equal_parents(jsonl):
+    """Two equal parents become one with the union; siblings are never paired."""
+    df = normalize(jsonl([
+        {"id": 1, "a": [{"k": "x", "n": [{"v": 1}], "m": [{"w": 1}]}, {"k": "x", "n": [{"v": 2}], "m": [{"w": 1}]}, {"k": "y", "n": [], "m": []}]},
+        {"id": 1, "a": [{"k": "y", "n": [{"v": 7}], "m": []}]},
+    ]), rows="fuse")
+    (r,) = df.collect()
+    assert [(e.k, [x.v for x in e.n], [x.w for x in e.m]) for e in r.a] == [("x", [1, 2], [1]), ("y", [7], [])]
+
+
+def test_fuse_folds_arrays_inside_root_structs(jsonl):
+    df = normalize(jsonl([
+        {"id": 1, "s": {"t": {"items": [{"v": 1}]}, "c": 5}}, {"id": 1, "s": {"t": {"items": [{"v": 2}]}, "c": 5}},
+        {"id": 1, "s": {"t": {"items": [{"v": 3}]}, "c": 6}}, {"id": 2, "s": None}, {"id": 2, "s": None},
+    ]), rows="fuse")
+    got = sorted((r.id, r.s and (r.s.c, [x.v for x in r.s.t["items"]])) for r in df.collect())
+    assert got == [(1, (5, [1, 2])), (1, (6, [3])), (2, None)]
+    assert df.schema["s"].dataType.simpleString() == "struct<c:bigint,t:struct<items:array<struct<v:bigint>>>>"
+
+
+def test_maps_inside_arrays_of_structs_are_kept(spark):
+    df = spark.createDataFrame([(1, [({"x": 1},), ({"x": 1},)])], "id int, a array<struct<m: map<string, int>>>")
+    (r,) = normalize(df).collect()
+    assert [e.m for e in r.a] == [{"x": 1}, {"x": 1}]
+
+
+def test_unfold_refuses_two_columns_of_one_name(jsonl):
+    import pytest
+    from lakenorm.operators.unfold import unfold_structs
+    with pytest.raises(ValueError, match="a___b"):
+        unfold_structs(jsonl([{"a": {"b": 1}, "a___b": 2}]))
