@@ -22,7 +22,7 @@ def scratch(spark: SparkSession, label: str) -> str:
     if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="llm-"))
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="llm-"))
     return scratch_path(spark, label)
 
 
