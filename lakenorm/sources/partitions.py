@@ -134,8 +134,8 @@ def partitions_to_recalc(source: DataFrame, done: DataFrame) -> DataFrame:
     have changed since (a log without listings settles by name alone); the
     newest converted one is always redone.
     """
-    newest = done.agg(F.max("partition").alias("_newest"))
-    settled = done.join(F.broadcast(newest), F.col("partition") < F.col("_newest")).drop("_newest")    # one row
+    newest = done.agg(F.max("partition")).scalar()
+    settled = done.filter(F.col("partition") < newest)
     if "listing" not in source.columns or "listing" not in done.columns:
         return source.join(settled.select("partition"), "partition", "left_anti")
     s = settled.select(F.col("partition").alias("_p"), F.col("listing").alias("_l"))
