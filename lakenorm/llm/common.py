@@ -47,9 +47,9 @@ def named(df: DataFrame, **columns: str) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Batches of at most 16 MB to Python workers, unless the session asks for less."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(spark.conf.get(key, "67108864").rstrip("b")) > 16 << 20:
+    """Batches of at most 16 MB to Python workers, unless the session says otherwise."""
+    key, default = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+    if spark.conf.get(key, default) == default:
         spark.conf.set(key, str(16 << 20))
 
 

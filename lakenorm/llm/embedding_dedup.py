@@ -7,7 +7,8 @@
    vector enters its own cell and the ``PROBES`` neighbouring cells whose
    lattice points are next nearest.
 3. Cells with two members or more become tiles, with the vectors cut to eight
-   bits a component (the cosine is then off by less than ``SLACK``). A walk
+   bits a component (the cosine is then off by less than ``SLACK``, unless
+   nearly all of a vector is in one component). A walk
    emits a spanning forest of the pairs that may reach the threshold.
 4. The components of the forests are brought together with their full vectors,
    and every pair inside is decided by the cosine in double precision. A row
