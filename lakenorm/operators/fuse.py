@@ -17,32 +17,25 @@ A group's united array is one output value, so it must fit a task: that is the
 documented limit of this mode (``rows="keep"`` has none).
 
 Skew: one group may hold a large share of all rows. A fold is therefore two
-aggregations. The first groups by ``(everything else, hash(element) mod
-salt_buckets)`` with ``collect_set``, a partial aggregate: a hot group is
-spread over ``salt_buckets`` reducers and de-duplicated in every map task
-before the exchange. Equal elements share a bucket, so the bucket sets of a
-group are disjoint; the second aggregation only concatenates them, and the
-reducer of a hot group receives exactly its distinct elements - the output
-row itself - instead of one partial set per map task. ``salt_buckets=0``
-folds in one aggregation (one exchange less, for data without hot groups).
+aggregations. The first is a plain distinct over (everything else, element): a
+hash aggregate without objects, which removes duplicates in every map task and
+spreads a hot group over all reducers. The second groups by everything else and
+only collects: the reducer of a hot group receives exactly its distinct
+elements - the output row itself.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
 from pyspark.sql import types as T
 
 from ..functions.schema import has_map, is_struct_array, quote
 from .normalize import distinct_rows
 
-SALT_BUCKETS = 32
-_SALT = "__lakenorm_salt"
-
 
 def fuse_arrays(df: DataFrame, arrays: list[str] | None = None, keys_exclude: tuple[str, ...] = (),
-                sort: bool = True, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+                sort: bool = True) -> DataFrame:
     """Fold ``arrays`` (default: every root array of structs) in the given order."""
     if arrays is None:
         arrays = [f.name for f in df.schema.fields if is_struct_array(f.dataType) and f.name not in keys_exclude]
@@ -54,15 +47,7 @@ def fuse_arrays(df: DataFrame, arrays: list[str] | None = None, keys_exclude: tu
         col, kind = F.col(quote(name)), df.schema[name].dataType
         rest = [quote(c) for c in df.columns if c != name]
         exploded = df.select(*rest, F.explode_outer(col).alias(name))
-        if salt_buckets and salt_buckets > 1:
-            salt = F.pmod(F.xxhash64(col), F.lit(salt_buckets)).alias(_SALT)
-            parts = exploded.groupBy(*rest, salt).agg(F.collect_set(col).alias(name))
-            united = F.flatten(F.collect_list(col))
-            grouped = parts.groupBy(*rest)
-        else:
-            united = F.collect_set(col)
-            grouped = exploded.groupBy(*rest)
-        df = grouped.agg(united.alias(name))
+        df = distinct_rows(exploded).groupBy(*rest).agg(F.collect_list(col).alias(name))
         done = unite(col, kind)         # elements of different rows meet here
         done = F.sort_array(done) if sort else done
         df = df.withColumn(name, done).select(*order)
