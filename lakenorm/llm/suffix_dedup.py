@@ -247,7 +247,9 @@ def _cut(length: int, id_type):
 
 def _sorted_texts(length: int):
     """Rows in order of task -> spans of the windows that repeat. Tasks are put
-    together to texts of about ``TEXT`` bytes; a task is never cut."""
+    together to texts of about ``TEXT`` bytes; a task is never cut, and two
+    tasks of one anchor, which share a block, are never in one text: a segment
+    that is in it twice would match itself."""
     def spans(rows):
         hit = repeated([r[4] for r in rows], length)
         out = []
@@ -270,7 +272,7 @@ def _sorted_texts(length: int):
                                                   ["id", "rk", "a", "b"])
             tasks = zip(*[b.column(c).to_pylist() for c in ("g", "i", "j")])
             for task, row in zip(tasks, zip(*[b.column(c).to_pylist() for c in ("id", "rk", "lo", "all", "bytes")])):
-                if size >= TEXT and task != last:
+                if rows and task != last and (size >= TEXT or task[0] == last[0]):
                     yield batch(spans(rows))
                     rows, size = [], 0
                 rows.append(row)

@@ -55,6 +55,26 @@ def test_repeats_equal_brute_force(spark, block, monkeypatch):
         assert (r.n_bytes, r.n_bytes - len(kept), len(r.spans), hashlib.sha256(kept).hexdigest()) == want[r.id], r.id
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_blocks_of_one_anchor_in_one_partition(spark, seed, monkeypatch):
+    """A shared passage at the edges of different texts, all tasks in a row: a
+    segment that is in two tasks of its anchor must not match itself."""
+    rng = random.Random(seed)
+    shared = words(rng, 30)
+    assert 128 < len(shared) < 400
+    texts = [words(rng, 70) + " " + shared + " " + words(rng, 70) for _ in range(40)]
+    texts += [texts[0][200:], words(rng, 20) + texts[1][100:900]]
+    monkeypatch.setattr(suffix_dedup, "TEXT", 4000)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 1)
+    try:
+        got = suffix_dedup.remove_repeats(docs(spark, texts)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    want = repeats_brute(texts)
+    assert {r.id: r.n_bytes - len(bytes(r.kept)) for r in got} == {i: w[1] for i, w in enumerate(want)}
+
+
 def test_repeats_across_parts_of_a_long_text(spark, monkeypatch):
     rng = random.Random(2)
     text = words(rng, 3000)
