@@ -10,13 +10,14 @@ word numbers give code point offsets in the original text.
 The automaton holds benchmark text only. Its size is checked first: a
 benchmark of more than ``BLOCK_BYTES`` is cut into blocks of items, each with
 its own automaton and its own pass, and the hit intervals are merged by
-document, so a large benchmark costs passes, not memory. Documents are never
-shuffled in the one-block case.
+document, so a large benchmark costs passes, not memory. Texts are never
+shuffled: the passes are merged by id and a hash of the text, and what they
+give is joined back to the rows.
 
 Defined results: a null or wordless text has no words and is clean; a null or
-wordless item has no window; repeated ids among documents are each a row in
-the one-block case and merged by ``row`` otherwise; an empty benchmark leaves
-all documents clean.
+wordless item has no window; every document row, also with a null or repeated
+id, is a row with its own result, whatever the size of the benchmark; an empty
+benchmark leaves all documents clean.
 """
 
 from __future__ import annotations
@@ -117,7 +118,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "
                        item_id: str = "item_id", item_text: str = "text", window: int = WINDOW,
                        block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``(id, n_words, n_hit, items array<string>, spans array<struct>)`` per document."""
-    src = named(docs, id=id_column, text=text)
+    src = named(docs, id=id_column, text=text).withColumn("row", F.sha2("text", 256))
     spark = docs.sparkSession
     bounded_batches(spark)
     many = _blocks(named(benchmark, id=item_id, text=item_text), block_bytes) or [[]]
@@ -125,10 +126,11 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "
                            T.StructField("n_hit", T.LongType()),
                            T.StructField("items", T.ArrayType(T.StringType())),
                            T.StructField("spans", T.ArrayType(_HIT))])
+    by_row = T.StructType([*schema.fields, T.StructField("row", T.StringType())])
     hit = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("first_word", pa.int64()),
                               ("last_word", pa.int64())]))
 
-    def passing(items):
+    def passing(items, out):
         shared = spark.sparkContext.broadcast(items)
 
         def batches(it):
@@ -142,23 +144,29 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "
                     keys.append(sorted(map(str, found)))
                     where.append([{"start": s, "end": e, "first_word": x, "last_word": y - 1}
                                   for (x, y), (s, e) in zip(spans, offsets(t, spans) if spans else ())])
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("id"), pa.array(n, pa.int64()), pa.array(hits, pa.int64()),
-                     pa.array(keys, pa.list_(pa.string())), pa.array(where, hit)], schema.names)
+                cols = {"id": b.column("id"), "n_words": pa.array(n, pa.int64()), "n_hit": pa.array(hits, pa.int64()),
+                        "items": pa.array(keys, pa.list_(pa.string())), "spans": pa.array(where, hit)}
+                if "row" in out.names:
+                    cols["row"] = b.column("row")
+                yield pa.RecordBatch.from_arrays([cols[c] for c in out.names], out.names)
 
-        return src.mapInArrow(batches, schema)
+        return (src if "row" in out.names else src.drop("row")).mapInArrow(batches, out)
 
     if len(many) == 1:
-        return passing(many[0])
-    return _merge_passes([passing(items) for items in many], schema)
+        return passing(many[0], schema)
+    merged = _merge_passes([passing(items, by_row) for items in many], by_row)
+    merged = merged.withColumnsRenamed({"id": "_id", "row": "_row"})
+    on = F.col("id").eqNullSafe(F.col("_id")) & F.col("row").eqNullSafe(F.col("_row"))
+    return src.select("id", "row").join(merged, on, "left").select(schema.names)
 
 
 def _merge_passes(passes: list[DataFrame], schema: T.StructType) -> DataFrame:
-    """Union of the block passes, one row per id: hit intervals are merged,
-    the items united."""
-    every = passes[0]
-    for p in passes[1:]:
-        every = every.unionByName(p)
+    """Union of the block passes, one row per id and text: hit intervals are
+    merged, the items united. Equal rows count once per pass."""
+    every = passes[0].withColumn("pass", F.lit(0))
+    for i, p in enumerate(passes[1:], 1):
+        every = every.unionByName(p.withColumn("pass", F.lit(i)))
+    every = every.groupBy("id", "row", "pass").agg(*[F.first(c).alias(c) for c in ("n_words", "items", "spans")])
 
     def merge(it):
         for b in it:
@@ -173,15 +181,15 @@ def _merge_passes(passes: list[DataFrame], schema: T.StructType) -> DataFrame:
                         merged.append(dict(s))
                 hits.append(sum(m["last_word"] - m["first_word"] + 1 for m in merged))
                 where.append(merged)
-            cols = {c: b.column(c) for c in ("id", "n_words", "items")}
+            cols = {c: b.column(c) for c in ("id", "n_words", "items", "row")}
             yield pa.RecordBatch.from_arrays(
                 [cols["id"], cols["n_words"], pa.array(hits, pa.int64()), cols["items"],
-                 pa.array(where, b.column("spans").type)], schema.names)
+                 pa.array(where, b.column("spans").type), cols["row"]], schema.names)
 
-    one = every.groupBy("id").agg(
+    one = every.groupBy("id", "row").agg(
         F.max("n_words").alias("n_words"), F.lit(0).cast("long").alias("n_hit"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        F.flatten(F.collect_list("spans")).alias("spans"))
+        F.flatten(F.collect_list("spans")).alias("spans")).select(schema.names)
     return one.mapInArrow(merge, schema)
 
 

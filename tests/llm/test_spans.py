@@ -136,6 +136,16 @@ def test_contamination_equals_brute_force(spark, block_bytes):
     assert decontaminate.find_contamination(docs(spark, []), items).count() == 0
 
 
+def test_contamination_of_each_row_with_several_blocks(spark):
+    """Null and repeated ids, equal rows: the same rows whatever the number of blocks."""
+    rows = [(1, "one two three"), (1, "x y z"), (1, "x y z"), (1, None), (1, None), (None, "élan vital here"), (None, "clean"),
+            (None, None), (None, "one two three and " + " ".join(f"w{i}" for i in range(20))), (2, ""), (2, "one two three")]
+    items = spark.createDataFrame(BENCH, "item_id long, text string")
+    one, many = [sorted(map(str, decontaminate.find_contamination(docs(spark, rows), items, block_bytes=n).collect()))
+                 for n in (1 << 20, 20)]
+    assert len(many) == len(rows) and many == one
+
+
 def test_contamination_offsets_in_the_original(spark):
     text = "Ünder: One,  TWO three! end"
     r = decontaminate.find_contamination(docs(spark, [text]), spark.createDataFrame(BENCH, "item_id long, text string")).first()
