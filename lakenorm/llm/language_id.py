@@ -1,7 +1,8 @@
 """Language identification by fusing Bayesian evidence.
 
 * Text: log-likelihood of the hashed byte trigrams under one smoothed model per
-  language, fitted on a bounded sample of labelled rows (about ``TRAIN_ROWS``),
+  language, fitted on a bounded sample of labelled rows (about ``TRAIN_ROWS``
+  for each label, all rows of a rarer one, so every label has a model),
   and a background class ``und`` for text in none of them. Trigrams of a text
   are not independent, so a text counts as at most ``EFFECTIVE`` of them.
 * Declared language (markup attribute or metadata): likelihood of the
@@ -27,6 +28,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +44,9 @@ PART = 1 << 20
 BACKGROUND = -math.log(27.0 ** 3)
 ACCEPT = 0.3
 
+#: Texts with a trigram: two letters in a row, or one beyond ASCII (several bytes).
+LETTERS = r"[A-Za-z]{2}|[^\x00-\x7F]"
+
 _FOLD = bytes(c if c >= 128 or 97 <= c <= 122 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 
 
@@ -82,11 +87,10 @@ def fit(sample: DataFrame, text: str, label: str) -> tuple[list[str], np.ndarray
                     [pa.array([k] * len(at)), pa.array(at), pa.array(c[at])], ["label", "bucket", "c"])
 
     rows = (named(sample, text=text, label=label).mapInArrow(counts, "label string, bucket long, c long")
-            .groupBy("label", "bucket").agg(F.sum("c").alias("c")).where("bucket > 0").collect())
-    langs = sorted({r.label for r in rows})
+            .groupBy("label", "bucket").agg(F.sum("c").alias("c")).where("bucket > 0").toArrow())
+    langs = sorted(pc.unique(rows["label"]).to_pylist())
     c = np.full((BUCKETS, len(langs)), ALPHA)
-    for r in rows:
-        c[r.bucket, langs.index(r.label)] += r.c
+    c[rows["bucket"].to_numpy(), pc.index_in(rows["label"], pa.array(langs, pa.string())).to_numpy()] += rows["c"].to_numpy()
     logp = np.log(c / c.sum(axis=0))
     logp[0] = 0
     return langs, np.column_stack([logp, np.full(BUCKETS, BACKGROUND) * (np.arange(BUCKETS) > 0)]).astype(np.float32)
@@ -186,10 +190,10 @@ def identify(rows: DataFrame, languages: list[str], logp: np.ndarray, accept: fl
                     ((language != "und") & (F.col("posterior") >= accept)).alias("accepted"))
 
 
-def sample_rows(df: DataFrame, at_most: int = TRAIN_ROWS) -> DataFrame:
-    """A bounded sample of labelled rows to fit on."""
-    n = df.count()
-    return df.sample(fraction=min(1.0, at_most / max(1, n)), seed=5)
+def sample_rows(df: DataFrame, label: str, at_most: int = TRAIN_ROWS) -> DataFrame:
+    """About ``at_most`` rows of each label to fit on; all of a label with no more."""
+    counts = df.groupBy(label).count().collect()
+    return df.sampleBy(label, {r[label]: min(1.0, at_most / r["count"]) for r in counts}, seed=5)
 
 
 def document_evidence(docs: DataFrame) -> DataFrame:
@@ -213,7 +217,8 @@ def page_evidence(pages: DataFrame) -> DataFrame:
 
 
 def fitted_on_documents(docs: DataFrame) -> tuple[list[str], np.ndarray]:
-    return fit(sample_rows(docs.select("text", "lang").where("text is not null and lang is not null")), "text", "lang")
+    labelled = docs.select("text", "lang").where(F.col("text").rlike(LETTERS) & (F.col("lang") != ""))
+    return fit(sample_rows(labelled, "lang"), "text", "lang")
 
 
 def identify_documents(docs: DataFrame) -> DataFrame:

@@ -66,6 +66,18 @@ def test_language_edge_rows(spark, model):
     assert {r.language for r in language_id.identify(evidence(spark, rows[:5]), *nothing).collect()} == {"und"}
 
 
+def test_a_rare_language_of_a_large_table_has_a_class(spark):
+    """Two of 40,000 rows: their language is known, accepted and can be declared."""
+    common, rare = "the thing and that of the with from this was", "hyvää päivää kaikille ystäville täällä tänään"
+    table = spark.range(40_002).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") < 40_000, F.lit(common)).otherwise(F.lit(rare)).alias("text"),
+        F.when(F.col("id") < 40_000, F.lit("en")).otherwise(F.lit("fi")).alias("lang"), F.lit("s").alias("source"))
+    languages, _ = language_id.fitted_on_documents(table)
+    assert languages == ["en", "fi"]
+    out = language_id.identify_documents(table).where("id >= 40000").collect()
+    assert [(r.language, r.declared, r.accepted) for r in out] == [("fi", "fi", True)] * 2
+
+
 def test_parts_of_a_long_text_lose_no_trigram(monkeypatch):
     rng = random.Random(0)
     text = "".join(rng.choice("abc é") for _ in range(5000))
