@@ -8,16 +8,16 @@
    however many, spread over partitions.
 3. A partition is read in shards of ``SHARD_TOKENS``. Each shard gets a BM25
    inverted index. The document that opens a window is its seed; the index
-   returns the seed's unused neighbours, best first, and they fill the window
-   greedily. What does not fit opens the next window and is its seed. A window
+   returns the seed's unused neighbours, best first and as many as it takes, and
+   they fill the window greedily. What does not fit opens the next window and is its seed. A window
    without neighbours left takes the next unused document in key order.
 4. Windows are full but for the last of a partition, which is cut into
    sequences of power-of-two length; so nothing is padded.
 
 Memory of a task: one shard (or one text, if longer) and its index.
 
-Terms are hashed token bigrams; a term in more than a sixteenth of a shard's
-documents (at least 8) has no weight, as a stop word.
+Terms are hashed token bigrams; a term in many of a shard's documents counts
+little, by its idf, but it counts, so members of a large group find each other.
 
 Defined results: a null or empty text is the end id alone; a null id is kept;
 repeated rows and ids are each packed; an empty table gives no pieces.
@@ -156,9 +156,11 @@ def tokenise(docs: DataFrame, vocabulary: str, ranks: str | None = None, pattern
 
 
 class Shard:
-    """BM25 inverted index of some documents; neighbours of one of them."""
+    """BM25 inverted index of some documents; neighbours of one of them. Unless
+    ``frequent``, a term in more than a sixteenth of them (at least 8) has no
+    weight."""
 
-    def __init__(self, docs: list[np.ndarray]):
+    def __init__(self, docs: list[np.ndarray], frequent: bool = False):
         m = len(docs)
         lens = np.array([len(d) for d in docs])
         flat = np.concatenate(docs).astype(np.uint64)
@@ -172,7 +174,7 @@ class Shard:
         term, doc = code[first] >> np.uint64(32), (code[first] & np.uint64(0xFFFFFFFF)).astype(np.int64)
         start = np.flatnonzero(np.append(True, term[1:] != term[:-1])) if len(term) else np.zeros(0, np.int64)
         df = np.diff(np.append(start, len(term)))
-        use = (df >= 2) & (df <= max(8, m // 16))
+        use = (df >= 2) & (frequent | (df <= max(8, m // 16)))
         keep = np.repeat(use, df)
         self.doc, tf, self.df = doc[keep], tf[keep], df[use]
         self.start = np.cumsum(self.df) - self.df
@@ -242,24 +244,24 @@ class Packer:
 
 
 def pack_shard(packer: Packer, ids: list, docs: list[np.ndarray]) -> None:
-    index, free = Shard(docs), np.ones(len(docs), bool)
-    nxt, seed, ranked = 0, None, []
+    index, free = Shard(docs, frequent=True), np.ones(len(docs), bool)
+    nxt, seed, ranked, k = 0, None, [], 16
     for _ in range(len(docs)):
         pick = None
         if seed is not None and packer.fill:
-            if ranked is None:
-                ranked = index.neighbours(seed, free).tolist()
-            while ranked and pick is None:
-                pick = ranked.pop(0)
-                pick = pick if free[pick] else None
+            if not ranked:                  # the seed's next neighbours, more each time
+                ranked = index.neighbours(seed, free, k)[::-1].tolist()
+                k *= 4
+            if ranked:
+                pick = ranked.pop()
         if pick is None:
             while not free[nxt]:
                 nxt += 1
             pick = seed = nxt
-            ranked = None
+            ranked, k = [], 16
         free[pick] = False
         if packer.add(ids[pick], docs[pick]):
-            seed, ranked = pick, None       # its rest opens the next window
+            seed, ranked, k = pick, [], 16  # its rest opens the next window
 
 
 PIECE = ("doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")

@@ -116,6 +116,21 @@ def test_neighbours_are_the_best_by_bm25():
         assert np.allclose([bm25(q, d) for d in got], [-s for s, _ in want])
 
 
+def test_a_seed_fills_its_window_with_all_its_neighbours():
+    """Two subjects of 60 short documents in turn, in two large groups: windows
+    of 40 documents hold one subject, until it is used up."""
+    rng = np.random.default_rng(4)
+    subjects = [rng.integers(100 + 1000 * s, 900 + 1000 * s, 30) for s in range(2)]
+    documents = [np.append(np.concatenate([[7, 8, 9], rng.permutation(subjects[i % 2].reshape(6, 5)).ravel(), [5] * 16]), 1)
+                 for i in range(120)]
+    packer = packing.Packer(2000, 0)
+    packing.pack_shard(packer, list(range(120)), documents)
+    packer.finish()
+    order = [doc for doc, start, *_ in packer.out if start == 0]
+    assert sorted(order) == list(range(120))
+    assert sum(a % 2 != b % 2 for a, b in zip(order, order[1:])) <= 3
+
+
 def test_related_documents_share_windows(spark):
     """Documents on one subject land together more often than by chance."""
     rng = random.Random(6)
