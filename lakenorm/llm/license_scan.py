@@ -18,10 +18,16 @@
 Defined results: null and empty texts have no licence; ties go to the higher
 cosine, then the smaller licence name, then the smaller path; a null path
 inherits nothing; each input row gives a row; an empty table gives no rows.
+
+Templates are the one-line notices, the standard notices of a file's head and,
+from ``licences/``, whole licence files. That of AGPL-3.0 is GPL-3.0's text with
+the paragraphs of its own; the CC-BY licences have one-line notices only.
 """
 
 from __future__ import annotations
 
+from importlib import resources
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -60,6 +66,23 @@ TEMPLATES = {
     "Unlicense": ["This is free and unencumbered software released into the public domain."],
 }
 
+#: The notice of the GNU licences: program or library, punctuation, licence, version.
+NOTICE = ("This {what} is free software{colon} you can redistribute it and/or modify it under the terms of the GNU {name}General "
+          "Public License as published by the Free Software Foundation{mark} either version {version} of the License, or (at your "
+          "option) any later version.")
+WARRANTY = (" This {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
+            "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name}General Public License for more "
+            "details.")
+for _licence, _what, _name, _version in (("GPL-2.0", "program", "", 2), ("GPL-3.0", "program", "", 3),
+                                         ("LGPL-3.0", "library", "Lesser ", 3), ("LGPL-3.0", "program", "Lesser ", 3),
+                                         ("AGPL-3.0", "program", "Affero ", 3)):
+    _words = {"what": _what, "name": _name, "version": _version, "colon": ";" if _version == 2 else ":",
+              "mark": ";" if _version == 2 else ","}
+    TEMPLATES[_licence] += [NOTICE.format(**_words), (NOTICE + WARRANTY).format(**_words)]
+for _licence in TEMPLATES:
+    if (_file := resources.files(__package__) / "licences" / f"{_licence}.txt").is_file():
+        TEMPLATES[_licence].append(_file.read_text("utf-8"))
+
 
 def terms(text):
     """Lower-case words and version numbers of a text column."""

@@ -191,6 +191,25 @@ def test_wrapped_notice_is_one_block(spark):
     assert r.licence == "MIT" and r.cosine > 0.9
 
 
+def test_notices_and_whole_files_of_each_licence(spark):
+    """The GNU notices as wrapped in a file's head, and licence files with a line before them."""
+    notice = ("{0} is free software{1} you can redistribute it and/or modify\nit under the terms of the GNU {2}General Public License as "
+              "published by\nthe Free Software Foundation{3} either version {4} of the License, or\n(at your option) any later version.\n\n"
+              "{0} is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\n"
+              "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\nGNU {2}General Public License for more details.")
+    cases = [("GPL-2.0", ("This program", ";", "", ";", 2)), ("GPL-3.0", ("This program", ":", "", ",", 3)),
+             ("LGPL-3.0", ("This library", ":", "Lesser ", ",", 3)), ("LGPL-3.0", ("This program", ":", "Lesser ", ",", 3)),
+             ("AGPL-3.0", ("This program", ":", "Affero ", ",", 3))]
+    cases = [(name, "/* a tool\n" + notice.format(*x) + "\n*/\nint main;") for name, x in cases]
+    whole = [n for n in license_scan.TEMPLATES if not n.startswith("CC-BY")]
+    files = {n: (license_scan.resources.files(license_scan.__package__) / "licences" / f"{n}.txt").read_text() for n in whole}
+    cases += [(n, "The tool of this folder, 2021\n\n" + t) for n, t in files.items()]
+    out = {r.id: r for r in license_scan.scan_licences(docs(spark, [t for _, t in cases])).collect()}
+    assert [(n, out[i].licence) for i, (n, _) in enumerate(cases)] == [(n, n) for n, _ in cases]
+    assert all(out[i].cosine > 0.95 for i in range(len(cases)))
+    assert not license_scan.scan_licences(docs(spark, ["the license of the driver and the terms of the contract\n" * 5])).collect()
+
+
 def test_nearest_ancestor_gives_the_licence(spark):
     files = [(1, "LICENSE", "MIT", 0.9, True), (2, "a/b/LICENSE", "GPL-3.0", 0.8, True), (3, "a/x.c", None, None, False),
              (4, "a/b/c/d/y.c", None, None, False), (5, "a/b/z.c", "Apache-2.0", 0.7, False), (6, "ab/b/q", None, None, False),
