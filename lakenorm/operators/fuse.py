@@ -11,7 +11,8 @@ Below the root: an array inside root structs is lifted to the root, folded like
 any other and put back. Within an array, elements equal outside their own
 nested arrays become one element with these united, deepest level included, by
 an expression over the row alone (nested arrays too are folded one after the
-other). Elements that hold maps cannot be compared and stay as they are.
+other): elements are sorted by what is outside the nested array, and runs of
+equal ones become one, so a value of many elements costs a sort. Elements that hold maps cannot be compared and stay as they are.
 
 A group's united array is one output value, so it must fit a task: that is the
 documented limit of this mode (``rows="keep"`` has none).
@@ -72,12 +73,36 @@ def unite(col: Column, kind: T.ArrayType) -> Column:
     return col
 
 
+def _bind(value: Column, of) -> Column:
+    """``of(value)`` with ``value`` evaluated once: inside a lambda an outer
+    expression is evaluated again for every element, a lambda variable is not."""
+    return F.transform(F.array(value), of)[0]
+
+
+def sorted_distinct(arr: Column) -> Column:
+    """The elements of an array in order, each once: sorted, then compared with
+    the one before (``array_distinct`` compares every pair of structs)."""
+    return _bind(F.sort_array(arr), lambda s: F.filter(s, lambda e, i: (i == 0) | ~e.eqNullSafe(F.get(s, i - 1))))
+
+
 def _unite_one(col: Column, element: T.StructType, f: T.StructField, key) -> Column:
+    """Elements sorted by their key stand in runs; a run is one element of the
+    result. Each step is linear in the elements, but for the sort."""
     empty = F.array().cast(f.dataType)
-    of = lambda k: F.sort_array(F.array_distinct(unite(F.flatten(F.transform(
-        F.filter(col, lambda e: key(e).eqNullSafe(k)), lambda e: F.coalesce(e.getField(f.name), empty))), f.dataType)))
-    whole = lambda k: F.struct(*[(of(k) if g.name == f.name else k.getField(g.name)).alias(g.name) for g in element.fields])
-    return F.transform(F.array_distinct(F.transform(col, key)), whole)
+
+    def one(run: Column) -> Column:
+        k = F.get(run, F.lit(0)).getField("k")
+        nested = F.flatten(F.transform(run, lambda r: F.coalesce(r.getField("v"), empty)))
+        united = sorted_distinct(unite(nested, f.dataType))
+        return F.struct(*[(united if g.name == f.name else k.getField(g.name)).alias(g.name) for g in element.fields])
+
+    def runs(s: Column) -> Column:
+        place = F.transform(s, lambda _, i: i)
+        first = F.filter(place, lambda i: (i == 0) | ~F.get(s, i).getField("k").eqNullSafe(F.get(s, i - 1).getField("k")))
+        return _bind(first, lambda at: F.transform(at, lambda a, j: one(F.slice(s, a + 1, F.coalesce(F.get(at, j + 1), F.size(s)) - a))))
+
+    keyed = F.transform(col, lambda e, i: F.struct(key(e).alias("k"), i.alias("i"), e.getField(f.name).alias("v")))
+    return _bind(F.sort_array(keyed), runs)
 
 
 # ------------------------------------------------- arrays inside root structs

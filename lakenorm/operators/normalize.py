@@ -175,6 +175,25 @@ def _is_empty(expr: str, dt: T.DataType) -> str:
     return f"({expr}) IS NULL"
 
 
+# Up to this size comparing all pairs of elements is faster than sorting them.
+PAIRS = 48
+
+
+def distinct_elements(arr: str, in_order: bool = False) -> str:
+    """SQL of an array of structs without its repeated elements, in the order of
+    first occurrence or sorted. ``array_distinct`` compares every pair of structs:
+    longer arrays are sorted instead and neighbours compared."""
+    s, t, v, i = _var(), _var(), _var(), _var()
+    new = f"{i} = 0 OR NOT ({v} <=> get({s}, {i} - 1))"
+    if in_order:
+        return f"transform(array(array_sort({arr})), {s} -> filter({s}, ({v}, {i}) -> {new}))[0]"
+    placed = f"sort_array(transform({s}, ({v}, {i}) -> struct({v} AS v, {i} AS i)))"
+    first = f"filter({t}, ({v}, {i}) -> {i} = 0 OR NOT ({v}.v <=> get({t}, {i} - 1).v))"
+    back = f"transform(sort_array(transform({first}, {v} -> struct({v}.i AS i, {v}.v AS v))), {v} -> {v}.v)"
+    many = f"transform(array({placed}), {t} -> {back})[0]"
+    return f"transform(array({arr}), {s} -> CASE WHEN size({s}) <= {PAIRS} THEN array_distinct({s}) ELSE {many} END)[0]"
+
+
 def _build(members: list[Member], target: T.DataType, level: int, opts: NormalizeOptions) -> str:
     """SQL of the output value of one group of colliding members.
 
@@ -223,9 +242,7 @@ def _build(members: list[Member], target: T.DataType, level: int, opts: Normaliz
             arr = f"transform({arr}, {v} -> {_field(v, elem_target.fields[0].name)})"
         if has_map(target.elementType):
             return arr      # maps cannot be compared: such elements are all kept
-        if opts.canonical_arrays:
-            arr = f"array_sort({arr})"
-        return f"array_distinct({arr})"
+        return distinct_elements(arr, opts.canonical_arrays)
 
     exprs = [conform(expr, dt, target) for expr, dt, _ in real]
     value = exprs[0] if len(exprs) == 1 else f"coalesce({', '.join(exprs)})"

@@ -31,12 +31,7 @@ from ..sources import fs
 from ..sources import worklog as wl
 from ..sources.json_source import PARTITION_COL, read_json_table
 from ..sources.parquet_sink import read_table, write_partitions
-from ..sources.partitions import (drop_partition, non_empty_partitions, partition_files, partition_names, partitions_to_recalc,
-                                  validate_partitions, value_of)
-
-
-# Listing of a partition whose files hold no byte.
-NO_BYTES = "0:0:0"
+from ..sources.partitions import LOOK_BACK, Days, drop_partition, list_days, partition_names, validate_partitions, value_of, work_list
 
 
 @dataclass
@@ -66,16 +61,6 @@ def _with_day(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(PARTITION_COL, T.StringType())])
 
 
-def _listings(spark: SparkSession, table_path: str, names: list[str] | None = None) -> dict[str, str]:
-    """One entry per partition that holds files. Spark's listing leaves files
-    of no bytes out: a folder that holds nothing else counts as emptied."""
-    if not (fs.exists(spark, table_path) if names is None else names):
-        return {}
-    found = {r.partition: r.listing for r in partition_files(spark, table_path, names).collect()}
-    others = [p for p in (partition_names(spark, table_path) if names is None else names) if p not in found]
-    return found | dict.fromkeys(non_empty_partitions(spark, table_path, others), NO_BYTES)
-
-
 def _read_source(spark: SparkSession, table_path: str, parts: list[str], schema: T.StructType | None = None) -> DataFrame:
     """The given partitions; files without a byte have no schema and no row."""
     try:
@@ -94,7 +79,8 @@ def _drop_emptied(spark: SparkSession, target_table: str, parts: list[str], writ
 def full_import(spark: SparkSession, source_table: str, target_table: str, log_path: str | None = None,
                 table: str | None = None, depth: int | None = None, rows: str = "keep",
                 legacy_format: bool | None = None, source_schema: T.StructType | None = None,
-                remove_stale: bool = True, carry_schema: T.StructType | None = None, **norm_kw) -> ImportResult:
+                remove_stale: bool = True, carry_schema: T.StructType | None = None, days: Days | None = None,
+                **norm_kw) -> ImportResult:
     """Convert every partition of a JSON table into the Parquet table.
 
     The source is read and normalised before anything is replaced; an empty
@@ -102,11 +88,13 @@ def full_import(spark: SparkSession, source_table: str, target_table: str, log_p
     target rows. Target partitions without a source partition are removed at
     the end (``remove_stale``), or, in a rebuild, rewritten from their own rows
     in the new schema (``carry_schema``, the schema they have). ``source_schema``
-    (the raw JSON schema, as kept in the log) skips the inference pass.
+    (the raw JSON schema, as kept in the log) skips the inference pass, ``days``
+    (the source's listing, just made) another listing.
     """
     configure(spark)
     table = table or _table_name(source_table)
-    listings = _listings(spark, source_table)
+    days = days if days is not None else list_days(spark, source_table)
+    listings = days.listings
     parts = sorted(listings)
     if not parts:
         return ImportResult(table, "none")
@@ -129,9 +117,8 @@ def full_import(spark: SparkSession, source_table: str, target_table: str, log_p
     dropped = [p for p in stale if remove_stale and drop_partition(spark, target_table, p)]
     schema = _data_schema(norm.schema)
     if log_path:
-        for p in dropped:
-            wl.remove_partition(spark, log_path, table, p)
-        wl.mark_done(spark, log_path, table, parts, parts[-1], run_id, schema, _data_schema(src.schema), listings)
+        wl.remove_partitions(spark, log_path, table, dropped)
+        wl.mark_done(spark, log_path, table, parts, parts[-1], run_id, schema, _data_schema(src.schema), listings, days.times)
     return ImportResult(table, "full", parts, schema, dropped, emptied)
 
 
@@ -157,23 +144,28 @@ def read_converted(spark: SparkSession, target_table: str, log_path: str | None
 def incremental_import(spark: SparkSession, source_table: str, target_table: str, log_path: str,
                        table: str | None = None, depth: int | None = None, rows: str = "keep",
                        new_rule: str = "set", numeric_widening: bool = False, strict: str = "symmetric",
-                       legacy_format: bool | None = None, **norm_kw) -> ImportResult:
+                       legacy_format: bool | None = None, look_back: int | None = LOOK_BACK, **norm_kw) -> ImportResult:
     """Convert the partitions that are new, left open by a run that broke off,
     or changed in their files since (plus the newest converted one).
 
+    Old days whose folder has not changed since they were listed are not listed
+    again, but for the ``look_back`` newest; ``look_back=None`` lists every file
+    of every day (see :func:`list_days`).
+
     Falls back to :func:`full_import` when nothing was converted yet, or when
     the new data changes the table schema in a way old partitions cannot be
     read with (``needs_recalc`` of the stored and the unified schema).
     """
     configure(spark)
     table = table or _table_name(source_table)
-    listings = _listings(spark, source_table)
+    status = wl.table_status(spark, log_path, table)
+    days = list_days(spark, source_table, None, status.listings, status.times, look_back)
+    listings = days.listings
     if not listings:
         return ImportResult(table, "none")
-    status = wl.table_status(spark, log_path, table)
     if not status.done or not fs.exists(spark, target_table):
         return full_import(spark, source_table, target_table, log_path, table, depth, rows,
-                           legacy_format, **norm_kw)
+                           legacy_format, days=days, **norm_kw)
 
     broken: list[str] = []
     if status.interrupted:
@@ -186,12 +178,17 @@ def incremental_import(spark: SparkSession, source_table: str, target_table: str
     done = spark.createDataFrame([(p, status.listings.get(p)) for p in status.done if p not in broken],
                                  "partition string, listing string")
     redo = [p for p in broken + status.open if p in listings]
-    if not redo and wl.unsettled(source, done, new_rule).isEmpty():
+    work = work_list(source, done).collect()
+    if new_rule == "max":
+        news = max(listings) != max((p for p in status.done if p not in broken), default=None)
+    else:
+        news = any(r.is_new for r in work)
+    if not redo and not news:
         return ImportResult(table, "none", broken=lost)
-    todo = sorted({r.partition for r in partitions_to_recalc(source, done).collect()} | set(redo))
+    todo = sorted({r.partition for r in work if r.redo} | set(redo))
     res = import_partitions(spark, source_table, target_table, log_path, table, todo, status, depth=depth,
                             rows=rows, numeric_widening=numeric_widening, strict=strict,
-                            legacy_format=legacy_format, listings=listings, **norm_kw)
+                            legacy_format=legacy_format, days=days, **norm_kw)
     res.dropped = sorted({*res.dropped, *(p for p in broken if p in listings)})
     res.broken = lost
     return res
@@ -200,8 +197,7 @@ def incremental_import(spark: SparkSession, source_table: str, target_table: str
 def import_partitions(spark: SparkSession, source_table: str, target_table: str, log_path: str, table: str,
                       todo: list[str], status: wl.TableStatus | None = None, depth: int | None = None,
                       rows: str = "keep", numeric_widening: bool = False, strict: str = "symmetric",
-                      legacy_format: bool | None = None, listings: dict[str, str] | None = None,
-                      **norm_kw) -> ImportResult:
+                      legacy_format: bool | None = None, days: Days | None = None, **norm_kw) -> ImportResult:
     """Convert exactly the partitions ``todo``.
 
     Infer over ``todo`` only and unify with the stored source schema; read
@@ -211,7 +207,7 @@ def import_partitions(spark: SparkSession, source_table: str, target_table: str,
     unified source schema, which covers every file converted or to be converted.
     """
     status = status or wl.table_status(spark, log_path, table)
-    listings = listings if listings is not None else _listings(spark, source_table, todo)
+    days = days if days is not None else list_days(spark, source_table, todo)
     opts = _options(depth, rows, **norm_kw)
     raw = _read_source(spark, source_table, todo)   # inference over ``todo`` only
     source_schema = _data_schema(raw.schema)
@@ -233,7 +229,7 @@ def import_partitions(spark: SparkSession, source_table: str, target_table: str,
     wl.mark_started(spark, log_path, table, todo, run_id)
     written = write_partitions(align(new, _with_day(unified)), target_table, legacy_format=legacy_format)
     emptied = _drop_emptied(spark, target_table, todo, written)
-    wl.mark_done(spark, log_path, table, todo, todo[-1], run_id, unified, source_schema, listings)
+    wl.mark_done(spark, log_path, table, todo, todo[-1], run_id, unified, source_schema, days.listings, days.times)
     return ImportResult(table, "incremental", todo, unified, emptied=emptied)
 
 

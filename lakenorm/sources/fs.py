@@ -34,6 +34,26 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(out)
 
 
+def dir_times(spark: SparkSession, path: str) -> dict[str, int]:
+    """Names and modification times (ms) of the sub-directories of ``path``, from
+    one listing (hidden ``_``/``.`` ones skipped); 0 where the storage has none."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return {}
+    out = {}
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and not name.startswith(("_", ".")):
+            out[name] = int(st.getModificationTime())
+    return out
+
+
+def has_subfolders(spark: SparkSession, path: str) -> bool:
+    """Does ``path`` hold a folder (hidden ones included)? One metadata call."""
+    fs, p = _fs_path(spark, path)
+    return int(fs.getContentSummary(p).getDirectoryCount()) > 1
+
+
 def has_files(spark: SparkSession, path: str) -> bool:
     """Does ``path`` hold at least one data file (at any depth, hidden ``_``/``.``
     entries skipped)? Lists lazily and stops at the first file."""
@@ -85,6 +105,16 @@ def qualified(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(p).toString()
 
 
+# What the footer reader says of bytes that are not a Parquet file (fixed texts).
+# Nothing else counts: an interrupt, an exhausted heap or a storage error says
+# nothing about the file.
+NOT_PARQUET = ("is not a Parquet file", "corrupted file", "can not read class org.apache.parquet")
+
+
+def _not_parquet(kind: str, message: str) -> bool:
+    return kind.startswith("org.apache.parquet.") or any(m in message for m in NOT_PARQUET)
+
+
 def parquet_rows(spark: SparkSession, path: str) -> int | None:
     """Rows that a Parquet file's footer promises; None if it is not a readable
     Parquet file. Any other failure (the storage is out of reach, access is
@@ -95,12 +125,11 @@ def parquet_rows(spark: SparkSession, path: str) -> int | None:
     try:
         footer = jvm.org.apache.parquet.hadoop.ParquetFileReader.readFooter(spark.sparkContext._jsc.hadoopConfiguration(), p)
     except Py4JJavaError as e:
-        names, cause = [], e.java_exception
+        cause = e.java_exception
         while cause is not None:
-            names.append(cause.getClass().getName())
+            if _not_parquet(cause.getClass().getName(), cause.getMessage() or ""):
+                return None
             cause = cause.getCause()
-        if any("parquet" in n or n.startswith("java.lang.") for n in names) or "is not a Parquet file" in str(e.java_exception):
-            return None
         raise
     return sum(b.getRowCount() for b in footer.getBlocks())
 

@@ -7,7 +7,8 @@ orders rows. A run appends a ``started`` row per planned partition before it
 writes any data and a ``done`` row after; a partition whose newest row is
 ``started`` belongs to a run that broke off, and is redone first. ``listing`` of
 a ``done`` row sums up the source files that were converted, so late and
-replaced files are noticed.
+replaced files are noticed; ``folder_time`` is the folder's modification time
+before that listing, where it vouches for the files (see ``partitions.list_days``).
 Nothing is ever rewritten: removing a table or a partition appends
 ``removed`` rows, so an aborted run cannot lose the log. The current state of
 a key is its newest row (``max_by`` over ``written_at``). ``table_schema``
@@ -50,6 +51,7 @@ LOG_SCHEMA = T.StructType([
     T.StructField("table_schema", T.StringType()),
     T.StructField("source_schema", T.StringType()),
     T.StructField("listing", T.StringType()),
+    T.StructField("folder_time", T.StringType()),
 ])
 # Seed row of a new log (fixed values): date, table, partition, maxPartition.
 SEED_ROW = ("0001-01-01", "example", "00010101", "00010101")
@@ -181,7 +183,8 @@ def mark_started(spark: SparkSession, log_path: str, table: str, partitions: lis
 
 def mark_done(spark: SparkSession, log_path: str, table: str, partitions: list[str], max_partition: str,
               run_id: str, table_schema: T.StructType | None = None,
-              source_schema: T.StructType | None = None, listings: dict[str, str] | None = None) -> None:
+              source_schema: T.StructType | None = None, listings: dict[str, str] | None = None,
+              times: dict[str, str | None] | None = None) -> None:
     """One ``done`` row per partition. The schemas (JSON text that grows with
     the column count) go into the run's last row only: readers take the
     newest ``done`` row that has them, so a run of thousands of partitions
@@ -190,7 +193,8 @@ def mark_done(spark: SparkSession, log_path: str, table: str, partitions: list[s
     source_json = source_schema.json() if source_schema is not None else None
     last = len(partitions) - 1
     rows = [(today(), table, p, max_partition, run_id, "done", now_stamp(),
-             schema_json if i == last else None, source_json if i == last else None, (listings or {}).get(p))
+             schema_json if i == last else None, source_json if i == last else None, (listings or {}).get(p),
+             (times or {}).get(p))
             for i, p in enumerate(partitions)]
     if not fs.exists(spark, log_path):   # a new log gets its seed row in the same write
         rows.insert(0, SEED_ROW + ("seed", "seed", now_stamp()))
@@ -235,7 +239,13 @@ def stored_schema(log: DataFrame, table: str, column: str = "table_schema") -> T
 
 def remove_partition(spark: SparkSession, log_path: str, table: str, partition: str) -> None:
     """Forget one converted partition of a table."""
-    append_rows(spark, log_path, [(today(), table, partition, None, "remove", "removed", now_stamp(), None, None)])
+    remove_partitions(spark, log_path, table, [partition])
+
+
+def remove_partitions(spark: SparkSession, log_path: str, table: str, partitions: list[str]) -> None:
+    """Forget some converted partitions of a table, in one append."""
+    stamp = now_stamp()
+    append_rows(spark, log_path, [(today(), table, p, None, "remove", "removed", stamp) for p in partitions])
 
 
 def remove_table(spark: SparkSession, log_path: str, table: str) -> None:
@@ -246,8 +256,7 @@ def remove_table(spark: SparkSession, log_path: str, table: str) -> None:
     is writing.
     """
     parts = [r.partition for r in done_partitions(read_log(spark, log_path, table), table).collect()]
-    stamp = now_stamp()
-    append_rows(spark, log_path, [(today(), table, p, None, "remove", "removed", stamp, None, None) for p in parts])
+    remove_partitions(spark, log_path, table, parts)
 
 
 def latest_run(log: DataFrame) -> DataFrame:
@@ -318,6 +327,7 @@ class TableStatus:
     source_schema: T.StructType | None
     open: list[str] = field(default_factory=list)        # started, never finished
     listings: dict[str, str] = field(default_factory=dict)
+    times: dict[str, str] = field(default_factory=dict)  # folder times that vouch for the listings
 
 
 def _schema(text: str | None) -> T.StructType | None:
@@ -343,11 +353,11 @@ def table_status(spark: SparkSession, log_path: str, table: str) -> TableStatus:
         F.max_by("table_schema", ts_of("table_schema")).alias("table_schema"),
         F.max(ts_of("source_schema")).alias("ts_s"),
         F.max_by("source_schema", ts_of("source_schema")).alias("source_schema"),
-        F.max_by("listing", F.when(is_done, F.col("written_at"))).alias("listing"),
+        F.max_by(F.struct("listing", "folder_time"), F.when(is_done, F.col("written_at"))).alias("files"),
     )
     newest_run = F.struct("run", "partition")
     summary = per_part.agg(
-        F.sort_array(F.collect_list(F.when(F.col("status") == "done", F.struct("partition", "listing")))).alias("done"),
+        F.sort_array(F.collect_list(F.when(F.col("status") == "done", F.struct("partition", "files.listing", "files.folder_time")))).alias("done"),
         F.sort_array(F.collect_list(F.when(F.col("status") == "started", F.col("partition")))).alias("open"),
         F.max_by("partition", F.when(F.col("run").isNotNull(), newest_run)).alias("last_finished"),
         F.max_by("planned", F.when(F.col("run").isNotNull(), F.struct("run", "planned"))).alias("planned"),
@@ -359,4 +369,5 @@ def table_status(spark: SparkSession, log_path: str, table: str) -> TableStatus:
     done = list(summary["done"] or [])
     return TableStatus([r.partition for r in done], interrupted, _schema(summary["table_schema"]),
                        _schema(summary["source_schema"]), list(summary["open"] or []),
-                       {r.partition: r.listing for r in done if r.listing is not None})
+                       {r.partition: r.listing for r in done if r.listing is not None},
+                       {r.partition: r.folder_time for r in done if r.folder_time is not None})

@@ -28,7 +28,7 @@ from ..session import configure
 from ..sources import fs
 from ..sources import worklog as wl
 from ..sources.json_source import PARTITION_COL
-from ..sources.partitions import partition_files
+from ..sources.partitions import list_days
 
 _FILE_SCHEMA = ("path string not null, modificationTime timestamp not null, length bigint not null, "
                 f"content binary, {PARTITION_COL} string")
@@ -68,11 +68,14 @@ def stream_import(spark: SparkSession, source_table: str, target_table: str, log
         # one name per touched day: small enough for the driver
         touched = sorted(r[0] for r in batch.select(folder).distinct().collect() if r[0].startswith(f"{PARTITION_COL}="))
         status = wl.table_status(spark, log_path, table)
-        listings = {r.partition: r.listing for r in partition_files(spark, source_table, touched).collect()} if touched else {}
-        todo = [p for p in touched if p in listings and status.listings.get(p) != listings[p]]
+        # A file without a byte gives no row, so its day is not among the touched ones: days
+        # already converted are checked by their folders as well, touched ones always listed.
+        known = {p: l for p, l in status.listings.items() if p not in touched}
+        days = list_days(spark, source_table, sorted({*touched, *status.done}), known, status.times, look_back=0)
+        todo = [p for p in sorted(days.listings) if status.listings.get(p) != days.listings[p]]
         if todo:
             results.append(import_partitions(spark, source_table, target_table, log_path, table, todo,
-                                             status, listings=listings, **import_kw))
+                                             status, days=days, **import_kw))
 
     stream = changed_partitions(spark, source_table, max_files_per_trigger)
     writer = (stream.writeStream.foreachBatch(convert_batch)
