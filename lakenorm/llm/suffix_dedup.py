@@ -14,19 +14,24 @@ input, so text that cannot repeat is set aside first:
 2. Per anchor, segments of equal content repeat as a whole. Only anchors whose
    segments differ, the edges of shared passages, go on; their bytes are cut
    from the documents.
-3. Suffix array. Many anchors' segments make one text of about ``TEXT`` bytes.
+3. Hot anchors. The edges of a passage that a third of all documents hold are
+   all different and have one anchor. An anchor with more than ``TEXT`` bytes is
+   split: its windows are dealt by their place relative to the anchor, and all
+   windows of a range share more bytes than the gram, which are the new key.
+   Narrower ranges share more, down to one window, whose key is all its bytes;
+   pieces of equal content repeat as a whole at every step, and what shares its
+   key with nothing is done. So no task ever holds a hot anchor, and no segment
+   is compared with others that cannot match it.
+4. Suffix array. Many anchors' segments make one text of about ``TEXT`` bytes.
    Two-stage sorting: the suffixes smaller than their successors are sorted
    directly, bucket by bucket, to a depth of ``LENGTH``; all others are induced
    by scanning the buckets in order. Windows whose common prefix with a
    neighbour in the array reaches ``LENGTH`` repeat.
 
-An anchor with more than ``TEXT`` bytes of different segments is cut into
-blocks, and every pair of blocks is a text of its own.
-
 Memory of a task: a few megabytes of text and about forty bytes per byte of it.
 
 Defined results: a null text is empty; texts shorter than ``LENGTH`` are kept;
-rows are told apart by id and content, so null and repeated ids are fine, and
+rows are told apart by id and the MD5 of the text, so null and repeated ids are fine, and
 rows that repeat as a whole are each other's copies; an empty table gives no
 rows. Positions are bytes of the UTF-8 text, ends exclusive.
 """
@@ -34,26 +39,28 @@ rows. Positions are bytes of the UTF-8 text, ends exclusive.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import STEP, named, stage, table, word_sums
-from .ngram_join import blocks
 
 LENGTH = 400
 GRAM = 128
 TEXT = 2 << 20
 FILTER = 1 << 18
+RANGES = (69, 18, 5, 1)         # windows of a range, step by step, when a hot anchor is split
 
 
 # ------------------------------------------------------------------- anchors
 
 def anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM):
     """Per run of texts: (gram hash, segment content, text number, first window,
-    number of windows) of every segment, as arrays and a list of bytes."""
+    number of windows, place of the gram behind the first window's start) of
+    every segment, as arrays and a list of bytes."""
     width = length - gram + 1
     parts = [(i, x, t[x:x + STEP + length - 1]) for i, t in enumerate(texts)
              for x in range(0, len(t) - length + 1, STEP)]
@@ -92,28 +99,28 @@ def anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM):
         o = owner[first]
         numbers = np.array([i for i, _, _ in run])[o]
         offsets = np.array([x for _, x, _ in run])[o] + lo - begin[o]
-        yield h[place[first]].view(np.int64), segments, numbers, offsets, count
+        yield h[place[first]].view(np.int64), segments, numbers, offsets, count, place[first] - lo
 
 
-_SEGMENT = "key long, content long, id {id}, rk int, lo long, n long, many boolean, sure boolean"
+_SEGMENT = "key long, content long, id {id}, rk binary, lo long, n long, gram long, many boolean, sure boolean"
 
 
 def segments(src: DataFrame, length: int, gram: int) -> DataFrame:
     """Segments of ``src(id, rk, text)``. ``sure``: repeats within its batch, a
     result; otherwise a candidate, which stands for several if ``many``."""
-    names = ["key", "content", "id", "rk", "lo", "n", "many", "sure"]
+    names = ["key", "content", "id", "rk", "lo", "n", "gram", "many", "sure"]
 
     def batches(it):
         for b in it:
             texts = [(t or "").encode("utf-8", "surrogatepass") for t in b.column("text").to_pylist()]
-            cols: list[list] = [[], [], [], [], []]
-            for key, bytes_, number, lo, n in anchors(texts, length, gram):
+            cols: list[list] = [[], [], [], [], [], []]
+            for key, bytes_, number, lo, n, at in anchors(texts, length, gram):
                 content = np.frombuffer(b"".join(hashlib.blake2b(s, digest_size=8).digest() for s in bytes_), np.int64)
-                for c, x in zip(cols, (key, content, number, lo, n)):
+                for c, x in zip(cols, (key, content, number, lo, n, at)):
                     c.append(x)
             if not cols[0]:
                 continue
-            key, content, number, lo, n = map(np.concatenate, cols)
+            key, content, number, lo, n, at = map(np.concatenate, cols)
             order = np.lexsort((content, key))
             new = np.append(True, (key[order][1:] != key[order][:-1]) | (content[order][1:] != content[order][:-1]))
             size = np.diff(np.append(np.flatnonzero(new), len(order)))
@@ -125,7 +132,7 @@ def segments(src: DataFrame, length: int, gram: int) -> DataFrame:
             take = pa.array(number[pick])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(key[pick]), pa.array(content[pick]), b.column("id").take(take), b.column("rk").take(take),
-                 pa.array(lo[pick]), pa.array(n[pick]), pa.array(several), pa.array(sure)], names)
+                 pa.array(lo[pick]), pa.array(n[pick]), pa.array(at[pick]), pa.array(several), pa.array(sure)], names)
 
     return src.mapInArrow(batches, _SEGMENT.format(id=src.schema["id"].dataType.simpleString()))
 
@@ -222,10 +229,11 @@ def repeated(parts: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
 
 # ------------------------------------------------------------------ dataflow
 
-_SPAN = "id {id}, rk int, a long, b long"
+_SPAN = "id {id}, rk binary, a long, b long"
+_ROW = "key long, id {id}, rk binary, lo long, n long, gram long, all boolean, bytes binary"
 
 
-def _cut(length: int, id_type):
+def _cut(length: int):
     """Requested segments of a document -> one row each, with its bytes."""
     def run(it):
         for b in it:
@@ -237,19 +245,41 @@ def _cut(length: int, id_type):
                     raw.append(t[w["lo"]:w["lo"] + w["n"] + length - 1])
                     number.append(i)
             take = pa.array(number, pa.int64())
+            long = lambda c: pa.array([w[c] for w in rows], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([w["key"] for w in rows], pa.int64()), pa.array([w["size"] for w in rows], pa.int64()),
-                 b.column("id").take(take), b.column("rk").take(take), pa.array([w["lo"] for w in rows], pa.int64()),
+                [long("key"), b.column("id").take(take), b.column("rk").take(take), long("lo"), long("n"), long("gram"),
                  pa.array([w["all"] for w in rows], pa.bool_()), pa.array(raw, pa.binary())],
-                ["key", "size", "id", "rk", "lo", "all", "bytes"])
+                ["key", "id", "rk", "lo", "n", "gram", "all", "bytes"])
+    return run
+
+
+def _split(length: int, width: int, most: int):
+    """Segments of hot anchors -> pieces of ``width`` places relative to the gram.
+    A window that starts ``k`` bytes before the gram belongs to range ``k // width``;
+    the bytes that all windows of the range have in common name the new anchor."""
+    def run(it):
+        for b in it:
+            out, number = [], []
+            for i, (key, lo, n, at, raw) in enumerate(zip(*[b.column(c).to_pylist() for c in ("key", "lo", "n", "gram", "bytes")])):
+                for r in range((at - n + 1) // width, at // width + 1):
+                    first, last = max(0, at - min((r + 1) * width - 1, most)), min(n - 1, at - r * width)     # windows of the piece
+                    core = raw[at - r * width:at - min((r + 1) * width - 1, most) + length]
+                    piece = raw[first:last + length]
+                    mark = lambda *x: int.from_bytes(hashlib.blake2b(b"".join(x), digest_size=8).digest(), "little", signed=True)
+                    out.append((mark(key.to_bytes(8, "little", signed=True), r.to_bytes(4, "little"), core), mark(piece),
+                                lo + first, last - first + 1, at - first, piece))
+                    number.append(i)
+            cols, take = list(zip(*out)) or [()] * 6, pa.array(number, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), b.column("id").take(take), b.column("rk").take(take),
+                 *[pa.array(c, pa.int64()) for c in cols[2:5]], b.column("all").take(take), pa.array(cols[5], pa.binary())],
+                ["key", "content", "id", "rk", "lo", "n", "gram", "all", "bytes"])
     return run
 
 
 def _sorted_texts(length: int):
-    """Rows in order of task -> spans of the windows that repeat. Tasks are put
-    together to texts of about ``TEXT`` bytes; a task is never cut, and two
-    tasks of one anchor, which share a block, are never in one text: a segment
-    that is in it twice would match itself."""
+    """Rows in order of anchors -> spans of the windows that repeat. Anchors are put
+    together to texts of about ``TEXT`` bytes; an anchor is never cut."""
     def spans(rows):
         hit = repeated([r[4] for r in rows], length)
         out = []
@@ -267,22 +297,35 @@ def _sorted_texts(length: int):
 
             def batch(found):
                 cols = list(zip(*found)) or [(), (), (), ()]
-                return pa.RecordBatch.from_arrays([pa.array(cols[0], kind), pa.array(cols[1], pa.int32()),
+                return pa.RecordBatch.from_arrays([pa.array(cols[0], kind), pa.array(cols[1], pa.binary()),
                                                    pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64())],
                                                   ["id", "rk", "a", "b"])
-            tasks = zip(*[b.column(c).to_pylist() for c in ("g", "i", "j")])
-            for task, row in zip(tasks, zip(*[b.column(c).to_pylist() for c in ("id", "rk", "lo", "all", "bytes")])):
-                if rows and task != last and (size >= TEXT or task[0] == last[0]):
+            for key, *row in zip(*[b.column(c).to_pylist() for c in ("key", "id", "rk", "lo", "all", "bytes")]):
+                if rows and key != last and size >= TEXT:
                     yield batch(spans(rows))
                     rows, size = [], 0
                 rows.append(row)
                 size += len(row[4]) + 1
-                last = task
+                last = key
         if rows:
             yield batch(spans(rows))
     return run
 
 
+def _equal_contents(rows: DataFrame, keep: list[str]) -> tuple[DataFrame, DataFrame]:
+    """``rows(key, content, all, ...)``, a row with ``all`` standing for several:
+    the rows whose content occurs twice or more, not counting those known
+    (``all``); and a row per content of the keys that have several contents."""
+    each = rows.groupBy("key", "content").agg(F.sum(F.when(F.col("all"), 2).otherwise(1)).alias("c"),
+                                              F.first(F.struct(*keep)).alias("rep"))
+    each = stage(each, "suffix-contents")
+    twice = each.where("c > 1").select(F.col("key").alias("_k"), F.col("content").alias("_c"))
+    spans = rows.where("not all").join(twice, (F.col("key") == F.col("_k")) & (F.col("content") == F.col("_c")), "left_semi")
+    mixed = each.groupBy("key").agg(F.min("content").alias("x"), F.max("content").alias("y")).where("x <> y").select(F.col("key").alias("_k"))
+    reps = each.join(mixed, F.col("key") == F.col("_k"), "left_semi").select("key", "rep.*", (F.col("c") > 1).alias("all"))
+    return spans, reps
+
+
 def _may_be_in(src: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows whose (id, rk) may be among ``ids``: a filter of at most ``FILTER``
     hash values is broadcast. The join that follows decides."""
@@ -295,39 +338,47 @@ def repeated_spans(src: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Da
     intervals, possibly overlapping, of the rows that hold repeated windows."""
     id_name = src.schema["id"].dataType.simpleString()
     found = stage(segments(src, length, gram), "suffix-segments")
-    per_content, per_key = Window.partitionBy("key", "content"), Window.partitionBy("key")
-    size = F.col("n") + F.lit(length)
-    c = (found.where("not sure").drop("sure").repartition("key")
-         .withColumn("c", F.sum(F.when(F.col("many"), 2).otherwise(1)).over(per_content))
-         .withColumn("r", F.row_number().over(per_content.orderBy("lo")))
-         .withColumn("size", F.sum(F.when(F.col("r") == 1, size).otherwise(0)).over(per_key))
-         .withColumn("mixed", F.min("content").over(per_key) != F.max("content").over(per_key)))
-    c = stage(c.select("key", "id", "rk", "lo", "n", "size", ((F.col("c") > 1) & ~F.col("many")).alias("span"),
-                       (F.col("c") > 1).alias("all"), (F.col("mixed") & (F.col("r") == 1)).alias("text"))
-              .where("span or text"), "suffix-candidates")
-
-    wanted = c.where("text").groupBy("id", "rk").agg(
-        F.collect_list(F.struct("key", "size", "lo", "n", "all")).alias("want"))
+    c = found.where("not sure").drop("sure").withColumnRenamed("many", "all")
+    # most anchors have one segment: they are done
+    met = c.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("all").alias("m")).where("n > 1 or m").select(F.col("key").alias("_k"))
+    c = stage(c.join(met, F.col("key") == F.col("_k"), "left_semi"), "suffix-candidates")
+    place = ["id", "rk", "lo", "n", "gram"]
+    again, reps = _equal_contents(c, place)
+    ranges = lambda df: df.select("id", "rk", F.col("lo").alias("a"), (F.col("lo") + F.col("n") + F.lit(length - 1)).alias("b"))
+    every = [ranges(found.where("sure")), ranges(again)]
+
+    wanted = reps.groupBy("id", "rk").agg(F.collect_list(F.struct("key", "lo", "n", "gram", "all")).alias("want"))
     wanted = stage(wanted.select(F.col("id").alias("_id"), F.col("rk").alias("_rk"), "want"), "suffix-wanted")
     on = F.col("id").eqNullSafe(F.col("_id")) & (F.col("rk") == F.col("_rk"))
     some = _may_be_in(src.where("text is not null"), wanted.select(F.col("_id").alias("id"), F.col("_rk").alias("rk")))
     # a row that occurs several times is cut once
     texts = some.join(wanted, on).select("id", "rk", "text", "want").dropDuplicates(["id", "rk"])
-    cut = texts.mapInArrow(_cut(length, id_name), f"key long, size long, id {id_name}, rk int, lo long, all boolean, bytes binary")
-    tasks = blocks(cut.withColumn("place", F.xxhash64("id", "rk", "lo")), "key", "size", TEXT, "place")
-    sorted_ = (tasks.select("g", "i", "j", "id", "rk", "lo", "all", "bytes").repartition("g", "i", "j")
-               .sortWithinPartitions("g", "i", "j", "id", "lo").mapInArrow(_sorted_texts(length), _SPAN.format(id=id_name)))
-
-    ranges = lambda df: df.select("id", "rk", F.col("lo").alias("a"), (F.col("lo") + F.col("n") + F.lit(length - 1)).alias("b"))
-    every = ranges(found.where("sure")).unionByName(ranges(c.where("span"))).unionByName(sorted_)
-    return stage(every.groupBy("id", "rk").agg(F.collect_list(F.struct("a", "b")).alias("spans")), "suffix-spans")
+    rows = stage(texts.mapInArrow(_cut(length), _ROW.format(id=id_name)), "suffix-cut")
+
+    ready = []
+    for width in (*RANGES, None):
+        hot = rows.groupBy("key").agg(F.sum(F.octet_length("bytes") + 1).alias("size")).where(F.col("size") > TEXT)
+        hot = stage(hot.select(F.col("key").alias("_k")), "suffix-hot")
+        if width is None or hot.isEmpty():
+            ready.append(rows)
+            break
+        ready.append(rows.join(hot, F.col("key") == F.col("_k"), "left_anti"))
+        pieces = stage(rows.join(hot, F.col("key") == F.col("_k"), "left_semi")
+                       .mapInArrow(_split(length, width, length - gram), _ROW.format(id=id_name).replace("key long", "key long, content long")), "suffix-pieces")
+        again, reps = _equal_contents(pieces, [*place, "bytes"])
+        every.append(ranges(again))
+        rows = stage(reps.select("key", *place, "all", "bytes"), "suffix-cut")
+    order = reduce(DataFrame.unionByName, ready).repartition("key").sortWithinPartitions("key", "id", "lo")
+    every.append(order.select("key", "id", "rk", "lo", "all", "bytes").mapInArrow(_sorted_texts(length), _SPAN.format(id=id_name)))
+    spans = reduce(DataFrame.unionByName, every)
+    return stage(spans.groupBy("id", "rk").agg(F.collect_list(F.struct("a", "b")).alias("spans")), "suffix-spans")
 
 
 def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text", length: int = LENGTH,
                    gram: int = GRAM) -> DataFrame:
     """``(id, n_bytes, spans array<struct<a, b>>, kept binary)`` per input row:
     the removed byte intervals, maximal and in order, and the remaining bytes."""
-    src = named(docs, id=id_column, text=text).withColumn("rk", F.hash("text"))
+    src = named(docs, id=id_column, text=text).withColumn("rk", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
     spans = repeated_spans(src, length, gram).select(F.col("id").alias("_id"), F.col("rk").alias("_rk"), "spans")
     on = F.col("id").eqNullSafe(F.col("_id")) & (F.col("rk") == F.col("_rk"))
     span = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
@@ -358,7 +409,8 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = remove_repeats(table(spark, sf_dir, "documents"))
     return r.select(F.col("id").alias("doc_id"), "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
-                    F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+                    F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+                    F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text"))
 
 
 QUERIES = {"op1_suffix_dedup": op1_suffix_dedup}

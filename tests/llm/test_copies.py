@@ -55,26 +55,50 @@ def test_repeats_equal_brute_force(spark, block, monkeypatch):
         assert (r.n_bytes, r.n_bytes - len(kept), len(r.spans), hashlib.sha256(kept).hexdigest()) == want[r.id], r.id
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_blocks_of_one_anchor_in_one_partition(spark, seed, monkeypatch):
-    """A shared passage at the edges of different texts, all tasks in a row: a
-    segment that is in two tasks of its anchor must not match itself."""
+@pytest.mark.parametrize("seed", range(3))
+def test_hot_anchor_is_split_by_its_next_bytes(spark, seed, monkeypatch):
+    """A shared passage at the edges of different texts, some edges equal too."""
     rng = random.Random(seed)
     shared = words(rng, 30)
     assert 128 < len(shared) < 400
     texts = [words(rng, 70) + " " + shared + " " + words(rng, 70) for _ in range(40)]
-    texts += [texts[0][200:], words(rng, 20) + texts[1][100:900]]
-    monkeypatch.setattr(suffix_dedup, "TEXT", 4000)
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", 1)
-    try:
-        got = suffix_dedup.remove_repeats(docs(spark, texts)).collect()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    near = texts[2].index(shared)
+    texts += [texts[0][200:], words(rng, 20) + texts[1][100:900], texts[2][near - 150:], texts[2][:near + len(shared) + 110] + words(rng, 90)]
+    monkeypatch.setattr(suffix_dedup, "TEXT", 2000)
+    got = suffix_dedup.remove_repeats(docs(spark, texts)).collect()
     want = repeats_brute(texts)
     assert {r.id: r.n_bytes - len(bytes(r.kept)) for r in got} == {i: w[1] for i, w in enumerate(want)}
 
 
+def test_passage_in_a_third_of_all_texts(spark, monkeypatch):
+    """The anchors at its edges are split, and all is found."""
+    rng = random.Random(5)
+    shared = words(rng, 90)
+    texts = [words(rng, 60) + (" " + shared + " " if i % 3 == 0 else " ") + words(rng, 60) for i in range(600)]
+    monkeypatch.setattr(suffix_dedup, "TEXT", 40_000)
+    src = docs(spark, texts).select(F.col("doc_id").alias("id"), "text").withColumn("rk", F.unhex(F.md5("text")))
+    split = []
+    inner_split = suffix_dedup._split
+    monkeypatch.setattr(suffix_dedup, "_split", lambda *a: (split.append(a[1]), inner_split(*a))[1])
+    spans = {r.id: r.spans for r in suffix_dedup.repeated_spans(src).collect()}
+    assert split
+    want = repeats_brute(texts)
+    for i, w in enumerate(want):
+        covered = {x for s in spans.get(i, ()) for x in range(s.a, s.b)}
+        assert len(covered) == w[1], i
+
+
+def test_rows_of_equal_short_hash_and_null_ids(spark):
+    """Two texts whose 32-bit hashes are equal are two rows, also with null ids."""
+    text = F.concat(*[F.md5(F.concat(F.col("id").cast("string"), F.lit(f"/{k}"))) for k in range(16)])
+    many = spark.range(250_000).select("id", F.hash(text).alias("h"))
+    pair = many.groupBy("h").agg(F.collect_list("id").alias("ids")).where("size(ids) > 1").first()
+    assert pair is not None
+    a, b = [r[0] for r in spark.createDataFrame([(i,) for i in pair.ids[:2]], "id long").select(text).collect()]
+    out = suffix_dedup.remove_repeats(docs(spark, [(None, a), (None, b), (7, a)])).collect()
+    assert sorted((r.n_bytes, len(bytes(r.kept)), bytes(r.kept)) for r in out) == [(512, 0, b""), (512, 0, b""), (512, 512, b.encode())]
+
+
 def test_repeats_across_parts_of_a_long_text(spark, monkeypatch):
     rng = random.Random(2)
     text = words(rng, 3000)
