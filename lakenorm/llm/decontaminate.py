@@ -1,28 +1,34 @@
 """Benchmark decontamination with one Aho-Corasick automaton.
 
 Texts are normalised to words (A-Z lower-cased; a word is a run of digits,
-letters a-z and characters beyond ASCII) joined by single spaces. Every window
-of ``WINDOW`` consecutive words of a benchmark item (a shorter item is one
-window) is a pattern `` w1 ... wn ``, with spaces at both ends, so matches fall
-on whole words. Each text is scanned once; match ends give word numbers, and
-word numbers give code point offsets in the original text.
-
-The automaton holds benchmark text only. Its size is checked first: a
-benchmark of more than ``BLOCK_BYTES`` is cut into blocks of items, each with
-its own automaton and its own pass, and the hit intervals are merged by
-document, so a large benchmark costs passes, not memory. Texts are never
-shuffled: the passes are merged by id and a hash of the text, and what they
-give is joined back to the rows.
+letters a-z and characters beyond ASCII), and the words of the benchmark get
+numbers, written as characters. Windows are ``WINDOW`` consecutive words of an
+item (a shorter item is one window). The automaton holds every item once, cut
+into chunks of ``(WINDOW + 1) // 2`` words: a window always holds a whole chunk. A
+text, as the same characters, is scanned once; where a chunk is met, the words
+around it are compared with those around the chunk in the items, and where both
+sides add up to a window, those windows occur. Word numbers then give code point
+offsets in the original text. A chunk that stands in many different
+surroundings (the edge of a phrase that many items share) has its windows in a
+table instead, so no match costs more than ``WINDOW`` look-ups or ``AROUND``
+comparisons.
+
+Memory: about 300 bytes per word of benchmark text at most, in words that are
+all different. The benchmark is dealt into blocks of about ``BLOCK_BYTES`` by
+hash (long items in parts that overlap by a window), each with its own automaton
+and its own pass; the driver sees one block at a time, and the passes' hits are
+written and merged by row. A large benchmark thus costs passes, not memory.
+Texts are never shuffled.
 
 Defined results: a null or wordless text has no words and is clean; a null or
-wordless item has no window; every document row, also with a null or repeated
-id, is a row with its own result, whatever the size of the benchmark; an empty
-benchmark leaves all documents clean.
+wordless item has no window; an item without an id hits words and is not listed;
+every document row, also with a null or repeated id, is a row with its own
+result, whatever the size of the benchmark; an empty benchmark leaves all
+documents clean.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
 
 import pyarrow as pa
@@ -30,10 +36,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, named, slices, table
+from .common import bounded_batches, named, scratch, slices, stage, table
 
 WINDOW = 13
 BLOCK_BYTES = 8 << 20
+PART_WORDS = 50_000             # words of a long item in one part
+AROUND = 16                     # surroundings of a chunk that are compared one by one
 
 #: Bytes to normalised bytes: separators become spaces, A-Z lower-case; UTF-8 of other characters stays.
 _NORMAL = bytes(c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else c + 32 if 65 <= c <= 90 else 32
@@ -45,49 +53,102 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_NORMAL).split()
 
 
-def windows(item: list[bytes], size: int = WINDOW) -> list[bytes]:
+def parts(item: list[bytes], size: int = WINDOW, limit: int = PART_WORDS) -> list[list[bytes]]:
+    """The words of an item in runs of ``limit`` first words, each with the words
+    that its last window still needs, so every window is in one run."""
     if not item:
         return []
-    return [b" ".join(item[i:i + size]) for i in range(max(1, len(item) - size + 1))]
-
-
-def build_automaton(items: list[tuple[object, str | None]], size: int = WINDOW):
-    """Automaton over all windows; a pattern's value is (words, item ids)."""
-    import ahocorasick
-
-    owners: dict[bytes, set] = {}
-    for key, text in items:
-        for w in windows(words(text), size):
-            owners.setdefault(w, set()).add(key)
-    automaton = ahocorasick.Automaton()
-    for w, keys in owners.items():
-        automaton.add_word(f" {w.decode('latin-1')} ", (w.count(b" ") + 1, tuple(sorted(keys, key=str))))
-    automaton.make_automaton()
-    return automaton if owners else None
-
-
-def scan(automaton, text: str | None) -> tuple[int, list[tuple[int, int]], set]:
-    """(words of the text, merged hit intervals [from, to) in words, items)."""
-    w = words(text)
-    if automaton is None or not w:
-        return len(w), [], set()
-    flat = (b" " + b" ".join(w) + b" ").decode("latin-1")
-    spans: list[tuple[int, int]] = []
-    items: set = set()
-    at = word = 0
-    for end, (n, keys) in automaton.iter(flat):
-        word += flat.count(" ", at, end)     # spaces before the closing one = number of the next word
-        at = end
-        if spans and word - n <= spans[-1][1]:
-            low = min(spans[-1][0], word - n)
-            while len(spans) > 1 and spans[-2][1] >= low:
-                spans.pop()
-                low = min(low, spans[-1][0])
-            spans[-1] = (low, word)
+    return [item[i:i + limit + size - 1] for i in range(0, max(1, len(item) - size + 1), limit)]
+
+
+class Automaton:
+    """All windows of some items ``(id, words)``."""
+
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], size: int = WINDOW):
+        import ahocorasick
+
+        self.size, self.chunk = size, (size + 1) // 2
+        code: dict[bytes, str] = {}
+        self.owners: dict[str, set] = {}                # an item's words as characters -> ids
+        for key, w in items:
+            if w:
+                flat = "".join([code.setdefault(x, chr(_point(len(code)))) for x in w])
+                self.owners.setdefault(flat, set()).add(key)
+        self.code = code.get
+        places: dict[str, list | None] = {}             # chunk -> (item, place) where it stands
+        short: dict[str, set] = {}
+        for flat, keys in self.owners.items():
+            if len(flat) < size:
+                short.setdefault(flat, set()).update(keys)
+                continue
+            for at in range(0, len(flat) - self.chunk + 1, self.chunk):
+                places.setdefault(flat[at:at + self.chunk], []).append((flat, at))
+        self.trie = ahocorasick.Automaton()
+        reach = size - self.chunk                       # words of a window beside its chunk
+        for chunk, where in places.items():
+            around: dict[tuple[str, str], set] = {}
+            for flat, at in where:
+                around.setdefault((flat[max(0, at - reach):at], flat[at + self.chunk:at + self.chunk + reach]), set()).update(self.owners[flat])
+            if len(around) <= AROUND:
+                self.trie.add_word(chunk, (len(chunk), [(x, y, tuple(k)) for (x, y), k in around.items()], None, short.pop(chunk, ())))
+                continue
+            table: dict[str, set] = {}
+            for (left, right), keys in around.items():
+                whole = left + chunk + right
+                for i in range(len(whole) - size + 1):
+                    table.setdefault(whole[i:i + size], set()).update(keys)
+            self.trie.add_word(chunk, (len(chunk), (), table, short.pop(chunk, ())))
+        for flat, keys in short.items():
+            self.trie.add_word(flat, (len(flat), (), None, keys))
+        if len(self.trie):
+            self.trie.make_automaton()
+
+    def __call__(self, text: str | None) -> tuple[int, list[tuple[int, int]], set]:
+        """(words of the text, merged hit intervals [from, to) in words, items)."""
+        w = words(text)
+        if not len(self.trie) or not w:
+            return len(w), [], set()
+        code = self.code
+        flat = "".join([code(x, "\0") for x in w])
+        found: list[tuple[int, int]] = []
+        items: set = set()
+        reach = self.size - self.chunk
+        for end, (n, around, table, short) in self.trie.iter(flat):
+            at, end = end + 1 - n, end + 1
+            if short:
+                found.append((at, end))
+                items.update(short)
+            for left, right, keys in around:
+                x = y = 0
+                while x < len(left) and x < at and flat[at - x - 1] == left[-x - 1]:
+                    x += 1
+                while y < len(right) and end + y < len(flat) and flat[end + y] == right[y]:
+                    y += 1
+                if x + n + y >= self.size:
+                    found.append((at - x, end + y))
+                    items.update(keys)
+            if table is not None:
+                for i in range(max(0, at - reach), at + 1):
+                    keys = table.get(flat[i:i + self.size])
+                    if keys:
+                        found.append((i, i + self.size))
+                        items.update(keys)
+        return len(w), _merged(found), items
+
+
+def _point(n: int) -> int:
+    """The n-th word's character: any but 0, which stands for all other words, and surrogates."""
+    return n + 1 if n + 1 < 0xD800 else n + 1 + 0x800
+
+
+def _merged(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(found):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
         else:
-            spans.append((word - n, word))
-        items.update(keys)
-    return len(w), spans, items
+            out.append((a, b))
+    return out
 
 
 def offsets(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -100,28 +161,29 @@ _HIT = T.StructType([T.StructField("start", T.LongType()), T.StructField("end",
                      T.StructField("first_word", T.LongType()), T.StructField("last_word", T.LongType())])
 
 
-def _blocks(benchmark: DataFrame, limit: int) -> list[list[tuple]]:
-    """Items in blocks of at most ``limit`` bytes of text (a longer item is a
-    block of its own), fetched one row at a time."""
-    blocks, size = [], limit + 1
-    for r in benchmark.orderBy("id", "text").toLocalIterator():
-        n = len((r.text or "").encode("utf-8", "surrogatepass"))
-        if size + n > limit:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((r.id, r.text))
-        size += n
-    return blocks
+def item_parts(benchmark: DataFrame, size: int = WINDOW, limit: int = PART_WORDS) -> DataFrame:
+    """``benchmark(id, text)`` -> ``(id string, text)``, normalised words by single
+    spaces, long items in parts."""
+    def batches(it):
+        for b in it:
+            out = [(k, " ".join([x.decode("utf-8", "surrogatepass") for x in p]))
+                   for k, t in zip(b.column("id").to_pylist(), b.column("text").to_pylist()) for p in parts(words(t), size, limit)]
+            cols = list(zip(*out)) or [(), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string())], ["id", "text"])
+    return benchmark.select(F.col("id").cast("string").alias("id"), "text").mapInArrow(batches, "id string, text string")
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text: str = "text",
                        item_id: str = "item_id", item_text: str = "text", window: int = WINDOW,
                        block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``(id, n_words, n_hit, items array<string>, spans array<struct>)`` per document."""
-    src = named(docs, id=id_column, text=text).withColumn("row", F.sha2("text", 256))
+    src = named(docs, id=id_column, text=text)
     spark = docs.sparkSession
     bounded_batches(spark)
-    many = _blocks(named(benchmark, id=item_id, text=item_text), block_bytes) or [[]]
+    items = stage(item_parts(named(benchmark, id=item_id, text=item_text), window).distinct(), "benchmark-parts")
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # half full on average, so that a block dealt by hash stays below its bound
+    blocks = 1 if size <= block_bytes else -(-2 * size // block_bytes)
     schema = T.StructType([T.StructField("id", src.schema["id"].dataType), T.StructField("n_words", T.LongType()),
                            T.StructField("n_hit", T.LongType()),
                            T.StructField("items", T.ArrayType(T.StringType())),
@@ -130,18 +192,21 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "
     hit = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("first_word", pa.int64()),
                               ("last_word", pa.int64())]))
 
-    def passing(items, out):
-        shared = spark.sparkContext.broadcast(items)
+    def passing(rows, block, out):
+        shared = spark.sparkContext.broadcast({"items": block})      # at most about BLOCK_BYTES
 
         def batches(it):
-            automaton = build_automaton(shared.value, window)
+            held = shared.value         # one per worker, for as long as the broadcast lives there
+            if "automaton" not in held:
+                held["automaton"] = Automaton([(k, t.encode("utf-8", "surrogatepass").split()) for k, t in held["items"]], window)
+            scan = held["automaton"]
             for b in slices(it, "text"):
                 n, hits, keys, where = [], [], [], []
                 for t in b.column("text").to_pylist():
-                    count, spans, found = scan(automaton, t)
+                    count, spans, found = scan(t)
                     n.append(count)
                     hits.append(sum(y - x for x, y in spans))
-                    keys.append(sorted(map(str, found)))
+                    keys.append(sorted(found - {None}))
                     where.append([{"start": s, "end": e, "first_word": x, "last_word": y - 1}
                                   for (x, y), (s, e) in zip(spans, offsets(t, spans) if spans else ())])
                 cols = {"id": b.column("id"), "n_words": pa.array(n, pa.int64()), "n_hit": pa.array(hits, pa.int64()),
@@ -150,22 +215,28 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "
                     cols["row"] = b.column("row")
                 yield pa.RecordBatch.from_arrays([cols[c] for c in out.names], out.names)
 
-        return (src if "row" in out.names else src.drop("row")).mapInArrow(batches, out)
-
-    if len(many) == 1:
-        return passing(many[0], schema)
-    merged = _merge_passes([passing(items, by_row) for items in many], by_row)
-    merged = merged.withColumnsRenamed({"id": "_id", "row": "_row"})
+        return rows.mapInArrow(batches, out)
+
+    fetch = lambda df: [(r.id, r.text) for r in df.collect()]  # noqa: E731  one block at a time
+    if blocks == 1:
+        return passing(src, fetch(items), schema)
+    rows, dealt, found = src.withColumn("row", F.sha2("text", 256)), scratch(spark, "benchmark-blocks"), scratch(spark, "benchmark-hits")
+    (items.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).cast("int"))
+     .repartition("block").write.partitionBy("block").parquet(dealt))
+    for k in range(blocks):
+        block = fetch(spark.read.parquet(dealt).where(F.col("block") == k).select("id", "text"))
+        out = passing(rows, block, by_row).withColumn("pass", F.lit(k))
+        # the first pass writes every row, for its number of words
+        (out.where("n_hit > 0") if k else out).write.mode("append").parquet(found)
+    every = spark.read.schema(T.StructType([*by_row.fields, T.StructField("pass", T.IntegerType())])).parquet(found)
+    merged = _merge_passes(every, by_row).withColumnsRenamed({"id": "_id", "row": "_row"})
     on = F.col("id").eqNullSafe(F.col("_id")) & F.col("row").eqNullSafe(F.col("_row"))
-    return src.select("id", "row").join(merged, on, "left").select(schema.names)
+    return rows.select("id", "row").join(merged, on, "left").select(schema.names)
 
 
-def _merge_passes(passes: list[DataFrame], schema: T.StructType) -> DataFrame:
-    """Union of the block passes, one row per id and text: hit intervals are
-    merged, the items united. Equal rows count once per pass."""
-    every = passes[0].withColumn("pass", F.lit(0))
-    for i, p in enumerate(passes[1:], 1):
-        every = every.unionByName(p.withColumn("pass", F.lit(i)))
+def _merge_passes(every: DataFrame, schema: T.StructType) -> DataFrame:
+    """The passes' results in one row per id and text: hit intervals are merged,
+    the items united. Equal rows count once per pass."""
     every = every.groupBy("id", "row", "pass").agg(*[F.first(c).alias(c) for c in ("n_words", "items", "spans")])
 
     def merge(it):

@@ -136,6 +136,64 @@ def test_contamination_equals_brute_force(spark, block_bytes):
     assert decontaminate.find_contamination(docs(spark, []), items).count() == 0
 
 
+@pytest.mark.parametrize("size,around", [(13, 16), (13, 1), (4, 16), (5, 2), (1, 16), (2, 16)])
+def test_automaton_equals_brute_force(size, around, monkeypatch):
+    """Windows of several sizes over few words; with ``AROUND`` 1 through the tables."""
+    monkeypatch.setattr(decontaminate, "AROUND", around)
+    rng = random.Random(size)
+    item = lambda n: [rng.choice(b"abc"[:rng.randint(1, 3)].decode()).encode() for _ in range(n)]
+    items = [(str(i % 30), item(rng.randint(0, 30))) for i in range(40)]
+    scan = decontaminate.Automaton(items, size)
+    owners: dict = {}
+    for key, w in items:
+        for i in range(max(1, len(w) - size + 1) if w else 0):
+            owners.setdefault(tuple(w[i:i + size]), set()).add(key)
+    for _ in range(200):
+        w = item(rng.randint(0, 40)) + [b"zz"] * rng.randint(0, 1) + item(rng.randint(0, 25))
+        hit, keys = set(), set()
+        for n in {len(k) for k in owners}:
+            for i in range(len(w) - n + 1):
+                if tuple(w[i:i + n]) in owners:
+                    hit |= set(range(i, i + n))
+                    keys |= owners[tuple(w[i:i + n])]
+        count, spans, found = scan(b" ".join(w).decode())
+        assert count == len(w) and found == keys
+        assert {x for a, b in spans for x in range(a, b)} == hit
+
+
+def test_parts_hold_every_window_once():
+    for n in range(0, 40):
+        w = [str(i).encode() for i in range(n)]
+        got = [tuple(p[i:i + 5]) for p in decontaminate.parts(w, 5, 7) for i in range(max(1, len(p) - 4))]
+        assert got == [tuple(w[i:i + 5]) for i in range(max(1, n - 4) if n else 0)]
+
+
+def test_automaton_of_a_full_block_stays_below_its_memory():
+    """8 MB of benchmark in words that are all invented, in a process of its own."""
+    import subprocess
+    import sys
+    code = """
+import random, resource, sys
+sys.path.insert(0, %r)
+from lakenorm.llm.decontaminate import Automaton
+rng = random.Random(1)
+items, size = [], 0
+while size < 8 << 20:
+    w = ["%%x" %% rng.getrandbits(20) for _ in range(200)]
+    size += sum(map(len, w)) + 200
+    items.append((str(len(items)), [x.encode() for x in w]))
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+scan = Automaton(items)
+used = (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024
+key, w = items[77]
+assert scan((b"x y " + b" ".join(w[30:60]) + b" z").decode()) == (33, [(2, 32)], {key})
+print(round(used))
+""" % sys.path[0]
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+    assert out.returncode == 0, out.stderr
+    assert int(out.stdout.split()[-1]) < 500, out.stdout
+
+
 def test_contamination_of_each_row_with_several_blocks(spark):
     """Null and repeated ids, equal rows: the same rows whatever the number of blocks."""
     rows = [(1, "one two three"), (1, "x y z"), (1, "x y z"), (1, None), (1, None), (None, "élan vital here"), (None, "clean"),
