@@ -16,7 +16,14 @@ The likelihoods are computed in one pass and written; the sums are grouped
 aggregates with map-side combining, so a host that holds a third of all rows
 costs one row per task, and the join back carries no text.
 
-Defined results: a null, empty or letterless text has no text evidence and is
+Languages are primary subtags: labels, declarations and markup all go through
+``primary_tag`` (``en-US`` is ``en``; ``fi`` and ``fil`` are two; ``eng`` is not ``en``).
+Evidence is kept in one array per row, a number per class, and votes are summed
+in rows of (place, class), so plans do not grow with the languages. The model is
+a table of ``BUCKETS`` x languages; more than ``MOST_LANGUAGES`` different labels
+are no languages, and an error.
+
+Defined results: a label that is no language tag is none; a null, empty or letterless text has no text evidence and is
 rejected (``und``); a null host, domain, suffix or declaration is a group of
 its own without weight; every input row gives a row; an empty table, or one
 without a labelled row, gives ``und`` for all rows.
@@ -25,11 +32,12 @@ without a labelled row, gives ``und`` for all rows.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, named, pieces, slices, stage, table
@@ -43,6 +51,8 @@ PART = 1 << 20
 #: Log-probability of a trigram outside all languages: uniform over 26 letters and the space.
 BACKGROUND = -math.log(27.0 ** 3)
 ACCEPT = 0.3
+MOST_LANGUAGES = 1000
+VOTE = 1e-12                    # a smaller share of a row's vote is none
 
 #: Texts with a trigram: two letters in a row, or one beyond ASCII (several bytes).
 LETTERS = r"[A-Za-z]{2}|[^\x00-\x7F]"
@@ -50,6 +60,12 @@ LETTERS = r"[A-Za-z]{2}|[^\x00-\x7F]"
 _FOLD = bytes(c if c >= 128 or 97 <= c <= 122 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 
 
+def primary_tag(column) -> Column:
+    """Primary subtag of a language tag, in lower case; null if it is none."""
+    tag = F.regexp_extract(F.lower(F.trim(column)), r"^([a-z]{2,8})(?:[-_].*)?$", 1)
+    return F.nullif(tag, F.lit(""))
+
+
 def trigrams(texts: list):
     """Runs of bounded size: (bucket of every trigram, 0 = none; number of the
     text, start and length of each of its parts). Long texts are cut into parts
@@ -86,9 +102,11 @@ def fit(sample: DataFrame, text: str, label: str) -> tuple[list[str], np.ndarray
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([k] * len(at)), pa.array(at), pa.array(c[at])], ["label", "bucket", "c"])
 
-    rows = (named(sample, text=text, label=label).mapInArrow(counts, "label string, bucket long, c long")
+    src = named(sample, text=text, label=label).select("text", primary_tag(F.col("label")).alias("label"))
+    rows = (src.where("label is not null").mapInArrow(counts, "label string, bucket long, c long")
             .groupBy("label", "bucket").agg(F.sum("c").alias("c")).where("bucket > 0").toArrow())
     langs = sorted(pc.unique(rows["label"]).to_pylist())
+    _few(len(langs))
     c = np.full((BUCKETS, len(langs)), ALPHA)
     c[rows["bucket"].to_numpy(), pc.index_in(rows["label"], pa.array(langs, pa.string())).to_numpy()] += rows["c"].to_numpy()
     logp = np.log(c / c.sum(axis=0))
@@ -96,6 +114,11 @@ def fit(sample: DataFrame, text: str, label: str) -> tuple[list[str], np.ndarray
     return langs, np.column_stack([logp, np.full(BUCKETS, BACKGROUND) * (np.arange(BUCKETS) > 0)]).astype(np.float32)
 
 
+def _few(n: int) -> None:
+    if n > MOST_LANGUAGES:
+        raise ValueError(f"{n} different labels: more than {MOST_LANGUAGES} are no languages")
+
+
 def likelihoods(texts: list, logp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(tempered log-likelihoods [text, class], trigrams per text)."""
     ll, n = np.zeros((len(texts), logp.shape[1])), np.zeros(len(texts), np.int64)
@@ -113,7 +136,7 @@ def identify(rows: DataFrame, languages: list[str], logp: np.ndarray, accept: fl
     model = spark.sparkContext.broadcast(logp)      # 65,536 x (languages + 1) floats
     classes = [*languages, "und"]
     k = len(classes)
-    places = [c for c in ("host", "domain", "suffix")]
+    places = ["host", "domain", "suffix"]
 
     def batches(it):
         for b in slices(it, "text"):
@@ -121,78 +144,79 @@ def identify(rows: DataFrame, languages: list[str], logp: np.ndarray, accept: fl
             p = np.exp(ll - ll.max(axis=1, keepdims=True)) if len(ll) else ll
             p = p / p.sum(axis=1, keepdims=True) if len(ll) else p
             p[n == 0] = 0
+            at = pa.array(np.arange(len(ll) + 1, dtype=np.int32) * k)
+            of = lambda x: pa.ListArray.from_arrays(at, pa.array(x.ravel()))
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), b.column("declared"), *[b.column(c) for c in places], pa.array(n, pa.int64()),
-                 *[pa.array(ll[:, i]) for i in range(k)], *[pa.array(p[:, i]) for i in range(k)]],
-                ["id", "declared", *places, "n", *[f"l{i}" for i in range(k)], *[f"p{i}" for i in range(k)]])
+                [b.column("id"), b.column("declared"), *[b.column(c) for c in places], pa.array(n, pa.int64()), of(ll), of(p)],
+                ["id", "declared", *places, "n", "l", "p"])
 
-    known = F.lower(F.col("declared").substr(1, 2))
+    known = primary_tag(F.col("declared"))
     src = rows.select("id", "text", F.when(known.isin(languages), known).alias("declared"),
                       *[F.col(c).cast("string").alias(c) for c in places])
-    num = ", ".join([f"l{i} double" for i in range(k)] + [f"p{i} double" for i in range(k)])
-    feats = stage(src.mapInArrow(batches, f"id {src.schema['id'].dataType.simpleString()}, declared string, "
-                                          f"host string, domain string, suffix string, n long, {num}"), "language")
-
-    # likelihood of each declaration: a table of languages x classes
-    sums = [F.sum(f"p{i}").alias(f"p{i}") for i in range(k)]
-    by_declared = {r.declared: [r[f"p{i}"] for i in range(k)] for r in
-                   feats.where("declared is not null").groupBy("declared").agg(*sums).collect()}
-    total = [sum(v[i] for v in by_declared.values()) for i in range(k)]
-    said = F.lit(0.0)
-    decl = []
-    for i in range(k):
-        col = said
-        for d, v in by_declared.items():
-            col = F.when(F.col("declared") == d, F.lit(math.log((v[i] + 1) / (total[i] + len(languages))))).otherwise(col)
-        decl.append(col)
+    feats = stage(src.mapInArrow(batches, f"id {src.schema['id'].dataType.simpleString()}, declared string, host string, "
+                                          "domain string, suffix string, n long, l array<double>, p array<double>"), "language")
+
+    # votes: a row per class a row of text may be in; sums per group and class, then one row per group
+    voted = F.filter(F.transform("p", lambda v, i: F.struct(i.alias("c"), v.alias("v"))), lambda e: e["v"] > VOTE)
+    votes = feats.select(*places, "declared", F.explode(voted).alias("e")).select(*places, "declared", "e.c", "e.v")
+
+    def dense(sums: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.coalesce(F.try_element_at(sums, i), F.lit(0.0)))
+
+    def per_group(sums: DataFrame, keys: list[str], name: str) -> DataFrame:
+        """``(k_<key>..., <name> array, <name>_n)`` of rows ``(keys..., c, v)``."""
+        each = sums.groupBy(*keys, "c").agg(F.sum("v").alias("v"))
+        one = each.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("c", "v"))).alias("m"), F.sum("v").alias(f"{name}_n"))
+        return one.select(*[F.col(c).alias(f"k_{c}") for c in keys], dense(F.col("m")).alias(name), f"{name}_n")
+
+    def on(keys: list[str]) -> Column:
+        return reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"k_{c}")) for c in keys])
+
+    literal = lambda x: F.array(*[F.lit(float(v)) for v in x])
+
+    # likelihood of each declaration: a row per language declared
+    said = stage(per_group(votes.where("declared is not null"), ["declared"], "d"), "language-declared")
+    total = [0.0] * k
+    for r in said.select(F.posexplode("d").alias("c", "v")).groupBy("c").agg(F.sum("v").alias("v")).collect():
+        total[r.c] = r.v
+    said = said.select("k_declared", F.zip_with("d", literal(t + len(languages) for t in total),
+                                                lambda v, t: F.log((v + 1) / t)).alias("said"))
 
     # host priors: host within domain within suffix within all
-    level = feats.groupBy(*places).agg(*sums)
-    hosts = stage(level, "language-hosts")
-    g = hosts.agg(*sums).first()
-    mass = sum(g[f"p{i}"] or 0.0 for i in range(k)) + k
-    parent = [F.lit(((g[f"p{i}"] or 0.0) + 1) / mass) for i in range(k)]
-    prior = hosts
+    hosts = stage(votes.groupBy(*places, "c").agg(F.sum("v").alias("v")), "language-hosts")
+    overall = {r.c: r.v for r in hosts.groupBy("c").agg(F.sum("v").alias("v")).collect()}
+    mass = sum(overall.values()) + k
+    prior = per_group(hosts, places, "h").select(*[F.col(f"k_{c}").alias(c) for c in places], "h")
+    prior = prior.withColumn("q", literal((overall.get(i, 0.0) + 1) / mass for i in range(k)))
     for key in (["suffix"], ["domain", "suffix"]):
-        up = hosts.groupBy(*key).agg(*[F.sum(f"p{i}").alias(f"u{i}") for i in range(k)])
-        up = up.select(*[F.col(c).alias(f"k_{c}") for c in key], *[f"u{i}" for i in range(k)])
-        on = None
-        for c in key:
-            one = F.col(c).eqNullSafe(F.col(f"k_{c}"))
-            on = one if on is None else on & one
-        prior = prior.join(up, on, "left")
-        n = sum((F.col(f"u{i}") for i in range(k)), F.lit(0.0))
-        parent = [F.when(F.col(key[0]).isNull(), parent[i]).otherwise((F.col(f"u{i}") + KAPPA * parent[i]) / (n + KAPPA))
-                  for i in range(k)]
-        prior = prior.select(*places, *[f"p{i}" for i in range(k)],
-                             *[parent[i].alias(f"q{i}") for i in range(k)])
-        parent = [F.col(f"q{i}") for i in range(k)]
-    prior = stage(prior.select(*[F.col(c).alias(f"h_{c}") for c in places],
-                               *[F.col(f"p{i}").alias(f"h{i}") for i in range(k)],
-                               *[f"q{i}" for i in range(k)]), "language-priors")
-    on = [F.col(c).eqNullSafe(F.col(f"h_{c}")) for c in places]
-    j = feats.join(prior, on[0] & on[1] & on[2], "left")
-    others = [F.greatest(F.col(f"h{i}") - F.col(f"p{i}"), F.lit(0.0)) for i in range(k)]
-    n = sum(others, F.lit(0.0))
-    score = []
-    for i in range(k):
-        p = F.when(F.col("host").isNull(), F.col(f"q{i}")).otherwise((others[i] + KAPPA * F.col(f"q{i}")) / (n + KAPPA))
-        score.append((F.col(f"l{i}") + F.log(p) + decl[i]).alias(f"s{i}"))
-    j = j.select("id", "n", "declared", *[f"l{i}" for i in range(k)], *score)
-    best = F.array_max(F.array(*[F.struct(F.col(f"s{i}").alias("s"), F.lit(c).alias("c")) for i, c in enumerate(classes)]))
-    seen = F.array_max(F.array(*[F.struct(F.col(f"l{i}").alias("s"), F.lit(c).alias("c")) for i, c in enumerate(classes)]))
-    spread = sum((F.exp(F.col(f"s{i}") - best["s"]) for i in range(k)), F.lit(0.0))
-    j = j.select("id", "n", "declared", best["c"].alias("c"), (1 / spread).alias("posterior"),
-                 F.when(F.col("n") > 0, seen["c"]).otherwise(F.lit("und")).alias("text_language"))
-    language = F.when(F.col("n") > 0, F.col("c")).otherwise(F.lit("und"))
-    return j.select("id", language.alias("language"), F.when(F.col("n") > 0, F.col("posterior")).otherwise(F.lit(0.0))
-                    .alias("posterior"), "text_language", "declared",
-                    ((language != "und") & (F.col("posterior") >= accept)).alias("accepted"))
+        up = per_group(hosts, key, "u")
+        within = F.zip_with("u", "q", lambda u, q: (u + KAPPA * q) / (F.col("u_n") + KAPPA))
+        prior = prior.join(up, on(key), "left").select(
+            *places, "h", F.when(F.col(key[0]).isNull(), F.col("q")).otherwise(within).alias("q"))
+    prior = stage(prior.select(*[F.col(c).alias(f"k_{c}") for c in places], "h", "q"), "language-priors")
+    even = literal((overall.get(i, 0.0) + 1) / mass for i in range(k))
+    j = feats.join(prior, on(places), "left").join(said, on(["declared"]), "left")
+    # a host without any vote (no text in it) has the prior of all; the sums of all classes are left out: they shift all scores alike
+    own = F.zip_with(F.zip_with("h", "p", lambda h, p: F.greatest(h - p, F.lit(0.0))), "q", lambda o, q: o + KAPPA * q)
+    p = F.when(F.col("q").isNull(), even).when(F.col("host").isNull(), F.col("q")).otherwise(own)
+    score = F.zip_with("l", p, lambda a, b: a + F.log(b))
+    score = F.when(F.col("said").isNull(), score).otherwise(F.zip_with(score, "said", lambda a, b: a + b))
+    j = j.select("id", "n", "declared", "l", score.alias("s"))
+    first = lambda c: F.array_max(F.transform(c, lambda v, i: F.struct(v.alias("s"), i.alias("i"))))
+    j = j.select("id", "n", "declared", "s", first("s").alias("best"), first("l")["i"].alias("seen"))
+    name = lambda i: F.get(F.array(*[F.lit(c) for c in classes]), i)
+    spread = F.aggregate("s", F.lit(0.0), lambda acc, v: acc + F.exp(v - F.col("best.s")))
+    some = F.col("n") > 0
+    j = j.select("id", F.when(some, name(F.col("best.i"))).otherwise(F.lit("und")).alias("language"),
+                 F.when(some, 1 / spread).otherwise(F.lit(0.0)).alias("posterior"),
+                 F.when(some, name(F.col("seen"))).otherwise(F.lit("und")).alias("text_language"), "declared")
+    return j.withColumn("accepted", (F.col("language") != "und") & (F.col("posterior") >= accept))
 
 
 def sample_rows(df: DataFrame, label: str, at_most: int = TRAIN_ROWS) -> DataFrame:
     """About ``at_most`` rows of each label to fit on; all of a label with no more."""
-    counts = df.groupBy(label).count().collect()
+    counts = df.groupBy(label).count().limit(MOST_LANGUAGES + 1).collect()
+    _few(len(counts))
     return df.sampleBy(label, {r[label]: min(1.0, at_most / r["count"]) for r in counts}, seed=5)
 
 
@@ -211,13 +235,14 @@ def page_evidence(pages: DataFrame) -> DataFrame:
     body = F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[a-z#0-9]+;", " ")
     return (p.select("id", "html", F.nullif(host, F.lit("")).alias("host"))
             .select("id", body.alias("text"),
-                    F.nullif(F.regexp_extract("html", r"(?i)<html\b[^>]*\blang\s*=\s*[\"']?([a-z]{2})", 1), F.lit("")).alias("declared"),
+                    primary_tag(F.regexp_extract("html", r"(?i)<html\b[^>]*\blang\s*=\s*[\"']?([a-z][a-z0-9_-]*)", 1)).alias("declared"),
                     "host", F.concat_ws(".", F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2)).alias("domain"),
                     F.element_at(labels, -1).alias("suffix")))
 
 
 def fitted_on_documents(docs: DataFrame) -> tuple[list[str], np.ndarray]:
-    labelled = docs.select("text", "lang").where(F.col("text").rlike(LETTERS) & (F.col("lang") != ""))
+    labelled = named(docs, text="text", lang="lang").select("text", primary_tag(F.col("lang")).alias("lang"))
+    labelled = labelled.where(F.col("text").rlike(LETTERS) & F.col("lang").isNotNull())
     return fit(sample_rows(labelled, "lang"), "text", "lang")
 
 

@@ -78,6 +78,82 @@ def test_a_rare_language_of_a_large_table_has_a_class(spark):
     assert [(r.language, r.declared, r.accepted) for r in out] == [("fi", "fi", True)] * 2
 
 
+def fusion_brute(rows, languages, logp):
+    """{id: (language, posterior)} by plain loops over (id, text, declared, host, domain, suffix)."""
+    k, kappa = len(languages) + 1, language_id.KAPPA
+    ll, n = language_id.likelihoods([r[1] for r in rows], logp)
+    p = np.exp(ll - ll.max(axis=1, keepdims=True))
+    p = p / p.sum(axis=1, keepdims=True)
+    p[n == 0] = 0
+    tag = lambda t: (re.match(r"^([a-z]{2,8})(?:[-_].*)?$", (t or "").strip().lower()) or [None, None])[1]
+    said = [tag(r[2]) if tag(r[2]) in languages else None for r in rows]
+    sums = lambda keys: {x: sum((p[i] for i in range(len(rows)) if keys[i] == x), np.zeros(k)) for x in set(keys)}
+    declared, whole = sums(said), p.sum(axis=0)
+    total = sum((v for d, v in declared.items() if d), np.zeros(k))
+    suffix, domain, host = (sums([tuple(r[c:]) for r in rows]) for c in (5, 4, 3))
+    out = {}
+    for i, r in enumerate(rows):
+        q = (whole + 1) / (whole.sum() + k)
+        for level, c in ((suffix, 5), (domain, 4)):
+            if r[c] is not None:
+                u = level[tuple(r[c:])]
+                q = (u + kappa * q) / (u.sum() + kappa)
+        if r[3] is not None:
+            o = np.maximum(host[tuple(r[3:])] - p[i], 0)
+            q = (o + kappa * q) / (o.sum() + kappa)
+        s = ll[i] + np.log(q)
+        if said[i]:
+            s = s + np.log((declared[said[i]] + 1) / (total + len(languages)))
+        best = int(s.argmax())
+        out[r[0]] = ([*languages, "und"][best], 1 / np.exp(s - s[best]).sum()) if n[i] else ("und", 0.0)
+    return out
+
+
+@pytest.mark.parametrize("query", ["op3_language_id", "op3_language_id_pages"])
+def test_whole_queries_equal_plain_fusion(spark, query):
+    model = language_id.fitted_on_documents(spark.read.parquet(f"{SF}/documents.parquet"))
+    if query.endswith("pages"):
+        src, key = language_id.page_evidence(spark.read.parquet(f"{SF}/pages.parquet")), "page_id"
+    else:
+        src, key = language_id.document_evidence(spark.read.parquet(f"{SF}/documents.parquet")), "doc_id"
+    want = fusion_brute([tuple(r) for r in src.collect()], *model)
+    got = {r[key]: r for r in language_id.QUERIES[query](spark, SF).collect()}
+    assert got.keys() == want.keys()
+    for i, (language, posterior) in want.items():
+        assert got[i].language == language and abs(got[i].posterior - posterior) < 2e-6
+        assert got[i].accepted == (language != "und" and posterior >= language_id.ACCEPT)
+
+
+@pytest.mark.parametrize("labels", [["eng", "deu"], ["en-US", "de_DE"], ["fi", "fil"]])
+def test_labels_and_declarations_meet(spark, labels):
+    rng = {c: random.Random(c) for c in labels}
+    letters = {c: rng[c].sample("abcdefghijklmnopqrstuvwxyz", 9) for c in labels}
+    text = lambda c: " ".join("".join(rng[c].choice(letters[c]) for _ in range(5)) for _ in range(30))
+    rows = [(i, text(c), c, "s", 1) for i, c in enumerate(labels * 15)]
+    out = language_id.identify_documents(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"))
+    want = {i: re.match("[a-z]+", c)[0] for i, _, c, *_ in rows}
+    assert {r.id: r.declared for r in out.collect()} == {r.id: r.language for r in out.collect()} == want
+
+
+def test_two_hundred_labels(spark):
+    codes = [a + b + c for a in "abcdef" for b in "ghijkl" for c in "mnopqr"][:200]
+    rows = []
+    for c in codes:
+        rng = random.Random(c)
+        letters = rng.sample("abcdefghijklmnopqrstuvwxyz", 8)
+        rows += [(len(rows) + x, " ".join("".join(rng.choice(letters) for _ in range(5)) for _ in range(40)), c, "s", 1) for x in range(3)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    start = dt.datetime.now()
+    out = language_id.identify_documents(table).collect()
+    assert (dt.datetime.now() - start).total_seconds() < 60
+    assert sum(r.language == c for r, (_, _, c, _, _) in zip(sorted(out), rows)) >= 590
+    dirty = spark.range(1200).select(F.col("id").alias("doc_id"), F.lit("some words here").alias("text"),
+                                     F.concat(F.lit("a"), F.translate(F.lpad(F.col("id").cast("string"), 4, "0"), "0123456789", "abcdefghij")).alias("lang"),
+                                     F.lit("s").alias("source"))
+    with pytest.raises(ValueError, match="no languages"):
+        language_id.identify_documents(dirty)
+
+
 def test_parts_of_a_long_text_lose_no_trigram(monkeypatch):
     rng = random.Random(0)
     text = "".join(rng.choice("abc é") for _ in range(5000))
