@@ -8,9 +8,9 @@ input, so text that cannot repeat is set aside first:
    ``GRAM``-byte gram in it with the smallest hash (the leftmost of ties). Equal
    windows have equal anchors at equal places, so windows need only be compared
    among those of one anchor. The windows of one anchor are consecutive and
-   make a segment. Per batch, segments of equal content are found at once:
+   make a segment. Per slice of a batch, segments of equal content are found at once:
    their windows repeat for sure, and one of them stands for all from here on,
-   so a passage that a third of all documents hold is one row per batch.
+   so a passage that a third of all documents hold is one row per slice.
 2. Per anchor, segments of equal content repeat as a whole. Only anchors whose
    segments differ, the edges of shared passages, go on; their bytes are cut
    from the documents.
@@ -28,7 +28,8 @@ input, so text that cannot repeat is set aside first:
    by scanning the buckets in order. Windows whose common prefix with a
    neighbour in the array reaches ``LENGTH`` repeat.
 
-Memory of a task: a few megabytes of text and about forty bytes per byte of it.
+Memory of a task: ``SLICE`` bytes of text, or one long text, and about forty bytes
+per byte of a sorted one.
 
 Defined results: a null text is empty; texts shorter than ``LENGTH`` are kept;
 rows are told apart by id and the MD5 of the text, so null and repeated ids are fine, and
@@ -46,11 +47,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import STEP, named, stage, table, word_sums
+from .common import STEP, bounded_batches, named, slices, stage, table, word_sums
 
 LENGTH = 400
 GRAM = 128
-TEXT = 2 << 20
+TEXT = 1 << 20
+SLICE = 8 << 20                 # text of a batch that a worker holds at once
 FILTER = 1 << 18
 RANGES = (69, 18, 5, 1)         # windows of a range, step by step, when a hot anchor is split
 
@@ -111,7 +113,7 @@ def segments(src: DataFrame, length: int, gram: int) -> DataFrame:
     names = ["key", "content", "id", "rk", "lo", "n", "gram", "many", "sure"]
 
     def batches(it):
-        for b in it:
+        for b in slices(it, "text", SLICE):
             texts = [(t or "").encode("utf-8", "surrogatepass") for t in b.column("text").to_pylist()]
             cols: list[list] = [[], [], [], [], [], []]
             for key, bytes_, number, lo, n, at in anchors(texts, length, gram):
@@ -236,7 +238,7 @@ _ROW = "key long, id {id}, rk binary, lo long, n long, gram long, all boolean, b
 def _cut(length: int):
     """Requested segments of a document -> one row each, with its bytes."""
     def run(it):
-        for b in it:
+        for b in slices(it, "text", SLICE):
             rows, raw, number = [], [], []
             for i, (t, want) in enumerate(zip(b.column("text").to_pylist(), b.column("want").to_pylist())):
                 t = t.encode("utf-8", "surrogatepass")
@@ -378,13 +380,14 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
                    gram: int = GRAM) -> DataFrame:
     """``(id, n_bytes, spans array<struct<a, b>>, kept binary)`` per input row:
     the removed byte intervals, maximal and in order, and the remaining bytes."""
+    bounded_batches(docs.sparkSession)
     src = named(docs, id=id_column, text=text).withColumn("rk", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
     spans = repeated_spans(src, length, gram).select(F.col("id").alias("_id"), F.col("rk").alias("_rk"), "spans")
     on = F.col("id").eqNullSafe(F.col("_id")) & (F.col("rk") == F.col("_rk"))
     span = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
 
     def batches(it):
-        for b in it:
+        for b in slices(it, "text", SLICE):
             size, where, kept = [], [], []
             for t, s in zip(b.column("text").to_pylist(), b.column("spans").to_pylist()):
                 raw = (t or "").encode("utf-8", "surrogatepass")
