@@ -1,15 +1,18 @@
 """Embedding near-duplicates by E8 lattice hashing.
 
 1. Equal vectors form a class, one row from here on with its count.
-2. Each of ``TABLES`` random rotations keeps ``8 * E8_BLOCKS`` coordinates of
-   the unit vector; every eight of them are decoded to the nearest point of the
-   E8 lattice (scaled by ``SCALE``), and the points together name a cell. A
-   vector enters its own cell and the ``PROBES`` neighbouring cells whose
-   lattice points are next nearest.
-3. Cells with two members or more become tiles, with the vectors cut to eight
-   bits a component (the cosine is then off by less than ``SLACK``, unless
-   nearly all of a vector is in one component). A walk
-   emits a spanning forest of the pairs that may reach the threshold.
+2. Each table has a random rotation that keeps eight times as many coordinates of
+   the unit vector as it has E8 lattices; every eight of them are decoded to the
+   nearest point of E8 (scaled by ``SCALE``), and the points together name a cell. A
+   vector enters its own cell and the ``PROBES`` neighbouring cells whose lattice
+   points are next nearest. The cells get finer as the table grows (``plan_of``):
+   an E8 lattice more makes unrelated vectors meet thirty times less often, and
+   more tables make up for the near ones, so a vector meets no more strangers in
+   a large table than in a small one.
+3. Cells with the same members count once. Those with two members or more become
+   tiles, with the vectors cut to eight bits a component (the cosine is then off
+   by less than ``SLACK``, unless nearly all of a vector is in one component). A
+   walk emits a spanning forest of the pairs that may reach the threshold.
 4. The components of the forests are brought together with their full vectors,
    and every pair inside is decided by the cosine in double precision. A row
    per vector with its number of links, and a forest of the links, come out.
@@ -17,10 +20,10 @@
 A cell or component over ``BLOCK`` is cut into blocks, and every pair of blocks
 is a task, so no task grows with a group; no pair list is ever written.
 
-Only the candidate search is approximate. A pair at cosine 0.9 meets in one
-table with probability of about a half, above 0.95 in one with 0.7; with the
-five tables used that is a recall of 0.96 and more, and all pairs inside a
-found component are compared, so groups do better (tests/llm measures it).
+Only the candidate search is approximate. A pair alone at cosine 0.902 meets in
+one of its tables with probability of about 0.97 at every size of table, and all
+pairs inside a found component are compared, so groups do better (tests/llm
+measures it for 64 and 768 dimensions at every number of lattices used).
 
 Defined results: a null, empty or zero vector, or one with null or non-finite
 components, links with nothing (n_links 0, its own component); vectors of
@@ -36,18 +39,25 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import connected_components, mix64, named, stage, table
+from .common import bounded_batches, connected_components, mix64, named, stage, table
 from .ngram_join import blocks, by_task
 
 THRESHOLD = 0.9
-TABLES, PROBES, E8_BLOCKS, SCALE = 5, 6, 2, 0.3
+PROBES, SCALE = 14, 0.3
+#: Up to so many rows: E8 lattices a table, tables.
+PLANS = ((20_000, 3, 5), (2_000_000, 4, 11), (100_000_000, 5, 24), (None, 6, 54))
 SLACK = 0.04
 BLOCK = 4096
 
 
+def plan_of(rows: int) -> tuple[int, int]:
+    """(E8 lattices a table, tables) for a table of so many rows."""
+    return next((e8, tables) for most, e8, tables in PLANS if most is None or rows <= most)
+
+
 def _minimal_vectors() -> np.ndarray:
     """The 240 shortest vectors of E8: the steps to neighbouring cells."""
     pairs = [(i, j, a, b) for i, j in itertools.combinations(range(8), 2) for a in (1, -1) for b in (1, -1)]
@@ -79,8 +89,7 @@ def nearest_e8(y: np.ndarray) -> np.ndarray:
 class LatticeHash:
     """Cell keys of unit vectors of one dimension: [vector, table, 1 + probes]."""
 
-    def __init__(self, dim: int, tables: int = TABLES, probes: int = PROBES, e8: int = E8_BLOCKS,
-                 scale: float = SCALE, seed: int = 8):
+    def __init__(self, dim: int, e8: int, tables: int, probes: int = PROBES, scale: float = SCALE, seed: int = 8):
         rng = np.random.default_rng([seed, dim])
         self.steps, self.probes, self.e8, self.scale = _minimal_vectors(), probes, e8, scale
         width = max(dim, 8 * e8)
@@ -120,34 +129,49 @@ def usable(v) -> np.ndarray | None:
 
 
 def features(src: DataFrame) -> DataFrame:
-    """``(id, dim, digest, vec, small, keys)``; dim 0 = links with nothing."""
+    """``(id, dim, digest, vec, small)``; dim 0 = links with nothing."""
     def batches(it):
-        hashes: dict[int, LatticeHash] = {}
         for b in it:
             vs = [usable(v) for v in b.column("vec").to_pylist()]
-            n = len(vs)
-            keys: list = [None] * n
-            small: list = [None] * n
-            by_dim: dict[int, list[int]] = {}
-            for i, v in enumerate(vs):
-                if v is not None:
-                    by_dim.setdefault(len(v), []).append(i)
-            for dim, at in by_dim.items():
-                x = np.array([vs[i] for i in at])
-                x /= np.linalg.norm(x, axis=1, keepdims=True)
-                cells = hashes.setdefault(dim, LatticeHash(dim))(x)
-                eight = np.rint(x / np.abs(x).max(axis=1, keepdims=True) * 127).astype(np.int8)
-                for row, i in enumerate(at):
-                    keys[i], small[i] = np.unique(cells[row]), eight[row].tobytes()
+            small = [None if v is None else np.rint(v / np.abs(v).max() * 127).astype(np.int8).tobytes() for v in vs]
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), pa.array([0 if v is None else len(v) for v in vs], pa.int64()),
                  pa.array([None if v is None else hashlib.blake2b(v.tobytes(), digest_size=16).digest() for v in vs], pa.binary()),
-                 pa.array([None if v is None else v.tobytes() for v in vs], pa.binary()),
-                 pa.array(small, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                ["id", "dim", "digest", "vec", "small", "keys"])
+                 pa.array([None if v is None else v.tobytes() for v in vs], pa.binary()), pa.array(small, pa.binary())],
+                ["id", "dim", "digest", "vec", "small"])
+
+    return src.mapInArrow(batches, f"id {src.schema['id'].dataType.simpleString()}, dim long, digest binary, vec binary, small binary")
 
-    return src.mapInArrow(batches, f"id {src.schema['id'].dataType.simpleString()}, dim long, digest binary, "
-                                   "vec binary, small binary, keys array<long>")
+
+def cells(classes: DataFrame, e8: int, tables: int) -> DataFrame:
+    """``(key, rep)``: the cells that each vector enters, each once."""
+    def batches(it):
+        hashes: dict[int, LatticeHash] = {}
+        for whole in it:
+            for lo in range(0, whole.num_rows, 2048):
+                b = whole.slice(lo, 2048)
+                dims, raw, reps = b.column("dim").to_numpy(), b.column("vec"), b.column("rep").to_numpy()
+                for dim in np.unique(dims):
+                    at = np.flatnonzero(dims == dim)
+                    x = np.frombuffer(b"".join(raw.take(pa.array(at)).to_pylist()), np.float64).reshape(len(at), -1)
+                    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+                    keys = np.sort(hashes.setdefault(int(dim), LatticeHash(int(dim), e8, tables))(x), axis=1)
+                    new = np.concatenate([np.ones((len(at), 1), bool), keys[:, 1:] != keys[:, :-1]], axis=1)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys[new]), pa.array(np.repeat(reps[at], new.sum(axis=1)))], ["key", "rep"])
+
+    return classes.select("dim", "vec", "rep").mapInArrow(batches, "key long, rep long")
+
+
+def tiles_of(keyed: DataFrame) -> DataFrame:
+    """``keyed(key, rep)`` -> ``(key, c, rep)`` of the cells with several members;
+    of cells with the same members only one. Cells are counted by an aggregate,
+    so no task holds a hot cell."""
+    h = F.xxhash64("rep")
+    sets = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(h).alias("x"), F.sum(F.shiftright(h, 16)).alias("s"),
+                                    F.min("rep").alias("m")).where("c > 1")
+    # two sets are taken for one only if size, least member and two sums of hashes agree
+    one = stage(sets.groupBy("c", "x", "s", "m").agg(F.min("key").alias("key_")), "lattice-cells")
+    return keyed.join(one.select("key_", "c"), F.col("key") == F.col("key_")).select("key", "c", "rep")
 
 
 def walk(linked, n: int) -> list[tuple[int, int]]:
@@ -224,14 +248,15 @@ def _count_links(threshold: float):
 def embedding_links(vectors: DataFrame, id_column: str = "vec_id", vector: str = "embedding",
                     threshold: float = THRESHOLD) -> DataFrame:
     """``(id, n_links, component_id, kept)`` per row of ``vectors``."""
-    feats = stage(features(named(vectors, id=id_column, vec=vector)), "lattice-features")
+    src = named(vectors, id=id_column, vec=vector)
+    bounded_batches(src.sparkSession)
+    feats = stage(features(src), "lattice-features")
     classes = stage(feats.where("dim > 0 and id is not null").groupBy("dim", "digest").agg(
         F.min("id").alias("rep"), F.count(F.lit(1)).alias("mult"), F.first("vec").alias("vec"),
-        F.first("small").alias("small"), F.first("keys").alias("keys")), "lattice-classes")
+        F.first("small").alias("small")), "lattice-classes")
 
-    keyed = classes.select(F.explode("keys").alias("key"), "rep")
-    keyed = keyed.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("c > 1")
-    tiles = blocks(keyed.join(classes.select("rep", "small"), "rep"), "key", "c", BLOCK, "rep")
+    keyed = stage(cells(classes, *plan_of(classes.count())), "lattice-keys")
+    tiles = blocks(tiles_of(keyed).join(classes.select("rep", "small"), "rep"), "key", "c", BLOCK, "rep")
     maybe = (tiles.select("g", "i", "j", "rep", "small").repartition("g", "i", "j").sortWithinPartitions("g", "i", "j")
              .mapInArrow(_tile_edges(threshold - SLACK), "a long, b long"))
     near = stage(connected_components(maybe, "lattice-maybe"), "lattice-near")

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -260,6 +261,56 @@ def test_embedding_recall_of_lone_pairs(spark):
     assert found >= 0.95 * 2 * n
 
 
+def near_pairs(rng, n, dim, cosine=0.902):
+    x = rng.normal(size=(n, dim))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    z = rng.normal(size=(n, dim))
+    z -= (z * x).sum(axis=1)[:, None] * x
+    z /= np.linalg.norm(z, axis=1)[:, None]
+    return x, cosine * x + np.sqrt(1 - cosine**2) * z
+
+
+@pytest.mark.parametrize("dim", [64, 768])
+def test_recall_of_every_plan(dim):
+    """Pairs just over the threshold meet in a cell, whatever the size of the table."""
+    x, y = near_pairs(np.random.default_rng(dim), 600, dim)
+    for _, e8, tables in embedding_dedup.PLANS:
+        h = embedding_dedup.LatticeHash(dim, e8, tables)
+        meet = [len(np.intersect1d(a, b)) > 0 for a, b in zip(h(x), h(y))]
+        assert np.mean(meet) >= 0.95, (dim, e8, tables, np.mean(meet))
+
+
+def test_strangers_that_meet_do_not_grow_with_the_table(spark):
+    """Pairs of vectors in a common cell, per vector, from 10,000 to 50,000 rows."""
+    rng, per = np.random.default_rng(4), {}
+    for n in (10_000, 50_000):
+        x = rng.normal(size=(n, 64))
+        table = spark.createDataFrame(pa.table({"rep": np.arange(n), "dim": np.full(n, 64), "vec": [v.tobytes() for v in x]}))
+        tiles = embedding_dedup.tiles_of(embedding_dedup.cells(table.repartition(8), *embedding_dedup.plan_of(n)))
+        pairs = tiles.groupBy("key", "c").count().agg(F.sum(F.col("c") * (F.col("c") - 1) / 2)).first()[0] or 0
+        per[n] = pairs / n
+    assert per[50_000] <= max(per[10_000], 1.0) and per[10_000] < 20, per
+
+
+def test_cells_with_the_same_members_count_once(spark):
+    rows = [(k, r) for k, m in {1: "ab", 2: "ab", 3: "abc", 4: "a", 5: "bc", 6: "ab"}.items() for r in map(ord, m)]
+    got = embedding_dedup.tiles_of(spark.createDataFrame(rows, "key long, rep long")).collect()
+    assert sorted((r.key, r.c, chr(r.rep)) for r in got) == [(1, 2, "a"), (1, 2, "b"), (3, 3, "a"), (3, 3, "b"), (3, 3, "c"), (5, 2, "b"), (5, 2, "c")]
+
+
+def test_registered_query_finds_planted_links(spark, tmp_path):
+    """op8 on a table of its own: lone pairs, groups, copies, vectors without links."""
+    rng = np.random.default_rng(9)
+    x, y = near_pairs(rng, 40, 64, 0.97)
+    centre = rng.normal(size=64)
+    group = centre + 0.02 * rng.normal(size=(30, 64))
+    all_ = np.concatenate([x, y, group, group[:5], rng.normal(size=(50, 64))])
+    rows = [(i, [float(np.float32(c)) for c in v], i % 10) for i, v in enumerate(all_)]
+    vectors(spark, rows).write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embedding_dedup.op8_embedding_dedup(spark, str(tmp_path)).collect()}
+    assert got == links_brute(rows) and sum(n > 0 for n, _, _ in got.values()) == 115
+
+
 def test_lattice_decoder_finds_the_nearest_point():
     rng = np.random.default_rng(5)
     y = rng.normal(size=(200, 8)) * 3
