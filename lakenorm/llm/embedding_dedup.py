@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, connected_components, mix64, named, stage, table
-from .ngram_join import blocks, by_task
+from .ngram_join import blocks, by_task, tiles_of
 
 THRESHOLD = 0.9
 PROBES, SCALE = 14, 0.3
@@ -162,18 +162,6 @@ def cells(classes: DataFrame, e8: int, tables: int) -> DataFrame:
     return classes.select("dim", "vec", "rep").mapInArrow(batches, "key long, rep long")
 
 
-def tiles_of(keyed: DataFrame) -> DataFrame:
-    """``keyed(key, rep)`` -> ``(key, c, rep)`` of the cells with several members;
-    of cells with the same members only one. Cells are counted by an aggregate,
-    so no task holds a hot cell."""
-    h = F.xxhash64("rep")
-    sets = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(h).alias("x"), F.sum(F.shiftright(h, 16)).alias("s"),
-                                    F.min("rep").alias("m")).where("c > 1")
-    # two sets are taken for one only if size, least member and two sums of hashes agree
-    one = stage(sets.groupBy("c", "x", "s", "m").agg(F.min("key").alias("key_")), "lattice-cells")
-    return keyed.join(one.select("key_", "c"), F.col("key") == F.col("key_")).select("key", "c", "rep")
-
-
 def walk(linked, n: int) -> list[tuple[int, int]]:
     """Spanning forest of a graph given by ``linked(i, ids) -> bool array``."""
     left, edges = np.arange(n), []
@@ -256,7 +244,7 @@ def embedding_links(vectors: DataFrame, id_column: str = "vec_id", vector: str =
         F.first("small").alias("small")), "lattice-classes")
 
     keyed = stage(cells(classes, *plan_of(classes.count())), "lattice-keys")
-    tiles = blocks(tiles_of(keyed).join(classes.select("rep", "small"), "rep"), "key", "c", BLOCK, "rep")
+    tiles = blocks(tiles_of(keyed, "lattice-cells").join(classes.select("rep", "small"), "rep"), "key", "c", BLOCK, "rep")
     maybe = (tiles.select("g", "i", "j", "rep", "small").repartition("g", "i", "j").sortWithinPartitions("g", "i", "j")
              .mapInArrow(_tile_edges(threshold - SLACK), "a long, b long"))
     near = stage(connected_components(maybe, "lattice-maybe"), "lattice-near")

@@ -220,9 +220,9 @@ def sample_rows(df: DataFrame, label: str, at_most: int = TRAIN_ROWS) -> DataFra
     return df.sampleBy(label, {r[label]: min(1.0, at_most / r["count"]) for r in counts}, seed=5)
 
 
-def document_evidence(docs: DataFrame) -> DataFrame:
+def document_evidence(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """A document declares ``lang`` and its source stands for the host."""
-    d = named(docs, id="doc_id", text="text", declared="lang", host="source")
+    d = named(docs, id=id_column, text="text", declared="lang", host="source")
     none = F.lit(None).cast("string")
     return d.select("id", "text", "declared", "host", none.alias("domain"), none.alias("suffix"))
 

@@ -1,6 +1,7 @@
 """N-gram Jaccard join over a count-vector R-tree.
 
-A document's set is its distinct word 4-grams, as 64-bit hashes. Hashing the
+A document's set is its distinct word n-grams (``Rule``: four words and a
+similarity of 0.85 unless told otherwise), as 64-bit hashes. Hashing the
 set's members into ``GROUPS`` groups and counting gives a point; for two sets
 the sum of the coordinate minima bounds their overlap from above, and for a
 tree node the sum of the minima with the node's coordinate maxima bounds it
@@ -11,11 +12,12 @@ for every point below. Links (``100 * overlap >= 85 * union``) are exact:
 2. Points are dealt to tiles. With the members of every set in one global
    order, two sets over the threshold share a member among their first
    ``n - ceil(0.85 n) + 1``; every such member that two classes share is a
-   tile. The order puts frequent members last (by a bounded sample of
+   tile (tiles with the same classes count once). The order puts frequent members last (by a bounded sample of
    documents; the order changes only the cost, never the result), so a passage
    that a third of all documents hold makes no tile of that size.
 3. Within a tile an R-tree answers, point by point, which points may still
-   reach the threshold. The search walks: points found leave the tree, so a
+   reach the threshold, from the top level down: a node is entered only if its
+   coordinate maxima and size range allow a partner below. The search walks: points found leave the tree, so a
    tile emits a spanning forest of its "may link" graph, never its pairs.
 4. The components of these forests hold every true link. Their texts are
    brought together once per component, an R-tree proposes pairs and an exact
@@ -33,16 +35,18 @@ nothing; rows that share an id are one node; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import WordHasher, bounded_batches, connected_components, mix64, named, pieces, slices, stage, table
 
 GROUPS = 256
 PAGE = 32
+FAN = 16                        # nodes below a node of the tree
 #: Points of a tile, and set members of a component, that one task holds at once.
 BLOCK, BLOCK_MEMBERS = 8192, 1 << 20
 SAMPLE_DOCS, SAMPLE_LEAST, HOT_MOST = 4000, 4, 1 << 18
@@ -85,9 +89,24 @@ class Shingler:
         return out
 
 
-def needed(a, b):
-    """Least overlap of sets of sizes a and b over the threshold: 37 i >= 17 (a + b)."""
-    return (17 * (a + b) + 36) // 37
+@dataclass(frozen=True)
+class Rule:
+    """Sets of word ``size``-grams link when 100 * overlap >= percent * union."""
+    size: int = 4
+    percent: int = 85
+
+    def needed(self, a, b):
+        """Least overlap of linked sets of sizes a and b."""
+        return (self.percent * (a + b) + 99 + self.percent) // (100 + self.percent)
+
+    def sizes_fit(self, a, b):
+        return (100 * a >= self.percent * b) & (100 * b >= self.percent * a)
+
+    def least_partner(self, n):
+        return -(-self.percent * n // 100)
+
+
+RULE = Rule()
 
 
 def count_vector(members: np.ndarray, groups: int = GROUPS) -> np.ndarray:
@@ -101,20 +120,31 @@ def cut_off(points: np.ndarray, sizes):
     return sizes - points.sum(axis=-1, dtype=np.int64)
 
 
-def bound(q: np.ndarray, q_size: int, points: np.ndarray, sizes: np.ndarray, rest: np.ndarray) -> np.ndarray:
+def bound(q: np.ndarray, q_size: int, points: np.ndarray, sizes: np.ndarray, rest: np.ndarray, rule: Rule = RULE) -> np.ndarray:
     """Which points may reach the threshold with q: summed coordinate minima,
     and half of what was cut off on either side."""
     most = 2 * np.minimum(points, q).sum(axis=1, dtype=np.int64) + rest + cut_off(q, q_size)
-    return most >= 2 * needed(q_size, sizes)
+    return most >= 2 * rule.needed(q_size, sizes)
+
+
+@dataclass
+class Level:
+    """Nodes of one level of the tree, in order; node i is below node i // FAN."""
+    top: np.ndarray             # coordinate maxima
+    low: np.ndarray             # sizes from
+    high: np.ndarray            # to
+    rest: np.ndarray            # largest part cut off
+    left: np.ndarray            # points not taken out
 
 
 class CountRTree:
     """R-tree over count vectors: points are split along the coordinate of the
-    largest spread until they fit a page; a node keeps its coordinate maxima and
-    size range. Points can be taken out."""
+    largest spread until they fit a page; pages that are neighbours are one node
+    of the level above, up to a root level of ``FAN`` nodes. Every node keeps its
+    coordinate maxima and size range. Points can be taken out."""
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray):
-        self.points, self.sizes = points, sizes
+    def __init__(self, points: np.ndarray, sizes: np.ndarray, rule: Rule = RULE):
+        self.points, self.sizes, self.rule = points, sizes, rule
         self.alive = np.ones(len(sizes), bool)
         leaves, todo = [], [np.arange(len(sizes))]
         while todo:
@@ -132,36 +162,49 @@ class CountRTree:
         self.page = np.empty(len(sizes), np.int64)
         for i, ids in enumerate(leaves):
             self.page[ids] = i
-        self.left = np.array([len(x) for x in leaves])
-        self.top = np.array([points[x].max(axis=0) for x in leaves])
-        self.low = np.array([sizes[x].min() for x in leaves])
-        self.high = np.array([sizes[x].max() for x in leaves])
         self.rest = cut_off(points, sizes)
-        self.top_rest = np.array([self.rest[x].max() for x in leaves])
+        self.levels = [Level(np.array([points[x].max(axis=0) for x in leaves]), np.array([sizes[x].min() for x in leaves]),
+                             np.array([sizes[x].max() for x in leaves]), np.array([self.rest[x].max() for x in leaves]),
+                             np.array([len(x) for x in leaves]))]
+        while len(self.levels[-1].left) > FAN:
+            below = self.levels[-1]
+            first = np.arange(0, len(below.left), FAN)
+            self.levels.append(Level(np.maximum.reduceat(below.top, first), np.minimum.reduceat(below.low, first),
+                                     np.maximum.reduceat(below.high, first), np.maximum.reduceat(below.rest, first),
+                                     np.add.reduceat(below.left, first)))
 
     def take(self, ids) -> None:
         self.alive[ids] = False
-        np.subtract.at(self.left, self.page[ids], 1)
+        node = self.page[ids]
+        for level in self.levels:
+            np.subtract.at(level.left, node, 1)
+            node = node // FAN
 
     def query(self, i: int) -> np.ndarray:
         """Living points that may reach the threshold with point i."""
-        n, q = int(self.sizes[i]), self.points[i]
-        near = np.flatnonzero((self.left > 0) & (100 * self.high >= 85 * n) & (100 * n >= 85 * self.low))
-        if len(near):
-            near = near[bound(q, n, self.top[near], np.maximum(self.low[near], -(-85 * n // 100)), self.top_rest[near])]
-        if not len(near):
-            return np.zeros(0, np.int64)
-        ids = np.concatenate([self.leaves[x] for x in near])
+        n, q, rule = int(self.sizes[i]), self.points[i], self.rule
+        least = rule.least_partner(n)
+        nodes = np.arange(len(self.levels[-1].left))
+        for depth in range(len(self.levels) - 1, -1, -1):
+            level = self.levels[depth]
+            nodes = nodes[(level.left[nodes] > 0) & (level.high[nodes] >= least) & (100 * n >= rule.percent * level.low[nodes])]
+            if len(nodes):
+                nodes = nodes[bound(q, n, level.top[nodes], np.maximum(level.low[nodes], least), level.rest[nodes], rule)]
+            if not len(nodes):
+                return np.zeros(0, np.int64)
+            if depth:
+                nodes = (nodes[:, None] * FAN + np.arange(FAN)).ravel()
+                nodes = nodes[nodes < len(self.levels[depth - 1].left)]
+        ids = np.concatenate([self.leaves[x] for x in nodes])
         ids = ids[self.alive[ids]]
-        s = self.sizes[ids]
-        ids = ids[(100 * s >= 85 * n) & (100 * n >= 85 * s)]
-        return ids[bound(q, n, self.points[ids], self.sizes[ids], self.rest[ids])]
+        ids = ids[rule.sizes_fit(self.sizes[ids], n)]
+        return ids[bound(q, n, self.points[ids], self.sizes[ids], self.rest[ids], rule)]
 
 
-def forest(points: np.ndarray, sizes: np.ndarray, sets: list | None = None) -> list[tuple[int, int]]:
+def forest(points: np.ndarray, sizes: np.ndarray, sets: list | None = None, rule: Rule = RULE) -> list[tuple[int, int]]:
     """Edges of a spanning forest of the graph whose edges pass the bound and,
     where sets are given, the exact threshold. Found points leave the tree."""
-    tree, edges, queue = CountRTree(points, sizes), [], []
+    tree, edges, queue = CountRTree(points, sizes, rule), [], []
     for seed in range(len(sizes)):
         if not tree.alive[seed]:
             continue
@@ -171,7 +214,7 @@ def forest(points: np.ndarray, sizes: np.ndarray, sets: list | None = None) -> l
             i = queue.pop()
             found = tree.query(i)
             if sets is not None and len(found):
-                found = found[verify(sets, i, found)]
+                found = found[verify(sets, i, found, rule)]
             if len(found):
                 tree.take(found)
                 edges += [(i, int(j)) for j in found]
@@ -179,7 +222,7 @@ def forest(points: np.ndarray, sizes: np.ndarray, sets: list | None = None) -> l
     return edges
 
 
-def verify(sets: list, i: int, others: np.ndarray) -> np.ndarray:
+def verify(sets: list, i: int, others: np.ndarray, rule: Rule = RULE) -> np.ndarray:
     """Which of the sets are over the threshold with set i, exactly."""
     mine, out = sets[i], np.zeros(len(others), bool)
     for lo in range(0, len(others), 256):
@@ -189,19 +232,19 @@ def verify(sets: list, i: int, others: np.ndarray) -> np.ndarray:
         at = np.searchsorted(mine, every)
         same = mine[np.minimum(at, len(mine) - 1)] == every
         overlap = np.add.reduceat(same.astype(np.int64), np.concatenate(([0], np.cumsum(sizes)[:-1])))
-        out[lo:lo + 256] = overlap >= needed(len(mine), sizes)
+        out[lo:lo + 256] = overlap >= rule.needed(len(mine), sizes)
     return out
 
 
 # ----------------------------------------------------------------- dataflow
 
-def _hot_order(src: DataFrame) -> np.ndarray:
+def _hot_order(src: DataFrame, rule: Rule) -> np.ndarray:
     """Members seen in at least SAMPLE_LEAST of about SAMPLE_DOCS documents, most
     frequent first; at most HOT_MOST of them, so the broadcast has a fixed bound."""
     rows = src.count()
 
     def counts(it):
-        shingle = Shingler()
+        shingle = Shingler(rule.size)
         for b in slices(it, "text"):
             sets = shingle(b.column("text").to_pylist())
             u, c = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.uint64),) * 2
@@ -213,10 +256,10 @@ def _hot_order(src: DataFrame) -> np.ndarray:
     return np.array([r.m for r in hot], np.int64).view(np.uint64)
 
 
-def _first_members(s: np.ndarray, hot: np.ndarray, rank: np.ndarray) -> np.ndarray:
+def _first_members(s: np.ndarray, hot: np.ndarray, rank: np.ndarray, rule: Rule) -> np.ndarray:
     """The members that every partner shares one of: rare before frequent."""
     n = len(s)
-    keep = n - (85 * n + 99) // 100 + 1
+    keep = n - rule.least_partner(n) + 1
     if len(hot) and n:
         at = np.minimum(np.searchsorted(hot, s), len(hot) - 1)
         r = np.where(hot[at] == s, rank[at], 0)
@@ -224,13 +267,13 @@ def _first_members(s: np.ndarray, hot: np.ndarray, rank: np.ndarray) -> np.ndarr
     return s[:keep]
 
 
-def features(src: DataFrame) -> DataFrame:
+def features(src: DataFrame, rule: Rule = RULE) -> DataFrame:
     """``(id, n, digest, keys, point)`` of every document."""
-    hottest = _hot_order(src)
+    hottest = _hot_order(src, rule)
     shared = src.sparkSession.sparkContext.broadcast(hottest)
 
     def batches(it):
-        shingle = Shingler()
+        shingle = Shingler(rule.size)
         order = np.argsort(shared.value)
         hot, rank = shared.value[order], (len(order) - order).astype(np.int64)   # the most frequent has the highest
         for b in slices(it, "text"):
@@ -238,7 +281,7 @@ def features(src: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-                 pa.array([_first_members(s, hot, rank).view(np.int64) if len(s) else [] for s in sets],
+                 pa.array([_first_members(s, hot, rank, rule).view(np.int64) if len(s) else [] for s in sets],
                           pa.list_(pa.int64())),
                  pa.array([count_vector(s).tobytes() for s in sets], pa.binary())],
                 ["id", "n", "digest", "keys", "point"])
@@ -259,6 +302,18 @@ def blocks(df: DataFrame, group: str, weight: str, limit: int, node: str, own: s
             .withColumn("j", F.greatest(own, "_other")).drop("_parts", "_other"))
 
 
+def tiles_of(keyed: DataFrame, label: str) -> DataFrame:
+    """``keyed(key, rep)`` -> ``(key, c, rep)`` of the keys with several members;
+    of keys with the same members only one. Keys are counted by an aggregate, so
+    no task holds a hot key."""
+    h = F.xxhash64("rep")
+    sets = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(h).alias("x"), F.sum(F.shiftright(h, 16)).alias("s"),
+                                    F.min("rep").alias("m")).where("c > 1")
+    # two sets are taken for one only if size, least member and two sums of hashes agree
+    one = stage(sets.groupBy("c", "x", "s", "m").agg(F.min("key").alias("key_")), label)
+    return keyed.join(one.select("key_", "c"), F.col("key") == F.col("key_")).select("key", "c", "rep")
+
+
 def by_task(it, keys=("g", "i", "j")):
     """Runs of batches -> one Arrow table per task, rows sorted by task."""
     held: list = []
@@ -280,75 +335,79 @@ def by_task(it, keys=("g", "i", "j")):
         yield pa.Table.from_batches(held)
 
 
-def _tile_edges(it):
+def _tile_edges(rule: Rule):
     """Forests of all tiles of a partition. Tiles of two to four points, by far
     the most, are compared together."""
-    small: list = []
-
-    def flush():
-        if not small:
-            return None
-        a, b = [], []
-        ids = np.concatenate([x[0] for x in small])
-        pts = np.concatenate([x[1] for x in small])
-        n = np.concatenate([x[2] for x in small])
-        at = 0
-        for x in small:
-            m = len(x[0])
-            for p in range(m):
-                for q in range(p):
-                    a.append(at + p)
-                    b.append(at + q)
-            at += m
-        small.clear()
-        a, b = np.array(a), np.array(b)
-        rest = cut_off(pts, n)
-        most = 2 * np.minimum(pts[a], pts[b]).sum(axis=1, dtype=np.int64) + rest[a] + rest[b]
-        ok = most >= 2 * needed(n[a], n[b])
-        e = np.unique(np.stack([np.maximum(ids[a], ids[b])[ok], np.minimum(ids[a], ids[b])[ok]]), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(e[0]), pa.array(e[1])], ["a", "b"])
-
-    seen: set = set()
-    for t in by_task(it):
-        ids = t.column("rep").to_numpy()
-        if len(ids) < 2:
-            continue
-        order = np.argsort(ids)
-        key = hashlib.blake2b(ids[order].tobytes(), digest_size=12).digest()
-        if key in seen:           # families share most of their tiles
-            continue
-        if len(seen) < 200_000:
-            seen.add(key)
-        pts = np.frombuffer(b"".join(t.column("point").to_pylist()), np.uint8).reshape(len(ids), -1)[order]
-        n = t.column("n").to_numpy()[order]
-        ids = ids[order]
-        if len(ids) <= 4:
-            small.append((ids, pts, n))
-            if len(small) >= 4096:
-                yield flush()
-            continue
-        e = forest(pts, n)
-        if e:
-            yield pa.RecordBatch.from_arrays([pa.array(ids[[x for x, _ in e]]), pa.array(ids[[y for _, y in e]])],
-                                             ["a", "b"])
-    last = flush()
-    if last is not None:
-        yield last
-
-
-def _true_edges(it):
-    shingle = Shingler()
-    for t in by_task(it):
-        ids = t.column("rep").to_numpy()
-        if len(ids) < 2:
-            continue
-        sets = [s for b in slices(t.to_batches(), "text") for s in shingle(b.column("text").to_pylist())]
-        del t
-        points = np.array([count_vector(s) for s in sets])
-        e = forest(points, np.array([len(s) for s in sets], np.int64), sets)
-        if e:
-            yield pa.RecordBatch.from_arrays([pa.array(ids[[x for x, _ in e]]), pa.array(ids[[y for _, y in e]])],
-                                             ["a", "b"])
+    def run(it):
+        small: list = []
+
+        def flush():
+            if not small:
+                return None
+            a, b = [], []
+            ids = np.concatenate([x[0] for x in small])
+            pts = np.concatenate([x[1] for x in small])
+            n = np.concatenate([x[2] for x in small])
+            at = 0
+            for x in small:
+                m = len(x[0])
+                for p in range(m):
+                    for q in range(p):
+                        a.append(at + p)
+                        b.append(at + q)
+                at += m
+            small.clear()
+            a, b = np.array(a), np.array(b)
+            rest = cut_off(pts, n)
+            most = 2 * np.minimum(pts[a], pts[b]).sum(axis=1, dtype=np.int64) + rest[a] + rest[b]
+            ok = most >= 2 * rule.needed(n[a], n[b])
+            e = np.unique(np.stack([np.maximum(ids[a], ids[b])[ok], np.minimum(ids[a], ids[b])[ok]]), axis=1)
+            return pa.RecordBatch.from_arrays([pa.array(e[0]), pa.array(e[1])], ["a", "b"])
+
+        seen: set = set()
+        for t in by_task(it):
+            ids = t.column("rep").to_numpy()
+            if len(ids) < 2:
+                continue
+            order = np.argsort(ids)
+            key = hashlib.blake2b(ids[order].tobytes(), digest_size=12).digest()
+            if key in seen:           # families share most of their tiles
+                continue
+            if len(seen) < 200_000:
+                seen.add(key)
+            pts = np.frombuffer(b"".join(t.column("point").to_pylist()), np.uint8).reshape(len(ids), -1)[order]
+            n = t.column("n").to_numpy()[order]
+            ids = ids[order]
+            if len(ids) <= 4:
+                small.append((ids, pts, n))
+                if len(small) >= 4096:
+                    yield flush()
+                continue
+            e = forest(pts, n, rule=rule)
+            if e:
+                yield pa.RecordBatch.from_arrays([pa.array(ids[[x for x, _ in e]]), pa.array(ids[[y for _, y in e]])],
+                                                 ["a", "b"])
+        last = flush()
+        if last is not None:
+            yield last
+    return run
+
+
+def _true_edges(rule: Rule):
+    def run(it):
+        shingle = Shingler(rule.size)
+        for t in by_task(it):
+            ids = t.column("rep").to_numpy()
+            if len(ids) < 2:
+                continue
+            sets = [s for b in slices(t.to_batches(), "text") for s in shingle(b.column("text").to_pylist())]
+            del t
+            points = np.array([count_vector(s) for s in sets])
+            e = forest(points, np.array([len(s) for s in sets], np.int64), sets, rule)
+            if e:
+                yield pa.RecordBatch.from_arrays([pa.array(ids[[x for x, _ in e]]), pa.array(ids[[y for _, y in e]])],
+                                                 ["a", "b"])
+    return run
 
 
 def _may_be_in(src: DataFrame, members: DataFrame) -> DataFrame:
@@ -360,20 +419,20 @@ def _may_be_in(src: DataFrame, members: DataFrame) -> DataFrame:
     return src.join(F.broadcast(some), of("id").cast("int") == F.col("_f"), "left_semi")
 
 
-def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text: str = "text", rule: Rule = RULE) -> DataFrame:
     """``(id, n_shingles, class_id, component_id)`` per input row. ``class_id`` is
     the smallest id with the same set, ``component_id`` the smallest reachable."""
     bounded_batches(docs.sparkSession)
     src = named(docs, id=id_column, text=text)
-    feats = stage(features(src), "jaccard-features", "snappy")
+    feats = stage(features(src, rule), "jaccard-features", "snappy")
     sets = feats.where("n > 0 and id is not null").groupBy("n", "digest")
     classes = stage(sets.agg(F.min("id").alias("rep"), F.first("point").alias("point")), "jaccard-classes")
 
     keyed = sets.agg(F.min("id").alias("rep"), F.first("keys").alias("keys")).select(F.explode("keys").alias("key"), "rep")
-    keyed = keyed.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("c > 1")
-    tiles = blocks(keyed.join(classes.select("rep", "n", "point"), "rep"), "key", "c", BLOCK, "rep")
+    tiles = tiles_of(stage(keyed, "jaccard-keys"), "jaccard-tiles")
+    tiles = blocks(tiles.join(classes.select("rep", "n", "point"), "rep"), "key", "c", BLOCK, "rep")
     maybe = (tiles.select("g", "i", "j", "rep", "n", "point").repartition("g", "i", "j")
-             .sortWithinPartitions("g", "i", "j").mapInArrow(_tile_edges, "a long, b long"))
+             .sortWithinPartitions("g", "i", "j").mapInArrow(_tile_edges(rule), "a long, b long"))
     near = stage(connected_components(maybe, "jaccard-maybe"), "jaccard-near")
 
     sizes = classes.select(F.col("rep").alias("node"), "n")
@@ -383,7 +442,7 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text: str = "
              .select("component", "w", "rep", "text"))
     tasks = blocks(texts, "component", "w", BLOCK_MEMBERS, "rep").select("g", "i", "j", "rep", "text")
     linked = (tasks.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "rep")
-              .mapInArrow(_true_edges, "a long, b long"))
+              .mapInArrow(_true_edges(rule), "a long, b long"))
     found = connected_components(linked, "jaccard-links")
 
     named_classes = classes.select("n", "digest", "rep").join(found, F.col("rep") == F.col("node"), "left").select(

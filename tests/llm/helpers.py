@@ -65,19 +65,19 @@ def repeats_brute(rows, length=400):
     return out
 
 
-def shingles(text):
+def shingles(text, size=4):
     w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(ASCII_LOWER))
-    return frozenset(tuple(w[i:i + 4]) for i in range(max(1, len(w) - 3))) if w else frozenset()
+    return frozenset(tuple(w[i:i + size]) for i in range(max(1, len(w) - size + 1))) if w else frozenset()
 
 
-def jaccard_brute(rows):
+def jaccard_brute(rows, size=4, percent=85):
     """{doc_id: (set size, component)} of (doc_id, text) rows."""
-    sets = {d: shingles(t) for d, t in rows}
+    sets = {d: shingles(t, size) for d, t in rows}
     u, post = Union(sets), collections.defaultdict(list)
     for d, s in sets.items():
         shared = collections.Counter(j for x in s for j in post[x])
         for j, i in shared.items():
-            if 100 * i >= 85 * (len(s) + len(sets[j]) - i):
+            if 100 * i >= percent * (len(s) + len(sets[j]) - i):
                 u.join(d, j)
         for x in s:
             post[x].append(d)

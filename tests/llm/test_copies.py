@@ -149,6 +149,14 @@ def test_jaccard_equals_brute_force(spark, block, monkeypatch):
     assert got == jaccard_brute(list(enumerate(texts)))
 
 
+@pytest.mark.parametrize("size,percent", [(5, 80), (1, 60), (2, 100)])
+def test_jaccard_by_other_rules(spark, size, percent):
+    texts = near_texts()
+    rule = ngram_join.Rule(size, percent)
+    got = {r.id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(docs(spark, texts), rule=rule).collect()}
+    assert got == jaccard_brute(list(enumerate(texts)), size, percent)
+
+
 def test_op6_on_the_table(spark):
     rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.op6_ngram_jaccard(spark, SF).collect()}
@@ -163,16 +171,25 @@ def test_jaccard_edge_rows(spark):
     assert ngram_join.jaccard_components(docs(spark, [])).count() == 0
 
 
-def test_tree_finds_what_the_bound_allows():
+@pytest.mark.parametrize("page,fan", [(32, 16), (2, 3), (1, 2)])
+def test_tree_finds_what_the_bound_allows(page, fan, monkeypatch):
+    monkeypatch.setattr(ngram_join, "PAGE", page)
+    monkeypatch.setattr(ngram_join, "FAN", fan)
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 2**63, 200, dtype=np.uint64)) for _ in range(40)]
     sets += [np.unique(np.concatenate([s[:190], rng.integers(0, 2**63, 8, dtype=np.uint64)])) for s in sets]
     points = np.array([ngram_join.count_vector(s) for s in sets])
     sizes = np.array([len(s) for s in sets])
     tree = ngram_join.CountRTree(points, sizes)
+    assert len(tree.levels) == {32: 1, 2: 4, 1: 7}[page]
     for i in range(len(sets)):
         true = {j for j in range(len(sets)) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 85 * len(np.union1d(sets[i], sets[j]))}
-        assert true <= set(tree.query(i).tolist())
+        allowed = {j for j in range(len(sets)) if ngram_join.RULE.sizes_fit(sizes[i], sizes[j]) and ngram_join.bound(
+            points[i], int(sizes[i]), points[[j]], sizes[[j]], tree.rest[[j]])[0]}
+        assert true <= set(tree.query(i).tolist()) == allowed
+    gone = np.arange(0, len(sets), 2)
+    tree.take(gone)
+    assert not set(tree.query(1).tolist()) & set(gone.tolist()) and all(x.left.sum() == len(sets) // 2 for x in tree.levels)
 
 
 def test_counts_over_255_stay_a_bound():
@@ -286,7 +303,7 @@ def test_strangers_that_meet_do_not_grow_with_the_table(spark):
     for n in (10_000, 50_000):
         x = rng.normal(size=(n, 64))
         table = spark.createDataFrame(pa.table({"rep": np.arange(n), "dim": np.full(n, 64), "vec": [v.tobytes() for v in x]}))
-        tiles = embedding_dedup.tiles_of(embedding_dedup.cells(table.repartition(8), *embedding_dedup.plan_of(n)))
+        tiles = ngram_join.tiles_of(embedding_dedup.cells(table.repartition(8), *embedding_dedup.plan_of(n)), "cells")
         pairs = tiles.groupBy("key", "c").count().agg(F.sum(F.col("c") * (F.col("c") - 1) / 2)).first()[0] or 0
         per[n] = pairs / n
     assert per[50_000] <= max(per[10_000], 1.0) and per[10_000] < 20, per
@@ -294,7 +311,7 @@ def test_strangers_that_meet_do_not_grow_with_the_table(spark):
 
 def test_cells_with_the_same_members_count_once(spark):
     rows = [(k, r) for k, m in {1: "ab", 2: "ab", 3: "abc", 4: "a", 5: "bc", 6: "ab"}.items() for r in map(ord, m)]
-    got = embedding_dedup.tiles_of(spark.createDataFrame(rows, "key long, rep long")).collect()
+    got = ngram_join.tiles_of(spark.createDataFrame(rows, "key long, rep long"), "cells").collect()
     assert sorted((r.key, r.c, chr(r.rep)) for r in got) == [(1, 2, "a"), (1, 2, "b"), (3, 3, "a"), (3, 3, "b"), (3, 3, "c"), (5, 2, "b"), (5, 2, "c")]
 
 
