@@ -10,50 +10,90 @@ written as Parquet and read again before the next.
 4. secret scans: documents with a finding of a base rule go;
 5. packing: what is left becomes pieces of full windows.
 
-The filters only subtract: a row whose id is null, and every column, passes
-through as it is. Decisions are by doc_id, so rows that share an id share the
-decision. Ids to drop are written first: Spark broadcasts them while they are
-small and joins by a shuffle beyond that. Empty tables stay empty.
+A document is a row as told by its id, text, language and source: rows equal in
+these are one document, and every filter decides for it by the hash of all four
+(``key``), so a row without an id, or one that shares its id with another text, is
+judged by what it holds like any other. Of rows that are one document the n-gram
+Jaccard join keeps one; it prefers the smallest id, rows without an id come last.
+Near copies are linked by the general rule, five words and a similarity of 0.8.
+The filters only subtract, and every column passes through as it is. Keys to drop
+are written first: Spark broadcasts them while they are small and joins by a
+shuffle beyond that. Empty tables stay empty.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakenorm.llm.common import scratch, stage, table
 from lakenorm.llm.decontaminate import contaminated, find_contamination
-from lakenorm.llm.language_id import identify_documents
-from lakenorm.llm.ngram_join import jaccard_components
+from lakenorm.llm.language_id import document_evidence, fitted_on_documents, identify
+from lakenorm.llm.ngram_join import Rule, jaccard_components
 from lakenorm.llm.packing import pack_documents
 from lakenorm.llm.secret_scan import scan_secrets
 
 
-def _without(docs: DataFrame, ids: DataFrame, label: str) -> DataFrame:
-    """All rows of ``docs`` but those with an id of ``ids(id)``."""
-    drop = stage(ids.where("id is not null").distinct(), label).select(F.col("id").alias("__drop"))
-    return docs.join(drop, docs["doc_id"] == drop["__drop"], "left_anti")
+NEAR = Rule(size=5, percent=80)
+KEYED_BY = ("doc_id", "text", "lang", "source")
+
+
+def _values(docs: DataFrame) -> list[Column]:
+    """The four columns by their exact names, whatever else is there."""
+    flat = {c: i for i, c in enumerate(docs.columns)}
+    return [F.col(f"_{flat[c]}") for c in KEYED_BY]
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """``(key, doc_id, text, lang, source)``: ``key`` names the document in 128 bits."""
+    return _keyed_rows(docs).select("key", *[v.alias(c) for v, c in zip(_values(docs), KEYED_BY)])
+
+
+def _keyed_rows(docs: DataFrame) -> DataFrame:
+    """All columns of ``docs``, named by position, and ``key`` behind them."""
+    flat = docs.toDF(*[f"_{i}" for i in range(len(docs.columns))])
+    mark = [F.coalesce(F.concat(F.lit("="), v.cast("string")), F.lit("-")) for v in _values(docs)]
+    return flat.withColumn("key", F.md5(F.concat_ws("\x1f", *mark)))
+
+
+def _without(docs: DataFrame, keys: DataFrame, label: str) -> DataFrame:
+    """All rows of ``docs`` but those with a key of ``keys(key)``."""
+    drop = stage(keys.distinct(), label).select(F.col("key").alias("drop"))
+    kept = _keyed_rows(docs)
+    return kept.join(drop, F.col("key") == F.col("drop"), "left_anti").drop("key").toDF(*docs.columns)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, identify_documents(docs).where("not accepted").select("id"), "no-language")
+    d = keyed(docs)
+    found = identify(document_evidence(d, "key"), *fitted_on_documents(d))
+    return _without(docs, found.where("not accepted").select(F.col("id").alias("key")), "no-language")
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    linked = jaccard_components(docs)
-    kept = _without(docs, linked.where("id <> component_id").select("id"), "near-copies")
-    return kept.dropDuplicates(["doc_id", "text"])
+    d = keyed(docs).select("key", "doc_id", "text", F.xxhash64("key").alias("node"))
+    linked = jaccard_components(d, "node", "text", NEAR).select("id", "component_id").distinct()
+    rows = stage(d.select("key", "doc_id", "node").groupBy("key", "doc_id", "node").agg(F.count(F.lit(1)).alias("n"))
+                 .join(linked, F.col("node") == F.col("id")), "near-rows")
+    first = rows.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key"))["key"].alias("stays"))
+    copies = rows.join(stage(first, "near-first"), "component_id").where("key <> stays").select("key")
+    kept = _without(docs, copies, "near-copies")
+    # rows that are one document: few, so that no other text is shuffled for them
+    several = stage(rows.where("n > 1").select(F.col("key").alias("several")), "near-repeated")
+    whole = _keyed_rows(kept)
+    again = F.col("key") == F.col("several")
+    once = whole.join(several, again, "left_semi").dropDuplicates(["key"])
+    return whole.join(several, again, "left_anti").unionByName(once).drop("key").toDF(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = find_contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.where(contaminated(F.col("n_hit"), F.col("n_words"))).select("id"), "contaminated")
+    found = find_contamination(keyed(docs), table(spark, sf_dir, "benchmark"), id_column="key")
+    return _without(docs, found.where(contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col("id").alias("key")), "contaminated")
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    versions, found = scan_secrets(docs, scratch(spark, "pipeline-ledger"), path="doc_id")
+    versions, found = scan_secrets(keyed(docs), scratch(spark, "pipeline-ledger"), path="key")
     leaks = stage(found.where(F.col("rule").isin("assign", "access", "hex")).select("blob").distinct(), "leaks")
-    return _without(docs, versions.join(leaks, "blob", "left_semi").select(F.col("path").alias("id")), "with-secrets")
+    return _without(docs, versions.join(leaks, "blob", "left_semi").select(F.col("path").alias("key")), "with-secrets")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
