@@ -54,7 +54,7 @@ class Encoder:
     All other texts go to ``tokenizers`` as they are.
     """
 
-    PLAIN = re.compile(r"[^\n\x20-\x7e\xa1-\xac\xae-ɏ]|\s\x20|\x20\s|<\|")
+    ODD = re.compile(r"[^\n\x20-\x7e\xa1-\xac\xae-ɏ]|\s\x20|\x20\s|<\|")
 
     def __init__(self, vocabulary: str, ranks: str | None = None, pattern: str | None = None):
         from tokenizers import Tokenizer
@@ -71,6 +71,12 @@ class Encoder:
             self.opens[[i for token, i in table.items() if token[:1] == b" "]] = True
         self.cache: dict[str, bytes] = {}
 
+    def plain(self, t: str) -> bool:
+        """May the text be cut at single spaces? ASCII is tested without a pattern."""
+        if t.isascii():
+            return not ("  " in t or "\n " in t or " \n" in t or "<|" in t) and t.replace("\n", "").isprintable()
+        return not self.ODD.search(t)
+
     def _learn(self, parts: set) -> None:
         parts = list(parts)
         for at in range(0, len(parts), 20_000):
@@ -87,7 +93,7 @@ class Encoder:
         out: list = [None] * len(texts)
         split, rest = [], []
         for i, t in enumerate(texts):
-            if t and self.fast and not self.PLAIN.search(t):
+            if t and self.fast and self.plain(t):
                 split.append((i, t.split(" ")))
             else:
                 rest.append(i)
@@ -114,17 +120,6 @@ class Encoder:
         return out
 
 
-def _encoder(vocabulary: str, ranks: str | None, pattern: str | None) -> Encoder:
-    """One encoder per Python worker, whatever number of tasks it runs."""
-    import tokenizers
-
-    held = tokenizers.__dict__.setdefault("_lakenorm_encoders", {})
-    key = (vocabulary, ranks, pattern)
-    if key not in held:
-        held[key] = Encoder(*key)
-    return held[key]
-
-
 def route(ids: np.ndarray) -> int:
     """Smallest hash of the text's token trigrams."""
     wide = ids.astype(np.uint64)
@@ -140,9 +135,13 @@ def tokenise(docs: DataFrame, vocabulary: str, ranks: str | None = None, pattern
              id_column: str = "doc_id", text: str = "text", end_id: int = END_ID) -> DataFrame:
     """``(id, n, route, ids)``; ids are little-endian unsigned integers."""
     src = named(docs, id=id_column, text=text)
+    shared = docs.sparkSession.sparkContext.broadcast({})
 
     def batches(it):
-        encode = _encoder(vocabulary, ranks, pattern)
+        held = shared.value             # one encoder per worker, for as long as the broadcast lives there
+        if "encoder" not in held:
+            held["encoder"] = Encoder(vocabulary, ranks, pattern)
+        encode = held["encoder"]
         end = np.array([end_id], encode.dtype).tobytes()
         for b in slices(it, "text"):
             raw = [x + end for x in encode(b.column("text").to_pylist())]
@@ -156,11 +155,9 @@ def tokenise(docs: DataFrame, vocabulary: str, ranks: str | None = None, pattern
 
 
 class Shard:
-    """BM25 inverted index of some documents; neighbours of one of them. Unless
-    ``frequent``, a term in more than a sixteenth of them (at least 8) has no
-    weight."""
+    """BM25 inverted index of some documents."""
 
-    def __init__(self, docs: list[np.ndarray], frequent: bool = False):
+    def __init__(self, docs: list[np.ndarray]):
         m = len(docs)
         lens = np.array([len(d) for d in docs])
         flat = np.concatenate(docs).astype(np.uint64)
@@ -174,7 +171,7 @@ class Shard:
         term, doc = code[first] >> np.uint64(32), (code[first] & np.uint64(0xFFFFFFFF)).astype(np.int64)
         start = np.flatnonzero(np.append(True, term[1:] != term[:-1])) if len(term) else np.zeros(0, np.int64)
         df = np.diff(np.append(start, len(term)))
-        use = (df >= 2) & (frequent | (df <= max(8, m // 16)))
+        use = df >= 2
         keep = np.repeat(use, df)
         self.doc, tf, self.df = doc[keep], tf[keep], df[use]
         self.start = np.cumsum(self.df) - self.df
@@ -186,17 +183,20 @@ class Shard:
         self.bounds = np.searchsorted(of >> np.uint64(32), np.arange(m + 1, dtype=np.uint64))
         self.m = m
 
-    def neighbours(self, i: int, free: np.ndarray, k: int = 16) -> np.ndarray:
-        """Up to k free documents that share a term with document i, best first."""
+    def scores(self, i: int) -> np.ndarray:
+        """Score of every document for document i as the query."""
         t = self.terms[self.bounds[i]:self.bounds[i + 1]]
-        if not len(t):
-            return t
         n = self.df[t]
         at = np.arange(n.sum()) + np.repeat(self.start[t] - (np.cumsum(n) - n), n)
-        score = np.bincount(self.doc[at], self.weight[at], self.m) * free
-        best = np.argpartition(score, -k)[-k:] if self.m > k else np.arange(self.m)
-        best = best[score[best] > 0]
-        return best[np.lexsort((best, -score[best]))]
+        return np.bincount(self.doc[at], self.weight[at], self.m) if len(t) else np.zeros(self.m)
+
+
+def best_free(score: np.ndarray, free: np.ndarray, k: int = 16) -> np.ndarray:
+    """Up to k free documents with a score, best first."""
+    score = score * free
+    best = np.argpartition(score, -k)[-k:] if len(score) > k else np.arange(len(score))
+    best = best[score[best] > 0]
+    return best[np.lexsort((best, -score[best]))]
 
 
 class Packer:
@@ -244,13 +244,14 @@ class Packer:
 
 
 def pack_shard(packer: Packer, ids: list, docs: list[np.ndarray]) -> None:
-    index, free = Shard(docs, frequent=True), np.ones(len(docs), bool)
-    nxt, seed, ranked, k = 0, None, [], 16
+    index, free = Shard(docs), np.ones(len(docs), bool)
+    nxt, seed, score, ranked, k = 0, None, None, [], 16
     for _ in range(len(docs)):
         pick = None
         if seed is not None and packer.fill:
             if not ranked:                  # the seed's next neighbours, more each time
-                ranked = index.neighbours(seed, free, k)[::-1].tolist()
+                score = index.scores(seed) if score is None else score
+                ranked = best_free(score, free, k)[::-1].tolist()
                 k *= 4
             if ranked:
                 pick = ranked.pop()
@@ -258,10 +259,10 @@ def pack_shard(packer: Packer, ids: list, docs: list[np.ndarray]) -> None:
             while not free[nxt]:
                 nxt += 1
             pick = seed = nxt
-            ranked, k = [], 16
+            score, ranked, k = None, [], 16
         free[pick] = False
         if packer.add(ids[pick], docs[pick]):
-            seed, ranked, k = pick, [], 16  # its rest opens the next window
+            seed, score, ranked, k = pick, None, [], 16     # its rest opens the next window
 
 
 PIECE = ("doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
