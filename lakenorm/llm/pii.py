@@ -2,7 +2,8 @@
 
 A pattern per kind proposes spans of the whole text; a validator (Luhn for
 card numbers, mod 97 for IBANs, octet range, digit counts) drops what fails;
-context words within ``CONTEXT`` characters before a span raise its score.
+whole words of context near a span, before or behind it, raise its score, the
+nearer the more.
 Base kinds keep every span that their checksum confirms, whatever the score;
 the added kinds (iban, ssn, birth date) need a score of ``THRESHOLD``.
 
@@ -17,14 +18,14 @@ ids each give a row; positions are code points, end exclusive.
 
 from __future__ import annotations
 
-import hashlib
 import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import named, table
+from .common import bounded_batches, named, slices, table
 
 CONTEXT = 48
 THRESHOLD = 0.6
@@ -46,14 +47,17 @@ KINDS = BASE + ("iban", "ssn", "birth_date")
 #: Score of a confirmed span without context, and the words that raise it.
 PRIOR = {"email": 0.9, "ip": 0.5, "card": 0.7, "phone": 0.6, "iban": 0.9, "ssn": 0.4, "birth_date": 0.2}
 WORDS = {
-    "email": ("mail", "contact", "write", "schreib", "correo"),
-    "ip": ("ip", "host", "server", "address", "adresse"),
-    "card": ("card", "visa", "credit", "karte", "carte", "tarjeta"),
-    "phone": ("phone", "call", "tel", "mobile", "fax", "telefon"),
-    "iban": ("iban", "account", "bank", "konto", "compte", "cuenta"),
-    "ssn": ("ssn", "social", "security"),
-    "birth_date": ("born", "birth", "geboren", "nacido"),
+    "email": {"mail", "mails", "email", "emails", "contact", "write", "reach", "schreib", "schreiben", "kontakt", "correo", "courriel"},
+    "ip": {"ip", "ipv4", "host", "server", "address", "addr", "adresse", "direccion"},
+    "card": {"card", "cards", "visa", "mastercard", "amex", "credit", "kreditkarte", "karte", "carte", "tarjeta"},
+    "phone": {"phone", "telephone", "call", "tel", "mobile", "cell", "fax", "telefon", "telefonnummer", "handy", "telefono"},
+    "iban": {"iban", "account", "bank", "konto", "kontonummer", "compte", "cuenta"},
+    "ssn": {"ssn", "social", "security"},
+    "birth_date": {"born", "birth", "birthday", "dob", "birthdate", "geboren", "geburtsdatum", "nacido", "nacida", "naissance"},
 }
+#: Whole words only: a run of letters (with digits inside) that no letter precedes.
+WORD = re.compile(r"(?<![^\W_])[^\W\d_][^\W_]*")
+NEAR = 3                        # words that count in full; farther ones count NEAR / distance
 BOOST = 0.4
 
 
@@ -123,9 +127,18 @@ PROPOSE = {"email": _emails, "ip": _ips, "card": _cards, "phone": _phones, "iban
            "birth_date": lambda t: (m.span() for m in BIRTH.finditer(t))}
 
 
-def score(text: str, kind: str, start: int) -> float:
-    before = text[max(0, start - CONTEXT):start].lower()
-    return min(1.0, PRIOR[kind] + (BOOST if any(w in before for w in WORDS[kind]) else 0.0))
+def score(text: str, kind: str, start: int, end: int) -> float:
+    """Prior of the kind, raised by its nearest context word within ``CONTEXT``
+    characters before the span or half as many behind it, the less the more words
+    lie between."""
+    wanted, best = WORDS[kind], 0.0
+    before = [m.group().lower() for m in WORD.finditer(text, max(0, start - CONTEXT), start)][::-1]
+    behind = [m.group().lower() for m in WORD.finditer(text, end, min(len(text), end + CONTEXT // 2))]
+    for words in (before, behind):
+        at = next((i for i, w in enumerate(words, 1) if w in wanted), None)
+        if at:
+            best = max(best, min(1.0, NEAR / at))
+    return min(1.0, PRIOR[kind] + BOOST * best)
 
 
 def find_pii(text: str | None) -> list[tuple[int, int, str, float]]:
@@ -135,7 +148,7 @@ def find_pii(text: str | None) -> list[tuple[int, int, str, float]]:
     found = []
     for rank, kind in enumerate(KINDS):
         for start, end in PROPOSE[kind](text):
-            s = score(text, kind, start)
+            s = score(text, kind, start, end)
             if kind in BASE or s >= THRESHOLD:
                 found.append((start, rank, end, kind, s))
     return [(start, end, kind, s) for start, _, end, kind, s in sorted(found)]
@@ -148,13 +161,14 @@ SPAN = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start
 
 def detect_pii(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """``(id, spans array<struct<kind, start, end, score, value>>)`` per input row."""
+    bounded_batches(df.sparkSession)
     src = named(df, id=id_column, text=text)
     schema = T.StructType([T.StructField("id", src.schema["id"].dataType), T.StructField("spans", T.ArrayType(SPAN))])
     arrow = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()),
                                 ("score", pa.float64()), ("value", pa.string())]))
 
     def batches(it):
-        for b in it:
+        for b in slices(it, "text"):
             out = [[{"kind": k, "start": s, "end": e, "score": p, "value": t[s:e]} for s, e, k, p in find_pii(t)]
                    for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(out, arrow)], ["id", "spans"])
@@ -162,32 +176,15 @@ def detect_pii(df: DataFrame, id_column: str = "doc_id", text: str = "text") ->
     return src.mapInArrow(batches, schema)
 
 
-def _joined(spans) -> str:
-    return ",".join(f"{s['kind']}:{s['start']}:{s['end']}" for s in spans)
-
-
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spans = detect_pii(table(spark, sf_dir, "documents"))
-    counts = [f"n_{k}" for k in BASE]
-    schema = T.StructType([T.StructField("doc_id", spans.schema["id"].dataType),
-                           *[T.StructField(c, T.LongType()) for c in counts],
-                           T.StructField("base_sha256", T.StringType()), T.StructField("spans", T.StringType()),
-                           T.StructField("n_added", T.LongType()), T.StructField("top_score", T.DoubleType())])
-
-    def digest(it):
-        for b in it:
-            rows = b.column("spans").to_pylist()
-            base = [[s for s in r if s["kind"] in BASE] for r in rows]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("id"),
-                 *[pa.array([sum(s["kind"] == k for s in r) for r in base], pa.int64()) for k in BASE],
-                 pa.array([hashlib.sha256(_joined(r).encode()).hexdigest() for r in base]),
-                 pa.array([_joined(r) for r in rows], pa.string()),
-                 pa.array([len(r) - len(x) for r, x in zip(rows, base)], pa.int64()),
-                 pa.array([max((s["score"] for s in r), default=0.0) for r in rows], pa.float64())],
-                ["doc_id", *counts, "base_sha256", "spans", "n_added", "top_score"])
-
-    return spans.mapInArrow(digest, schema)
+    found = detect_pii(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
+    text = lambda a: F.array_join(F.transform(a, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    of = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
+    return found.select(
+        F.col("id").alias("doc_id"), *[of(k).alias(f"n_{k}") for k in BASE], F.sha2(text(base), 256).alias("base_sha256"),
+        text(F.col("spans")).alias("spans"), (F.size("spans") - F.size(base)).cast("long").alias("n_added"),
+        F.coalesce(F.array_max(F.transform("spans", lambda s: s["score"])), F.lit(0.0)).alias("top_score"))
 
 
 QUERIES = {"op2_pii": op2_pii}

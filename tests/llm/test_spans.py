@@ -51,6 +51,33 @@ def test_pii_added_kinds_need_checksum_and_context():
     assert low[3] < high[3]
 
 
+def test_pii_context_is_whole_words_by_distance():
+    of = lambda t, k: [s for *_, kind, s in pii.find_pii(t) if kind == k]
+    for text, kind in (("shipping to 10.0.0.1", "ip"), ("the chips 10.0.0.1", "ip"), ("hotel +49 30 1234567", "phone"), ("x" * 60 + "hostip 10.0.0.1", "ip")):
+        assert of(text, kind) == [pii.PRIOR[kind]], text
+    assert of("a stubborn reborn 1990-01-02", "birth_date") == []           # no word of its own
+    assert of("born 1990-01-02", "birth_date") and of("1990-01-02 born", "birth_date") and of("Born: on 1990-01-02", "birth_date")
+    assert of("born a b c d 1990-01-02", "birth_date") == []                # too far
+    near, far = of("server 10.0.0.1", "ip")[0], of("server a b c d e 10.0.0.1", "ip")[0]
+    assert pii.PRIOR["ip"] < far < near == pii.PRIOR["ip"] + pii.BOOST
+    # a word cut by the window is no word: "...ship" + context
+    text = "ship" + "-" * (pii.CONTEXT - 2) + "10.0.0.1"
+    assert of(text, "ip") == [pii.PRIOR["ip"]]
+
+
+def test_op2_equals_plain_patterns_on_the_table(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = {r.doc_id: r for r in pii.op2_pii(spark, SF).collect()}
+    assert got.keys() == texts.keys()
+    for d, t in texts.items():
+        want = spans_brute(t, PII)
+        assert (got[d].n_email, got[d].n_ip, got[d].n_card, got[d].n_phone) == tuple(sum(n == k for *_, n in want) for k in pii.BASE)
+        assert got[d].base_sha256 == digest(want)
+        every = pii.find_pii(t)
+        assert got[d].spans == ",".join(f"{k}:{a}:{b}" for a, b, k, _ in every) and got[d].n_added == len(every) - len(want)
+        assert got[d].top_score == max((x for *_, x in every), default=0.0)
+
+
 def test_pii_linear_on_long_runs():
     for t in ("a" * 400_000, "1" * 400_000, "a@" * 100_000, "+1" * 100_000, "1.1.1." * 50_000):
         pii.find_pii(t)
