@@ -199,6 +199,15 @@ def walk(anchors: Anchors, slot_of: np.ndarray, low: np.ndarray, high: np.ndarra
                 lists.add(slot[i], value, gone[found], ident[found], uid[found])
 
 
+_NINES = str.maketrans("0123456789", "9876543210")
+
+
+def _sortable(x: int) -> str:
+    """Text whose order is that of whole numbers of any size."""
+    digits = str(abs(x))
+    return f"1{len(digits):05d}{digits}" if x >= 0 else f"0{99999 - len(digits):05d}{digits.translate(_NINES)}"
+
+
 def _search(groups: list[Anchors], bands, same: bool, depth: int):
     """Tasks over ``(uid, id, label, q)``: the best rows per slot. ``bands``: per
     group (slot_of, low, high)."""
@@ -219,19 +228,19 @@ def _search(groups: list[Anchors], bands, same: bool, depth: int):
             top = 1 << 63
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(found.slot), n, np.int32)), pa.array(found.slot),
-                 pa.array([str(x) for x in found.score], pa.string()),
+                 pa.array([str(x) for x in found.score], pa.string()), pa.array([_sortable(x) for x in found.score], pa.string()),
                  pa.array([max(-top, min(top - 1, x)) for x in found.score], pa.int64()),
                  pa.array(found.id, mask=found.last.astype(bool)), pa.array(found.uid)],
-                ["n", "slot", "exact", "score", "id", "uid"])
+                ["n", "slot", "exact", "by", "score", "id", "uid"])
     return batches
 
 
-_FOUND = "n int, slot long, exact string, score long, id long, uid long"
+_FOUND = "n int, slot long, exact string, by string, score long, id long, uid long"
 
 
 def _best(found: DataFrame, depth: int) -> DataFrame:
     """Merge of the tasks' lists: a window holds a slot's rows, at most ``depth`` a task."""
-    order = Window.partitionBy("n", "slot").orderBy(F.col("exact").cast("decimal(38,0)").desc_nulls_last(), F.col("id").asc_nulls_last(), "uid")
+    order = Window.partitionBy("n", "slot").orderBy(F.col("by").desc(), F.col("id").asc_nulls_last(), "uid")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= depth)
 
 
