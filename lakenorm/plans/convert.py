@@ -29,6 +29,7 @@ from ..operators.normalize import NormalizeOptions, normalize, normalized_schema
 from ..session import configure
 from ..sources import fs
 from ..sources import worklog as wl
+from ..sources.claims import claim, renew
 from ..sources.json_source import PARTITION_COL, read_json_table
 from ..sources.parquet_sink import read_table, write_partitions
 from ..sources.partitions import LOOK_BACK, Days, drop_partition, list_days, partition_names, validate_partitions, value_of, work_list
@@ -80,7 +81,7 @@ def full_import(spark: SparkSession, source_table: str, target_table: str, log_p
                 table: str | None = None, depth: int | None = None, rows: str = "keep",
                 legacy_format: bool | None = None, source_schema: T.StructType | None = None,
                 remove_stale: bool = True, carry_schema: T.StructType | None = None, days: Days | None = None,
-                **norm_kw) -> ImportResult:
+                wait: float = 0.0, **norm_kw) -> ImportResult:
     """Convert every partition of a JSON table into the Parquet table.
 
     The source is read and normalised before anything is replaced; an empty
@@ -89,10 +90,19 @@ def full_import(spark: SparkSession, source_table: str, target_table: str, log_p
     the end (``remove_stale``), or, in a rebuild, rewritten from their own rows
     in the new schema (``carry_schema``, the schema they have). ``source_schema``
     (the raw JSON schema, as kept in the log) skips the inference pass, ``days``
-    (the source's listing, just made) another listing.
+    (the source's listing, just made) another listing. Runs of one table that
+    share a log never overlap: another one's end is awaited for ``wait`` seconds,
+    then ``TableBusy`` is raised (see ``sources.claims``).
     """
     configure(spark)
     table = table or _table_name(source_table)
+    with claim(spark, log_path, table, wait):
+        return _full_import(spark, source_table, target_table, log_path, table, depth, rows, legacy_format,
+                            source_schema, remove_stale, carry_schema, days, **norm_kw)
+
+
+def _full_import(spark, source_table, target_table, log_path, table, depth, rows, legacy_format, source_schema,
+                 remove_stale, carry_schema, days, **norm_kw) -> ImportResult:
     days = days if days is not None else list_days(spark, source_table)
     listings = days.listings
     parts = sorted(listings)
@@ -112,7 +122,9 @@ def full_import(spark: SparkSession, source_table: str, target_table: str, log_p
     run_id = wl.new_run_id()
     if log_path:
         wl.mark_started(spark, log_path, table, parts, run_id)
+    renew(spark, log_path, table)
     written = write_partitions(norm, target_table, legacy_format=legacy_format)
+    renew(spark, log_path, table)
     emptied = _drop_emptied(spark, target_table, parts, written)
     dropped = [p for p in stale if remove_stale and drop_partition(spark, target_table, p)]
     schema = _data_schema(norm.schema)
@@ -144,7 +156,8 @@ def read_converted(spark: SparkSession, target_table: str, log_path: str | None
 def incremental_import(spark: SparkSession, source_table: str, target_table: str, log_path: str,
                        table: str | None = None, depth: int | None = None, rows: str = "keep",
                        new_rule: str = "set", numeric_widening: bool = False, strict: str = "symmetric",
-                       legacy_format: bool | None = None, look_back: int | None = LOOK_BACK, **norm_kw) -> ImportResult:
+                       legacy_format: bool | None = None, look_back: int | None = LOOK_BACK, wait: float = 0.0,
+                       **norm_kw) -> ImportResult:
     """Convert the partitions that are new, left open by a run that broke off,
     or changed in their files since (plus the newest converted one).
 
@@ -154,10 +167,18 @@ def incremental_import(spark: SparkSession, source_table: str, target_table: str
 
     Falls back to :func:`full_import` when nothing was converted yet, or when
     the new data changes the table schema in a way old partitions cannot be
-    read with (``needs_recalc`` of the stored and the unified schema).
+    read with (``needs_recalc`` of the stored and the unified schema). ``wait`` as
+    in :func:`full_import`.
     """
     configure(spark)
     table = table or _table_name(source_table)
+    with claim(spark, log_path, table, wait):
+        return _incremental_import(spark, source_table, target_table, log_path, table, depth, rows, new_rule,
+                                   numeric_widening, strict, legacy_format, look_back, **norm_kw)
+
+
+def _incremental_import(spark, source_table, target_table, log_path, table, depth, rows, new_rule, numeric_widening,
+                        strict, legacy_format, look_back, **norm_kw) -> ImportResult:
     status = wl.table_status(spark, log_path, table)
     days = list_days(spark, source_table, None, status.listings, status.times, look_back)
     listings = days.listings
@@ -197,7 +218,8 @@ def incremental_import(spark: SparkSession, source_table: str, target_table: str
 def import_partitions(spark: SparkSession, source_table: str, target_table: str, log_path: str, table: str,
                       todo: list[str], status: wl.TableStatus | None = None, depth: int | None = None,
                       rows: str = "keep", numeric_widening: bool = False, strict: str = "symmetric",
-                      legacy_format: bool | None = None, days: Days | None = None, **norm_kw) -> ImportResult:
+                      legacy_format: bool | None = None, days: Days | None = None, wait: float = 0.0,
+                      **norm_kw) -> ImportResult:
     """Convert exactly the partitions ``todo``.
 
     Infer over ``todo`` only and unify with the stored source schema; read
@@ -206,6 +228,13 @@ def import_partitions(spark: SparkSession, source_table: str, target_table: str,
     the unified schema breaks old partitions - rebuild the whole table with the
     unified source schema, which covers every file converted or to be converted.
     """
+    with claim(spark, log_path, table, wait):
+        return _import_partitions(spark, source_table, target_table, log_path, table, todo, status, depth, rows,
+                                  numeric_widening, strict, legacy_format, days, **norm_kw)
+
+
+def _import_partitions(spark, source_table, target_table, log_path, table, todo, status, depth, rows, numeric_widening,
+                       strict, legacy_format, days, **norm_kw) -> ImportResult:
     status = status or wl.table_status(spark, log_path, table)
     days = days if days is not None else list_days(spark, source_table, todo)
     opts = _options(depth, rows, **norm_kw)
@@ -227,7 +256,9 @@ def import_partitions(spark: SparkSession, source_table: str, target_table: str,
 
     run_id = wl.new_run_id()
     wl.mark_started(spark, log_path, table, todo, run_id)
+    renew(spark, log_path, table)
     written = write_partitions(align(new, _with_day(unified)), target_table, legacy_format=legacy_format)
+    renew(spark, log_path, table)
     emptied = _drop_emptied(spark, target_table, todo, written)
     wl.mark_done(spark, log_path, table, todo, todo[-1], run_id, unified, source_schema, days.listings, days.times)
     return ImportResult(table, "incremental", todo, unified, emptied=emptied)

@@ -99,6 +99,15 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(out)
 
 
+def file_times(spark: SparkSession, path: str) -> dict[str, int]:
+    """Names and modification times (ms) of the files directly below ``path``."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return {}
+    files = [st for st in fs.listStatus(p) if st.isFile()]
+    return {st.getPath().getName(): int(st.getModificationTime()) for st in files if not st.getPath().getName().startswith(("_", "."))}
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """``path`` as Spark's file sources report it (scheme and authority included)."""
     fs, p = _fs_path(spark, path)

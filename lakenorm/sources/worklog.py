@@ -109,9 +109,14 @@ def _table_dir(log_path: str, table: str) -> str | None:
     return f"{log_path.rstrip('/')}/{LOG_PARTITION}={table}"
 
 
+def log_exists(spark: SparkSession, log_path: str) -> bool:
+    """Has the log any table yet? (Its folder may hold claims only.)"""
+    return bool(fs.list_dirs(spark, log_path))
+
+
 def init_log(spark: SparkSession, log_path: str) -> None:
     """Create the log with its seed row if it does not exist."""
-    if fs.exists(spark, log_path):
+    if log_exists(spark, log_path):
         return
     row = SEED_ROW + ("seed", "seed", now_stamp())
     _write_table(_frame(spark, [row]).coalesce(1), log_path, SEED_ROW[1])
@@ -126,7 +131,7 @@ def read_log(spark: SparkSession, log_path: str, table: str | None = None) -> Da
     """The log, or the rows of one table (only that table's folder is listed)."""
     configure(spark)
     empty = spark.createDataFrame([], LOG_SCHEMA)
-    if not fs.exists(spark, log_path):
+    if not log_exists(spark, log_path):
         return empty
     if table is None:
         return _read(spark, log_path, [log_path])
@@ -176,7 +181,7 @@ def compact_log(spark: SparkSession, log_path: str, table: str, min_files: int =
 def mark_started(spark: SparkSession, log_path: str, table: str, partitions: list[str], run_id: str) -> None:
     """One ``started`` row per partition that a run is going to write."""
     rows = [(today(), table, p, max(partitions), run_id, "started", now_stamp()) for p in partitions]
-    if not fs.exists(spark, log_path):   # a new log gets its seed row in the same write
+    if not log_exists(spark, log_path):   # a new log gets its seed row in the same write
         rows.insert(0, SEED_ROW + ("seed", "seed", now_stamp()))
     append_rows(spark, log_path, rows)
 
@@ -196,7 +201,7 @@ def mark_done(spark: SparkSession, log_path: str, table: str, partitions: list[s
              schema_json if i == last else None, source_json if i == last else None, (listings or {}).get(p),
              (times or {}).get(p))
             for i, p in enumerate(partitions)]
-    if not fs.exists(spark, log_path):   # a new log gets its seed row in the same write
+    if not log_exists(spark, log_path):   # a new log gets its seed row in the same write
         rows.insert(0, SEED_ROW + ("seed", "seed", now_stamp()))
     append_rows(spark, log_path, rows)
 
