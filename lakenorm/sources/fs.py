@@ -158,6 +158,16 @@ def delete_dir(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True))
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file of the engine's own."""
+    fs, p = _fs_path(spark, path)
+    size, stream = int(fs.getFileStatus(p).getLen()), fs.open(p)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream, size)).decode("utf-8") if size else ""
+    finally:
+        stream.close()
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     fs, p = _fs_path(spark, path)
     out = fs.create(p, True)

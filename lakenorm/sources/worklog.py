@@ -19,8 +19,8 @@ partitions with an explicit schema instead of inferring over them again).
 Layout: the log is partitioned by ``table`` (``<log>/table=<name>/``), so the
 status of one table lists and reads only that table's folder, however many
 tables a database holds. Every append adds a file; :func:`compact_log`, an
-explicit call for when no reader is at work, writes one copy of a table's rows
-and then deletes exactly the old files. Every reader takes the newest row per
+explicit call, writes one copy of a table's rows and then deletes exactly the old
+files, at once or, for readers at work, after a time of grace. Every reader takes the newest row per
 key or a maximum, so a crash between the two steps (rows present twice) does
 not change any answer, and the next compaction removes the copies.
 """
@@ -31,6 +31,7 @@ import datetime as _dt
 import itertools
 import json
 import re
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -157,24 +158,48 @@ def append_frame(log_path: str, df: DataFrame) -> None:
     _write(df.select(*columns).repartition(LOG_PARTITION), log_path)
 
 
-def compact_log(spark: SparkSession, log_path: str, table: str, min_files: int = 64) -> int:
+RETIRED = "_retired"            # hidden from Spark's readers
+
+
+def _retired(spark: SparkSession, folder: str) -> dict[str, tuple[int, list[str]]]:
+    """Lists of files that a compaction has replaced -> (its time in ms, the files' names)."""
+    return {name: (written, fs.read_text(spark, f"{folder}/{RETIRED}/{name}").split("\n"))
+            for name, written in fs.file_times(spark, f"{folder}/{RETIRED}").items()}
+
+
+def compact_log(spark: SparkSession, log_path: str, table: str, min_files: int = 64, grace: float = 0.0) -> int:
     """Rewrite one table's log folder as a single file once it holds
     ``min_files`` files; returns the number of files replaced (0: none).
 
     The copy is written first and only the files read for it are deleted
     afterwards, so rows are never lost; see the module doc for a crash in
-    between.
+    between. With ``grace`` the replaced files stay for that many seconds, for
+    readers that have listed them already: they are put on a list, and a later
+    call (whether it compacts or not) deletes what has been on it long enough.
     """
     folder = _table_dir(log_path, table)
-    if folder is None or fs.count_files(spark, folder) < min_files:   # cheap upper bound first
+    if folder is None:
+        return 0
+    old: set[str] = set()
+    for name, (written, files) in _retired(spark, folder).items():
+        if time.time() - written / 1000 >= grace:
+            for f in files:
+                fs.delete_file(spark, f"{folder}/{f}")
+            fs.delete_file(spark, f"{folder}/{RETIRED}/{name}")
+        else:
+            old.update(files)
+    if fs.count_files(spark, folder) < min_files:   # cheap upper bound first
         return 0
-    files = fs.list_files(spark, folder)
+    files = [f for f in fs.list_files(spark, folder) if f.rsplit("/", 1)[-1] not in old]
     if len(files) < min_files:
         return 0
     rows = _read(spark, log_path, files).distinct()
     _write_table(rows.coalesce(1), log_path, table)
-    for f in files:
-        fs.delete_file(spark, f)
+    if grace > 0:
+        fs.write_text(spark, f"{folder}/{RETIRED}/{now_stamp()}", "\n".join(f.rsplit("/", 1)[-1] for f in files))
+    else:
+        for f in files:
+            fs.delete_file(spark, f)
     return len(files)
 
 

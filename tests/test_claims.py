@@ -120,3 +120,26 @@ def test_simultaneous_imports(spark, tmp_path, monkeypatch):
     assert read_converted(spark, tgt, log, "clicks").count() == 15 and files(log) == []
     assert wl.read_log(spark, log).where("status = 'seed'").count() == 1      # claims do not make a log
     assert len(wl.table_status(spark, log, "clicks").done) == 3 and not wl.was_interrupted(spark, log, "clicks")
+
+
+def test_a_log_is_compacted_while_it_is_read(spark, tmp_path):
+    log = str(tmp_path / "log")
+    for d in range(4):
+        wl.append_rows(spark, log, [("d", "clicks", f"dt={d}", "dt=3", "r", "done", wl.now_stamp())])
+    folder = f"{log}/table=clicks"
+    reading = wl.read_log(spark, log, "clicks")                 # has listed its files
+    assert reading.limit(1).count() == 1
+    assert wl.compact_log(spark, log, "clicks", min_files=4, grace=3600) == 4
+    assert sorted(r.partition for r in reading.collect()) == [f"dt={d}" for d in range(4)]
+    # both generations are there, and no answer depends on it
+    assert len(wl.fs.list_files(spark, folder)) == 5
+    assert wl.table_status(spark, log, "clicks").done == [f"dt={d}" for d in range(4)]
+    assert wl.latest_run(wl.read_log(spark, log)).where("table = 'clicks'").count() == 4
+    # the old generation is no input of the next compaction, and goes when its time is over
+    assert wl.compact_log(spark, log, "clicks", min_files=2, grace=3600) == 0
+    wl.append_rows(spark, log, [("d", "clicks", "dt=4", "dt=4", "s", "done", wl.now_stamp())])
+    assert wl.compact_log(spark, log, "clicks", min_files=2, grace=3600) == 2
+    assert len(wl.fs.list_files(spark, folder)) == 7
+    assert wl.compact_log(spark, log, "clicks", min_files=2, grace=0) == 0
+    assert len(wl.fs.list_files(spark, folder)) == 1
+    assert wl.read_log(spark, log, "clicks").count() == 5
