@@ -306,3 +306,30 @@ def test_op10_finds_every_license_line(spark):
     want = {r.doc_id: names[line] for r in rows for line in r.text.split("\n") if line in names}
     got = {r.doc_id: r.own_licence for r in license_scan.op10_license_scan(spark, SF_FIT).collect()}
     assert len(got) == len(rows) and {d: x for d, x in got.items() if x} == want
+
+
+def test_op10_whole_query_equals_plain_inheritance(spark):
+    """Paths, licence files, effective licence and its directory, from the table by plain loops."""
+    rows = {r.doc_id: r for r in spark.read.parquet(f"{SF_FIT}/documents.parquet").collect()}
+    got = {r.doc_id: r for r in license_scan.op10_license_scan(spark, SF_FIT).collect()}
+    assert got.keys() == rows.keys()
+    path, holders = {}, {}
+    for d, r in rows.items():
+        own, n = got[d].own_licence, len(r.text or "")
+        is_file = own is not None and n % 2 == 0
+        parts = [r.source, r.lang, f"b{d // 64}"]
+        depth = {0: 1, 1: 2}.get(n % 3, 3) if is_file else 3
+        path[d] = "/".join([*parts[:depth], str(d)])
+        assert (got[d].path, got[d].is_licence_file) == (path[d], is_file)
+        if is_file:
+            holders.setdefault(path[d].rpartition("/")[0], []).append((-got[d].cosine, own, path[d]))
+    inherited = 0
+    for d in rows:
+        folder, effective, holder = path[d].rpartition("/")[0].split("/"), got[d].own_licence, None
+        for k in range(len(folder), -1, -1):
+            here = holders.get("/".join(folder[:k]))
+            if effective is None and here:
+                effective, holder = min(here)[1], "/".join(folder[:k])
+        assert (got[d].effective, got[d].inherited_from) == (effective, holder), d
+        inherited += holder is not None
+    assert inherited > 50
