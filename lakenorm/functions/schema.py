@@ -97,6 +97,76 @@ def unify_schemas(a: T.StructType, b: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in out.items()])
 
 
+# --------------------------------------------------- leaves that were always null
+#
+# JSON inference calls a leaf without any value a string. In the log such a leaf
+# is void instead, so that merging day after day gives what one inference over
+# all days would give: void + x = x.
+
+def string_leaves(dt: T.DataType, path: tuple[str, ...] = ()) -> list[tuple[str, ...]]:
+    """Paths of the string leaves; an array's elements are the step ``[]``."""
+    if isinstance(dt, T.StructType):
+        return [p for f in dt.fields for p in string_leaves(f.dataType, (*path, f.name))]
+    if isinstance(dt, T.ArrayType):
+        return string_leaves(dt.elementType, (*path, "[]"))
+    return [path] if isinstance(dt, T.StringType) else []
+
+
+def void_leaves(dt: T.DataType, void: set[tuple[str, ...]], path: tuple[str, ...] = ()) -> T.DataType:
+    """The type with the leaves at these paths void."""
+    if path in void:
+        return T.NullType()
+    if isinstance(dt, T.StructType):
+        return T.StructType([T.StructField(f.name, void_leaves(f.dataType, void, (*path, f.name)), True) for f in dt.fields])
+    if isinstance(dt, T.ArrayType):
+        return T.ArrayType(void_leaves(dt.elementType, void, (*path, "[]")), True)
+    return dt
+
+
+def readable(dt: T.DataType) -> T.DataType:
+    """The type with void leaves as strings, as a reader needs it."""
+    if isinstance(dt, T.NullType):
+        return T.StringType()
+    if isinstance(dt, T.StructType):
+        return T.StructType([T.StructField(f.name, readable(f.dataType), True) for f in dt.fields])
+    return T.ArrayType(readable(dt.elementType), True) if isinstance(dt, T.ArrayType) else dt
+
+
+def void_where_missing(dt: T.DataType, typed: T.DataType | None) -> T.DataType:
+    """The type with what ``typed`` (an inference that drops fields without any
+    value) does not have as void."""
+    if typed is None:
+        return T.NullType()
+    if isinstance(dt, T.StructType) and isinstance(typed, T.StructType):
+        have = {f.name: f.dataType for f in typed.fields}
+        return T.StructType([T.StructField(f.name, void_where_missing(f.dataType, have.get(f.name)), True) for f in dt.fields])
+    if isinstance(dt, T.ArrayType) and isinstance(typed, T.ArrayType):
+        return T.ArrayType(void_where_missing(dt.elementType, typed.elementType), True)
+    return dt
+
+
+def may_be_void(known: T.DataType, new: T.DataType) -> bool:
+    """Is there a string in ``new`` where ``known`` has another type?"""
+    if isinstance(known, T.StructType) and isinstance(new, T.StructType):
+        have = {f.name: f.dataType for f in known.fields}
+        return any(f.name in have and may_be_void(have[f.name], f.dataType) for f in new.fields)
+    if isinstance(known, T.ArrayType) and isinstance(new, T.ArrayType):
+        return may_be_void(known.elementType, new.elementType)
+    return isinstance(new, (T.StringType, T.ArrayType)) and not isinstance(known, (T.StringType, T.NullType))
+
+
+def void_resolved(known: T.DataType, merged: T.DataType) -> bool:
+    """Has a leaf that was void got a type other than the string it was written as?"""
+    if isinstance(known, T.NullType):
+        return not isinstance(merged, (T.NullType, T.StringType))
+    if isinstance(known, T.StructType) and isinstance(merged, T.StructType):
+        have = {f.name: f.dataType for f in merged.fields}
+        return any(f.name in have and void_resolved(f.dataType, have[f.name]) for f in known.fields)
+    if isinstance(known, T.ArrayType) and isinstance(merged, T.ArrayType):
+        return void_resolved(known.elementType, merged.elementType)
+    return False
+
+
 def type_string(dt: T.DataType) -> str:
     return dt.simpleString()
 

@@ -16,22 +16,24 @@ conversion (late, replaced or removed files) is work like a new one.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.schema import needs_recalc, unify_schemas
+from ..functions.schema import (may_be_void, needs_recalc, quote, readable, string_leaves, unify_schemas, void_leaves,
+                                void_resolved, void_where_missing)
 from ..operators.align import align
 from ..operators.normalize import NormalizeOptions, normalize, normalized_schema
 from ..session import configure
 from ..sources import fs
 from ..sources import worklog as wl
 from ..sources.claims import claim, renew
-from ..sources.json_source import PARTITION_COL, read_json_table
-from ..sources.parquet_sink import read_table, write_partitions
+from ..sources.json_source import PARTITION_COL, infer_json_schema, read_json_table
+from ..sources.parquet_sink import observed, read_table, write_partitions
 from ..sources.partitions import LOOK_BACK, Days, drop_partition, list_days, partition_names, validate_partitions, value_of, work_list
 
 
@@ -72,6 +74,30 @@ def _read_source(spark: SparkSession, table_path: str, parts: list[str], schema:
         return read_json_table(spark, table_path, partitions=[])
 
 
+class Watched:
+    """A source frame that notes, while it is written, which of its string leaves
+    ever hold a value."""
+
+    def __init__(self, src: DataFrame):
+        self.schema, self.paths = _data_schema(src.schema), string_leaves(_data_schema(src.schema))
+        self.seen = Observation(f"leaves-{uuid.uuid4().hex}") if self.paths else None
+        self.frame = src.observe(self.seen, *[F.max(_has_value(F.col(quote(p[0])), p[1:])).alias(f"l{i}")
+                                              for i, p in enumerate(self.paths)]) if self.paths else src
+
+    def source_schema(self) -> T.StructType:
+        """The schema that was read, with leaves that were always null as void; after the write."""
+        got = observed(self.seen) if self.seen else {}
+        return void_leaves(self.schema, {p for i, p in enumerate(self.paths) if not got.get(f"l{i}")})
+
+
+def _has_value(col: Column, path: tuple[str, ...]) -> Column:
+    if not path:
+        return col.isNotNull()
+    if path[0] == "[]":
+        return F.coalesce(F.exists(col, lambda e: _has_value(e, path[1:])), F.lit(False))
+    return _has_value(col.getField(path[0]), path[1:])
+
+
 def _drop_emptied(spark: SparkSession, target_table: str, parts: list[str], written: set) -> list[str]:
     """Remove the target days among ``parts`` that the run has left without rows."""
     return [p for p in parts if value_of(p) not in written and drop_partition(spark, target_table, p)]
@@ -108,11 +134,12 @@ def _full_import(spark, source_table, target_table, log_path, table, depth, rows
     parts = sorted(listings)
     if not parts:
         return ImportResult(table, "none")
-    src = _read_source(spark, source_table, parts, source_schema)
+    src = _read_source(spark, source_table, parts, None if source_schema is None else readable(source_schema))
     if not [c for c in src.columns if c != PARTITION_COL]:
         return ImportResult(table, "none")
     opts = _options(depth, rows, **norm_kw)
-    norm = normalize(src, options=opts)
+    watched = Watched(src)
+    norm = normalize(watched.frame, options=opts)
     stale = [p for p in partition_names(spark, target_table) if p not in listings]
     if carry_schema is not None and stale:
         kept = read_table(spark, target_table, schema=_with_day(carry_schema)).filter(
@@ -130,7 +157,7 @@ def _full_import(spark, source_table, target_table, log_path, table, depth, rows
     schema = _data_schema(norm.schema)
     if log_path:
         wl.remove_partitions(spark, log_path, table, dropped)
-        wl.mark_done(spark, log_path, table, parts, parts[-1], run_id, schema, _data_schema(src.schema), listings, days.times)
+        wl.mark_done(spark, log_path, table, parts, parts[-1], run_id, schema, watched.source_schema(), listings, days.times)
     return ImportResult(table, "full", parts, schema, dropped, emptied)
 
 
@@ -240,15 +267,21 @@ def _import_partitions(spark, source_table, target_table, log_path, table, todo,
     opts = _options(depth, rows, **norm_kw)
     raw = _read_source(spark, source_table, todo)   # inference over ``todo`` only
     source_schema = _data_schema(raw.schema)
-    if status.source_schema is not None:
-        source_schema = unify_schemas(status.source_schema, source_schema)
-        raw = read_json_table(spark, source_table, partitions=todo, schema=source_schema)
-    new = normalize(raw, options=opts)
+    known = status.source_schema
+    if known is not None:
+        if may_be_void(known, source_schema):       # a string, or no value at all in these days?
+            paths = [f"{source_table.rstrip('/')}/{p}" for p in todo]
+            source_schema = void_where_missing(source_schema, infer_json_schema(spark, paths, with_values=True))
+        source_schema = unify_schemas(known, source_schema)
+        raw = read_json_table(spark, source_table, partitions=todo, schema=readable(source_schema))
+    watched = Watched(raw)
+    new = normalize(watched.frame, options=opts)
     unified = _data_schema(new.schema)
     if fs.exists(spark, target_table):
         old_schema = status.table_schema or _data_schema(read_table(spark, target_table).schema)
         unified = normalized_schema(unify_schemas(old_schema, unified), opts)
-        if needs_recalc(old_schema, unified, numeric_widening=numeric_widening, strict=strict):
+        resolved = known is not None and void_resolved(known, source_schema)
+        if resolved or needs_recalc(old_schema, unified, numeric_widening=numeric_widening, strict=strict):
             res = full_import(spark, source_table, target_table, log_path, table, depth, rows, legacy_format,
                               source_schema=source_schema, remove_stale=False, carry_schema=old_schema, **norm_kw)
             res.mode = "rebuild"
@@ -260,7 +293,10 @@ def _import_partitions(spark, source_table, target_table, log_path, table, todo,
     written = write_partitions(align(new, _with_day(unified)), target_table, legacy_format=legacy_format)
     renew(spark, log_path, table)
     emptied = _drop_emptied(spark, target_table, todo, written)
-    wl.mark_done(spark, log_path, table, todo, todo[-1], run_id, unified, source_schema, days.listings, days.times)
+    seen = watched.source_schema()
+    if known is not None:           # what these days leave open, others may have settled
+        seen = unify_schemas(known, seen)
+    wl.mark_done(spark, log_path, table, todo, todo[-1], run_id, unified, seen, days.listings, days.times)
     return ImportResult(table, "incremental", todo, unified, emptied=emptied)
 
 

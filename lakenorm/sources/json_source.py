@@ -21,10 +21,12 @@ def _reader(spark: SparkSession, corrupt: str):
     return spark.read.option("mode", "DROPMALFORMED" if corrupt == "drop" else "PERMISSIVE")
 
 
-def infer_json_schema(spark: SparkSession, paths: list[str], corrupt: str = "keep") -> T.StructType:
+def infer_json_schema(spark: SparkSession, paths: list[str], corrupt: str = "keep", with_values: bool = False) -> T.StructType:
     """Schema of the data itself, without partition columns: one distributed
-    pass over exactly these folders."""
-    return _reader(spark, corrupt).option("recursiveFileLookup", "true").json(paths).schema
+    pass over exactly these folders. ``with_values``: only fields that have a
+    value somewhere (others would be strings)."""
+    reader = _reader(spark, corrupt).option("recursiveFileLookup", "true").option("dropFieldIfAllNull", str(with_values).lower())
+    return reader.json(paths).schema
 
 
 def read_json_table(spark: SparkSession, table_path: str, partitions: list[str] | None = None,

@@ -41,6 +41,17 @@ def _legacy(spark: SparkSession, value: bool | None):
         spark.conf.set(LEGACY, before)
 
 
+def observed(seen: Observation) -> dict:
+    """What was observed; nothing if there was no row at all and adaptive
+    execution has dropped the observation with the plan."""
+    try:
+        return seen.get
+    except Py4JJavaError as e:
+        if e.java_exception.getClass().getName() != "java.lang.AssertionError":
+            raise
+        return {}
+
+
 def write_partitions(df: DataFrame, table_path: str, partition_col: str = PARTITION_COL,
                      rebalance: bool = True, legacy_format: bool | None = None) -> set[str | None]:
     """Replace exactly the ``dt`` partitions present in ``df``; returns their
@@ -61,11 +72,8 @@ def write_partitions(df: DataFrame, table_path: str, partition_col: str = PARTIT
         w.parquet(table_path)
     if seen is None:
         return set()
-    try:
-        got = seen.get
-    except Py4JJavaError as e:      # no row at all: adaptive execution has dropped the observation with the plan
-        if e.java_exception.getClass().getName() != "java.lang.AssertionError":
-            raise
+    got = observed(seen)
+    if not got:
         return set()
     return set(got["days"] or []) | ({None} if got["nulls"] else set())
 

@@ -195,3 +195,42 @@ def test_long_arrays_lose_the_same_elements(spark, n):
     r = df.selectExpr("array_distinct(x) w", f"{distinct_elements('x')} g", "array_distinct(array_sort(x)) wo",
                       f"{distinct_elements('x', True)} go").collect()
     assert all(x.w == x.g and x.wo == x.go for x in r)
+
+
+# ------------------------------------------------- leaves that are null for days
+
+NULLS = {   # values of a column by day, for five days
+    "a": [None, 5, 5, None, 7], "b": [5, None, None, None, 2.5], "c": [None, None, "x", None, 3],
+    "d": [[], [{"k": 1}], None, [], [{"k": None}]], "e": [{"k": None}, {"k": None}, {"k": [1]}, None, {"k": []}],
+    "F": [None, None, None, None, None], "g": [[None], [None], [True], [None], []], "h": [{"x": {"y": None}}, None, {"x": None}, {"x": {"y": 1}}, None],
+}
+
+
+def test_days_without_values_do_not_decide_types(spark, tmp_path):
+    """Day after day gives the schema and the rows of one import of all days."""
+    src, tgt, log = (str(tmp_path / x) for x in ("src/clicks", "tgt", "log"))
+    for day in range(5):
+        write_file(src, f"2024010{day + 1}", "part-0.json", [{"i": day, **{c: v[day] for c, v in NULLS.items()}}])
+        incremental_import(spark, src, tgt, log, table="clicks")
+        assert incremental_import(spark, src, tgt, log, table="clicks").mode == "none"
+    full_import(spark, src, f"{tgt}-full", f"{log}-full", table="clicks")
+    one, all_ = (read_converted(spark, t, l, "clicks") for t, l in ((tgt, log), (f"{tgt}-full", f"{log}-full")))
+    assert dict(one.dtypes) == dict(all_.dtypes)
+    assert sorted(map(str, one.select(sorted(one.columns)).collect())) == sorted(map(str, all_.select(sorted(one.columns)).collect()))
+    assert dict(all_.dtypes)["f"] == "string" and dict(all_.dtypes)["b"] == "double"
+
+
+def test_void_leaves_merge_like_one_inference():
+    from pyspark.sql import types as T
+
+    from lakenorm.functions.schema import may_be_void, readable, string_leaves, unify_schemas, void_leaves, void_resolved, void_where_missing
+    parse = T.StructType.fromDDL
+    day1 = parse("v string, o struct<x: string, y: bigint>, l array<string>, s string")
+    assert string_leaves(day1) == [("v",), ("o", "x"), ("l", "[]"), ("s",)]
+    void = void_leaves(day1, {("v",), ("o", "x"), ("l", "[]")})
+    day2 = parse("v bigint, o struct<x: array<bigint>, y: bigint>, l array<struct<a: bigint>>, s string")
+    assert unify_schemas(void, day2) == unify_schemas(day2, void) == day2 and void_resolved(void, unify_schemas(void, day2))
+    assert readable(void) == day1 and not void_resolved(void, day1)
+    assert may_be_void(day2, day1) and not may_be_void(day1, day1) and not may_be_void(void, day1)
+    assert void_where_missing(day1, parse("o struct<y: bigint>, s string")) == void_leaves(parse("v string, o struct<x: string, y: bigint>, l string, s string"),
+                                                                                          {("v",), ("o", "x"), ("l",)})
