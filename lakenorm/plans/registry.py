@@ -556,6 +556,20 @@ def q_incremental_type_change(spark, sf):
     return _events_rows(spark, tgt, log).select("event_id", "v", "dt")
 
 
+def q_incremental_null_days(spark, sf):
+    """Columns that are null in whole days, before or after the days that have
+    their values: they keep the type that the values have."""
+    src, tgt, log = (scratch_path(spark, x) for x in ("events-nulls", "pq-nulls", "log-nulls"))
+    d, first = fx.day(), fx.day() <= "20240110"
+    line = F.to_json(F.struct("event_id", F.when(~first, F.col("user_id")).alias("Late"), F.when(first, F.col("value")).alias("Early"),
+                              F.struct(F.when(d > "20240120", F.col("event_id") % 2 == 0).alias("Flag")).alias("In")), {"ignoreNullFields": "false"})
+    ev = fx.table(spark, sf, "events").select(line.alias("line"), d.alias("dt"))
+    for where in (F.col("dt") <= "20240110", (F.col("dt") > "20240110") & (F.col("dt") <= "20240120"), F.col("dt") > "20240120"):
+        ev.where(where).write.mode("append").partitionBy("dt").text(src)
+        incremental_import(spark, src, tgt, log, table="events")
+    return _events_rows(spark, tgt, log).select("event_id", "late", "early", F.col("in.flag").alias("flag"), "dt")
+
+
 def q_import_after_crash(spark, sf):
     """The first run breaks off after its data was written, before its log was;
     the next one repairs it without new data."""
@@ -649,6 +663,7 @@ QUERIES: dict[str, Query] = {
     "incremental_late_files": q_incremental_late_files,
     "incremental_type_change": q_incremental_type_change,
     "incremental_emptied_day": q_incremental_emptied_day,
+    "incremental_null_days": q_incremental_null_days,
     "import_after_crash": q_import_after_crash,
 }
 
@@ -759,6 +774,9 @@ ORACLE: dict[str, str] = {
     "incremental_type_change": f"SELECT event_id, CASE WHEN {D} <= '20240110' THEN event_type WHEN {D} <= '20240115' THEN "
                                f"CAST(event_id AS VARCHAR) WHEN {D} <= '20240120' THEN CAST(event_id % 2 = 0 AS VARCHAR) ELSE "
                                f"'{{\"B\":' || event_id || ',\"a\":\"' || event_type || '\"}}' END AS v, {D} AS dt FROM events",
+    "incremental_null_days": f"SELECT DISTINCT event_id, CASE WHEN {D} > '20240110' THEN user_id END AS late, "
+                             f"CASE WHEN {D} <= '20240110' THEN value END AS early, "
+                             f"CASE WHEN {D} > '20240120' THEN event_id % 2 = 0 END AS flag, {D} AS dt FROM events",
     "incremental_emptied_day": _EVENTS_FLAT + f" WHERE {D} NOT IN ('20240103', '20240117')",
     "import_after_crash": f"SELECT *, true AS repaired FROM (SELECT DISTINCT event_id, user_id, event_type, value, "
                           f"CAST(json_extract(props,'$.k') AS BIGINT) AS k, "
