@@ -17,8 +17,7 @@ judged by what it holds like any other. Of rows that are one document the n-gram
 Jaccard join keeps one; it prefers the smallest id, rows without an id come last.
 Near copies are linked by the general rule, five words and a similarity of 0.8.
 The filters only subtract, and every column passes through as it is. Keys to drop
-are written first: Spark broadcasts them while they are small and joins by a
-shuffle beyond that. Empty tables stay empty.
+are written first and joined; only texts whose key's hash is among theirs are shuffled. Empty tables stay empty.
 """
 
 from __future__ import annotations
@@ -56,11 +55,23 @@ def _keyed_rows(docs: DataFrame) -> DataFrame:
     return flat.withColumn("key", F.md5(F.concat_ws("\x1f", *mark)))
 
 
-def _without(docs: DataFrame, keys: DataFrame, label: str) -> DataFrame:
-    """All rows of ``docs`` but those with a key of ``keys(key)``."""
+FILTER = 1 << 18
+
+
+def _without(docs: DataFrame, keys: DataFrame, label: str, once: DataFrame | None = None) -> DataFrame:
+    """All rows of ``docs`` but those with a key of ``keys(key)``, and one row only
+    of each key of ``once(key)``. A filter of at most ``FILTER`` hash values is
+    broadcast first: rows outside it stay without a shuffle of their text."""
     drop = stage(keys.distinct(), label).select(F.col("key").alias("drop"))
-    kept = _keyed_rows(docs)
-    return kept.join(drop, F.col("key") == F.col("drop"), "left_anti").drop("key").toDF(*docs.columns)
+    some = drop if once is None else drop.unionByName(once.select(F.col("key").alias("drop")))
+    of = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER)).cast("int")
+    near = F.broadcast(stage(some.select(of("drop").alias("near")).distinct(), f"{label}-filter"))
+    rows = _keyed_rows(docs)
+    touched = rows.join(near, of("key") == F.col("near"), "left_semi").join(drop, F.col("key") == F.col("drop"), "left_anti")
+    if once is not None:
+        touched = touched.dropDuplicates(["key"])       # keys that occur once are not changed by it
+    kept = rows.join(near, of("key") == F.col("near"), "left_anti").unionByName(touched)
+    return kept.drop("key").toDF(*docs.columns)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -76,13 +87,8 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
                  .join(linked, F.col("node") == F.col("id")), "near-rows")
     first = rows.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key"))["key"].alias("stays"))
     copies = rows.join(stage(first, "near-first"), "component_id").where("key <> stays").select("key")
-    kept = _without(docs, copies, "near-copies")
-    # rows that are one document: few, so that no other text is shuffled for them
-    several = stage(rows.where("n > 1").select(F.col("key").alias("several")), "near-repeated")
-    whole = _keyed_rows(kept)
-    again = F.col("key") == F.col("several")
-    once = whole.join(several, again, "left_semi").dropDuplicates(["key"])
-    return whole.join(several, again, "left_anti").unionByName(once).drop("key").toDF(*docs.columns)
+    several = stage(rows.where("n > 1").select("key"), "near-repeated")     # rows that are one document
+    return _without(docs, copies, "near-copies", several)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
