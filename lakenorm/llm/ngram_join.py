@@ -419,8 +419,11 @@ def _may_be_in(src: DataFrame, members: DataFrame) -> DataFrame:
     return src.join(F.broadcast(some), of("id").cast("int") == F.col("_f"), "left_semi")
 
 
-def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text: str = "text", rule: Rule = RULE) -> DataFrame:
-    """``(id, n_shingles, class_id, component_id)`` per input row. ``class_id`` is
+def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text: str = "text", rule: Rule = RULE,
+                       block_members: int | None = None) -> DataFrame:
+    """``(id, n_shingles, class_id, component_id)`` per input row. ``block_members``:
+    set members of a component that one task holds (``BLOCK_MEMBERS``); the texts of
+    a larger one are shipped once per block. ``class_id`` is
     the smallest id with the same set, ``component_id`` the smallest reachable."""
     bounded_batches(docs.sparkSession)
     src = named(docs, id=id_column, text=text)
@@ -440,7 +443,7 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text: str = "
     members = near.join(weights, "component").select("component", "w", F.col("node").alias("rep"))
     texts = (_may_be_in(src.where("text is not null"), members).join(members, F.col("id") == F.col("rep"))
              .select("component", "w", "rep", "text"))
-    tasks = blocks(texts, "component", "w", BLOCK_MEMBERS, "rep").select("g", "i", "j", "rep", "text")
+    tasks = blocks(texts, "component", "w", block_members or BLOCK_MEMBERS, "rep").select("g", "i", "j", "rep", "text")
     linked = (tasks.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "rep")
               .mapInArrow(_true_edges(rule), "a long, b long"))
     found = connected_components(linked, "jaccard-links")
