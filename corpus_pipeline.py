@@ -34,6 +34,7 @@ from lakenorm.llm.secret_scan import scan_secrets
 
 
 NEAR = Rule(size=5, percent=80)
+BLOCK_MEMBERS = 3 << 20         # at 0.8 more texts may link: larger components, fewer copies of their texts
 KEYED_BY = ("doc_id", "text", "lang", "source")
 
 
@@ -82,7 +83,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     d = keyed(docs).select("key", "doc_id", "text", F.xxhash64("key").alias("node"))
-    linked = jaccard_components(d, "node", "text", NEAR).select("id", "component_id").distinct()
+    linked = jaccard_components(d, "node", "text", NEAR, BLOCK_MEMBERS).select("id", "component_id").distinct()
     rows = stage(d.select("key", "doc_id", "node").groupBy("key", "doc_id", "node").agg(F.count(F.lit(1)).alias("n"))
                  .join(linked, F.col("node") == F.col("id")), "near-rows")
     first = rows.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key"))["key"].alias("stays"))
