@@ -19,10 +19,14 @@ for every point below. Links (``100 * overlap >= 85 * union``) are exact:
    reach the threshold, from the top level down: a node is entered only if its
    coordinate maxima and size range allow a partner below. The search walks: points found leave the tree, so a
    tile emits a spanning forest of its "may link" graph, never its pairs.
-4. The components of these forests hold every true link. Their texts are
-   brought together once per component, an R-tree proposes pairs and an exact
-   intersection of the sets verifies them; again only a forest of true links
-   is emitted, whose components are the result.
+4. The components of these forests hold every true link. Points of ``GROUPS``
+   counts tell large sets apart badly (at 28 members a group, any two sets of a
+   size come near the threshold), so components over ``BLOCK_MEMBERS`` are walked
+   again by points with a group per ``LOAD`` members, in bands of sizes of which
+   linked sets share at least one. What falls apart there shares no link.
+5. The texts of what is left are brought together once per component, an R-tree
+   proposes pairs and an exact intersection of the sets verifies them; again only
+   a forest of true links is emitted, whose components are the result.
 
 A tile or component over ``BLOCK`` is cut into blocks and every pair of blocks
 is a task of its own, so no task grows with a group.
@@ -35,6 +39,7 @@ nothing; rows that share an id are one node; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -45,6 +50,7 @@ from pyspark.sql import functions as F
 from .common import WordHasher, bounded_batches, connected_components, mix64, named, pieces, slices, stage, table
 
 GROUPS = 256
+LOAD = 8                        # members per group, at most, of a fine point
 PAGE = 32
 FAN = 16                        # nodes below a node of the tree
 #: Points of a tile, and set members of a component, that one task holds at once.
@@ -116,6 +122,19 @@ def count_vector(members: np.ndarray, groups: int = GROUPS) -> np.ndarray:
     return np.minimum(c, 255).astype(np.uint8)
 
 
+def fine_vector(members: np.ndarray) -> np.ndarray:
+    """Count vector whose groups grow with the set, by powers of two."""
+    groups = GROUPS
+    while len(members) > LOAD * groups:
+        groups *= 2
+    return count_vector(members, groups)
+
+
+def folded(point: np.ndarray, groups: int) -> np.ndarray:
+    """The point with fewer groups; counts over 255 are cut as in ``count_vector``."""
+    return np.minimum(point.reshape(-1, groups).sum(axis=0, dtype=np.int64), 255).astype(np.uint8)
+
+
 def cut_off(points: np.ndarray, sizes):
     return sizes - points.sum(axis=-1, dtype=np.int64)
 
@@ -268,7 +287,8 @@ def _first_members(s: np.ndarray, hot: np.ndarray, rank: np.ndarray, rule: Rule)
 
 
 def features(src: DataFrame, rule: Rule = RULE) -> DataFrame:
-    """``(id, n, digest, keys, point)`` of every document."""
+    """``(id, n, digest, keys, point, fine)`` of every document; ``fine`` is null
+    where it would be ``point``."""
     hottest = _hot_order(src, rule)
     shared = src.sparkSession.sparkContext.broadcast(hottest)
 
@@ -283,11 +303,12 @@ def features(src: DataFrame, rule: Rule = RULE) -> DataFrame:
                  pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                  pa.array([_first_members(s, hot, rank, rule).view(np.int64) if len(s) else [] for s in sets],
                           pa.list_(pa.int64())),
-                 pa.array([count_vector(s).tobytes() for s in sets], pa.binary())],
-                ["id", "n", "digest", "keys", "point"])
+                 pa.array([count_vector(s).tobytes() for s in sets], pa.binary()),
+                 pa.array([fine_vector(s).tobytes() if len(s) > LOAD * GROUPS else None for s in sets], pa.binary())],
+                ["id", "n", "digest", "keys", "point", "fine"])
 
     return src.mapInArrow(batches, f"id {src.schema['id'].dataType.simpleString()}, n long, digest binary, "
-                                   "keys array<long>, point binary")
+                                   "keys array<long>, point binary, fine binary")
 
 
 def blocks(df: DataFrame, group: str, weight: str, limit: int, node: str, own: str = "_own") -> DataFrame:
@@ -327,8 +348,8 @@ def by_task(it, keys=("g", "i", "j")):
         for x, y in zip(edges[:-1], edges[1:]):
             key = tuple(c[x] for c in cols)
             if held and key != last:
-                yield pa.Table.from_batches(held)
-                held = []
+                done, held = [pa.Table.from_batches(held)], []
+                yield done.pop()                # the reader alone holds it
             held.append(b.slice(x, y - x))
             last = key
     if held:
@@ -393,6 +414,46 @@ def _tile_edges(rule: Rule):
     return run
 
 
+def _fine_edges(rule: Rule):
+    """Forests by fine points; those of a task, a band of sizes, are folded to the
+    fewest groups among them."""
+    def run(it):
+        for t in by_task(it):
+            ids = t.column("rep").to_numpy()
+            if len(ids) < 2:
+                continue
+            raw = [np.frombuffer(p, np.uint8) for p in t.column("fine").to_pylist()]
+            groups = min(map(len, raw))
+            e = forest(np.array([folded(p, groups) for p in raw]), t.column("n").to_numpy(), rule=rule)
+            if e:
+                yield pa.RecordBatch.from_arrays([pa.array(ids[[x for x, _ in e]]), pa.array(ids[[y for _, y in e]])],
+                                                 ["a", "b"])
+    return run
+
+
+def refine(near: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
+    """``near(node, component)`` with the components over ``BLOCK_MEMBERS`` set members
+    walked again by fine points; nodes that may link with nothing go."""
+    points = classes.select(F.col("rep").alias("node"), "n", F.coalesce("fine", "point").alias("fine"))
+    large = near.join(points.select("node", "n"), "node").groupBy("component").agg(F.sum("n").alias("w"))
+    large = stage(large.where(F.col("w") > BLOCK_MEMBERS).select("component"), "jaccard-large")
+    if large.isEmpty():
+        return near
+    # partners differ by less than a band's width, so a set meets them in its own band or a neighbour's
+    width = math.log(100 / (rule.percent - 0.5))
+    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(width)).cast("int")
+    rows = (near.join(large, "component", "left_semi").join(points, "node")
+            .withColumn("band", F.explode(F.array(band, band + 1))))
+    weights = rows.groupBy("component", "band").agg(F.sum(F.octet_length("fine")).alias("w")).where(F.count(F.lit(1)) > 1)
+    rows = rows.join(stage(weights, "jaccard-bands"), ["component", "band"])
+    rows = rows.withColumn("key", F.xxhash64("component", "band")).withColumnRenamed("node", "rep")
+    tasks = blocks(rows, "key", "w", BLOCK * GROUPS, "rep").select("g", "i", "j", "rep", "n", "fine")
+    maybe = (tasks.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "rep")
+             .mapInArrow(_fine_edges(rule), "a long, b long"))
+    finer = connected_components(maybe, "jaccard-finer").select("node", "component")
+    return stage(near.join(large, "component", "left_anti").select("node", "component").unionByName(finer), "jaccard-near")
+
+
 def _true_edges(rule: Rule):
     def run(it):
         shingle = Shingler(rule.size)
@@ -419,31 +480,29 @@ def _may_be_in(src: DataFrame, members: DataFrame) -> DataFrame:
     return src.join(F.broadcast(some), of("id").cast("int") == F.col("_f"), "left_semi")
 
 
-def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text: str = "text", rule: Rule = RULE,
-                       block_members: int | None = None) -> DataFrame:
-    """``(id, n_shingles, class_id, component_id)`` per input row. ``block_members``:
-    set members of a component that one task holds (``BLOCK_MEMBERS``); the texts of
-    a larger one are shipped once per block. ``class_id`` is
+def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text: str = "text", rule: Rule = RULE) -> DataFrame:
+    """``(id, n_shingles, class_id, component_id)`` per input row. ``class_id`` is
     the smallest id with the same set, ``component_id`` the smallest reachable."""
     bounded_batches(docs.sparkSession)
     src = named(docs, id=id_column, text=text)
     feats = stage(features(src, rule), "jaccard-features", "snappy")
     sets = feats.where("n > 0 and id is not null").groupBy("n", "digest")
-    classes = stage(sets.agg(F.min("id").alias("rep"), F.first("point").alias("point")), "jaccard-classes")
+    classes = stage(sets.agg(F.min("id").alias("rep"), F.first("point").alias("point"), F.first("fine").alias("fine")),
+                    "jaccard-classes")
 
     keyed = sets.agg(F.min("id").alias("rep"), F.first("keys").alias("keys")).select(F.explode("keys").alias("key"), "rep")
     tiles = tiles_of(stage(keyed, "jaccard-keys"), "jaccard-tiles")
     tiles = blocks(tiles.join(classes.select("rep", "n", "point"), "rep"), "key", "c", BLOCK, "rep")
     maybe = (tiles.select("g", "i", "j", "rep", "n", "point").repartition("g", "i", "j")
              .sortWithinPartitions("g", "i", "j").mapInArrow(_tile_edges(rule), "a long, b long"))
-    near = stage(connected_components(maybe, "jaccard-maybe"), "jaccard-near")
+    near = refine(stage(connected_components(maybe, "jaccard-maybe"), "jaccard-near"), classes, rule)
 
     sizes = classes.select(F.col("rep").alias("node"), "n")
     weights = near.join(sizes, "node").groupBy("component").agg(F.sum("n").alias("w"))
     members = near.join(weights, "component").select("component", "w", F.col("node").alias("rep"))
     texts = (_may_be_in(src.where("text is not null"), members).join(members, F.col("id") == F.col("rep"))
              .select("component", "w", "rep", "text"))
-    tasks = blocks(texts, "component", "w", block_members or BLOCK_MEMBERS, "rep").select("g", "i", "j", "rep", "text")
+    tasks = blocks(texts, "component", "w", BLOCK_MEMBERS, "rep").select("g", "i", "j", "rep", "text")
     linked = (tasks.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "rep")
               .mapInArrow(_true_edges(rule), "a long, b long"))
     found = connected_components(linked, "jaccard-links")

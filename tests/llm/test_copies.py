@@ -157,6 +157,37 @@ def test_jaccard_by_other_rules(spark, size, percent):
     assert got == jaccard_brute(list(enumerate(texts)), size, percent)
 
 
+def test_long_strangers_are_not_shipped_with_their_texts(spark, monkeypatch):
+    """Points of 256 counts let any two long sets of a size pass; finer ones do not."""
+    monkeypatch.setattr(ngram_join, "BLOCK_MEMBERS", 20_000)
+    shipped, blocks = [], ngram_join.blocks
+
+    def recorded(df, group, *more):
+        if group == "component":
+            shipped.extend(r.rep for r in df.select("rep").collect())
+        return blocks(df, group, *more)
+
+    monkeypatch.setattr(ngram_join, "blocks", recorded)
+    rng = random.Random(8)
+    passage = words(rng, 12)
+    texts = [words(rng, 9000) + " " + passage for _ in range(8)]
+    texts.append(" ".join(texts[0].split()[:7500]))             # linked over a band of sizes
+    texts.append(" ".join(texts[1].split()[:7500]))
+    got = {r.id: (r.n_shingles, r.component_id)
+           for r in ngram_join.jaccard_components(docs(spark, texts), rule=ngram_join.Rule(5, 80)).collect()}
+    assert got == jaccard_brute(list(enumerate(texts)), 5, 80)
+    assert got[8][1] == 0 and got[9][1] == 1 and sorted(shipped) == [0, 1, 8, 9]
+
+
+def test_fine_points_folded_are_a_bound():
+    rng = np.random.default_rng(3)
+    s = np.unique(rng.integers(0, 2**63, 5000, dtype=np.uint64))
+    fine = ngram_join.fine_vector(s)
+    assert len(fine) == 1024 and (ngram_join.folded(fine, 256) == ngram_join.count_vector(s)).all()
+    high = np.full(1024, 200, np.uint8)
+    assert (ngram_join.folded(high, 256) == 255).all()
+
+
 def test_op6_on_the_table(spark):
     rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.op6_ngram_jaccard(spark, SF).collect()}
