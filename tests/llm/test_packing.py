@@ -67,6 +67,23 @@ def test_encoder_with_a_full_cache(tokenizer, monkeypatch):
         e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_plain_texts_are_encoded_whole_and_equal_tokenizers(tokenizer):
+    rng = random.Random(5)
+    parts = ["the", "a'll", "don't", "12", "x1", "...", "é", "ſt", "Ÿ", "ÿ", "<", "|", "\n", "\n\n", "-", "«a»"]
+    encode = packing.Encoder(VOCABULARY, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    words = ["".join(rng.choices(parts, k=rng.randint(1, 3))) for _ in range(20_000)]
+    texts = [t for t in (rng.choice(["", " "]) + " ".join(words[i:i + 3]) + rng.choice(["", " ", "\n"]) for i in range(0, len(words), 3))
+             if encode.plain(t)]
+    assert len(texts) > 20 and not any(map(encode.plain, ["a  b", "a\n b", "a \nb", "<|a", "a\tb", "a\xa0b", "a\xadb", "日"]))
+    calls, encode.full = [], None               # none of them reaches the slower encoder
+    counted = lambda whole: type("Counted", (), {"encode_ordinary": staticmethod(lambda t: calls.append(t) or whole(t))})
+    encode.fast, encode.single = counted(encode.fast.encode_ordinary), counted(encode.single.encode_ordinary)
+    assert 0 < sum("\n\n" in t for t in texts) < len(texts)
+    assert [np.frombuffer(r, encode.dtype).tolist() for r in encode(texts)] == [
+        e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert calls == texts                       # one call a text, not one per run of words and first word
+
+
 def test_round_trip_of_edge_rows(spark, tokenizer):
     rng = random.Random(1)
     texts = [None, "", "a", " ".join(f"t{rng.randrange(500)}" for _ in range(9000)), "b " * 1023, "b " * 1024]
