@@ -202,6 +202,8 @@ def _build(members: list[Member], target: T.DataType, level: int, opts: Normaliz
     """
     real = [m for m in members if not isinstance(m[1], T.NullType)]
     if not real:
+        if is_struct_array(target) and opts.opened(level):
+            return f"CAST(array() AS {ddl(target)})"       # a field that one member lacks, like a null one
         return _null(target)
 
     if isinstance(target, T.StructType) and all(isinstance(m[1], T.StructType) for m in real):

@@ -53,6 +53,14 @@ def test_n6_null_and_empty_arrays(jsonl):
     assert out == {1: [Row(a=1, b="x")], 2: [], 3: []}
 
 
+def test_array_that_one_colliding_member_lacks_is_empty(jsonl):
+    df = jsonl([{"id": 1, "Items": [{"a": 1, "xs": []}]}, {"id": 1, "items": [{"a": 1}]},
+                {"id": 2, "Items": [{"a": 2, "xs": [{"b": 3}]}], "items": [{"a": 2}]}])
+    once = normalize(df)
+    assert {r.id: r["items"] for r in once.collect()} == {1: [Row(a=1, xs=[])], 2: [Row(a=2, xs=[Row(b=3)]), Row(a=2, xs=[])]}
+    assert once.count() == 2 and rows(normalize(once)) == rows(once)
+
+
 def test_n7_all_null_element_one_row(jsonl):
     df = jsonl([{"id": 1, "items": [{"a": None, "b": None}, {"a": 1, "b": "x"}]}])
     assert normalize(df).collect() == [Row(id=1, items=[Row(a=1, b="x")])]
