@@ -28,6 +28,7 @@ from __future__ import annotations
 import base64
 import re
 import zlib
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -56,18 +57,31 @@ class Encoder:
 
     ODD = re.compile(r"[^\n\x20-\x7e\xa1-\xac\xae-ɏ]|\s\x20|\x20\s|<\|")
 
-    def __init__(self, vocabulary: str, ranks: str | None = None, pattern: str | None = None):
+    def __init__(self, vocabulary: str, ranks: str | None = None, pattern: str | None = None, size: int | None = None):
+        self.vocabulary, self.ranks, self.pattern = vocabulary, ranks, pattern
+        size = self.full.get_vocab_size() if size is None else size
+        self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+
+    # each is loaded when a text needs it: a worker keeps it for good
+    @cached_property
+    def full(self):
         from tokenizers import Tokenizer
 
-        self.full = Tokenizer.from_file(vocabulary)
-        self.dtype = np.dtype("<u2" if self.full.get_vocab_size() <= 1 << 16 else "<u4")
-        self.fast = None
-        if ranks and pattern:
-            import tiktoken
+        return Tokenizer.from_file(self.vocabulary)
+
+    @cached_property
+    def fast(self):
+        return self._tiktoken(self.pattern)
+
+    @cached_property
+    def single(self):
+        return self._tiktoken(self.pattern.replace(r"|\s+(?!\S)|\s+", r"|\s+"))
+
+    def _tiktoken(self, pattern: str):
+        import tiktoken
 
-            table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(ranks, "rb"))}
-            self.fast, self.single = [tiktoken.Encoding("ranks", pat_str=p, mergeable_ranks=table, special_tokens={})
-                                      for p in (pattern, pattern.replace(r"|\s+(?!\S)|\s+", r"|\s+"))]
+        table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(self.ranks, "rb"))}
+        return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
 
     def plain(self, t: str) -> bool:
         """Do both encoders cut the text alike? Latin-1 is tested without a pattern."""
@@ -81,7 +95,7 @@ class Encoder:
         out: list = [None] * len(texts)
         rest = []
         for i, t in enumerate(texts):
-            if t and self.fast and self.plain(t):
+            if t and self.ranks and self.pattern and self.plain(t):
                 use = self.fast if "\n\n" in t else self.single       # plain: no other white space meets
                 out[i] = np.array(use.encode_ordinary(t), self.dtype).tobytes()
             else:
@@ -108,11 +122,12 @@ def tokenise(docs: DataFrame, vocabulary: str, ranks: str | None = None, pattern
     """``(id, n, route, ids)``; ids are little-endian unsigned integers."""
     src = named(docs, id=id_column, text=text)
     shared = docs.sparkSession.sparkContext.broadcast({})
+    size = Encoder(vocabulary).full.get_vocab_size()
 
     def batches(it):
         held = shared.value             # one encoder per worker, for as long as the broadcast lives there
         if "encoder" not in held:
-            held["encoder"] = Encoder(vocabulary, ranks, pattern)
+            held["encoder"] = Encoder(vocabulary, ranks, pattern, size)
         encode = held["encoder"]
         end = np.array([end_id], encode.dtype).tobytes()
         for b in slices(it, "text"):
