@@ -1,6 +1,7 @@
 """Hard negatives and whitening against plain versions in exact or double precision."""
 
 import math
+import time
 
 import numpy as np
 import pytest
@@ -79,6 +80,69 @@ def test_lists_end_early():
     assert sum(seen) < 0.6 * 40 * 20_000
 
 
+def lists_brute(anchors, slot_of, low, high, same, depth, q, label, ident, gone, uid):
+    """[(score, id or None)] of every slot."""
+    out = [[] for _ in low]
+    for a, slots in enumerate(slot_of):
+        score = [sum(int(x) * int(y) for x, y in zip(anchors.q[a].tolist(), row)) for row in q.tolist()]
+        rows = sorted((-s, g, 0 if g else i) for s, lab, i, g, u in zip(score, label.tolist(), ident.tolist(), gone.tolist(), uid.tolist())
+                      if (lab == anchors.label[a]) == same and not (same and u == anchors.uid[a]))
+        for slot in slots[slots >= 0]:
+            out[slot] = [(-s, None if g else i) for s, g, i in rows if low[slot] <= -s <= high[slot]][:depth]
+    return out
+
+
+@pytest.mark.parametrize("seed", range(6))
+@pytest.mark.parametrize("same", [True, False])
+def test_lists_over_blocks_equal_brute_force(seed, same, monkeypatch):
+    """Many blocks, copies, ties, null ids, entries beyond single and double precision; clusters that rule out rows and others."""
+    rng = np.random.default_rng(seed)
+    for name, value in (("TILE", 16), ("SEED", 40), ("PENDING", 30), ("RUN", 4), ("STEP", 8), ("CLUSTER", 6)):
+        monkeypatch.setattr(hard_negatives, name, value)
+    n, dim, labels = 700, 5, (3, 60)[seed % 2]
+    spread = (20, 20, 200, 200, 10**6, 10**10)[seed]
+    q = np.floor(spread * (rng.normal(size=(n, dim)) + (seed % 3) * 4 * np.eye(dim)[rng.integers(0, dim, n)]))
+    q[rng.integers(0, n, n // 5)] = q[0]
+    q[rng.integers(0, n, 5)] = 0
+    label, uid = rng.integers(0, labels, n), np.arange(n)
+    ident, gone = rng.permutation(n) // 2, (rng.random(n) < 0.1).astype(np.int8)
+    ident[gone > 0] = 0
+    at = rng.choice(n, 45, replace=False)
+    anchors = hard_negatives.Anchors(uid[at], label[at], q[at])
+    if same:
+        slot_of, low, high = np.arange(45)[:, None], np.full(45, -np.inf), np.full(45, np.inf)
+    else:
+        slot_of = rng.permutation(90).reshape(45, 2) - 10
+        slot_of[slot_of < 0] = -1
+        high = np.floor(np.abs(q).max() ** 2 * rng.random(80))
+        low = np.floor(high * rng.choice([-0.5, 0.3, 0.999], 80))
+    lists = hard_negatives.Lists(len(low), 5)
+    for lo in range(0, n, 100):
+        part = slice(lo, lo + 100)
+        hard_negatives.walk(anchors, slot_of, low, high, same, lists, q[part], label[part], ident[part], gone[part], uid[part])
+    got: list[list] = [[] for _ in low]
+    for slot, score, g, i, _ in zip(*(x.tolist() for x in lists.held_rows())):
+        got[slot].append((int(score), None if g else i))
+    assert got == lists_brute(anchors, slot_of, low, high, same, 5, q, label, ident, gone, uid)
+
+
+def test_evenly_spread_vectors_take_little_time():
+    """Where no bound rules anything out, a block costs about its product with the
+    anchors, however many lists there are (sorting all of them at each step took 29 s)."""
+    rng = np.random.default_rng(1)
+    q, rows = (np.floor(256 * v / np.linalg.norm(v, axis=1)[:, None]) for v in (rng.normal(size=(1000, 16)), rng.normal(size=(12_000, 16))))
+    a, high = hard_negatives.Anchors(np.arange(1000), np.zeros(1000, np.int64), q), np.tile([12e3, 14e3, 16e3, 18e3, 20e3], 1000)
+    lists, began = hard_negatives.Lists(5000, 10), time.process_time()
+    for lo in range(0, 12_000, 4000):
+        part = np.arange(lo, lo + 4000)
+        hard_negatives.walk(a, np.arange(5000).reshape(1000, 5), np.zeros(5000), high, False, lists, rows[part], np.ones(4000, np.int64),
+                            part, np.zeros(4000, np.int8), part)
+    score = lists.score
+    assert time.process_time() - began < 10
+    best = [[np.sort(s[s <= h])[:-11:-1] for h in high[:5]] for s in q @ rows.T]
+    assert (score.astype(float).reshape(1000, 5, 10) == best).all()
+
+
 def test_negative_edge_rows(spark):
     one, big = [1.0, 0.5], 1e25
     rows = [(0, one, 0), (0, one, 0), (0, one, 1), (None, one, 0), (None, [0.5, 0.25], 1), (100, one, None), (200, None, 0), (300, [], 0),
